@@ -15,27 +15,28 @@ ORACLE: dict[str, str] = {}
 _CTES: dict[str, str] = {}
 
 
-def cte(name: str, sql: str, recursive: bool = False) -> None:
+def cte(name: str, sql: str) -> None:
     _CTES[name] = sql.strip()
 
 
 def with_ctes(body: str) -> str:
     """Prefix `body` with the shared CTEs it needs, found by name, dependencies first."""
     needed: list[str] = []
+    seen: set[str] = set()
 
     def visit(sql: str) -> None:
-        for name in _CTES:
-            if name not in needed and re.search(rf"\b{name}\b", sql):
-                visit(_CTES[name])
-                if name not in needed:
-                    needed.append(name)
+        for name, text in _CTES.items():
+            if name not in seen and re.search(rf"\b{name}\b", sql):
+                seen.add(name)
+                visit(text)
+                needed.append(name)
 
     visit(body)
     parts = [f"{n} AS (\n{_CTES[n]}\n)" for n in needed]
-    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?(.*)", body, re.S)
+    own = re.match(r"\s*WITH\s+(.*)", body, re.S)
     if own:
-        return "WITH RECURSIVE " + ",\n".join([*parts, own[2]])
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
+        return "WITH RECURSIVE " + ",\n".join([*parts, own[1]])
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
