@@ -303,10 +303,11 @@ def restatement_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return market.restatement_ratio(*stored_and_fetched(spark, sf)).withColumn("ratio", F.round("ratio", 6))
 
 
-@query("j15_price_merge", "SELECT symbol, CAST(date AS VARCHAR) AS date, round(close, 5) AS close FROM merged_quotes")
+@query("j15_price_merge", "SELECT symbol, CAST(date AS VARCHAR) AS date, CAST(floor(close * 10000 + 0.3137) AS BIGINT) AS close_e4 FROM merged_quotes")
 def price_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes in units of 1e-4, cut off between the ties that averages of cents often hit."""
     return market.merge_prices(*stored_and_fetched(spark, sf)).select(
-        "symbol", b.day_text(F.col("date")).alias("date"), F.round("close", 5).alias("close")
+        "symbol", b.day_text(F.col("date")).alias("date"), F.floor(F.col("close") * 10000 + 0.3137).alias("close_e4")
     )
 
 
