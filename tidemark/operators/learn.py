@@ -28,13 +28,14 @@ def hook_weight(total: Column, impact: Column) -> Column:
     return F.coalesce(total / F.lit(100.0), impact, F.lit(0.0))
 
 
-def last_taught(taught: DataFrame, dates: DataFrame, gaps: DataFrame) -> DataFrame:
+def last_taught(taught: DataFrame, dates: DataFrame, gaps: list[Gap]) -> DataFrame:
     """(issue_date, gap, last_taught): the latest earlier date with a lesson on the gap.
 
     taught: issue_date, gap. One row per gap and date, so the window is bounded by the calendar."""
     marked = taught.select("issue_date", "gap").distinct().withColumn("taught_on", F.col("issue_date"))
     earlier = Window.partitionBy("gap").orderBy("issue_date").rowsBetween(Window.unboundedPreceding, -1)
-    spine = dates.select("issue_date").distinct().crossJoin(F.broadcast(gaps.select("gap")))
+    every_gap = F.explode(F.array(*[F.lit(g.id) for g in gaps]))
+    spine = dates.select("issue_date").distinct().select("issue_date", every_gap.alias("gap"))
     return spine.join(marked, ["issue_date", "gap"], "left").select(
         "issue_date", "gap", F.max("taught_on").over(earlier).alias("last_taught")
     )
@@ -48,7 +49,7 @@ def rank_gaps(matches: DataFrame, dates: DataFrame, taught: DataFrame, gaps: lis
     hooks = matches.groupBy("issue_date", "gap").agg(F.sum("weight").alias("h"), F.count(F.lit(1)).alias("n_hooks"))
     since = F.date_diff("issue_date", "last_taught")
     rows = (
-        last_taught(taught, dates, dim)
+        last_taught(taught, dates, gaps)
         .join(hooks, ["issue_date", "gap"], "left")
         .join(F.broadcast(dim), "gap")
         .withColumn("p", scores.gap_priority(F.col("now"), F.col("target"), F.col("weight")))

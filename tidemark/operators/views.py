@@ -132,17 +132,21 @@ def topic_matrix_rollup(scored: DataFrame) -> DataFrame:
     )
 
 
-def theme_refs(themes: DataFrame, refs: DataFrame) -> DataFrame:
-    """Theme items in their order with the item's columns; unresolved ids are skipped.
+def theme_items(weeklies: DataFrame) -> DataFrame:
+    """(week, theme, pos, id) of the themes of weekly documents, ids in their order."""
+    themes = weeklies.select("week", F.explode("themes").alias("t"))
+    return themes.select("week", F.col("t.title").alias("theme"), F.posexplode("t.item_ids").alias("pos", "id"))
 
-    themes: week, theme, item_ids. refs: week, id and the columns to show."""
-    listed = themes.select("week", "theme", F.posexplode("item_ids").alias("pos", "id"))
+
+def theme_refs(listed: DataFrame, refs: DataFrame) -> DataFrame:
+    """Theme items with the item's columns, `pos` giving their order; unresolved ids are skipped.
+
+    listed: week, theme, pos, id. refs: week, id and the columns to show."""
     return listed.join(refs, ["week", "id"])
 
 
-def unresolved_refs(themes: DataFrame, refs: DataFrame) -> DataFrame:
+def unresolved_refs(listed: DataFrame, refs: DataFrame) -> DataFrame:
     """Theme ids that are not items of the theme's week."""
-    listed = themes.select("week", "theme", F.posexplode("item_ids").alias("pos", "id"))
     return listed.join(refs.select("week", "id"), ["week", "id"], "left_anti")
 
 

@@ -119,12 +119,8 @@ def gap_order(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("a21_last_taught", "SELECT CAST(issue_date AS VARCHAR) AS issue_date, gap, CAST(last_taught AS VARCHAR) AS last_taught FROM gap_days")
 def last_taught(spark: SparkSession, sf: str) -> DataFrame:
-    from ..config import gap_dimension
-
-    return day(
-        learn.last_taught(lessons(spark, sf), b.headlines(spark, sf).select("issue_date"), gap_dimension(spark, GAPS)),
-        "issue_date", "last_taught",
-    )
+    rows = learn.last_taught(lessons(spark, sf), b.headlines(spark, sf).select("issue_date"), GAPS)
+    return day(rows, "issue_date", "last_taught")
 
 
 @query("a22_tracker", """

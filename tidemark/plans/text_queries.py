@@ -66,21 +66,18 @@ def token_sets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("u2_url_and_entity_overlap", """
-WITH u AS (SELECT item_id, list_distinct(list(canonical)) AS links, list_distinct(list(supp_key)) AS who FROM sources GROUP BY item_id)
-SELECT a.item_id, CAST(len(list_intersect(a.links, b.links)) AS INTEGER) AS shared_links, list_has_any(a.who, b.who) AS shares_outlet
-FROM u a JOIN u b ON b.item_id = a.item_id + 1
+SELECT a.item_id, count(DISTINCT CASE WHEN a.canonical = b.canonical THEN a.canonical END) AS shared_links, count(DISTINCT a.supp_key) AS shared_outlets
+FROM sources a JOIN sources b ON b.item_id = a.item_id + 1 AND a.supp_key = b.supp_key GROUP BY a.item_id
 """)
 def overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """Each item's links and outlets against the next item's."""
-    per_item = b.sources(spark, sf).groupBy("item_id").agg(
-        F.collect_set(urls.canonical_url(F.col("url"))).alias("links"), F.collect_set("supp_key").alias("who")
-    )
-    after = per_item.select((F.col("item_id") - 1).alias("item_id"), F.col("links").alias("l2"), F.col("who").alias("w2"))
-    return per_item.join(after, "item_id").select(
-        "item_id",
-        F.size(F.array_intersect("links", "l2")).alias("shared_links"),
-        F.arrays_overlap("who", "w2").alias("shares_outlet"),
-    )
+    """Links and outlets that an item shares with the next one: set intersection as an equi-join of
+    distinct elements, so no item's set is collected."""
+    rows = b.sources(spark, sf).select("item_id", "supp_key", urls.canonical_url(F.col("url")).alias("link")).distinct()
+    after = rows.select((F.col("item_id") - 1).alias("item_id"), "supp_key", F.col("link").alias("next_link"))
+    met = rows.join(after, ["item_id", "supp_key"])
+    return met.groupBy("item_id", "supp_key").agg(
+        F.count_if(F.col("link") == F.col("next_link")).alias("links")
+    ).groupBy("item_id").agg(F.sum("links").alias("shared_links"), F.count(F.lit(1)).alias("shared_outlets"))
 
 
 @query("f8_clean_text", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..operators import placement, views
+from ..operators.ranking import rank_in_group
 from ..session import cut
 from . import bindings as b
 from .registry import cte, query
@@ -311,15 +312,12 @@ FROM (SELECT strftime(l_shipdate, '%G-W%V') AS week, l_returnflag AS theme, l_or
 
 
 def themes(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders shipped in a week with the same flag, as a theme's list of items (its `item_ids`).
-
-    Theme lists are documents written by hand and short; here their length follows the table."""
+    """Orders shipped in a week with the same flag as a theme's items: week, theme, pos, id."""
     line = b.table(spark, sf, "lineitem").groupBy(
         times.week_id(F.to_date("l_shipdate")).alias("week"), F.col("l_returnflag").alias("theme"), F.col("l_orderkey").alias("id")
     ).agg(F.min("l_linenumber").alias("first_line"))
-    return line.groupBy("week", "theme").agg(F.array_sort(F.collect_list(F.struct("first_line", "id"))).alias("x")).select(
-        "week", "theme", F.transform("x", lambda s: s["id"]).alias("item_ids")
-    )
+    placed = rank_in_group(cut(line), ["week", "theme"], [("first_line", True)], "id", "position")
+    return placed.select("week", "theme", (F.col("position") - 1).alias("pos"), "id")
 
 
 def _week_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -330,11 +328,11 @@ def _week_items(spark: SparkSession, sf: str) -> DataFrame:
 SELECT t.week, theme, pos, t.id, topic FROM theme_lists t JOIN items i ON i.id = t.id AND strftime(day_date, '%G-W%V') = t.week
 """)
 def theme_refs(spark: SparkSession, sf: str) -> DataFrame:
-    return views.theme_refs(themes(spark, sf), _week_items(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
+    return views.theme_refs(themes(spark, sf), _week_items(spark, sf))
 
 
 @query("v6_theme_references", """
 SELECT t.week, theme, pos, t.id FROM theme_lists t WHERE NOT EXISTS (SELECT 1 FROM items i WHERE i.id = t.id AND strftime(day_date, '%G-W%V') = t.week)
 """)
 def theme_references(spark: SparkSession, sf: str) -> DataFrame:
-    return views.unresolved_refs(themes(spark, sf), _week_items(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
+    return views.unresolved_refs(themes(spark, sf), _week_items(spark, sf))
