@@ -186,7 +186,7 @@ def issue_violations(issues: DataFrame, settings: Settings = DEFAULT) -> DataFra
     """Rules of an issue. issues: file_date, date (text), window_start, window_end (text), tldr,
     n_items, n_sourced."""
     start, end = times.parse_ts(F.col("window_start")), times.parse_ts(F.col("window_end"))
-    day = F.col("date").try_cast("date")
+    day = F.when(F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col("date").try_cast("date"))
     hours = times.hours_between(start, end)
     ok_window = start.isNotNull() & end.isNotNull()
     bad_tldr = ~F.size("tldr").between(1, 4) | F.exists("tldr", lambda t: F.coalesce(t == "", F.lit(True)))
