@@ -1,7 +1,7 @@
 """Result tables for readers: the dashboard mart, the feed entries, and the rebuild check.
 
-The dashboard is a set of flat tables partitioned by date, not one document per issue, so that a large
-issue is written and read by many tasks.
+The dashboard is a set of flat tables partitioned by month, not one document per issue, so that no
+issue has to be assembled in one place.
 """
 
 from __future__ import annotations
@@ -19,26 +19,42 @@ from .views import counts_by
 DEFAULT = Settings()
 
 
-def write_dashboard(
-    path: str, placed: DataFrame, events: DataFrame, week: DataFrame, source_langs: DataFrame, langs: Sequence[str], settings: Settings = DEFAULT
-) -> None:
-    """Tables `items`, `events`, `week` and `langs` of the last `dashboard_days` days, below `path`.
+def dashboard_tables(
+    placed: DataFrame, events: DataFrame, week: DataFrame, source_langs: DataFrame, trend: DataFrame, recap: DataFrame,
+    langs: Sequence[str], settings: Settings = DEFAULT,
+) -> dict[str, DataFrame]:
+    """The dashboard's tables: `items`, `events`, `week` and `langs` of the last `dashboard_days` days,
+    the `trend`, and the recap of the last closed `weeks`.
 
     placed: issue_date, id, ... events: id and the event study. week: as_of and the rolling week.
-    source_langs: item_id, lang."""
+    source_langs: item_id, lang. trend: issue_date and counts. recap: week and the weekly summary."""
     newest = placed.agg(F.max("issue_date").alias("newest"))
     recent = placed.join(F.broadcast(newest), F.col("issue_date") > F.date_sub("newest", settings.dashboard_days)).drop("newest")
     keys = recent.select("id", "issue_date")
     lang_rows = source_langs.join(keys, source_langs["item_id"] == keys["id"])
-    write_archive(recent, f"{path}/items", "issue_date")
-    write_archive(events.join(keys, "id"), f"{path}/events", "issue_date")
-    write_archive(week.withColumnRenamed("as_of", "issue_date").join(keys.select("issue_date").distinct(), "issue_date", "left_semi"), f"{path}/week", "issue_date")
-    write_archive(counts_by(lang_rows, ["issue_date"], "lang", langs), f"{path}/langs", "issue_date")
+    week = week.withColumnRenamed("as_of", "issue_date").join(keys.select("issue_date").distinct(), "issue_date", "left_semi")
+    _, sunday = times.week_bounds(F.col("week"))
+    closed = recap.withColumn("issue_date", sunday).join(F.broadcast(newest), F.col("issue_date") <= F.col("newest")).drop("newest")
+    return {
+        "items": recent,
+        "events": events.join(keys, "id"),
+        "week": week,
+        "langs": counts_by(lang_rows, ["issue_date"], "lang", langs),
+        "trend": trend,
+        "weeks": closed.orderBy(F.col("week").desc()).limit(8),
+    }
+
+
+def write_dashboard(tables: dict[str, DataFrame], path: str) -> None:
+    """Write the tables below `path`, partitioned by month."""
+    for name, df in tables.items():
+        month = df.withColumn("month", F.date_format("issue_date", "yyyy-MM"))
+        write_archive(month, f"{path}/{name}", "month", spread="id" if "id" in df.columns else "issue_date")
 
 
 def read_dashboard(spark: SparkSession, path: str) -> DataFrame:
     """One row per issue of the mart with its counts."""
-    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    read = lambda name: spark.read.parquet(f"{path}/{name}").drop("month")
     per_item = read("events").groupBy("id").agg(F.count(F.lit(1)).alias("k"))
     issues = read("items").join(per_item, "id", "left").groupBy("issue_date").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("placement") == "lead").alias("leads"),

@@ -36,7 +36,7 @@ def issue_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
     docs = items.groupBy("issue_date", "block").agg(F.array_sort(F.collect_list(item)).alias("items"))
     return docs.select(
-        "issue_date", b.day_text(F.col("issue_date")).alias("date"),
+        "issue_date", "block", b.day_text(F.col("issue_date")).alias("date"),
         F.struct(
             times.fmt_ts(F.col("issue_date").cast("timestamp")).alias("start"),
             times.fmt_ts(F.date_add("issue_date", 7).cast("timestamp")).alias("end"),
@@ -46,17 +46,17 @@ def issue_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("s1_daily_scan", """
-SELECT CAST(week_date AS VARCHAR) AS issue_date, 'order-' || id AS id, topic, entity, CAST(coverage AS INTEGER) AS coverage, round(impact, 6) AS impact
+SELECT CAST(week_date AS VARCHAR) AS issue_date, 'order-' || id AS id, topic, entity, CAST(coverage AS INTEGER) AS coverage, round(impact, 8) AS impact
 FROM all_items WHERE week_date BETWEEN DATE '1995-03-01' AND DATE '2001-07-01'
 """)
 def daily_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Write issue documents as JSON by date, scan a date range back with the declared schema."""
     path = work_path(spark, "daily")
-    archive.write_archive(issue_documents(spark, sf), path, "issue_date", "json")
+    archive.write_archive(issue_documents(spark, sf), path, "issue_date", "json", spread="block")
     docs = archive.read_archive(spark, path, DAILY + ", issue_date date", "json", "issue_date", "1995-03-01", "2001-07-01")
     return archive.issue_items(docs).select(
         b.day_text(F.col("issue_date")).alias("issue_date"), "id", "topic", F.get("entities", F.lit(0)).alias("entity"), "coverage",
-        F.round("impact", 6).alias("impact"),
+        F.round("impact", 8).alias("impact"),
     )
 
 
@@ -68,7 +68,7 @@ def weekly_documents(spark: SparkSession, sf: str) -> DataFrame:
         times.fmt_ts(F.col("published_at")).alias("published_at"),
     )
     docs = rows.groupBy(times.week_id(F.col("issue_date")).alias("week"), "block").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return docs.select("week", F.col("week").alias("file_week"), F.concat(F.lit("Week "), "week").alias("headline"), "items")
+    return docs.select("week", "block", F.col("week").alias("file_week"), F.concat(F.lit("Week "), "week").alias("headline"), "items")
 
 
 @query("s2_weekly_scan", """
@@ -80,7 +80,7 @@ def weekly_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def _weekly(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "weekly")
-    archive.write_archive(weekly_documents(spark, sf), path, "file_week", "json")
+    archive.write_archive(weekly_documents(spark, sf), path, "file_week", "json", spread="block")
     from ..schemas import WEEKLY
 
     return archive.read_archive(spark, path, WEEKLY + ", file_week string", "json")
@@ -388,10 +388,16 @@ def dashboard_mart(spark: SparkSession, sf: str) -> DataFrame:
     """The mart's counts per issue over all issues (the dashboard keeps the last 30 days)."""
     placed = placed_days(spark, sf)
     events = study(spark, sf).select("id", "symbol", "status", "day0", "car", "t")
-    week = views.rolling_week(placed, entities(spark, sf), b.TOPICS, b.SETTINGS)["summary"]
-    path = work_path(spark, "dashboard")
+    named = entities(spark, sf)
+    week = views.rolling_week(placed, named, b.TOPICS, b.SETTINGS)["summary"]
     langs = b.sources(spark, sf).select("item_id", "lang")
-    marts.write_dashboard(path, placed, events, week, langs, b.LANGS, replace(b.SETTINGS, dashboard_days=3000))
+    archived = placed.select("issue_date").distinct()
+    end = archived.agg(F.max("issue_date")).first()[0]
+    trend = views.trend(placed, archived, F.lit(end), b.SETTINGS.dashboard_days + 29, b.TOPICS)
+    recap = views.weekly_recap(placed, named, b.sources(spark, sf), b.TOPICS, b.LANGS, b.SETTINGS)["summary"]
+    path = work_path(spark, "dashboard")
+    whole = replace(b.SETTINGS, dashboard_days=3000)
+    marts.write_dashboard(marts.dashboard_tables(placed, events, week, langs, trend, recap, b.LANGS, whole), path)
     return day(marts.read_dashboard(spark, path))
 
 
@@ -429,7 +435,7 @@ def _fresh_and_stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
         "placement": F.when(i % 101 == 0, "lead").otherwise(F.col("placement")),
     })
     path = work_path(spark, "stored")
-    archive.write_archive(edited, path, "issue_date")
+    archive.write_archive(edited, path, "issue_date", spread="id")
     return fresh, archive.read_archive(spark, path).select(*fresh.columns)
 
 

@@ -38,9 +38,13 @@ def between(df: DataFrame, column: str, start: str | None, end: str | None) -> D
     return df
 
 
-def write_archive(df: DataFrame, path: str, by: str, fmt: str = "parquet") -> None:
+def write_archive(df: DataFrame, path: str, by: str, fmt: str = "parquet", spread: str | None = None) -> None:
     """Write partitioned by a date or week column; only the partitions present in `df` are replaced.
-    Rows are spread over several files per partition, so a large issue is not written by one task."""
+
+    With `spread`, a column that varies within a partition, rows are ranged by (by, spread) first: few
+    files per partition, and a very large partition is still written by several tasks."""
+    if spread:
+        df = df.repartitionByRange(by, spread)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).format(fmt).save(path)
 
 

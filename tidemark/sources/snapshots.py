@@ -13,7 +13,7 @@ DATE = "harvest_date"
 
 def write_snapshot(items: DataFrame, path: str, harvested_at: Column, utc_offset_hours: int = 8) -> None:
     """Replace the snapshot of the local date of `harvested_at`; other dates stay."""
-    write_archive(items.withColumn(DATE, times.local_date(harvested_at, utc_offset_hours)), path, DATE)
+    write_archive(items.withColumn(DATE, times.local_date(harvested_at, utc_offset_hours)), path, DATE, spread="id")
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
