@@ -298,9 +298,10 @@ def harvest_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     rows = payloads.feed_rows(payloads.parse_pages(payload_pages(spark, sf)))
     dated = rows.withColumns({
         "published_at": times.parse_feed_date(F.col("published")), "filter": F.lit(False), "feed_pos": F.lit(0),
+        "row_pos": F.col("url_pos") * 1000 + F.col("row_pos"),
     }).filter("published_at is not null")
-    items = harvest.normalise(dated, domain_dimension(spark, KNOWN_OUTLETS), b.SETTINGS).withColumn("position", F.monotonically_increasing_id())
-    return harvest.merge_by_id(cut(items)).select("id", "title", "url", "outlet", "tier", "published_at")
+    items = harvest.normalise(dated, domain_dimension(spark, KNOWN_OUTLETS), b.SETTINGS)
+    return harvest.merge_by_id(cut(items), "row_pos").select("id", "title", "url", "outlet", "tier", "published_at")
 
 
 # ---- calendar ---------------------------------------------------------------------------------------
