@@ -311,12 +311,12 @@ _WIDE = replace(b.SETTINGS, calendar_lookback_days=10_000, calendar_horizon_days
 
 def _announcements(spark: SparkSession, sf: str) -> DataFrame:
     """Part shipments as announced events; the place in the announcement is made of the line's keys."""
-    pos = F.col("l_orderkey") * 10_000_000 + F.col("l_partkey") * 10 + F.col("l_linenumber")
+    pos = ((F.col("l_orderkey") * 1_000_000 + F.col("l_partkey")) * 10 + F.col("l_linenumber")) * 10_000 + F.col("l_suppkey")
     return upcoming(spark, sf).filter("l_linenumber <> 7").withColumn("pos", pos)
 
 
 cte("announced_events", f"""
-SELECT seen_on, date, title, l_orderkey * 10000000 + l_partkey * 10 + l_linenumber AS pos, {b.TITLE_WORDS_SQL.format('title')} AS tokens
+SELECT seen_on, date, title, ((l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber) * 10000 + l_suppkey AS pos, {b.TITLE_WORDS_SQL.format('title')} AS tokens
 FROM upcoming WHERE l_linenumber <> 7 AND seen_on <= DATE '{AS_OF}'
 """)
 cte("event_titles", "SELECT DISTINCT date, tokens, array_to_string(tokens, ' ') AS k FROM announced_events")
@@ -366,7 +366,7 @@ def event_sort_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("o7_calendar_order", """
 SELECT CAST(seen_on AS VARCHAR) AS seen_on, l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       row_number() OVER (PARTITION BY seen_on ORDER BY CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END, title, l_orderkey * 10000000 + l_partkey * 10 + l_linenumber) AS position
+       row_number() OVER (PARTITION BY seen_on ORDER BY CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END, title, ((l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber) * 10000 + l_suppkey) AS position
 FROM upcoming WHERE l_linenumber <> 7
 """)
 def calendar_order(spark: SparkSession, sf: str) -> DataFrame:
