@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, packing, sharding, url_rules
+from . import embedding_dedup, language, mixing, near_duplicates, neighbours, packing, perplexity, sharding, url_rules
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op3_pitman_yor")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.score_corpus(table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op5_embedding_dedup",
+    """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+unit AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS e FROM good),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND list_inner_product(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.v FROM reach r JOIN links l ON r.b = l.u),
+component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.vec_id, (SELECT count(*) FROM links WHERE u = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM component c
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @_query("op6_shuffle_rows")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shuffle_rows(table(spark, sf_dir, "documents"))
@@ -107,6 +130,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (language.fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+@_query("op9_forest_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @_query(
     "op10_url_rules",
     f"""
