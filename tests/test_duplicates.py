@@ -90,7 +90,7 @@ def test_url_conflicts_equal_all_pairs(spark):
     pairs = list(link_pairs(links, follow))
     got = {(r["url"], r["issue_date"], r["other_date"]): r["n_pairs"] for r in dedupe.url_conflicts(df, fdf).collect()}
     assert got == Counter((u, di, dj) for _, _, u, di, dj in pairs)
-    by_item = {r["id"]: (r["n_conflicts"], r["detail"]) for r in dedupe.url_conflicts_by_item(df, fdf, block=4).collect()}
+    by_item = {r["id"]: (r["n_conflicts"], r["detail"]) for r in dedupe.url_conflicts_by_item(df, fdf, parts=4).collect()}
     want = {i: (n, min(u for k, _, u, _, _ in pairs if k == i)) for i, n in Counter(p[0] for p in pairs).items()}
     assert by_item == want
 

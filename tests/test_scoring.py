@@ -88,7 +88,7 @@ def test_placement_equals_the_greedy_loop(spark):
             })
     df = spark.createDataFrame(rows, "issue_date date, id long, entity string, region string, total double, credibility double, verified boolean")
     s = Settings()
-    got = {r["id"]: (r["placement"], r["rank"]) for r in placement.place(df, s, block=7).collect()}
+    got = {r["id"]: (r["placement"], r["rank"]) for r in placement.place(df, s, parts=7).collect()}
     want = {}
     for issue in {r["issue_date"] for r in rows}:
         want.update(placed_by_loop([r for r in rows if r["issue_date"] == issue], s))
@@ -105,11 +105,11 @@ def test_quota_only_when_needed(spark):
     assert none == 0
 
 
-def test_rank_in_group_with_small_blocks(spark):
+def test_rank_in_group_with_many_ranges(spark):
     rng = random.Random(3)
     rows = [(rng.choice("ab"), rng.choice([1.0, 2.0, 2.5]), rng.choice([0.1, 0.2]), i) for i in range(300)]
     df = spark.createDataFrame(rows, "g string, x double, y double, id long")
-    got = {r["id"]: r["rank"] for r in rank_in_group(df, ["g"], [("x", False), ("y", True)], "id", block=5).collect()}
+    got = {r["id"]: r["rank"] for r in rank_in_group(df, ["g"], [("x", False), ("y", True)], "id", parts=5).collect()}
     for g in "ab":
         ordered = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2], r[3]))
         assert [got[r[3]] for r in ordered] == list(range(1, len(ordered) + 1))

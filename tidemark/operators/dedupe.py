@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import BLOCK, rank_in_group
+from .ranking import rank_in_group
 from .similarity import HOT_TOKEN, distinct_sets, set_members, similar_sets
 
 
@@ -62,7 +62,7 @@ def url_conflicts(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) ->
     )
 
 
-def url_conflicts_by_item(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7, block: int = BLOCK) -> DataFrame:
+def url_conflicts_by_item(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7, parts: int | None = None) -> DataFrame:
     """(id, issue_date, n_conflicts, detail): how many earlier items share a link with the item, counted
     per link, and the smallest such link."""
     cells = item_urls.groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
@@ -77,7 +77,7 @@ def url_conflicts_by_item(item_urls: DataFrame, follow_ups: DataFrame, days: int
         .groupBy("id", "url").agg(F.count(F.lit(1)).alias("exempt"))
     )
     counted = (
-        rank_in_group(item_urls, ["url", "issue_date"], [], "id", "position", block)
+        rank_in_group(item_urls, ["url", "issue_date"], [], "id", "position", parts)
         .join(history, ["url", "issue_date"], "left")
         .join(exempt, ["id", "url"], "left")
         .withColumn(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..session import cut
-from .ranking import BLOCK, rank_in_group, top_in_group
+from .ranking import rank_in_group, top_in_group
 
 DEFAULT = Settings()
 
@@ -22,9 +22,9 @@ def rank_order(*first: Column) -> list[Column]:
     return [*first, F.col("total").desc(), F.col("credibility").desc(), F.col("id").asc()]
 
 
-def ranked(scored: DataFrame, block: int = BLOCK) -> DataFrame:
+def ranked(scored: DataFrame, parts: int | None = None) -> DataFrame:
     """Every item with its position in the issue by total, credibility and id."""
-    return rank_in_group(scored, ["issue_date"], [("total", False), ("credibility", False)], "id", "rank", block)
+    return rank_in_group(scored, ["issue_date"], [("total", False), ("credibility", False)], "id", "rank", parts)
 
 
 def leads(scored: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -98,7 +98,7 @@ def place_shown(scored: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     return swapped.withColumn("rank", F.row_number().over(final).cast("bigint")).drop("total", "credibility")
 
 
-def place(scored: DataFrame, settings: Settings = DEFAULT, block: int = BLOCK, materialise: bool = True) -> DataFrame:
+def place(scored: DataFrame, settings: Settings = DEFAULT, parts: int | None = None, materialise: bool = True) -> DataFrame:
     """Every scored item with placement, quota mark and rank (1..n within its issue).
 
     The scored items feed several branches, so they are written to shared storage once."""
@@ -109,7 +109,7 @@ def place(scored: DataFrame, settings: Settings = DEFAULT, block: int = BLOCK, m
     keys = ["issue_date", "id"]
     noted = rank_in_group(
         scored.join(shown.select(*keys), keys, "left_anti"),
-        ["issue_date"], [("total", False), ("credibility", False)], "id", "noted_rank", block,
+        ["issue_date"], [("total", False), ("credibility", False)], "id", "noted_rank", parts,
     ).join(n_shown, "issue_date", "left")
     top = scored.join(shown, keys)
     return top.unionByName(

@@ -3,7 +3,7 @@
 * `top_in_group` filters a `row_number`, which Spark prunes to k rows per group and map task
   before the shuffle, so a hot group costs k rows per task.
 * `rank_in_group` gives every row its position. A plain window would sort a hot group in one task;
-  here groups are cut into blocks of bounded size, blocks are counted, and only rows of a block are
+  here rows are dealt into ranges of the order, ranges are counted, and only rows of a range are
   sorted together.
 * `running_min` is the same idea for a minimum over all earlier rows of a group.
 """
@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 BLOCK = 1 << 20
 
 
@@ -27,45 +29,30 @@ def top_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k
 def rank_in_group(
     df: DataFrame,
     group: Sequence[str],
-    levels: Sequence[tuple[str, bool]],
+    order: Sequence[tuple[str, bool]],
     tie: str,
     out: str = "rank",
-    block: int = BLOCK,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Position (1..n) of every row in its group, ordered by `levels` and then by `tie`.
-
-    `levels` are (column, ascending) with few distinct values each, such as rounded scores; `tie` is
-    an integer column unique within the group. The cells (group, levels, tie div block) hold at most
-    `block` rows and keep the order, so position = rows in earlier cells + position in the cell.
-    Earlier cells are summed level by level on the counts, never on the rows."""
-    names = [c for c, _ in levels]
-    cell = "__cell"
-    keyed = df.withColumn(cell, F.floor(F.col(tie) / F.lit(block)))
-    counts = keyed.groupBy(*group, *names, cell).agg(F.count(F.lit(1)).alias("__n"))
-
-    offset = F.lit(0)
-    steps = [*levels, (cell, True)]
-    for i, (name, ascending) in enumerate(steps):
-        outer = [*group, *names[:i]]
-        level_keys = [*outer, name]
-        order = F.col(name).asc() if ascending else F.col(name).desc()
-        before = Window.partitionBy(*outer).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        per_level = (
-            counts.groupBy(*level_keys)
-            .agg(F.sum("__n").alias("__level_n"))
-            .withColumn(f"__before{i}", F.coalesce(F.sum("__level_n").over(before), F.lit(0)))
-            .drop("__level_n")
-        )
-        counts = counts.join(per_level, level_keys)
-        offset = offset + F.col(f"__before{i}")
-    offsets = counts.select(*group, *names, cell, offset.alias("__offset"))
+    """Position (1..n) of every row in its group, ordered by `order`, (column, ascending) pairs, and then by `tie`.
 
-    in_cell = Window.partitionBy(*group, *names, cell).orderBy(F.col(tie).asc())
-    return (
-        keyed.join(offsets, [*group, *names, cell])
-        .withColumn(out, (F.col("__offset") + F.row_number().over(in_cell)).cast("bigint"))
-        .drop("__offset", cell)
-    )
+    Rows are dealt into ranges of (group, order, tie) and stored, so a hot group is split by its own order. Position =
+    rows of the group in earlier ranges, from the small (range, group) counts, + position in the range. `parts` is the
+    number of ranges (default: the session's shuffle partitions)."""
+    rank_range, before, inside = "__range", "__before", "__inside"
+    keys = [F.col(c).asc() if up else F.col(c).desc() for c, up in [*order, (tie, True)]]
+    dealt = df.repartitionByRange(*([parts] if parts else []), *[F.col(g) for g in group], *keys)
+    rows = stored(dealt.withColumn(rank_range, F.spark_partition_id()), "ranges")
+    counts = rows.groupBy(*group, rank_range).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*group).orderBy(rank_range).rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"__group{i}" for i in range(len(group))]
+    offsets = counts.select(
+        *[F.col(g).alias(n) for g, n in zip(group, names, strict=True)], F.col(rank_range).alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before)
+    ).filter(F.col(before) > 0)
+    placed = rows.withColumn(inside, F.row_number().over(Window.partitionBy(*group, rank_range).orderBy(*keys)))
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)] + [F.col(rank_range) == F.col("__of")]
+    joined = placed.join(offsets, same, "left")
+    return joined.withColumn(out, (F.coalesce(F.col(before), F.lit(0)) + F.col(inside)).cast("bigint")).drop(*names, "__of", before, inside, rank_range)
 
 
 def running_min(

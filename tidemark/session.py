@@ -53,3 +53,11 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it back: later branches read only the columns they need, and
+    it outlives lost executors."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
