@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, language, mixing, near_duplicates, neighbours, packing, perplexity, sharding, url_rules
+from . import chat, embedding_dedup, language, mixing, near_duplicates, neighbours, packing, perplexity, sharding, url_rules
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,61 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.score_corpus(table(spark, sf_dir, "documents"))
 
 
+@_query(
+    "op4_quotation_threads",
+    r"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, conv_id, turn, role, text, string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM conversations
+),
+lines AS (
+  SELECT row, conv_id, turn, pos, line, length(regexp_replace(regexp_extract(line, '^([ \t]*>)+', 0), '[^>]', '', 'g')) AS level
+  FROM (SELECT row, conv_id, turn, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM rows WHERE contains(text, '>'))
+),
+own AS (
+  SELECT r.row, r.conv_id, r.turn, CASE WHEN NOT contains(coalesce(text, ''), '>') THEN coalesce(text, '')
+    ELSE coalesce((SELECT regexp_replace(string_agg(line, chr(10) ORDER BY pos), '^\s+|\s+$', '', 'g') FROM lines l WHERE l.row = r.row AND level = 0), '') END AS body
+  FROM rows r
+),
+runs AS (SELECT *, pos - row_number() OVER (PARTITION BY row, level ORDER BY pos) AS run FROM lines),
+passages AS (
+  SELECT row, conv_id, turn, level, run, string_agg(regexp_replace(line, '^([ \t]*>)+[ \t]?', ''), chr(10) ORDER BY pos) AS passage
+  FROM runs WHERE level > 0 GROUP BY row, conv_id, turn, level, run
+),
+units AS (
+  SELECT DISTINCT row, conv_id, turn, level, run, trim(regexp_replace(lower(u), '\s+', ' ', 'g')) AS unit
+  FROM (SELECT *, unnest(list_concat([passage], list_concat(regexp_split_to_array(passage, '\n\s*\n'), string_split(passage, chr(10))))) AS u FROM passages)
+),
+said AS (
+  SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(u), '\s+', ' ', 'g')) AS unit
+  FROM (SELECT conv_id, turn, unnest(list_concat([body], list_concat(regexp_split_to_array(body, '\n\s*\n'), string_split(body, chr(10))))) AS u
+    FROM own WHERE conv_id IN (SELECT conv_id FROM passages))
+),
+found AS (
+  SELECT q.row, q.level, q.run, length(q.unit) AS size, max(s.turn) AS original FROM units q JOIN said s ON s.conv_id = q.conv_id AND s.unit = q.unit AND s.turn < q.turn
+  WHERE q.unit <> '' GROUP BY q.row, q.level, q.run, q.unit
+),
+linked AS (
+  SELECT row, count(DISTINCT (level, run)) AS n_linked, first(original ORDER BY level, size DESC, original DESC) AS parent_turn FROM found GROUP BY row
+),
+counted AS (SELECT row, count(*) AS n_passages, max(level) AS max_level FROM passages GROUP BY row),
+replies AS (SELECT conv_id, turn, max(parent_turn) AS parent_turn FROM linked JOIN rows USING (row) GROUP BY conv_id, turn),
+up AS (
+  SELECT conv_id, turn, turn AS root_turn, 0 AS depth FROM (SELECT DISTINCT conv_id, turn FROM rows)
+  UNION ALL SELECT u.conv_id, u.turn, p.parent_turn, depth + 1 FROM up u JOIN replies p ON p.conv_id = u.conv_id AND p.turn = u.root_turn
+),
+top AS (SELECT conv_id, turn, arg_max(root_turn, depth) AS root_turn, max(depth) AS depth FROM up GROUP BY conv_id, turn)
+SELECT r.conv_id, r.turn, r.role, o.body, coalesce(n_passages, 0) AS n_passages, coalesce(n_linked, 0) AS n_linked, coalesce(max_level, 0) AS max_level,
+  parent_turn, t.root_turn, t.depth, row_number() OVER (PARTITION BY r.conv_id ORDER BY t.root_turn, t.depth, r.turn, r.row) AS position
+FROM rows r JOIN own o USING (row) LEFT JOIN counted c ON c.row = r.row LEFT JOIN linked k ON k.row = r.row
+LEFT JOIN top t ON t.conv_id IS NOT DISTINCT FROM r.conv_id AND t.turn IS NOT DISTINCT FROM r.turn
+""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "turn", "role", "body", "n_passages", "n_linked", "max_level", "parent_turn", "root_turn", "depth", "position"
+    )
+
+
 @_query(
     "op5_embedding_dedup",
     """

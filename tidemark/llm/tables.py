@@ -1,18 +1,12 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Tables of a scale-factor folder, and intermediate tables in the folder that all executors share."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import work_path
+from ..session import stored
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: several branches use it, and it outlives lost executors."""
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
