@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import stored
 from .words import _LOWER, row_slices, text_buffers
 
 ORDER = 3
@@ -151,6 +152,7 @@ def train(labelled: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTE
     `max_contexts` contexts a language, never rows."""
     rows = labelled.select(F.col("text"), F.col("lang").cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     grams = rows.mapInArrow(_count_grams(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = stored(grams, "grams")
     best = grams.groupBy("lang", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"))
     languages = sorted(r["lang"] for r in best.select("lang").distinct().collect())
     counts = {}

@@ -4,9 +4,10 @@ A document is the set of its distinct five-word shingles. Equal sets are folded
 of `CHUNKS * CHUNK` MinHash values of 16 bits. Two signatures that differ in fewer than 2 * CHUNKS places have a chunk
 with at most one difference (pigeonhole), so each signature is filed under every chunk with each one of its values left
 out; a pair within that distance shares a key for certain. A pair is looked at only under the first key it shares, and a
-key of many documents is cut into blocks that are compared pairwise. Pairs within the distance are never put out: the
-documents concerned fetch their texts, and the full sets are compared under the same key until they are known to be
-connected. What leaves a key is a forest of exact links, 100 * intersection >= 75 * union.
+key of many documents is cut into blocks that are compared pairwise. Links are exact: 100 * intersection >= 75 * union on
+full sets. Each member of a key is first compared with the key's smallest document. After that only pairs of documents in
+different components matter; they are never put out: the documents concerned fetch their texts, and their full sets are
+compared under the same key until they are known to be connected. What leaves a key is a forest of links.
 
 For sets of similarity 0.75 the distance is 12 of 48 on average with a deviation of 3, and 23 are allowed.
 
@@ -33,6 +34,7 @@ PLACES = CHUNKS * CHUNK
 MAX_DISTANCE = 2 * CHUNKS - 1
 THRESHOLD = 75
 BLOCK = 1024
+BROADCAST_IDS = 1_000_000
 
 _SEEDS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mix(_SEEDS) | np.uint64(1)
@@ -93,19 +95,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, _PRINT)
 
 
-def close_pairs(group: np.ndarray, key: np.ndarray, side: np.ndarray, cross: np.ndarray, signature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows of one group (rows of a group are consecutive) within MAX_DISTANCE whose first shared key is this one:
-    (row, row, distance). Of a group of two blocks only pairs between the blocks count."""
+def close_pairs(
+    group: np.ndarray, key: np.ndarray, side: np.ndarray, cross: np.ndarray, component: np.ndarray, signature: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one group (rows of a group are consecutive) of different components, within MAX_DISTANCE, whose
+    first shared key is this one: (row, row, distance). Of a group of two blocks only pairs between the blocks count."""
     left, right, far = [], [], []
     place = (key >> 48).astype(np.int64)
     values = signature.reshape(-1, CHUNKS, CHUNK)
     step = 1
     at = np.flatnonzero(group[1:] == group[:-1])
     while len(at):
-        for lo in range(0, len(at), 1 << 15):
-            a = at[lo : lo + (1 << 15)]
+        for lo in range(0, len(at), 1 << 14):
+            a = at[lo : lo + (1 << 14)]
             b = a + step
-            use = ~cross[a] | (side[a] != side[b])
+            use = (~cross[a] | (side[a] != side[b])) & (component[a] != component[b])
             a, b = a[use], b[use]
             same = (values[a] == values[b]).sum(axis=2)
             distance = PLACES - same.sum(axis=1)
@@ -125,7 +129,15 @@ def close_pairs(group: np.ndarray, key: np.ndarray, side: np.ndarray, cross: np.
     return np.concatenate(left), np.concatenate(right), np.concatenate(far)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 1 << 15) -> Iterator[pa.Table]:
+def _group(table: pa.Table) -> np.ndarray:
+    columns = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+    new = np.zeros(len(table), dtype=bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.cumsum(new)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
     """Tables in which no group (key, i, j) of sorted input is cut, of about `rows` rows or one group."""
     rest: list[pa.RecordBatch] = []
     held = 0
@@ -141,31 +153,25 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 1 << 15) -> Ite
             cut = int(np.searchsorted(group, group[-1]))
             if cut:
                 yield table.slice(0, cut)
-                rest = pa.Table.from_batches(rest).slice(cut).to_batches()
+                rest = table.slice(cut).to_batches()
                 held = len(table) - cut
     if held:
         yield pa.Table.from_batches(rest)
 
 
-def _group(table: pa.Table) -> np.ndarray:
-    columns = [table.column(c).to_numpy() for c in ("key", "i", "j")]
-    new = np.zeros(len(table), dtype=bool)
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.cumsum(new)
+def _values(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), PLACES)
 
 
-def _pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    group = _group(table)
-    i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(len(table), PLACES)
-    return group, *close_pairs(group, table.column("key").to_numpy(), table.column("side").to_numpy(), i != j, signature)
+def _pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    key, i, j, side, component = (table.column(c).to_numpy() for c in ("key", "i", "j", "side", "component"))
+    return close_pairs(_group(table), key, side, i != j, component, _values(table.column("signature")))
 
 
 def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows that have a close pair under their key."""
-    for table in _whole_groups(batches):
-        _, a, b, _ = _pairs_of(table)
+    for table in _whole_groups(batches, 1 << 14):
+        a, b, _ = _pairs_of(table)
         if len(a):
             yield from table.take(pa.array(np.unique(np.concatenate([a, b])))).combine_chunks().to_batches()
 
@@ -180,16 +186,47 @@ def _similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return 100 * shared >= threshold * (small + large - shared)
 
 
+def _within_distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v) whose signatures are close."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if len(table):
+            close = (_values(table.column("signature")) != _values(table.column("other"))).sum(axis=1) <= MAX_DISTANCE
+            yield from table.select(["u", "v"]).filter(pa.array(close)).to_batches()
+
+
+def _confirmed(threshold: int):
+    """Pairs (u, v) whose full sets are similar; neighbouring rows share v."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, of_last = None, np.zeros(0, dtype=np.uint64)
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                u, v = part.column("u").to_numpy(), part.column("v").to_numpy()
+                keep = np.zeros(len(part), dtype=bool)
+                for lo, sets in _sets(part.column("text_u")):
+                    for k, own in enumerate(sets, lo):
+                        if v[k] != last:
+                            ((_, (of_last,)),) = _sets(part.column("text_v").slice(k, 1))
+                            last = v[k]
+                        keep[k] = _similar(own, of_last, threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], names=["u", "v"])
+
+    return run
+
+
 def _forest(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, 1 << 12):
             table = table.combine_chunks()
-            _, a, b, far = _pairs_of(table)
+            a, b, far = _pairs_of(table)
             sets: list[np.ndarray] = []
             for _, part in _sets(table.column("text")):
                 sets.extend(part)
-            ids = table.column("id").to_numpy()
-            root = list(range(len(table)))
+            ids, group, component = table.column("id").to_numpy(), _group(table), table.column("component").to_numpy()
+            firsts: dict[tuple[int, int], int] = {}
+            root = [firsts.setdefault(k, i) for i, k in enumerate(zip(group.tolist(), component.tolist(), strict=True))]
 
             def find(x: int, root: list[int] = root) -> int:
                 while root[x] != x:
@@ -211,23 +248,44 @@ def _forest(threshold: int):
     return run
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents named; a list of ids known to be short is broadcast, so that no other text moves."""
+    ids = stored(ids.distinct(), "wanted")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id", "left_semi")
+
+
 def links(docs: DataFrame, prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(u, v): exact links that connect what is connected among different sets. `prints` has one row per set."""
+    """(u, v): exact links that connect what is connected among different sets. `prints` has one row per set.
+
+    First every member of a key is compared with the key's smallest document, which settles most groups of copies. Then
+    all pairs of a key whose documents are still in different components are compared."""
     filed = prints.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    shared = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("n > 1")
+    met = stored(filed.join(shared, "key"), "met")
+    signed = prints.select(F.col("doc_id").alias("id"), "signature")
+    star = met.filter("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v")).distinct()
+    star = star.join(signed.select(F.col("id").alias("u"), "signature"), "u").join(signed.select(F.col("id").alias("v"), F.col("signature").alias("other")), "v")
+    star = stored(star.select("u", "v", "signature", "other").mapInArrow(_within_distance, "u long, v long"), "star")
+    texts = _texts_of(docs, star.select(F.explode(F.array("u", "v")).alias("id")))
+    both = star.join(texts.select(F.col("id").alias("u"), F.col("text").alias("text_u")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("text_v")), "v")
+    direct = stored(both.select("u", "v", "text_u", "text_v").mapInArrow(_confirmed(threshold), "u long, v long"), "direct")
+
+    found = connected_components(direct, "u", "v").select(F.col("node").alias("id"), "component")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    met = filed.join(shared, "key").withColumn("blocks", blocks).withColumn("side", own)
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id")
-    met = met.join(prints.select(F.col("doc_id").alias("id"), "signature"), "id")
-    schema = "key long, i int, j int, side int, id long, signature binary"
-    met = met.select("key", "i", "j", "side", "id", "signature").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    close = stored(met.mapInArrow(_with_partners, schema), "close")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    ready = close.join(texts, "id").select("key", "i", "j", "side", "id", "signature", "text")
+    rest = met.select("key", "id", blocks.alias("blocks")).join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = stored(rest, "rest")
+    open_keys = rest.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("key")
+    rest = rest.join(open_keys, "key", "left_semi").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "component").join(signed, "id")
+    columns = ["key", "i", "j", "side", "id", "component", "signature"]
+    rest = rest.select(columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    close = stored(rest.mapInArrow(_with_partners, "key long, i int, j int, side int, id long, component long, signature binary"), "close")
+    ready = close.join(_texts_of(docs, close.select("id")), "id").select(*columns, "text")
     ready = ready.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    return ready.mapInArrow(_forest(threshold), "u long, v long")
+    return ready.mapInArrow(_forest(threshold), "u long, v long").unionByName(direct)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:

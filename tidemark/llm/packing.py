@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,9 @@ _PARTS = re.compile(r"\s?\S+|\s+(?=\s\S)|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
-_TAIL = frozenset(".,;:!?")
+#: Fixed values of the vocabulary: its pre-token pattern and its one special token.
+_PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+SPECIAL = "<|endoftext|>"
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -54,8 +57,7 @@ def _byte_alphabet() -> dict[int, str]:
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    A part that is one pre-token (letters, with or without a space before) goes straight to the tokenizer's model; a word
-    with one closing mark is its stem and the mark; everything else goes through the whole tokenizer.
+    Pre-tokens of a new part go straight to the tokenizer's model; a part with the special token goes through all of it.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -70,8 +72,8 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, part: str) -> bytes:
-        if part.isascii():
-            shown = self.alphabet[0x20] + part[1:] if part[0] == " " else part
+        if part.isascii() and part[-1] > " ":  # then only the first character can be white space
+            shown = part if part[0] > " " else self.alphabet[ord(part[0])] + part[1:]
         else:
             shown = part.encode().decode("latin-1").translate(self.alphabet)
         ids = array("I", [t.id for t in self.model.tokenize(shown)])
@@ -80,29 +82,28 @@ class Encoder:
         return ids.tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        cache, rest, tailed = self.cache, [], []
+        cache, word = self.cache, self._word
         for part in new:
             if (part[1:] if part[0] == " " else part).isalpha():
-                cache[part] = self._word(part)
-            elif part[-1] in _TAIL and len(part) > 1 and part[-2].isalpha() and (part[1:-1] if part[0] == " " else part[:-1]).isalpha():
-                tailed.append(part)
+                cache[part] = word(part)
+            elif SPECIAL in part:
+                cache[part] = self._whole([part])[0]
             else:
-                rest.append(part)
-        rest.extend(c for c in _TAIL if c not in cache)
-        for lo in range(0, len(rest), 20_000):
-            cache.update(zip(rest[lo : lo + 20_000], self._whole(rest[lo : lo + 20_000]), strict=True))
-        for part in tailed:
-            stem = cache.get(part[:-1])
-            if stem is None:
-                stem = cache[part[:-1]] = self._word(part[:-1])
-            cache[part] = stem + cache[part[-1]]
+                pieces = _PRETOKENS.findall(part)
+                for piece in pieces:
+                    if piece not in cache:
+                        cache[piece] = word(piece)
+                cache[part] = b"".join([cache[piece] for piece in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         if len(cache) > CACHE_PARTS:
             cache.clear()
         split = [None if _ODD.search(t) else _PARTS.findall(t) for t in texts]
-        new = {p for parts in split if parts for p in parts if p not in cache}
+        new: set[str] = set()
+        for parts in split:
+            new.update(parts or ())
+        new.difference_update(cache.keys())
         self._learn(new)
         out = [self._whole([t])[0] if parts is None else b"".join(map(cache.__getitem__, parts)) for t, parts in zip(texts, split, strict=True)]
         for p in new:
