@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import stored
+from .tables import bounded_batches, stored
 from .words import _LOWER, row_slices, text_buffers
 
 ORDER = 3
@@ -150,6 +150,7 @@ def _ppm_bits(grams: np.ndarray, n: np.ndarray, order: int, symbols: np.ndarray,
 def train(labelled: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> Model:
     """Learn from the columns text and lang of all rows given. What reaches the driver is the counts of at most
     `max_contexts` contexts a language, never rows."""
+    bounded_batches(labelled)
     rows = labelled.select(F.col("text"), F.col("lang").cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     grams = rows.mapInArrow(_count_grams(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = stored(grams, "grams")
@@ -210,6 +211,7 @@ def _suffix_bits(counts: tuple[np.ndarray, np.ndarray], order: int, depth: int,
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score; existing columns of these names are replaced. Only the text is looked at."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     base = docs.drop("lang_pred", "score")
     clean = base.withColumn("_letters", F.coalesce(F.regexp_like(F.col(text), F.lit(r"\p{L}")), F.lit(False)))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .tables import stored
+from .tables import bounded_batches, stored
 from .words import mix, row_slices, shingles, text_buffers, word_hashes
 
 CHUNKS, CHUNK = 12, 4
@@ -290,6 +290,7 @@ def links(docs: DataFrame, prints: DataFrame, threshold: int = THRESHOLD, block:
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs`."""
+    bounded_batches(docs)
     prints = stored(fingerprints(docs), "prints")
     known = prints.filter("doc_id IS NOT NULL")
     sets = known.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("first"))

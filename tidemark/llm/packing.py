@@ -21,6 +21,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import bounded_batches, stored
 
 WINDOW = 1024
 END_ID = 0
 GROUP_PIECES = 65_536
-CACHE_PARTS = 300_000
+#: Entries of the younger half of the cache; the older half is what was young before.
+CACHE_PARTS = 120_000
 LONGEST_CACHED = 40
 #: Optional white-space character and the run after it; what is left of a run of white space stands alone.
 _PARTS = re.compile(r"\s?\S+|\s+(?=\s\S)|\s+")
@@ -67,6 +69,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,14 +99,17 @@ class Encoder:
                 cache[part] = b"".join([cache[piece] for piece in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_PARTS:
-            cache.clear()
+        if len(self.cache) > CACHE_PARTS:
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
         split = [None if _ODD.search(t) else _PARTS.findall(t) for t in texts]
         new: set[str] = set()
         for parts in split:
             new.update(parts or ())
         new.difference_update(cache.keys())
+        known = new & older.keys()
+        cache.update(zip(known, map(older.__getitem__, known), strict=True))
+        new -= known
         self._learn(new)
         out = [self._whole([t])[0] if parts is None else b"".join(map(cache.__getitem__, parts)) for t, parts in zip(texts, split, strict=True)]
         for p in new:
@@ -112,6 +118,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(tokenizer_file: str) -> Encoder:
+    """One for each Python worker: its cache serves the tasks that follow."""
+    return Encoder(tokenizer_file)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -123,13 +135,13 @@ def _cut(window: int, end_id: int, tokenizer_file: str | None, step: int = 256,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer_file or tokenizer_path())
+        encode = encoder(tokenizer_file or tokenizer_path()).encode
         for batch in batches:
             for at in range(0, len(batch), step):
                 part = batch.slice(at, step)
                 doc, start, length, crc, total, ids = [], [], [], [], [], []
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                for d, b in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+                for d, b in zip(part.column("doc_id").to_pylist(), encode(texts), strict=True):
                     b += end
                     n = len(b) // 4
                     for lo in range(0, n, window):
@@ -223,6 +235,7 @@ def pack(
     `tokenizer_file` None: the public byte-level vocabulary that every executor has. `sequence_id` is unique, not gapless.
     """
     columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    bounded_batches(docs)
     pieces = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(window, end_id, tokenizer_file, with_ids=with_ids), columns), "pieces")
     groups = pieces.count() // group_pieces + 1
     dealt = pieces.repartition(groups, F.xxhash64("doc_id", "start", "ids_crc32", F.lit(7)))

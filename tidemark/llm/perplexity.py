@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import bounded_batches, stored
 from .words import row_slices, text_buffers, word_hashes
 
 VOCABULARY = 65_000
@@ -62,6 +62,20 @@ def _tokens(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, np.nd
         yield lo, hi, out, np.concatenate([[0], ends + 1])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined to about `limit` bytes of text, so that a chunk repeats much of what it asks."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if sum(map(len, held)):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -75,9 +89,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, tokens, _ in _tokens(batch, CHUNK_BYTES // 4):
             parts.append(np.unique(tokens, return_counts=True))
-            if sum(len(w) for w, _ in parts) > 1 << 22:
+            if sum(len(w) for w, _ in parts) > 1 << 21:
                 parts[:] = [merged()]
-                if len(parts[0][0]) > 1 << 21:
+                if len(parts[0][0]) > 1 << 20:
                     yield batch_of(*parts.pop())
     if parts:
         yield batch_of(*merged())
@@ -115,8 +129,8 @@ def _count_pairs(shared, buckets: int):
     """Distinct pairs of each slice of texts with their counts, one row for each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, tokens, bounds in _tokens(batch, CHUNK_BYTES):
+        for batch in _gathered(batches, CHUNK_BYTES):
+            for _, _, tokens, bounds in _tokens(batch, 2 * CHUNK_BYTES):
                 pairs, n = np.unique(_pairs(_ids(tokens, shared.value), bounds), return_counts=True)
                 where = _bucket(pairs, buckets)
                 order = np.argsort(where, kind="stable")
@@ -298,9 +312,9 @@ def _questions(shared, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, counts, base = shared.value
-        for batch in batches:
+        for batch in _gathered(batches, CHUNK_BYTES):
             numbers = batch.column("row").to_numpy()
-            for lo, hi, tokens, bounds in _tokens(batch, CHUNK_BYTES):
+            for lo, hi, tokens, bounds in _tokens(batch, 2 * CHUNK_BYTES):
                 rows, n = hi - lo, np.diff(bounds)
                 ids = _ids(tokens, vocabulary)
                 text = np.repeat(np.arange(rows), n)
@@ -437,6 +451,7 @@ def fold(doc_id: str) -> Column:
 
 def score_corpus(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -> DataFrame:
     """Train on the nine folds of ten that are not held out and score every row; held_out null without a doc_id."""
+    bounded_batches(docs)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     model = train(texts.filter(fold("doc_id") != 0), sweeps, vocabulary)
     scored = score(texts, model)

@@ -6,7 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import stored
 
-__all__ = ["stored", "table"]
+__all__ = ["bounded_batches", "stored", "table"]
+
+#: Rows of one Arrow batch of whole texts.
+BATCH_ROWS = 1000
+_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Make Arrow batches of this session small enough for long texts, unless the session's user has chosen a size.
+
+    Spark's default is 10,000 rows, which of long documents is gigabytes in one batch."""
+    conf = df.sparkSession.conf
+    if int(conf.get(_SETTING)) == 10_000:
+        conf.set(_SETTING, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SHINGLE = 5
 
 _U = np.uint64
@@ -64,8 +64,8 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     n = len(raw)
     if n == 0:
         return np.zeros(0, dtype=_U), np.zeros(len(bounds), dtype=np.int64)
-    if n > SLICE_BYTES and len(bounds) > 2:
-        parts = [word_hashes(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]) for lo, hi in row_slices(bounds, SLICE_BYTES // 2)]
+    if n > 2 * SLICE_BYTES and len(bounds) > 2:
+        parts = [word_hashes(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]) for lo, hi in row_slices(bounds, SLICE_BYTES)]
         starts = np.cumsum([0, *(len(h) for h, _ in parts)])
         return np.concatenate([h for h, _ in parts]), np.concatenate([*(b[:-1] + at for (_, b), at in zip(parts, starts, strict=False)), starts[-1:]])
     inside = ~_SPACE[raw]
