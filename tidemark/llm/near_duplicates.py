@@ -248,11 +248,14 @@ def _forest(threshold: int):
     return run
 
 
+def _listed(ids: DataFrame) -> DataFrame:
+    """A stored list of ids, broadcast if it is known to be short, so that texts need not move to meet it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the documents named; a list of ids known to be short is broadcast, so that no other text moves."""
-    ids = stored(ids.distinct(), "wanted")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """(id, text) of the documents named."""
+    ids = _listed(stored(ids.distinct(), "wanted"))
     return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id", "left_semi")
 
 
@@ -306,8 +309,11 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BL
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group, columns as they are. Of rows that repeat a kept doc_id and text, one stays."""
-    judged = stored(near_duplicates(docs, threshold), "judged")
-    gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    repeated = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id")
-    stay = docs.join(gone, "doc_id", "left_anti")
+    judged = near_duplicates(docs, threshold).filter("doc_id IS NOT NULL").groupBy("doc_id")
+    found = stored(judged.agg(F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")).filter("NOT _kept OR _rows > 1"), "judged")
+    gone, repeated = found.filter("NOT _kept").select("doc_id"), found.filter("_kept").select("doc_id")
+    stay = docs.join(_listed(gone), "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return stay.select(docs.columns)
+    repeated = _listed(repeated)
     return stay.join(repeated, "doc_id", "left_anti").unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(docs.columns)

@@ -6,8 +6,8 @@ group being a bounded number of pieces, and each group is packed on its own: pie
 tightest open window that still takes it, found in a segment tree over the remaining capacities. The waste of grouping is
 at most a few windows a group of up to `GROUP_PIECES` pieces.
 
-Tokenising is exact but fast: a text is split where the tokenizer's pre-tokens always end (before the last white-space
-character of a run that precedes a word), the parts repeat, and ids of short parts are kept in a bounded cache.
+Tokenising gives the tokenizer's own ids, with less work: texts are split where its pre-tokens always end (at a single space
+or line feed between words), equal parts are encoded once, and ids of short parts are kept in a bounded cache.
 
 Defined cases: a null or empty text is one piece of the end id alone. A null doc_id is packed like any other. Repeated
 rows are packed once each. An empty table gives no pieces.
@@ -31,19 +31,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import bounded_batches, stored
+from .words import row_slices, span_hashes, text_buffers
 
 WINDOW = 1024
 END_ID = 0
 GROUP_PIECES = 65_536
 #: Entries of the younger half of the cache; the older half is what was young before.
-CACHE_PARTS = 120_000
+CACHE_PARTS = 200_000
 LONGEST_CACHED = 40
-#: Optional white-space character and the run after it; what is left of a run of white space stands alone.
-_PARTS = re.compile(r"\s?\S+|\s+(?=\s\S)|\s+")
-#: Characters that Python counts as white space and the tokenizer doesn't: such a text is encoded whole.
+SLICE = 4 << 20
+#: ASCII but white space.
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[:0x80] = True
+_PLAIN[[0x20, *range(0x09, 0x0E)]] = False
+#: Characters that the pattern's library counts as white space and the tokenizer doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
-
-
 #: Fixed values of the vocabulary: its pre-token pattern and its one special token.
 _PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SPECIAL = "<|endoftext|>"
@@ -89,7 +91,7 @@ class Encoder:
         for part in new:
             if (part[1:] if part[0] == " " else part).isalpha():
                 cache[part] = word(part)
-            elif SPECIAL in part:
+            elif SPECIAL in part or _ODD.search(part):
                 cache[part] = self._whole([part])[0]
             else:
                 pieces = _PRETOKENS.findall(part)
@@ -98,25 +100,53 @@ class Encoder:
                         cache[piece] = word(piece)
                 cache[part] = b"".join([cache[piece] for piece in pieces])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def part_ids(self, parts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_PARTS:
             self.older, self.cache = self.cache, {}
         cache, older = self.cache, self.older
-        split = [None if _ODD.search(t) else _PARTS.findall(t) for t in texts]
-        new: set[str] = set()
-        for parts in split:
-            new.update(parts or ())
+        new = set(parts)
         new.difference_update(cache.keys())
         known = new & older.keys()
         cache.update(zip(known, map(older.__getitem__, known), strict=True))
         new -= known
         self._learn(new)
-        out = [self._whole([t])[0] if parts is None else b"".join(map(cache.__getitem__, parts)) for t, parts in zip(texts, split, strict=True)]
+        out = list(map(cache.__getitem__, parts))
         for p in new:
             if len(p) > LONGEST_CACHED:
                 cache.pop(p, None)
         return out
 
+    def encode(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, bounds of each text's ids). Equal parts are told by a 64-bit hash and encoded once."""
+        starts = part_starts(raw, bounds)
+        ends = np.append(starts[1:], len(raw))
+        _, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+        found = self.part_ids([data[lo:hi].decode() for lo, hi in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        at = np.cumsum(size) - size
+        sizes = size[which]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat(at[which] - total[:-1], sizes) + np.arange(total[-1])]
+        return ids, total[np.searchsorted(starts, bounds)]
+
+
+def part_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where texts are split: at a space or line feed between two characters that are surely no white space. There the
+    pre-token before has ended, and the one that follows starts with the space, or the line feed stands alone."""
+    n = len(raw)
+    start = np.zeros(n, dtype=bool)
+    if n > 2:
+        two_bytes = (raw[:-1] >= 0xC3) & (raw[:-1] <= 0xDF)  # first byte of a character of two, none of them white space
+        before = np.zeros(n, dtype=bool)
+        before[:-1] = _PLAIN[raw[:-1]]
+        before[1:] |= two_bytes
+        after = _PLAIN[raw] | ((raw >= 0xC3) & (raw <= 0xDF))
+        start[1:-1] = ((raw[1:-1] == 0x20) | (raw[1:-1] == 0x0A)) & before[:-2] & after[2:]
+    start[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(start)
+
 
 @lru_cache(maxsize=1)
 def encoder(tokenizer_file: str) -> Encoder:
@@ -130,18 +160,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _cut(window: int, end_id: int, tokenizer_file: str | None, step: int = 256, with_ids: bool = False):
+def _cut(window: int, end_id: int, tokenizer_file: str | None, with_ids: bool = False):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = encoder(tokenizer_file or tokenizer_path()).encode
         for batch in batches:
-            for at in range(0, len(batch), step):
-                part = batch.slice(at, step)
+            raw_all, bounds_all = text_buffers(batch.column("text"))
+            names_all = batch.column("doc_id").to_pylist()
+            for first, last in row_slices(bounds_all, SLICE):
                 doc, start, length, crc, total, ids = [], [], [], [], [], []
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for d, b in zip(part.column("doc_id").to_pylist(), encode(texts), strict=True):
+                tokens, at = encode(raw_all[bounds_all[first] : bounds_all[last]], bounds_all[first : last + 1] - bounds_all[first])
+                data, at = tokens.tobytes(), (4 * at).tolist()
+                for d, p, q in zip(names_all[first:last], at[:-1], at[1:], strict=True):
+                    b = data[p:q]
                     b += end
                     n = len(b) // 4
                     for lo in range(0, n, window):

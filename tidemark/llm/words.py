@@ -59,6 +59,15 @@ def row_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[i
         lo = min(hi, n)
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes and the length of every span."""
+    n = len(raw)
+    up, down = _powers(1 << max(16, int(n).bit_length()))
+    total = np.zeros(n + 1, dtype=_U)
+    np.cumsum((raw.astype(_U) + _U(1)) * up[:n], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
 def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, bounds of each row's words)."""
     n = len(raw)
@@ -77,12 +86,7 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     starts[first] = inside[first]
     ends[last] = inside[last]
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    size = 1 << max(16, int(n - 1).bit_length())
-    up, down = _powers(size)
-    total = np.zeros(n + 1, dtype=_U)
-    np.cumsum((_LOWER[raw].astype(_U) + _U(1)) * up[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
-    return hashes, np.searchsorted(starts, bounds)
+    return span_hashes(_LOWER[raw], starts, ends), np.searchsorted(starts, bounds)
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray, width: int = SHINGLE) -> list[np.ndarray]:
