@@ -37,9 +37,9 @@ WINDOW = 1024
 END_ID = 0
 GROUP_PIECES = 65_536
 #: Entries of the younger half of the cache; the older half is what was young before.
-CACHE_PARTS = 120_000
+CACHE_PARTS = 200_000
 LONGEST_CACHED = 40
-SLICE = 2 << 20
+SLICE = 4 << 20
 #: ASCII but white space.
 _PLAIN = np.zeros(256, dtype=bool)
 _PLAIN[:0x80] = True

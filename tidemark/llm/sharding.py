@@ -97,7 +97,7 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
         node = node.withColumn("draws", F.aggregate("left", F.lit(0).cast("long"), lambda a, b: a + b["n"]))
         start = F.struct(F.col("total").alias("population"), F.col("draws").alias("draws"), F.array().cast("array<bigint>").alias("out"))
 
-        def draw(s: Column, good: Column, level: int = level) -> Column:
+        def draw(s: Column, good: Column) -> Column:
             first = F.element_at("blocks", 1)["block"]
             x = hypergeometric(s["population"], good, s["draws"], _uniform(F.lit(seed), F.lit(level), first, F.size(s["out"])))
             return F.struct((s["population"] - good).alias("population"), (s["draws"] - x).alias("draws"), F.concat(s["out"], F.array(x)).alias("out"))

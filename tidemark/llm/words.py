@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n + 1, _BASE, dtype=_U), np.full(n + 1, _BASE_INVERSE, dtype=_U)
     up[0] = down[0] = 1
@@ -62,7 +62,7 @@ def row_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[i
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the bytes and the length of every span."""
     n = len(raw)
-    up, down = _powers(1 << max(16, int(n).bit_length()))
+    up, down = _powers(1 << max(20, int(n - 1).bit_length()))
     total = np.zeros(n + 1, dtype=_U)
     np.cumsum((raw.astype(_U) + _U(1)) * up[:n], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
