@@ -30,6 +30,8 @@ SHARDS = 8
 SEED = 77
 PART_ROWS = 8192
 BROADCAST_ROWS = 100_000
+#: Level of the halving from which its nodes are dealt over several tasks.
+SPREAD_LEVEL = 6
 _ADDED = ("law", "shard", "slot", "grown_shard")
 _LOCAL = (1 << 33) - 1
 
@@ -38,49 +40,64 @@ def _uniform(*parts: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") + 0.5) / float(1 << 53)
 
 
+def _let(value: Column, use) -> Column:
+    """`use(value)` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hypergeometric(population: Column, good: Column, draws: Column, u: Column) -> Column:
     """Number of good ones among `draws` from `population`, by inversion at `u` in (0, 1)."""
-    N, K, n = (x.cast("double") for x in (population, good, draws))
-    low, high = F.greatest(F.lit(0.0), n + K - N), F.least(n, K)
-    mode = F.least(F.greatest(F.floor((n + 1) * (K + 1) / (N + 2)).cast("double"), low), high)
-    spread = F.sqrt(F.greatest(n * (K / F.greatest(N, F.lit(1.0))) * (1 - K / F.greatest(N, F.lit(1.0))), F.lit(0.0)))
-    reach = F.ceil(10 * spread + 30).cast("double")
-    ups = F.least(high - mode, reach).cast("int")
-    downs = F.least(mode - low, reach).cast("int")
-
-    def up(w: Column, j: Column) -> Column:  # weight of mode + j from that of mode + j - 1
-        k = mode + j - 1
-        return w * (K - k) * (n - k) / ((k + 1) * (N - K - n + k + 1))
-
-    def down(w: Column, j: Column) -> Column:
-        k = mode - j + 1
-        return w * k * (N - K - n + k) / ((K - k + 1) * (n - k + 1))
+    given = F.struct(*[x.cast("double").alias(k) for k, x in (("N", population), ("K", good), ("n", draws), ("u", u))])
+
+    def bounds(g: Column) -> Column:
+        low, high = F.greatest(F.lit(0.0), g["n"] + g["K"] - g["N"]), F.least(g["n"], g["K"])
+        share = g["K"] / F.greatest(g["N"], F.lit(1.0))
+        mode = F.least(F.greatest(F.floor((g["n"] + 1) * (g["K"] + 1) / (g["N"] + 2)).cast("double"), low), high)
+        reach = F.ceil(10 * F.sqrt(F.greatest(g["n"] * share * (1 - share), F.lit(0.0))) + 30).cast("double")
+        return F.struct(
+            g["N"].alias("N"), g["K"].alias("K"), g["n"].alias("n"), g["u"].alias("u"), mode.alias("mode"),
+            F.least(high - mode, reach).cast("int").alias("ups"), F.least(mode - low, reach).cast("int").alias("downs"),
+        )
 
     def steps(count: Column) -> Column:
         return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
 
-    def mass(count: Column, ratio) -> Column:
-        start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"))
+    def inverse(b: Column) -> Column:
+        N, K, n, mode = b["N"], b["K"], b["n"], b["mode"]
+
+        def up(w: Column, j: Column) -> Column:  # weight of mode + j from that of mode + j - 1
+            k = mode + j - 1
+            return w * (K - k) * (n - k) / ((k + 1) * (N - K - n + k + 1))
+
+        def down(w: Column, j: Column) -> Column:
+            k = mode - j + 1
+            return w * k * (N - K - n + k) / ((K - k + 1) * (n - k + 1))
+
+        def mass(count: Column, ratio) -> Column:
+            def add(s: Column, j: Column) -> Column:
+                return _let(ratio(s["w"], j), lambda w: F.struct(w.alias("w"), (s["sum"] + w).alias("sum")))
+
+            return F.aggregate(steps(count), F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")), add, lambda s: s["sum"])
 
-        def add(s: Column, j: Column) -> Column:
-            w = ratio(s["w"], j)
-            return F.struct(w.alias("w"), (s["sum"] + w).alias("sum"))
+        def walk(count: Column, ratio, left: Column) -> Column:
+            """Steps to where the mass `left` is used up."""
+            start = F.struct(F.lit(1.0).alias("w"), left.alias("left"), F.lit(0).alias("at"))
 
-        return F.aggregate(steps(count), start, add, lambda s: s["sum"])
+            def go(s: Column, j: Column) -> Column:
+                further = _let(ratio(s["w"], j), lambda w: F.struct(w.alias("w"), (s["left"] - w).alias("left"), j.alias("at")))
+                return F.when(s["left"] <= 0, s).otherwise(further)
 
-    def walk(count: Column, ratio, left: Column) -> Column:
-        """Steps to where the mass `left` is used up."""
-        start = F.struct(F.lit(1.0).alias("w"), left.alias("left"), F.lit(0).alias("at"))
+            return F.aggregate(steps(count), start, go, lambda s: s["at"])
 
-        def go(s: Column, j: Column) -> Column:
-            w = ratio(s["w"], j)
-            return F.when(s["left"] <= 0, s).otherwise(F.struct(w.alias("w"), (s["left"] - w).alias("left"), j.alias("at")))
+        def choose(m: Column) -> Column:
+            target = b["u"] * (1 + m["above"] + m["below"])
+            upward = mode + walk(b["ups"], up, target - 1)
+            downward = mode - walk(b["downs"], down, target - 1 - m["above"])
+            return F.when(target <= 1, mode).when(target <= 1 + m["above"], upward).otherwise(downward)
 
-        return F.aggregate(steps(count), start, go, lambda s: s["at"])
+        return _let(F.struct(mass(b["ups"], up).alias("above"), mass(b["downs"], down).alias("below")), choose)
 
-    above, below = mass(ups, up), mass(downs, down)
-    target = u * (1 + above + below)
-    return F.when(target <= 1, mode).when(target <= 1 + above, mode + walk(ups, up, target - 1)).otherwise(mode - walk(downs, down, target - 1 - above)).cast("long")
+    return _let(given, lambda g: _let(bounds(g), inverse)).cast("long")
 
 
 def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -99,8 +116,8 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
 
         def draw(s: Column, good: Column) -> Column:
             first = F.element_at("blocks", 1)["block"]
-            x = hypergeometric(s["population"], good, s["draws"], _uniform(F.lit(seed), F.lit(level), first, F.size(s["out"])))
-            return F.struct((s["population"] - good).alias("population"), (s["draws"] - x).alias("draws"), F.concat(s["out"], F.array(x)).alias("out"))
+            taken = hypergeometric(s["population"], good, s["draws"], _uniform(F.lit(seed), F.lit(level), first, F.size(s["out"])))
+            return _let(taken, lambda x: F.struct((s["population"] - good).alias("population"), (s["draws"] - x).alias("draws"), F.concat(s["out"], F.array(x)).alias("out")))
 
         node = node.withColumn("taken", F.aggregate("rows", start, draw, lambda s: s["out"]))
         first = F.struct(F.col("left").alias("blocks"), F.col("draws").alias("total"), F.col("taken").alias("rows"))
@@ -108,6 +125,8 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
         second = F.struct(F.col("right").alias("blocks"), (F.col("total") - F.col("draws")).alias("total"), rest.alias("rows"))
         whole = F.struct("blocks", "total", "rows")
         node = node.select(F.explode(F.when(F.size("blocks") > 1, F.array(first, second)).otherwise(F.array(whole))).alias("node")).select("node.*")
+        if level == SPREAD_LEVEL:
+            node = node.repartition(1 << SPREAD_LEVEL)
     ends = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda s: F.aggregate(F.slice("rows", 1, s), F.lit(0).cast("long"), lambda a, b: a + b))
     return node.select(F.element_at("blocks", 1)["block"].alias("block"), ends.alias("ends"))
 
