@@ -47,15 +47,15 @@ def _let(value: Column, use) -> Column:
 
 def hypergeometric(population: Column, good: Column, draws: Column, u: Column) -> Column:
     """Number of good ones among `draws` from `population`, by inversion at `u` in (0, 1)."""
-    given = F.struct(*[x.cast("double").alias(k) for k, x in (("N", population), ("K", good), ("n", draws), ("u", u))])
+    given = F.struct(*[x.cast("double").alias(k) for k, x in (("all", population), ("good", good), ("drawn", draws), ("u", u))])
 
     def bounds(g: Column) -> Column:
-        low, high = F.greatest(F.lit(0.0), g["n"] + g["K"] - g["N"]), F.least(g["n"], g["K"])
-        share = g["K"] / F.greatest(g["N"], F.lit(1.0))
-        mode = F.least(F.greatest(F.floor((g["n"] + 1) * (g["K"] + 1) / (g["N"] + 2)).cast("double"), low), high)
-        reach = F.ceil(10 * F.sqrt(F.greatest(g["n"] * share * (1 - share), F.lit(0.0))) + 30).cast("double")
+        low, high = F.greatest(F.lit(0.0), g["drawn"] + g["good"] - g["all"]), F.least(g["drawn"], g["good"])
+        share = g["good"] / F.greatest(g["all"], F.lit(1.0))
+        mode = F.least(F.greatest(F.floor((g["drawn"] + 1) * (g["good"] + 1) / (g["all"] + 2)).cast("double"), low), high)
+        reach = F.ceil(10 * F.sqrt(F.greatest(g["drawn"] * share * (1 - share), F.lit(0.0))) + 30).cast("double")
         return F.struct(
-            g["N"].alias("N"), g["K"].alias("K"), g["n"].alias("n"), g["u"].alias("u"), mode.alias("mode"),
+            g["all"].alias("all"), g["good"].alias("good"), g["drawn"].alias("drawn"), g["u"].alias("u"), mode.alias("mode"),
             F.least(high - mode, reach).cast("int").alias("ups"), F.least(mode - low, reach).cast("int").alias("downs"),
         )
 
@@ -63,7 +63,7 @@ def hypergeometric(population: Column, good: Column, draws: Column, u: Column) -
         return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
 
     def inverse(b: Column) -> Column:
-        N, K, n, mode = b["N"], b["K"], b["n"], b["mode"]
+        N, K, n, mode = b["all"], b["good"], b["drawn"], b["mode"]
 
         def up(w: Column, j: Column) -> Column:  # weight of mode + j from that of mode + j - 1
             k = mode + j - 1
