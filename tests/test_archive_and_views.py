@@ -128,6 +128,19 @@ def test_calendar_equals_the_fold(spark, seed):
     assert got == folded([e for e in events if e[0] >= DAY - dt.timedelta(days=30)])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_calendar_with_many_announcements_a_day(spark, seed):
+    """Also the case in which a set comes back on the same day after another one has changed the slots."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(1, 7)]
+    titles = ["w1 w2 w3 w4", "w2 w3 w4 w5 w6", "w1 w2 w3 w4 w5", "w1 w2 w3 w4"] + [" ".join(rng.sample(words, rng.randint(3, 5))) for _ in range(60 * seed)]
+    events = [(DAY - dt.timedelta(days=i // 20), i, "2026-10-10", t) for i, t in enumerate(titles)]
+    df = spark.createDataFrame([(*e, "launch", "expected", None) for e in events], "seen_on date, pos long, date string, title string, kind string, confidence string, url string")
+    df = df.withColumn("pos", F.struct("pos", "title"))
+    got = sorted((r["date"], r["title"], r["first_seen"]) for r in calendar.calendar(df, F.lit(DAY), replace(Settings(), calendar_horizon_days=100)).collect())
+    assert got == folded(events)
+
+
 def test_calendar_horizon(spark):
     ahead = lambda d: spark.range(1).select(calendar.in_horizon(F.lit(d), F.lit(DAY), 60)).first()[0]
     assert [ahead(d) for d in ("2026-10-03", "2026-10-04", "2026-10", "2026-09", "2026-12-03", "2026-12-04", "2026-12")] == [False, True, True, False, True, False, True]

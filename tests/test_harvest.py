@@ -102,3 +102,11 @@ def test_lists(spark):
         "id string, published_at timestamp, tier string, via string, up long")
     assert [r["id"] for r in harvest.primary_list(df, 1).collect()] == ["d"]
     assert [r["id"] for r in harvest.top_by_signal(df, "hf", "up", 2).collect()] == ["c", "b"]
+
+
+def test_prefixed_notations(spark):
+    atom = '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:title>T &amp; x:y</a:title><a:link href="http://a/1"/><a:updated>2024-01-03T00:00:00Z</a:updated></a:entry></a:feed>'
+    rss = "<rss xmlns:d.c='http://purl.org/dc/elements/1.1/'><channel><item><title>U</title><link>http://u/1</link><d.c:date>2024-01-04</d.c:date></item></channel></rss>"
+    pages = payloads.parse_pages(spark.createDataFrame([("a", "rss", 0, atom), ("b", "rss", 0, rss)], "feed string, kind string, url_pos int, payload string"))
+    got = {(r["title"], r["url"], r["published"]) for r in payloads.feed_rows(pages).collect()}
+    assert got == {("T & x:y", "http://a/1", "2024-01-03T00:00:00Z"), ("U", "http://u/1", "2024-01-04")}

@@ -61,8 +61,8 @@ def daily_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weekly_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Low-priority orders as the back-fill of their ISO week, urgent ones as its themes' items."""
-    rows = b.all_items(spark, sf).filter(F.col("topic").isin("5-LOW", "1-URGENT")).withColumn("block", F.floor(F.col("id") / DOC_ITEMS))
+    """All orders as the items of their ISO week."""
+    rows = b.all_items(spark, sf).withColumn("block", F.floor(F.col("id") / DOC_ITEMS))
     item = F.struct(
         F.concat(F.lit("order-"), F.col("id").cast("string")).alias("id"), F.col("topic"), F.col("region"),
         times.fmt_ts(F.col("published_at")).alias("published_at"),
@@ -72,7 +72,7 @@ def weekly_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("s2_weekly_scan", """
-SELECT strftime(week_date, '%G-W%V') AS week, 'order-' || id AS id, topic FROM all_items WHERE topic IN ('5-LOW', '1-URGENT')
+SELECT strftime(week_date, '%G-W%V') AS week, 'order-' || id AS id, topic FROM all_items
 """)
 def weekly_scan(spark: SparkSession, sf: str) -> DataFrame:
     return archive.weekly_items(_weekly(spark, sf)).select("week", "id", "topic")
@@ -298,7 +298,7 @@ def harvest_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     rows = payloads.feed_rows(payloads.parse_pages(payload_pages(spark, sf)))
     dated = rows.withColumns({
         "published_at": times.parse_feed_date(F.col("published")), "filter": F.lit(False), "feed_pos": F.lit(0),
-        "row_pos": F.col("url_pos") * 1000 + F.col("row_pos"),
+        "row_pos": F.shiftleft(F.col("url_pos"), 24) + F.col("row_pos"),  # a page is one string and holds fewer entries than 2^24
     }).filter("published_at is not null")
     items = harvest.normalise(dated, domain_dimension(spark, KNOWN_OUTLETS), b.SETTINGS)
     return harvest.merge_by_id(cut(items), "row_pos").select("id", "title", "url", "outlet", "tier", "published_at")
@@ -310,14 +310,13 @@ _WIDE = replace(b.SETTINGS, calendar_lookback_days=10_000, calendar_horizon_days
 
 
 def _announcements(spark: SparkSession, sf: str) -> DataFrame:
-    """Part shipments as announced events; the place in the announcement is made of the line's keys."""
-    pos = ((F.col("l_orderkey") * 1_000_000 + F.col("l_partkey")) * 10 + F.col("l_linenumber")) * 10_000 + F.col("l_suppkey")
-    return upcoming(spark, sf).filter("l_linenumber <> 7").withColumn("pos", pos)
+    """Part shipments as announced events; the place in the announcement is the line's keys in order."""
+    return upcoming(spark, sf).withColumn("pos", F.struct("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"))
 
 
 cte("announced_events", f"""
-SELECT seen_on, date, title, ((l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber) * 10000 + l_suppkey AS pos, {b.TITLE_WORDS_SQL.format('title')} AS tokens
-FROM upcoming WHERE l_linenumber <> 7 AND seen_on <= DATE '{AS_OF}'
+SELECT seen_on, date, title, (l_orderkey, l_partkey, l_linenumber, l_suppkey) AS pos, {b.TITLE_WORDS_SQL.format('title')} AS tokens
+FROM upcoming WHERE seen_on <= DATE '{AS_OF}'
 """)
 cte("event_titles", "SELECT DISTINCT date, tokens, array_to_string(tokens, ' ') AS k FROM announced_events")
 cte("event_links", """
@@ -333,7 +332,7 @@ SELECT l.date, l.y, r.label FROM event_reach r JOIN event_links l ON l.date = r.
 
 @query("w11_calendar_components", f"""
 WITH c AS (SELECT date, k, min(label) AS component FROM event_reach GROUP BY date, k),
-g AS (SELECT a.*, CASE WHEN len(tokens) = 0 THEN 'none ' || pos ELSE component END AS grp FROM announced_events a JOIN c ON c.date = a.date AND c.k = array_to_string(a.tokens, ' '))
+g AS (SELECT a.*, CASE WHEN len(tokens) = 0 THEN 'none ' || CAST(pos AS VARCHAR) ELSE component END AS grp FROM announced_events a JOIN c ON c.date = a.date AND c.k = array_to_string(a.tokens, ' '))
 SELECT date, last(title ORDER BY seen_on, pos) AS title, CAST(min(seen_on) AS VARCHAR) AS first_seen
 FROM g WHERE CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END >= '{AS_OF}' GROUP BY date, grp
 """)
@@ -366,8 +365,8 @@ def event_sort_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("o7_calendar_order", """
 SELECT CAST(seen_on AS VARCHAR) AS seen_on, l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       row_number() OVER (PARTITION BY seen_on ORDER BY CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END, title, ((l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber) * 10000 + l_suppkey) AS position
-FROM upcoming WHERE l_linenumber <> 7
+       row_number() OVER (PARTITION BY seen_on ORDER BY CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END, title, l_orderkey, l_partkey, l_linenumber, l_suppkey) AS position
+FROM upcoming
 """)
 def calendar_order(spark: SparkSession, sf: str) -> DataFrame:
     rows = cut(_announcements(spark, sf).withColumn("sort_key", times.event_sort_key(F.col("date"))))

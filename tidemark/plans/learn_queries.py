@@ -46,7 +46,7 @@ cte("gap_list", "SELECT * FROM (VALUES " + ", ".join(
 ) + ") v(gap, label, now, target, weight)")
 cte("lessons", f"""
 SELECT doc_id, issue_date, {b.sql_list([g.id for g in GAPS])}[doc_id % 5 + 1] AS gap, CAST(10 + doc_id % 30 AS BIGINT) AS minutes
-FROM labels JOIN headlines ON id = doc_id WHERE quality = 1 AND toxic = 0 AND doc_id % 3 > 0
+FROM labels JOIN headlines ON id = doc_id WHERE quality = 1
 """)
 cte("gap_days", """
 SELECT d.issue_date, gap, (SELECT max(l.issue_date) FROM lessons l WHERE l.gap = g.gap AND l.issue_date < d.issue_date) AS last_taught
@@ -65,7 +65,7 @@ def stories(spark: SparkSession, sf: str) -> DataFrame:
 
 def lessons(spark: SparkSession, sf: str) -> DataFrame:
     """Good documents as lessons on a gap; one gap is never taught."""
-    good = b.table(spark, sf, "labels").filter("quality = 1 and toxic = 0 and doc_id % 3 > 0").withColumnRenamed("doc_id", "id")
+    good = b.table(spark, sf, "labels").filter("quality = 1").withColumnRenamed("doc_id", "id")
     gap = b.one_of(F.col("id"), tuple(g.id for g in GAPS[:5]))
     return good.join(b.headlines(spark, sf).select("id", "issue_date"), "id").select(
         "id", "issue_date", gap.alias("gap"), (10 + F.col("id") % 30).alias("minutes")

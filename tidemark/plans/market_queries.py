@@ -154,9 +154,12 @@ def symbol_suffix(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("f14_t_quantile", """
-SELECT user_id, n, CASE WHEN n - 1 < 1 THEN NULL WHEN n - 1 > 30 THEN 1.96 ELSE
-  [12.706,4.303,3.182,2.776,2.571,2.447,2.365,2.306,2.262,2.228,2.179,2.179,2.131,2.131,2.131,2.086,2.086,2.086,2.086,2.086,2.060,2.060,2.060,2.060,2.060,2.042,2.042,2.042,2.042,2.042][n - 1] END::DOUBLE AS t
+_T_SQL = """CASE WHEN n - 1 < 1 THEN NULL WHEN n - 1 > 30 THEN 1.96 ELSE
+  [12.706,4.303,3.182,2.776,2.571,2.447,2.365,2.306,2.262,2.228,2.179,2.179,2.131,2.131,2.131,2.086,2.086,2.086,2.086,2.086,2.060,2.060,2.060,2.060,2.060,2.042,2.042,2.042,2.042,2.042][n - 1] END"""
+
+
+@query("f14_t_quantile", f"""
+SELECT user_id, n, {_T_SQL}::DOUBLE AS t
 FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id, event_type)
 """)
 def t_quantile(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,13 +219,13 @@ def item_events(spark: SparkSession, sf: str) -> DataFrame:
     return _study_columns(study(spark, sf))
 
 
-@query("a15_mean_ci", """
-SELECT symbol, count(car) AS n, round(avg(car), 5) AS mean,
-       round(avg(car) - 1.96 * stddev_samp(car) / sqrt(count(car)), 5) AS lo, round(avg(car) + 1.96 * stddev_samp(car) / sqrt(count(car)), 5) AS hi
-FROM news_study WHERE status = 'ok' GROUP BY symbol HAVING count(car) > 31
+@query("a15_mean_ci", f"""
+SELECT symbol, n, round(m, 5) AS mean, round(m - half, 5) AS lo, round(m + half, 5) AS hi
+FROM (SELECT *, CASE WHEN n > 1 THEN ({_T_SQL}) * sd / sqrt(n) END AS half
+      FROM (SELECT symbol, count(car) AS n, avg(car) AS m, stddev_samp(car) AS sd FROM news_study WHERE status = 'ok' GROUP BY symbol) WHERE n > 0)
 """)
 def mean_ci(spark: SparkSession, sf: str) -> DataFrame:
-    return market.mean_ci(study(spark, sf).filter("status = 'ok'"), ["symbol"], "car").filter("n > 31")
+    return market.mean_ci(study(spark, sf).filter("status = 'ok'"), ["symbol"], "car")
 
 
 cte("week_stories", """

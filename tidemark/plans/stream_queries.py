@@ -11,7 +11,7 @@ from . import bindings as b
 from .registry import cte, query
 from .view_queries import day
 
-PARTS = ("2024-01-01", "2024-01-09", "2024-01-17", "2024-01-24", "2100-01-01")
+CUTS = ("2024-01-09", "2024-01-17", "2024-01-24")
 
 
 def _session(spark: SparkSession) -> SparkSession:
@@ -27,8 +27,10 @@ def replay(spark: SparkSession, sf: str) -> DataFrame:
     """The events as a stream: written file by file in time order, one file per micro-batch."""
     path = work_path(spark, "events")
     rows = b.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    for lo, hi in zip(PARTS, PARTS[1:]):
-        rows.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).write.mode("append").parquet(path)
+    for lo, hi in zip((None, *CUTS), (*CUTS, None)):
+        part = rows if lo is None else rows.filter(F.col("ts") >= lo)
+        part = part if hi is None else part.filter(F.col("ts") < hi)
+        part.write.mode("append").parquet(path)
     return st.read_events(_session(spark), path, rows.schema)
 
 

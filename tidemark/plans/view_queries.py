@@ -129,15 +129,19 @@ def trend(spark: SparkSession, sf: str) -> DataFrame:
     return day(topic_columns(views.trend(items, archived, F.lit(end), _TREND_DAYS, b.TOPICS)))
 
 
-@query("a10_event_trend", """
-SELECT CAST(d AS VARCHAR) AS issue_date, CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS click, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS error,
-       CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS view, count(event_id) = 0 AS missing
-FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN events ON CAST(ts AS DATE) = d GROUP BY d
+_EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+@query("a10_event_trend", f"""
+SELECT CAST(d AS VARCHAR) AS issue_date, {", ".join(f"CAST(count(*) FILTER (WHERE event_type = '{t}') AS BIGINT) AS {t}" for t in _EVENT_TYPES)}, count(event_id) = 0 AS missing
+FROM (SELECT CAST(unnest(generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) + 4 FROM events), INTERVAL 1 DAY)) AS DATE) AS d)
+LEFT JOIN events ON CAST(ts AS DATE) = d GROUP BY d
 """)
 def event_trend(spark: SparkSession, sf: str) -> DataFrame:
-    """Events per day and type up to a date after the last event, so that missing days show."""
+    """All events per day and type, up to four days after the last one, so that missing days show."""
     rows = b.table(spark, sf, "events").select(F.to_date("ts").alias("issue_date"), F.col("event_type").alias("topic"))
-    out = views.trend(rows, rows.select("issue_date").distinct(), F.lit("2024-02-05").cast("date"), 59, ("click", "error", "view"))
+    first, last = rows.agg(F.min("issue_date"), F.max("issue_date")).first()
+    out = views.trend(rows, rows.select("issue_date").distinct(), F.date_add(F.lit(last), 4), (last - first).days + 5, _EVENT_TYPES)
     return day(out)
 
 
@@ -253,7 +257,7 @@ def window_membership(spark: SparkSession, sf: str) -> DataFrame:
 # ---- issue windows ------------------------------------------------------------------------------
 cte("runs", """
 SELECT day_date AS issue_date, CAST(day_date AS TIMESTAMP) + INTERVAL 22 HOUR + to_minutes(CAST(count(*) % 60 AS INTEGER)) AS window_end
-FROM items WHERE isodow(day_date) IN (1, 3, 5) OR day(day_date) > 9 GROUP BY day_date
+FROM items GROUP BY day_date
 """)
 _WINDOW_SQL = """
 SELECT CAST(issue_date AS VARCHAR) AS issue_date, strftime(s, '%Y-%m-%dT%H:%M:%SZ') AS window_start, strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') AS window_end,
@@ -266,10 +270,8 @@ FROM (SELECT *, coalesce(epoch(window_end - prev) / 3600.0 > 72, false) AS gap,
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
-    """One run per archived day; three weekdays only at the start of a month, so that gaps occur."""
-    per_day = sourced(spark, sf).groupBy("issue_date").agg((F.count(F.lit(1)) % 60).cast("int").alias("minute"))
-    weekday = F.extract(F.lit("DAYOFWEEK_ISO"), F.col("issue_date"))
-    kept = per_day.filter(weekday.isin(1, 3, 5) | (F.dayofmonth("issue_date") > 9))
+    """One run per archived day."""
+    kept = sourced(spark, sf).groupBy("issue_date").agg((F.count(F.lit(1)) % 60).cast("int").alias("minute"))
     return kept.select(
         "issue_date",
         (F.col("issue_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(22), mins=F.col("minute"))).alias("window_end"),
