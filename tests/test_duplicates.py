@@ -111,6 +111,30 @@ def test_title_conflicts(spark):
     assert count(spark.createDataFrame([(1, 2)], "id long, follow_up_of long")) == 7  # the older cannot follow the newer
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_title_conflicts_by_item_equal_all_pairs(spark, seed):
+    """Few titles, entities and links over three weeks, so that one title and one link hold about a third of the items."""
+    rng = random.Random(seed)
+    sets = random_sets(rng, 8)
+    items = [
+        (i, DAY + dt.timedelta(days=rng.randint(0, 20)), sorted(sets[0] if rng.random() < 0.35 else rng.choice(sets)), rng.sample(["a", "b", "c"], rng.randint(1, 2)))
+        for i in range(150)
+    ]
+    links = {(i, d, "hot" if rng.random() < 0.35 else f"u{rng.randint(0, 30)}") for i, d, _, _ in items for _ in range(rng.randint(0, 3))}
+    follow = {i: rng.randint(0, 149) for i in range(0, 150, 2)}
+    mine = {i: {u for k, _, u in links if k == i} for i in range(150)}
+    want = Counter(
+        i for i, di, ti, ei in items for j, dj, tj, ej in items
+        if (1 <= (di - dj).days <= 7 or (di == dj and j < i)) and follow.get(i) != j and not mine[i] & mine[j] and set(ei) & set(ej)
+        and overlap(set(ti), set(tj)) >= 0.5
+    )
+    df = spark.createDataFrame(items, "id long, issue_date date, words array<string>, entities array<string>")
+    ldf = spark.createDataFrame(sorted(links), "id long, issue_date date, url string")
+    fdf = spark.createDataFrame(sorted(follow.items()), "id long, follow_up_of long")
+    got = {r["id"]: r["n_conflicts"] for r in dedupe.title_conflicts_by_item(df, F.col("words"), ldf, fdf, parts=4).collect()}
+    assert got == dict(want)
+
+
 def test_duplicate_ids(spark):
     df = spark.createDataFrame([(DAY, 1), (DAY, 1), (DAY, 1), (DAY, 2)], "issue_date date, id long")
     assert [(r["id"], r["n_conflicts"]) for r in dedupe.duplicate_ids(df).collect()] == [(1, 2)]

@@ -7,9 +7,10 @@ behind it. `url_conflicts_by_item` gives each item its own count and detail.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .ranking import rank_in_group
 from .similarity import HOT_TOKEN, distinct_sets, set_members, similar_sets
 
@@ -19,6 +20,11 @@ def _in_reach(newer: str, older: str, days: int):
     return (gap >= 0) & (gap <= days)
 
 
+def _reachable(cells: DataFrame, days: int, out: str, date: str = "issue_date") -> DataFrame:
+    """Every cell once for each date that can meet it, in `out`: its own and the `days` after it. Dates then are join keys."""
+    return cells.withColumn(out, F.explode(F.sequence(F.col(date), F.date_add(F.col(date), days))))
+
+
 def _follow_up_pairs(keyed: DataFrame, follow_ups: DataFrame, cell: list[str], days: int) -> DataFrame:
     """Pairs that are exempt because the newer item says it follows up the older one: id, other_id and
     the cells of both. At most one row per follow-up and cell."""
@@ -41,10 +47,9 @@ def url_conflicts(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) ->
 
     item_urls: id, issue_date, url, distinct. follow_ups: id, follow_up_of."""
     cells = item_urls.groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
-    other = cells.select("url", F.col("issue_date").alias("other_date"), F.col("n").alias("m"))
+    other = _reachable(cells.select("url", F.col("issue_date").alias("other_date"), F.col("n").alias("m")), days, "issue_date", "other_date")
     pairs = (
-        cells.join(other, "url")
-        .filter(_in_reach("issue_date", "other_date", days))
+        cells.join(other, ["url", "issue_date"])
         .withColumn(
             "pairs",
             F.when(F.col("issue_date") == F.col("other_date"), F.expr("n * (n - 1) div 2")).otherwise(F.col("n") * F.col("m")),
@@ -66,12 +71,8 @@ def url_conflicts_by_item(item_urls: DataFrame, follow_ups: DataFrame, days: int
     """(id, issue_date, n_conflicts, detail): how many earlier items share a link with the item, counted
     per link, and the smallest such link."""
     cells = item_urls.groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
-    past = cells.select("url", F.col("issue_date").alias("other_date"), F.col("n").alias("m"))
-    history = (
-        cells.join(past, "url")
-        .filter(_in_reach("issue_date", "other_date", days) & (F.col("issue_date") != F.col("other_date")))
-        .groupBy("url", "issue_date").agg(F.sum("m").alias("earlier_days"))
-    )
+    lately = Window.partitionBy("url").orderBy(F.unix_date("issue_date")).rangeBetween(-days, -1)  # a row per date
+    history = cells.select("url", "issue_date", F.sum("n").over(lately).alias("earlier_days"))
     exempt = (
         exempt_pairs(item_urls, follow_ups, days)
         .groupBy("id", "url").agg(F.count(F.lit(1)).alias("exempt"))
@@ -98,6 +99,13 @@ def duplicate_ids(items: DataFrame) -> DataFrame:
     )
 
 
+def _both_ways(sets: DataFrame, threshold: float, hot: int) -> DataFrame:
+    """(set_a, set_b, jaccard) of similar sets in both directions, and of every set with itself."""
+    pairs = similar_sets(sets, threshold, hot).select("set_a", "set_b", "jaccard")
+    same = sets.select(F.col("set_id").alias("set_a"), F.col("set_id").alias("set_b"), F.lit(1.0).alias("jaccard"))
+    return pairs.unionByName(pairs.select(F.col("set_b").alias("set_a"), F.col("set_a").alias("set_b"), "jaccard")).unionByName(same)
+
+
 def title_conflicts(
     items: DataFrame, tokens, follow_ups: DataFrame, threshold: float = 0.5, days: int = 7, hot: int = HOT_TOKEN
 ) -> DataFrame:
@@ -107,10 +115,7 @@ def title_conflicts(
 
     items: id, issue_date, entities (canonical, lower case)."""
     sets = distinct_sets(items, "id", tokens)
-    pairs = similar_sets(sets, threshold, hot).select("set_a", "set_b", "jaccard")
-    same = sets.select(F.col("set_id").alias("set_a"), F.col("set_id").alias("set_b"), F.lit(1.0).alias("jaccard"))
-    both = pairs.unionByName(pairs.select(F.col("set_b").alias("set_a"), F.col("set_a").alias("set_b"), "jaccard")).unionByName(same)
-
+    both = _both_ways(sets, threshold, hot)
     keyed = set_members(items.withColumn("entities", F.array_sort("entities")), "id", tokens, sets).filter("set_id is not null")
     cells = keyed.groupBy("set_id", "issue_date", "entities").agg(F.count(F.lit(1)).alias("n"))
     newer = cells.select(
@@ -123,12 +128,8 @@ def title_conflicts(
     second = F.struct(F.col("set_b").alias("set_a"), F.col("entities_b").alias("entities_a"))
     same_day = F.col("date_a") == F.col("date_b")
     met = (
-        newer.join(both, "set_a").join(older, "set_b")
-        .filter(
-            _in_reach("date_a", "date_b", days)
-            & (~same_day | (first <= second))
-            & F.arrays_overlap("entities_a", "entities_b")
-        )
+        newer.join(both, "set_a").join(_reachable(older, days, "date_a", "date_b"), ["set_b", "date_a"])
+        .filter((~same_day | (first <= second)) & F.arrays_overlap("entities_a", "entities_b"))
         .withColumn(
             "pairs", F.when(same_day & (first == second), F.expr("n_a * (n_a - 1) div 2")).otherwise(F.col("n_a") * F.col("n_b"))
         )
@@ -154,3 +155,89 @@ def title_conflicts(
         .filter("n_pairs > 0")
         .select(*keys, "n_pairs", "jaccard")
     )
+
+
+def _earlier_items(members: DataFrame, met: DataFrame, parts: int | None) -> DataFrame:
+    """(id, n): how many items of related cells come before each item, on an earlier date or on its own with a smaller id.
+
+    members: id, issue_date, cell. met: cell, issue_date, other, other_date, m, with m the items of the other cell on its
+    date; a cell also meets itself. Items are numbered once per pair of cells of a date, by a range shuffle, and the places
+    are subtracted; no pair of items is made."""
+    earlier = met.filter(F.col("other_date") < F.col("issue_date")).groupBy("cell", "issue_date").agg(F.sum("m").alias("earlier"))
+    today = met.filter(F.col("other_date") == F.col("issue_date")).select(
+        "cell", "issue_date", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high")
+    )
+    placed = rank_in_group(members.join(today, ["cell", "issue_date"]), ["low", "high", "issue_date"], [], "id", "place", parts)
+    own = F.max(F.when(F.col("low") == F.col("high"), F.col("place")))
+    before = placed.groupBy("id", "cell", "issue_date").agg((F.sum("place") - own * F.count(F.lit(1)) + own - 1).alias("before"))
+    return before.join(earlier, ["cell", "issue_date"], "left").select(
+        "id", "issue_date", (F.col("before") + F.coalesce("earlier", F.lit(0))).alias("n")
+    )
+
+
+def title_conflicts_by_item(
+    items: DataFrame, tokens, item_urls: DataFrame, follow_ups: DataFrame, threshold: float = 0.5, days: int = 7,
+    hot: int = HOT_TOKEN, parts: int | None = None,
+) -> DataFrame:
+    """(id, issue_date, n_conflicts): how many earlier items have a similar title and a common entity but no common link; a
+    pair with a common link is reported by its link. Items of one title set, entities and links are one cell. The pairs
+    that also share a link are counted apart, joined on (link, title set, date), and subtracted.
+
+    items: id (unique), issue_date, entities. item_urls: id, issue_date, url, distinct. follow_ups: id, follow_up_of."""
+    sets = distinct_sets(items, "id", tokens)
+    both = stored(_both_ways(sets, threshold, hot).select("set_a", "set_b"), "similar")
+    links = item_urls.groupBy("id").agg(F.array_sort(F.collect_set("url")).alias("links"))
+    keyed = (
+        set_members(items.withColumn("entities", F.array_sort("entities")), "id", tokens, sets).filter("set_id is not null")
+        .select("id", "issue_date", "set_id", "entities")
+        .join(links, "id", "left")
+        .withColumn("links", F.coalesce("links", F.array().cast("array<string>")))
+    )
+    keyed = stored(keyed, "titled")
+    sides = ["set_id", "entities", "links"]
+
+    def counted(key: list[str]) -> tuple[DataFrame, DataFrame]:
+        cells = keyed.groupBy(*key).agg(F.min("id").alias("cell"))
+        members = keyed.join(cells, key)
+        return members, members.groupBy("cell", "issue_date", *key).agg(F.count(F.lit(1)).alias("m"))
+
+    def met(dated: DataFrame, keys: list[str], more) -> DataFrame:
+        names = {"issue_date": "other_date", "cell": "other", "set_id": "set_b", "entities": "entities_b", "links": "links_b", "m": "m_b"}
+        older = _reachable(dated.withColumnsRenamed(names), days, "issue_date", "other_date")
+        newer = dated.drop("m").withColumnRenamed("set_id", "set_a").join(both, "set_a")
+        return newer.join(older, [*keys, "set_b", "issue_date"]).filter(F.arrays_overlap("entities", "entities_b") & more).select(
+            "cell", "issue_date", "other", "other_date", F.col("m_b").alias("m")
+        )
+
+    titled, dated = counted(sides[:2])
+    similar = _earlier_items(titled.select("id", "issue_date", "cell"), met(dated, [], F.lit(True)), parts)
+    linked, dated = counted(sides)
+    by_link = dated.filter(F.size("links") > 0).withColumn("url", F.explode("links"))
+    once = F.col("url") == F.array_min(F.array_intersect("links", "links_b"))  # a pair with several common links counts once
+    shared = _earlier_items(linked.filter(F.size("links") > 0).select("id", "issue_date", "cell"), met(by_link, ["url"], once), parts)
+    exempt = (
+        _follow_up_pairs(keyed, follow_ups, sides, days)
+        .filter(F.arrays_overlap("entities", "other_entities") & ~F.arrays_overlap("links", "other_links"))
+        .join(both, (F.col("set_id") == F.col("set_a")) & (F.col("other_set_id") == F.col("set_b")), "left_semi")
+        .select("id", F.lit(1).alias("exempt"))
+    )
+    left = F.col("n") - F.coalesce("shared", F.lit(0)) - F.coalesce("exempt", F.lit(0))
+    return (
+        similar.join(shared.select("id", F.col("n").alias("shared")), "id", "left").join(exempt, "id", "left")
+        .select("id", "issue_date", left.alias("n_conflicts")).filter("n_conflicts > 0")
+    )
+
+
+def conflict_report(
+    items: DataFrame, tokens, item_urls: DataFrame, follow_ups: DataFrame, threshold: float = 0.5, days: int = 7, parts: int | None = None
+) -> DataFrame:
+    """(id, issue_date, reason, n_conflicts, detail): one row per item and reason. `id`: uses of the id in the issue beyond the
+    first; `url`: earlier items with a common link, counted per link, and the smallest such link; `title`: earlier items with a
+    similar title and no common link."""
+    same_id = duplicate_ids(items).select("id", "issue_date", F.lit("id").alias("reason"), "n_conflicts", F.lit("duplicate id").alias("detail"))
+    single = items.dropDuplicates(["id"])
+    by_link = url_conflicts_by_item(item_urls, follow_ups, days, parts).select("id", "issue_date", F.lit("url").alias("reason"), "n_conflicts", "detail")
+    by_title = title_conflicts_by_item(single, tokens, item_urls, follow_ups, threshold, days, parts=parts).select(
+        "id", "issue_date", F.lit("title").alias("reason"), "n_conflicts", F.lit(None).cast("string").alias("detail")
+    )
+    return same_id.unionByName(by_link).unionByName(by_title)

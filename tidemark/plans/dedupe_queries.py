@@ -123,9 +123,7 @@ FROM (SELECT *, shared / CAST(total - shared AS DOUBLE) AS j, (da = db AND (own,
 """)
 def similar_titles(spark: SparkSession, sf: str) -> DataFrame:
     items = _titles(spark, sf)
-    copies = items.groupBy("title").agg(F.max("id").alias("id"), F.min("id").alias("follow_up_of"), F.count(F.lit(1)).alias("n"))
-    follow_ups = copies.filter("n > 2").select("id", "follow_up_of")
-    found = dedupe.title_conflicts(items, text.title_tokens(F.col("title")), follow_ups, b.SETTINGS.title_jaccard)
+    found = dedupe.title_conflicts(items, text.title_tokens(F.col("title")), _title_follow_ups(items), b.SETTINGS.title_jaccard)
     return found.select(
         "set_a", "set_b", b.day_text(F.col("date_a")).alias("date_a"), b.day_text(F.col("date_b")).alias("date_b"),
         F.array_join("entities_a", ",").alias("entities_a"), F.array_join("entities_b", ",").alias("entities_b"),
@@ -133,6 +131,60 @@ def similar_titles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+cte("title_links", """
+SELECT id, issue_date, unnest([ 'https://' || outlet || '.example.com/' || n_chars, 'https://agg.example.com/' || id % 40]) AS url FROM headlines
+""")
+cte("title_only", """
+SELECT a.id, a.issue_date FROM titles a JOIN titles b
+  ON (b.issue_date BETWEEN a.issue_date - 7 AND a.issue_date - 1 OR (b.issue_date = a.issue_date AND b.id < a.id)) AND list_has_any(a.entities, b.entities)
+LEFT JOIN title_follow_ups f ON f.id = a.id
+WHERE f.follow_up_of IS DISTINCT FROM b.id AND len(a.tokens) > 0 AND len(b.tokens) > 0
+  AND len(list_intersect(a.tokens, b.tokens)) / CAST(len(a.tokens) + len(b.tokens) - len(list_intersect(a.tokens, b.tokens)) AS DOUBLE) >= 0.5
+  AND NOT EXISTS (SELECT 1 FROM title_links x JOIN title_links y ON x.url = y.url WHERE x.id = a.id AND y.id = b.id)
+""")
+
+
+def title_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Two links of every headline: one that copies of an outlet share, and one of an aggregator."""
+    rows = b.headlines(spark, sf)
+    own = F.concat(F.lit("https://"), "outlet", F.lit(".example.com/"), F.col("n_chars").cast("string"))
+    other = F.concat(F.lit("https://agg.example.com/"), (F.col("id") % 40).cast("string"))
+    return rows.select("id", "issue_date", F.explode(F.array(own, other)).alias("url")).distinct()
+
+
+def _title_follow_ups(items: DataFrame) -> DataFrame:
+    copies = items.groupBy("title").agg(F.max("id").alias("id"), F.min("id").alias("follow_up_of"), F.count(F.lit(1)).alias("n"))
+    return copies.filter("n > 2").select("id", "follow_up_of")
+
+
+@query("j2_title_duplicates_by_item", "SELECT id, CAST(issue_date AS VARCHAR) AS issue_date, count(*) AS n_conflicts FROM title_only GROUP BY ALL")
+def title_duplicates_by_item(spark: SparkSession, sf: str) -> DataFrame:
+    """Similar titles per item, without pairs that a common link already reports."""
+    items = _titles(spark, sf)
+    found = dedupe.title_conflicts_by_item(
+        items, text.title_tokens(F.col("title")), title_links(spark, sf), _title_follow_ups(items), b.SETTINGS.title_jaccard
+    )
+    return found.withColumn("issue_date", b.day_text(F.col("issue_date")))
+
+
+@query("j1_j2_j4_conflict_report", """
+SELECT a.id, CAST(a.issue_date AS VARCHAR) AS issue_date, 'url' AS reason, count(*) AS n_conflicts, min(a.url) AS detail
+FROM title_links a JOIN title_links b ON a.url = b.url AND (b.issue_date BETWEEN a.issue_date - 7 AND a.issue_date - 1 OR (b.issue_date = a.issue_date AND b.id < a.id))
+LEFT JOIN title_follow_ups f ON f.id = a.id WHERE f.follow_up_of IS DISTINCT FROM b.id GROUP BY ALL
+UNION ALL
+SELECT id, CAST(issue_date AS VARCHAR), 'title', count(*), NULL FROM title_only GROUP BY ALL
+UNION ALL
+SELECT id, CAST(issue_date AS VARCHAR), 'id', count(*) - 1, 'duplicate id' FROM headlines GROUP BY ALL HAVING count(*) > 1
+""")
+def conflict_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All conflicts of an item by reason; a pair counts under one reason only."""
+    items = _titles(spark, sf)
+    found = dedupe.conflict_report(
+        items, text.title_tokens(F.col("title")), title_links(spark, sf), _title_follow_ups(items), b.SETTINGS.title_jaccard
+    )
+    return found.withColumn("issue_date", b.day_text(F.col("issue_date")))
+
+
 cte("cluster_words", f"SELECT id, {b.CLUSTER_WORDS_SQL.format('title')} AS tokens FROM headlines")
 cte("cluster_sets", "SELECT tokens, min(id) AS set_id, count(*) AS n_items FROM cluster_words WHERE len(tokens) > 0 GROUP BY tokens")
 cte("cluster_pairs", """
