@@ -66,7 +66,9 @@ def test_roll_up_prefers_tier_then_direct_then_early(spark):
     ]
     df = spark.createDataFrame(rows, "component long, id long, title string, url string, lang string, outlet string, tier string, via string, published_at timestamp_ntz, hn_points long, hf_upvotes long")
     r = clusters.roll_up(df).first()
-    assert (r["best_id"], r["outlets"], r["n_items"], r["first_seen"], r["hn_points"], r["hf_upvotes"]) == (11, ["x", "y"], 3, t(0), 7, 3)
+    assert (r["best_id"], r["n_outlets"], r["n_items"], r["first_seen"], r["hn_points"], r["hf_upvotes"]) == (11, 2, 3, t(0), 7, 3)
+    assert {(r["outlet"], r["n_items"]) for r in clusters.cluster_outlets(df).collect()} == {("x", 1), ("y", 2)}
+    assert {r["id"]: r["position"] for r in clusters.placed_members(df, 2).collect()} == {12: 1, 10: 2, 11: 3}
 
 
 def random_links(rng):

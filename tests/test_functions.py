@@ -132,9 +132,7 @@ def test_curves(spark):
 
 
 def test_known_domain_prefers_the_longest_suffix(spark):
-    from tidemark.config import domain_dimension
-
-    dim = domain_dimension(spark, {"example.com": ("E", "press"), "blog.example.com": ("B", "primary")})
+    dim = {"example.com": ("E", "press"), "blog.example.com": ("B", "primary")}
     rows = spark.createDataFrame(
         [("https://www.blog.example.com/x",), ("https://a.example.com/",), ("https://other.org",), ("https://a.blog.example.com",)], ["u"]
     )

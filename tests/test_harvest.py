@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.config import Settings, domain_dimension
+from tidemark.config import Settings
 from tidemark.functions import times
 from tidemark.operators import harvest
 from tidemark.sources import payloads
@@ -50,7 +50,7 @@ def test_normalise(spark):
     rows = payloads.feed_rows(parsed(spark)).filter("feed = 'a'").withColumns({
         "tier": F.lit("trade"), "lang": F.lit("en"), "filter": F.lit(True), "feed_pos": F.lit(0), "published_at": times.parse_feed_date(F.col("published")),
     })
-    out = harvest.normalise(rows, domain_dimension(spark, {"out.com": ("Out", "primary")}))
+    out = harvest.normalise(rows, {"out.com": ("Out", "primary")})
     got = {r["title"]: (r["outlet"], r["tier"], r["via"]) for r in out.collect()}
     assert got == {"Chips & GPUs": ("Out", "primary", "gnews")}  # the other one is off topic
     assert {len(r["id"]) for r in out.collect()} == {12}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,26 +58,19 @@ def url_id(url: Column) -> Column:
     return F.substring(F.sha1(canonical_url(url)), 1, 12)
 
 
-def with_known_domain(df: DataFrame, url: str, domains: DataFrame) -> DataFrame:
+def with_known_domain(df: DataFrame, url: str, domains: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Add `known_name`, `known_tier` of the longest known suffix of the URL's host (null if none).
 
-    Hosts are reduced to distinct ones first, so the lookup works on few rows and the join back is by
-    host. `domains` is configuration (known_domain, known_name, known_tier), hence broadcast."""
-    host = domain_of(F.col(url))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(
+    `domains` (domain -> name, tier) is configuration and becomes a literal map, so nothing is joined or shuffled."""
+    if not domains:
+        return df.withColumns({"known_name": F.lit(None).cast("string"), "known_tier": F.lit(None).cast("string")})
+    pairs = [(F.lit(d.removeprefix("www.")), F.struct(F.lit(n).alias("name"), F.lit(t).alias("tier"))) for d, (n, t) in domains.items()]
+    known = F.create_map(*[c for pair in pairs for c in pair])
+    labels = F.split(domain_of(F.col(url)), r"\.")
+    longest_first = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
-    hits = (
-        df.select(host.alias("host")).distinct()
-        .filter(F.size(labels) > 1)
-        .select("host", F.posexplode(suffixes).alias("skip", "known_domain"))
-        .join(F.broadcast(domains), "known_domain")
-        .groupBy("host")
-        .agg(
-            F.min_by("known_name", "skip").alias("known_name"),
-            F.min_by("known_tier", "skip").alias("known_tier"),
-        )
-    )
-    return df.withColumn("host", host).join(hits, "host", "left").drop("host")
+    hits = F.filter(F.transform(longest_first, lambda s: F.try_element_at(known, s)), lambda k: k.isNotNull())
+    found = df.withColumn("__known", F.when(F.size(labels) > 1, F.get(hits, F.lit(0))))
+    return found.withColumns({"known_name": F.col("__known.name"), "known_tier": F.col("__known.tier")}).drop("__known")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import TIERS
 from .components import connected_components
-from .ranking import top_in_group
+from .ranking import rank_in_group, top_in_group
 from .similarity import HOT_TOKEN, distinct_sets, set_members, similar_sets
 
 
@@ -25,8 +25,8 @@ def headline_clusters(items: DataFrame, tokens: Column, threshold: float = 0.4,
 
 
 def roll_up(members: DataFrame) -> DataFrame:
-    """One row per cluster: best link (most reliable tier, direct before aggregator, earliest), outlets,
-    size, first seen, best signals. Membership stays in `members`; no id list is collected.
+    """One row per cluster: best link (most reliable tier, direct before aggregator, earliest), number of outlets,
+    size, first seen, best signals. Outlets and members stay rows (`cluster_outlets`, `members`); no list is collected.
 
     members: component, id, title, url, lang, outlet, tier, via, published_at, hn_points, hf_upvotes."""
     tier_rank = F.array_position(F.array(*[F.lit(t) for t in TIERS]), F.col("tier"))
@@ -35,7 +35,7 @@ def roll_up(members: DataFrame) -> DataFrame:
         members.groupBy("component")
         .agg(
             F.min_by(F.struct("id", "title", "url", "lang"), best).alias("best"),
-            F.array_sort(F.collect_set("outlet")).alias("outlets"),
+            F.count_distinct("outlet").alias("n_outlets"),
             F.count(F.lit(1)).alias("n_items"),
             F.min("published_at").alias("first_seen"),
             F.coalesce(F.max("hn_points"), F.lit(0)).alias("hn_points"),
@@ -43,11 +43,21 @@ def roll_up(members: DataFrame) -> DataFrame:
         )
         .select(
             "component", F.col("best.id").alias("best_id"), "best.title", "best.url", "best.lang",
-            F.size("outlets").cast("bigint").alias("n_outlets"), "outlets", "n_items", "first_seen", "hn_points", "hf_upvotes",
+            "n_outlets", "n_items", "first_seen", "hn_points", "hf_upvotes",
         )
     )
 
 
+def cluster_outlets(members: DataFrame) -> DataFrame:
+    """(component, outlet, n_items): the outlets of every cluster."""
+    return members.filter("outlet is not null").groupBy("component", "outlet").agg(F.count(F.lit(1)).alias("n_items"))
+
+
+def placed_members(members: DataFrame, parts: int | None = None) -> DataFrame:
+    """Members with their `position` in the cluster, by (published_at, id)."""
+    return rank_in_group(members, ["component"], [("published_at", True)], "id", "position", parts)
+
+
 def cluster_order() -> list[Column]:
     return [F.col("n_outlets").desc(), F.col("hn_points").desc(), F.col("first_seen").asc(), F.col("title").asc(), F.col("component").asc()]
 

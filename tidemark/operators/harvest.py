@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ def strip_outlet(title: Column, outlet: Column, kind: Column) -> Column:
     return F.when((kind == "gnews") & (outlet != "") & F.endswith(title, tail), cut_title).otherwise(title)
 
 
-def normalise(rows: DataFrame, domains: DataFrame, settings: Settings = DEFAULT, unescape=text.html_unescape) -> DataFrame:
+def normalise(rows: DataFrame, domains: Mapping[str, tuple[str, str]], settings: Settings = DEFAULT, unescape=text.html_unescape) -> DataFrame:
     """Parsed feed rows to raw items: clean texts, outlet fallback, tier, topical filter, id.
 
     rows: feed, kind, tier, lang, filter, feed_pos, row_pos, title, url, published_at, summary, outlet,

@@ -7,7 +7,7 @@ facts about an item's sources) are joins and aggregations.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +111,7 @@ def item_violations(
 
 
 def source_violations(
-    sources: DataFrame, domains: DataFrame, tiers: Sequence[str] = TIERS, langs: Sequence[str] = LANGS, keys: Sequence[str] = ("id", "pos")
+    sources: DataFrame, domains: Mapping[str, tuple[str, str]], tiers: Sequence[str] = TIERS, langs: Sequence[str] = LANGS, keys: Sequence[str] = ("id", "pos")
 ) -> DataFrame:
     """Rules of a source; a known domain under another tier warns unless it is known as primary."""
     known = urls.with_known_domain(sources, "url", domains)

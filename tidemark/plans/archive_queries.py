@@ -7,15 +7,15 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import domain_dimension, feed_dimension
+from ..config import feed_dimension
 from ..functions import text, times
 from ..operators import calendar, harvest, market, marts, placement, views
 from ..operators.ranking import rank_in_group
 from ..schemas import DAILY
-from ..session import cut, work_path
+from ..session import cut, stored, work_path
 from ..sources import archive, payloads, prices as price_store, snapshots
 from . import bindings as b
-from .dedupe_queries import KNOWN_OUTLETS
+from .dedupe_queries import CLEAN_SQL, KNOWN_OUTLETS, TOPICAL_SQL
 from .market_queries import prices, study
 from .quality_queries import upcoming
 from .registry import cte, query
@@ -292,16 +292,31 @@ def story_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("url_pos", "title", "url", "published", "signals.hn_points", "signals.hn_comments", "signals.hn_url")
 
 
-@query("harvest_end_to_end")
+@query("harvest_end_to_end", f"""
+WITH c AS (SELECT *, id % 5 AS k, {CLEAN_SQL.format('title')} AS t, CASE WHEN id % 5 = 4 THEN '' ELSE {CLEAN_SQL.format('text')} END AS s FROM headlines WHERE trim(title) <> ''),
+d AS (SELECT *, CASE WHEN length(t) <= 300 THEN t ELSE rtrim(substr(t, 1, 299)) || '…' END AS clean_title,
+             CASE WHEN length(s) <= 600 THEN s ELSE rtrim(substr(s, 1, 599)) || '…' END AS summary FROM c)
+SELECT substr(sha1(CASE WHEN k = 3 THEN 'https://arxiv.org/abs/' || id WHEN k = 4 AND id % 2 = 1 THEN 'https://news.ycombinator.com/item?id=' || id ELSE 'https://example.com/' || id END), 1, 12) AS id,
+       clean_title AS title,
+       CASE WHEN k = 3 THEN 'https://arxiv.org/abs/' || id WHEN k = 4 AND id % 2 = 1 THEN 'https://news.ycombinator.com/item?id=' || id ELSE 'http://www.example.com/' || id || '?utm_source=x' END AS url,
+       CASE WHEN k = 3 THEN 'Hugging Face Daily Papers' WHEN k = 4 THEN 'Hacker News' WHEN k > 0 AND id % 2 = 0 THEN 'mirror' ELSE outlet END AS outlet,
+       tier, strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS published_at
+FROM d WHERE lang <> 'de' OR {TOPICAL_SQL.format("clean_title || ' ' || summary")}
+""")
 def harvest_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages of all notations to merged items: parse, normalise, merge by id. Weaker check: rows only."""
-    rows = payloads.feed_rows(payloads.parse_pages(payload_pages(spark, sf)))
+    """Pages of all notations to merged items: parse, filter German ones by topic, normalise, merge by id. Every second page
+    is also fetched by a mirror that comes first in the order of feeds."""
+    pages = payload_pages(spark, sf).withColumn("feed_pos", F.lit(1))
+    mirrored = pages.filter(F.col("url_pos") % 2 == 0).withColumns({"feed": F.lit("mirror"), "feed_pos": F.lit(0)})
+    rows = payloads.feed_rows(payloads.parse_pages(pages.unionByName(mirrored)))
+    place = F.shiftleft(F.col("url_pos"), 24) + F.col("row_pos")  # a page is one string and holds fewer entries than 2^24
     dated = rows.withColumns({
-        "published_at": times.parse_feed_date(F.col("published")), "filter": F.lit(False), "feed_pos": F.lit(0),
-        "row_pos": F.shiftleft(F.col("url_pos"), 24) + F.col("row_pos"),  # a page is one string and holds fewer entries than 2^24
+        "published_at": times.parse_feed_date(F.col("published")), "filter": F.col("lang") == "de",
+        "row_pos": place + F.shiftleft(F.col("feed_pos").cast("bigint"), 61),
     }).filter("published_at is not null")
-    items = harvest.normalise(dated, domain_dimension(spark, KNOWN_OUTLETS), b.SETTINGS)
-    return harvest.merge_by_id(cut(items), "row_pos").select("id", "title", "url", "outlet", "tier", "published_at")
+    items = harvest.normalise(dated, KNOWN_OUTLETS, b.SETTINGS)
+    merged = harvest.merge_by_id(stored(items, "harvested"), "row_pos")
+    return merged.select("id", "title", "url", "outlet", "tier", times.fmt_ts(F.col("published_at")).alias("published_at"))
 
 
 # ---- calendar ---------------------------------------------------------------------------------------

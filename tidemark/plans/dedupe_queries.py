@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import domain_dimension
 from ..functions import text, urls
 from ..operators import clusters, components, dedupe, harvest, similarity
 from ..session import cut
@@ -207,7 +206,7 @@ FROM headlines h JOIN cluster_words w ON h.id = w.id LEFT JOIN cluster_sets s ON
 LEFT JOIN set_components c ON c.node = s.set_id
 """)
 cte("cluster_rows", """
-SELECT component, count(*) AS n_items, count(DISTINCT outlet) AS n_outlets, array_to_string(list_sort(list_distinct(list(outlet))), ',') AS outlets,
+SELECT component, count(*) AS n_items, count(DISTINCT outlet) AS n_outlets,
        min(published_at) AS first_seen, coalesce(max(hn_points), 0) AS hn_points, coalesce(max(hf_upvotes), 0) AS hf_upvotes,
        first(id ORDER BY CASE tier WHEN 'primary' THEN 0 WHEN 'press' THEN 1 WHEN 'trade' THEN 2 ELSE 3 END, via = 'gnews', published_at, id) AS best_id
 FROM clustered GROUP BY component
@@ -234,25 +233,40 @@ def connected(spark: SparkSession, sf: str) -> DataFrame:
     return components.connected_components(pairs, "set_a", "set_b")
 
 
-def cluster_table(spark: SparkSession, sf: str) -> DataFrame:
+def cluster_members(spark: SparkSession, sf: str) -> DataFrame:
     items = b.headlines(spark, sf).drop("text").withColumns({
         "url": F.concat(F.lit("https://"), "outlet", F.lit(".example.com/"), F.col("id").cast("string")),
         "hn_points": F.when(F.col("via") == "hn", F.col("n_chars")),
         "hf_upvotes": F.when(F.col("via") == "hf", F.col("n_chars")),
     })
-    return clusters.roll_up(clusters.headline_clusters(items, _cluster_words(), b.SETTINGS.cluster_jaccard))
+    return clusters.headline_clusters(items, _cluster_words(), b.SETTINGS.cluster_jaccard)
+
+
+def cluster_table(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.roll_up(cluster_members(spark, sf))
 
 
 @query("a18_cluster_roll_up", """
-SELECT component, n_items, n_outlets, outlets, strftime(first_seen, '%Y-%m-%dT%H:%M:%SZ') AS first_seen, hn_points, hf_upvotes, best_id FROM cluster_rows
+SELECT component, n_items, n_outlets, strftime(first_seen, '%Y-%m-%dT%H:%M:%SZ') AS first_seen, hn_points, hf_upvotes, best_id FROM cluster_rows
 """)
 def cluster_roll_up(spark: SparkSession, sf: str) -> DataFrame:
     return cluster_table(spark, sf).select(
-        "component", "n_items", "n_outlets", F.array_join("outlets", ",").alias("outlets"),
+        "component", "n_items", "n_outlets",
         F.date_format("first_seen", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("first_seen"), "hn_points", "hf_upvotes", "best_id",
     )
 
 
+@query("a18_cluster_outlets", "SELECT component, outlet, count(*) AS n_items FROM clustered GROUP BY component, outlet")
+def cluster_outlets(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.cluster_outlets(cluster_members(spark, sf))
+
+
+@query("a18_cluster_members", "SELECT component, id, row_number() OVER (PARTITION BY component ORDER BY published_at, id) AS position FROM clustered")
+def cluster_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Every item with its cluster and its place there, oldest first."""
+    return clusters.placed_members(cluster_members(spark, sf)).select("component", "id", "position")
+
+
 @query("o1_cluster_order", """
 SELECT lang, CAST(rn AS BIGINT) AS rn, component FROM (
   SELECT h.lang, component, row_number() OVER (PARTITION BY h.lang ORDER BY n_outlets DESC, hn_points DESC, first_seen, h.title, component) AS rn
@@ -310,22 +324,24 @@ def feed_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_CLEAN = "trim(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+#: Topical as far as these texts go: the loose and the strict pattern on their words.
+TOPICAL_SQL = r"""(regexp_matches({0}, '(?i)ai')
+  OR regexp_matches({0}, '(?i)(^|[^\p{{L}}\p{{N}}_])(agents?|chips?|robot\w*|neural|transformer|inference|diffusion|multimodal|LLMs?|GPUs?)($|[^\p{{L}}\p{{N}}_])'))"""
+CLEAN_SQL = "trim(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 @query("p6_normalise", f"""
-WITH c AS (SELECT *, {_CLEAN.format("title || CASE via WHEN 'gnews' THEN ' - ' || outlet ELSE '' END")} AS t, {_CLEAN.format('text')} AS s FROM headlines),
+WITH c AS (SELECT *, {CLEAN_SQL.format("title || CASE via WHEN 'gnews' THEN ' - ' || outlet ELSE '' END")} AS t, {CLEAN_SQL.format('text')} AS s FROM headlines),
 d AS (SELECT *, CASE WHEN length(t) <= 300 THEN t ELSE rtrim(substr(t, 1, 299)) || '…' END AS t2,
              CASE WHEN length(s) <= 600 THEN s ELSE rtrim(substr(s, 1, 599)) || '…' END AS summary FROM c),
 e AS (SELECT *, CASE WHEN via = 'gnews' AND ends_with(t2, ' - ' || outlet) THEN left(t2, length(t2) - length(outlet) - 3) ELSE t2 END AS clean_title FROM d)
 SELECT substr(sha1('https://example.com/' || id), 1, 12) AS id, clean_title AS title, 'http://www.Example.com/' || id || '/?utm_source=x' AS url, summary,
        CASE via WHEN 'gnews' THEN outlet ELSE 'feed-' || lang END AS outlet,
        CASE WHEN via <> 'gnews' THEN tier WHEN outlet = 'src0' THEN 'primary' WHEN outlet = 'src1' THEN 'social' WHEN outlet = 'src2' THEN 'trade' ELSE 'press' END AS tier
-FROM e WHERE lang <> 'de' OR regexp_matches(clean_title || ' ' || summary, '(?i)ai')
-  OR regexp_matches(clean_title || ' ' || summary, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(agents?|chips?|robot\\w*|neural|transformer|inference|diffusion|multimodal|LLMs?|GPUs?)($|[^\\p{{L}}\\p{{N}}_])')
+FROM e WHERE lang <> 'de' OR {TOPICAL_SQL.format("clean_title || ' ' || summary")}
 """)
 def normalise(spark: SparkSession, sf: str) -> DataFrame:
-    done = harvest.normalise(feed_rows(spark, sf), domain_dimension(spark, KNOWN_OUTLETS), b.SETTINGS)
+    done = harvest.normalise(feed_rows(spark, sf), KNOWN_OUTLETS, b.SETTINGS)
     return done.select("id", "title", "url", "summary", "outlet", "tier")
 
 

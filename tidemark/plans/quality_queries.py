@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import TIERS, domain_dimension
+from ..config import TIERS
 from ..functions import times
 from ..operators import quality
 from . import bindings as b
@@ -116,7 +116,7 @@ def item_rules(spark: SparkSession, sf: str) -> DataFrame:
         ("tier differs from the known domain", "warning", "NOT bad AND known <> tier AND known <> 'primary' AND tier <> 'blog'"),
     ]))
 def source_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.source_violations(draft_sources(spark, sf), domain_dimension(spark, KNOWN), keys=("doc_id", "pos", "part_key"))
+    return quality.source_violations(draft_sources(spark, sf), KNOWN, keys=("doc_id", "pos", "part_key"))
 
 
 @query("v7_report", f"""

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import domain_dimension
 from ..functions import text, times, urls
 from ..operators import scoring
 from . import bindings as b
@@ -176,7 +175,7 @@ SELECT page_id, host, CASE WHEN host = 'blog.theres.example.com' THEN 'social'
 FROM page_urls
 """)
 def known_domain(spark: SparkSession, sf: str) -> DataFrame:
-    known = urls.with_known_domain(b.pages(spark, sf), "url", domain_dimension(spark, KNOWN_DOMAINS))
+    known = urls.with_known_domain(b.pages(spark, sf), "url", KNOWN_DOMAINS)
     return known.select("page_id", urls.domain_of(F.col("url")).alias("host"), "known_tier")
 
 
