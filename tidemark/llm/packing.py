@@ -40,6 +40,8 @@ GROUP_PIECES = 65_536
 CACHE_PARTS = 200_000
 LONGEST_CACHED = 40
 SLICE = 4 << 20
+#: Bytes hashed at once.
+HASHED = 1 << 19
 #: ASCII but white space.
 _PLAIN = np.zeros(256, dtype=bool)
 _PLAIN[:0x80] = True
@@ -120,7 +122,7 @@ class Encoder:
         """(ids of all texts, bounds of each text's ids). Equal parts are told by a 64-bit hash and encoded once."""
         starts = part_starts(raw, bounds)
         ends = np.append(starts[1:], len(raw))
-        _, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        _, first, which = np.unique(part_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         data = raw.tobytes()
         found = self.part_ids([data[lo:hi].decode() for lo, hi in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         flat = np.frombuffer(b"".join(found), dtype="<u4")
@@ -148,6 +150,16 @@ def part_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def part_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every part; about `HASHED` bytes at a time, so that the arrays in between stay small. Parts lie end to end."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    first = np.unique(np.searchsorted(starts, np.arange(0, len(raw), HASHED)))
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(starts)], strict=True):
+        if b > a:
+            out[a:b] = span_hashes(raw[starts[a] : ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a])
+    return out
+
+
 @lru_cache(maxsize=1)
 def encoder(tokenizer_file: str) -> Encoder:
     """One for each Python worker: its cache serves the tasks that follow."""
@@ -192,6 +204,7 @@ def _cut(window: int, end_id: int, tokenizer_file: str | None, with_ids: bool =
                     columns.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 
