@@ -341,6 +341,20 @@ def test_embedding_dedup(spark):
                 assert (r["n_links"], r["component_id"], r["kept"]) == (0, r["vec_id"], True)
 
 
+def test_embedding_dedup_in_a_subspace(spark):
+    """Vectors of rank 3 in 64 dimensions: steps to near copies point across cell borders."""
+    rng = np.random.default_rng(11)
+    low = rng.normal(size=(1500, 3))
+    x = (low @ np.linalg.qr(rng.normal(size=(64, 3)))[0].T).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    want = near.sum(axis=1) - 1
+    root = components(range(len(x)), zip(*np.nonzero(np.triu(near, 1)), strict=True))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicate_vectors(df).collect()}
+    assert got == {i: (want[i], root[i]) for i in range(len(x))}
+
+
 def test_neighbours(spark):
     good, rows = vectors()
     x = {i: np.array(v, dtype=np.float32).astype(float) for i, v in good}

@@ -2,12 +2,13 @@
 
 Equal vectors are folded first, with their number. Centroids are fitted on a bounded sample. Every vector owns a place in
 the cell of its nearest centroid and visits each cell whose border it is close to: y can have a neighbour within angle a
-in the cell of c only if y . (own - c) / |own - c| <= sin a. That bound (`margin` = sin a) is exact. In d dimensions the
-step from a vector to a neighbour has a component of sin a / sqrt(d) along a border's normal, so the default margin is
-four times that, at a small part of the work; recall against brute force was 1.0 on the test tables.
+in the cell of c only if y . (own - c) / |own - c| <= sin a. That bound (`margin` = sin a, the default) is exact: no link
+is lost, whatever the vectors' directions.
 
-Cells are compared in blocks: owners against owners and visitors, cosine products in double precision. A block puts out
-the number of links of each owner and a forest of links, never pairs. Large cells become many blocks.
+Neighbouring cells are joined to groups of about `BLOCK_VALUES` numbers. A vector is sent once to each group it visits a
+cell of, not once to each cell, and the visits are found again where the group is compared. Groups are compared in
+blocks: owners against owners and visitors, cosine products in double precision. A block puts out the number of links of
+each owner and a forest of links, never pairs. Large groups become many blocks.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or are not of the most frequent length
 link with nothing and are kept. A null vec_id links with nothing, component null. An empty table gives no rows. Other
@@ -33,7 +34,10 @@ MAX_CELLS = 4096
 SAMPLE_PER_CELL = 64
 ROUNDS = 8
 OWNERS, VISITORS = 1024, 2048
-DEVIATIONS = 4.0
+#: Vector components on one side of a block.
+BLOCK_VALUES = 1 << 20
+#: Rounding of products of unit vectors.
+SLACK = 1e-9
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -53,48 +57,83 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5)
     return c
 
 
+def _visits(near: np.ndarray, own_near: np.ndarray, between: np.ndarray, margin: float) -> np.ndarray:
+    return own_near[:, None] - near <= margin * between + SLACK
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(2 - 2 * a @ b.T, 0))
+
+
 def _assign(shared, margin: float):
-    """A vector's own cell, and the cells it visits."""
+    """A vector's own cell, and the groups of the cells it visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
-        between = np.sqrt(np.maximum(2 - 2 * c @ c.T, 0))
+        c, group = shared.value
+        between = _distances(c, c)
+        order = np.argsort(group, kind="stable")
+        starts = np.flatnonzero(np.diff(group[order], prepend=-1))
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 part = batch.slice(at, 2048)
                 x = _unit(matrix(part.column("embedding")))
                 near = x @ c.T
                 own = near.argmax(axis=1)
-                gap = near[np.arange(len(x)), own][:, None] - near
-                row, cell = np.nonzero(gap <= margin * between[own])
+                visits = _visits(near, near[np.arange(len(x)), own], between[own], margin)
+                row, k = np.nonzero(np.logical_or.reduceat(visits[:, order], starts, axis=1))
+                visited = group[order][starts][k]
                 out = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cell.astype(np.int32)), pa.array(own[row] == cell)], names=[*out.schema.names, "cell", "owner"])
+                columns = [pa.array(own[row].astype(np.int32)), pa.array(visited.astype(np.int32)), pa.array(group[own[row]] == visited)]
+                yield pa.RecordBatch.from_arrays([*out.columns, *columns], names=[*out.schema.names, "own", "cell", "owner"])
 
     return run
 
 
-def _compare(cosine: float):
+def _linked(x: np.ndarray, ids: np.ndarray, y: np.ndarray, other_ids: np.ndarray, copies: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(id, links, smallest id that links lead to) of those that have links here."""
+    linked = x @ y.T >= cosine
+    if not linked.any():
+        return None
+    linked &= ids[:, None] != other_ids[None, :]
+    own, other = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    if not len(own):
+        return None
+    linked = linked[np.ix_(own, other)]
+    n = linked @ copies[other]
+    top = np.iinfo(np.int64).max
+    a, b = ids[own], other_ids[other]
+    while True:
+        new_a = np.minimum(a, np.where(linked, b[None, :], top).min(axis=1))
+        new_b = np.minimum(b, np.where(linked, new_a[:, None], top).min(axis=0))
+        if (new_a == a).all() and (new_b == b).all():
+            break
+        a, b = new_a, new_b
+    return np.concatenate([ids[own], other_ids[other]]), np.concatenate([n, np.zeros(len(other), dtype=np.int64)]), np.concatenate([a, b])
+
+
+def _compare(shared, cosine: float, margin: float):
     def run(key, owners: pa.Table, others: pa.Table) -> pa.Table:
-        ids, other_ids = owners.column("id").to_numpy(), others.column("id").to_numpy()
         schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("root", pa.int64())])
-        if not len(ids) or not len(other_ids):
+        if not len(owners) or not len(others):
             return schema.empty_table()
+        c, _ = shared.value
+        ids, other_ids, copies = (t.to_numpy() for t in (owners.column("id"), others.column("id"), others.column("copies")))
         x, y = _unit(matrix(owners.column("embedding"))), _unit(matrix(others.column("embedding")))
-        linked = (x @ y.T >= cosine) & (ids[:, None] != other_ids[None, :])
-        own, other = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
-        if not len(own):
-            return schema.empty_table()
-        linked = linked[np.ix_(own, other)]
-        n = linked @ others.column("copies").to_numpy()[other]
-        top = np.iinfo(np.int64).max
-        a, b = ids[own], other_ids[other]
-        while True:  # the smallest id that links lead to inside the block
-            new_a = np.minimum(a, np.where(linked, b[None, :], top).min(axis=1))
-            new_b = np.minimum(b, np.where(linked, new_a[:, None], top).min(axis=0))
-            if (new_a == a).all() and (new_b == b).all():
-                break
-            a, b = new_a, new_b
-        return pa.table([np.concatenate([ids[own], other_ids[other]]), np.concatenate([n, np.zeros(len(other), dtype=np.int64)]), np.concatenate([a, b])], schema=schema)
+        cell_of, home = owners.column("own").to_numpy(), others.column("own").to_numpy()
+        own_near = np.einsum("ij,ij->i", y, c[home])
+        found = []
+        for cell in np.unique(cell_of):
+            mine = np.flatnonzero(cell_of == cell)
+            between = _distances(c, c[cell : cell + 1])[home]
+            guests = np.flatnonzero(_visits(y @ c[cell][:, None], own_near, between, margin)[:, 0])
+            for g in range(0, len(guests), VISITORS):
+                some = guests[g : g + VISITORS]
+                near_y = y[some]
+                for m in range(0, len(mine), OWNERS):
+                    few = mine[m : m + OWNERS]
+                    found.append(_linked(x[few], ids[few], near_y, other_ids[some], copies[some], cosine))
+        found = [f for f in found if f is not None]
+        return pa.table([np.concatenate(p) for p in zip(*found, strict=True)], schema=schema) if found else schema.empty_table()
 
     return run
 
@@ -110,23 +149,25 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, margin: f
     n = unique.count()
     cells = min(MAX_CELLS, max(1, n // ROWS_PER_CELL))
     if margin is None:
-        margin = min(1.0, DEVIATIONS / max(1.0, length) ** 0.5) * (1 - cosine**2) ** 0.5
+        margin = (1 - cosine**2) ** 0.5 if cosine > 0 else 1.0
     fitted = sample(unique, "id", "embedding", cells * SAMPLE_PER_CELL)
     centroids = spherical_kmeans(fitted, cells) if len(fitted) else np.zeros((1, max(1, length)))
-    shared = spark.sparkContext.broadcast(centroids)
+    side = max(OWNERS, BLOCK_VALUES // max(1, length))
+    heads = spherical_kmeans(centroids, max(1, min(cells, n // side))) if len(fitted) else centroids
+    shared = spark.sparkContext.broadcast((centroids, (centroids @ heads.T).argmax(axis=1)))
     kind = dict(rows.dtypes)["embedding"]
-    placed = stored(unique.mapInArrow(_assign(shared, margin), f"embedding {kind}, id long, copies long, cell int, owner boolean"), "cells")
+    placed = stored(unique.mapInArrow(_assign(shared, margin), f"embedding {kind}, id long, copies long, own int, cell int, owner boolean"), "cells")
     sizes = placed.groupBy("cell").agg(
-        F.ceil(F.count_if("owner") / OWNERS).cast("int").alias("own_blocks"), F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("blocks")
+        F.ceil(F.count_if("owner") / side).cast("int").alias("own_blocks"), F.ceil(F.count(F.lit(1)) / side).cast("int").alias("blocks")
     )
     sized = placed.join(sizes, "cell")
     spread = F.xxhash64("id", F.lit(1))
     owners = sized.filter("owner").withColumn("i", F.pmod(spread, "own_blocks").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     others = sized.withColumn("j", F.pmod(spread, "blocks").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest("own_blocks", F.lit(1)) - 1)))
     keys = ["cell", "i", "j"]
-    columns = [*keys, "id", "copies", "embedding"]
-    owners, others = (side.select(*[F.col(c).alias(c) for c in columns]) for side in (owners, others))
-    found = owners.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(_compare(cosine), "id long, n long, root long")
+    columns = [*keys, "id", "copies", "own", "embedding"]
+    owners, others = (rows_of.select(*[F.col(c).alias(c) for c in columns]) for rows_of in (owners, others))
+    found = owners.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(_compare(shared, cosine, margin), "id long, n long, root long")
     found = stored(found.groupBy("id", "root").agg(F.sum("n").alias("n")), "links")
     direct = found.groupBy("id").agg(F.sum("n").alias("n"))
     members = stored(good.join(unique, "embedding").select("vec_id", "id", "copies").distinct(), "members")
