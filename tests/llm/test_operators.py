@@ -277,6 +277,19 @@ def test_language_costs_match_a_plain_context_tree():
         assert abs(want - got) < 1e-3
 
 
+def test_language_keeps_rare_contexts(spark):
+    """Contexts beyond the unrolled table cost what they cost in it, and no count is dropped."""
+    rng = random.Random(12)
+    letters = [chr(0x4E00 + 7 * i) for i in range(300)]
+    rows = [(i, "".join(rng.choice(letters) for _ in range(40)), "zh", "s", 1) for i in range(60)] + [(100 + i, "the of and with", "en", "s", 1) for i in range(9)]
+    labelled = spark.createDataFrame(rows, DOCS)
+    few, all_ = language.train(labelled, max_contexts=3), language.train(labelled, max_contexts=1 << 24)
+    texts = [rows[0][1].encode(), rows[9][1][::-1].encode(), b"the and of q", "é中 the".encode(), b"x"]
+    raw, bounds = np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)])
+    assert len(few.bits[0]) < len(all_.bits[0])
+    np.testing.assert_allclose(few.costs(raw, bounds), all_.costs(raw, bounds), rtol=1e-5)
+
+
 def test_language_model(spark, docs):
     rows = corpus()
     tokens = [[*words(r[1]), None] for r in rows]

@@ -4,12 +4,14 @@ Training counts every (context, byte) of up to `order` preceding bytes, A-Z lowe
 one context tree per language. A symbol is coded by the longest context that has been seen; a symbol that is new there
 costs an escape (method C: types / (count + types)) and goes on with the next shorter context, down to uniform bytes. With
 frozen counts the cost of a byte depends on the `order` bytes before it only, so the trees are unrolled once into a table
-(known context state, byte) -> bits per language and texts are scored by looking it up. The language with the shortest
-code wins (ties: the smaller name); its score is its posterior under equal priors.
+(known context state, byte) -> bits per language and texts are scored by looking it up. The table has rows for the
+`max_contexts` most frequent contexts of each language and their suffixes; bytes after any other known context are looked
+up in the sparse tree itself, at the same cost in bits. The language with the shortest code wins (ties: the smaller name);
+its score is its posterior under equal priors.
 
 Defined cases: null text, empty text, or text without a letter gives `und`, score 0. No training rows: every text is
 `und`. Any number of languages; rows without a language are not learnt from. A repeated row counts as often as it occurs.
-Contexts are limited to the `max_contexts` most frequent per language (a bound of the model, at most 256^order anyway).
+No count is dropped: all contexts (at most 256^order a language) take part in every order.
 """
 
 from __future__ import annotations
@@ -81,11 +83,55 @@ def _count_grams(order: int, keep: int = 1 << 21):
     return run
 
 
+class Tree:
+    """One language's context tree as sorted tables: for each depth the contexts with their bits of an escape, and the
+    seen (context, symbol) with their bits."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, order: int, symbols: np.ndarray):
+        self.width = int(symbols.max()) + 1
+        self.levels: list[tuple[np.ndarray, ...]] = []
+        own, n = _gram_codes(grams, order, symbols), np.asarray(n, dtype=np.float64)
+        for depth in range(order + 1):
+            seen, back = np.unique(own % self.width ** (depth + 1), return_inverse=True)
+            count = np.bincount(back, weights=n)
+            contexts, row = np.unique(seen // self.width, return_inverse=True)
+            total, types = np.bincount(row, weights=count), np.bincount(row)
+            scale = total + types
+            # What the shorter context leaves to the symbols not seen here, in exact counts.
+            if depth:
+                at = np.searchsorted(shorter[0], contexts % self.width ** (depth - 1))
+                taken = np.bincount(row, weights=shorter[4][np.searchsorted(shorter[3], seen % self.width**depth)])
+                rest = (shorter[2][at] + shorter[1][at] - taken) / (shorter[1][at] + shorter[2][at])
+            else:
+                rest = np.full(len(contexts), (self.width - len(seen)) / 256)
+            shorter = (contexts, total, types, seen, count)
+            escape = -np.log2(types / scale / np.maximum(rest, 1e-300))
+            self.levels.append((contexts, escape, seen, -np.log2(count / scale[row])))
+
+    def bits(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of symbols, each given as a number together with the `order` symbols before it."""
+        out, open_ = np.zeros(len(codes)), np.arange(len(codes))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            contexts, escape, seen, cost = self.levels[depth]
+            if not len(seen):
+                continue
+            asked = codes[open_] % self.width ** (depth + 1)
+            at = np.minimum(np.searchsorted(seen, asked), len(seen) - 1)
+            hit = seen[at] == asked
+            out[open_[hit]] += cost[at[hit]]
+            open_, asked = open_[~hit], asked[~hit] // self.width
+            at = np.minimum(np.searchsorted(contexts, asked), len(contexts) - 1)
+            out[open_] += np.where(contexts[at] == asked, escape[at], 0.0)
+        out[open_] += 8.0
+        return np.minimum(out, -np.log2(1e-12))
+
+
 class Model:
-    """Frozen statistics as a table: state of the preceding bytes and the byte -> bits in each language."""
+    """Frozen statistics as a table: state of the preceding bytes and the byte -> bits in each language; the trees for
+    contexts without a state."""
 
-    def __init__(self, languages: list[str], order: int, symbols: np.ndarray, states: np.ndarray, bits: np.ndarray):
-        self.languages, self.order, self.symbols, self.states, self.bits = languages, order, symbols, states, bits
+    def __init__(self, languages: list[str], order: int, symbols: np.ndarray, states: np.ndarray, bits: np.ndarray, trees: list[Tree]):
+        self.languages, self.order, self.symbols, self.states, self.bits, self.trees = languages, order, symbols, states, bits, trees
 
     def costs(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Bits of every row in every language."""
@@ -101,13 +147,28 @@ class Model:
             before[k:] = sym[:-k]
             before[offset < k] = self.symbols[0]
             context = context * width + before
-        at = self.states[context] * width + sym
+        state = self.states[context]
+        odd = np.flatnonzero(state < 0)
+        codes, back = np.unique(context[odd].astype(np.int64) * width + sym[odd], return_inverse=True)
+        at = np.maximum(state, 0) * width + sym
         full = np.flatnonzero(np.diff(bounds))
         for k in range(len(self.languages)):
-            out[full, k] = np.add.reduceat(self.bits[k].take(at), bounds[full], dtype=np.float64)
+            bits = self.bits[k].take(at)
+            if len(odd):
+                bits[odd] = self.trees[k].bits(codes)[back]
+            out[full, k] = np.add.reduceat(bits, bounds[full], dtype=np.float64)
         return out
 
 
+def _gram_codes(grams: np.ndarray, order: int, symbols: np.ndarray) -> np.ndarray:
+    """Grams as numbers over the symbols, first byte highest."""
+    width = int(symbols.max()) + 1
+    code = np.zeros(len(grams), dtype=np.int64)
+    for k in range(order, -1, -1):
+        code = code * width + symbols[(grams >> (8 * k)) & 255]
+    return code
+
+
 def _ppm_bits(grams: np.ndarray, n: np.ndarray, order: int, symbols: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     """Bits of every symbol after each context (rows: contexts as numbers over the symbols, longest first byte)."""
     width = int(symbols.max()) + 1
@@ -148,23 +209,21 @@ def _ppm_bits(grams: np.ndarray, n: np.ndarray, order: int, symbols: np.ndarray,
 
 
 def train(labelled: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> Model:
-    """Learn from the columns text and lang of all rows given. What reaches the driver is the counts of at most
-    `max_contexts` contexts a language, never rows."""
+    """Learn from the columns text and lang of all rows given. What reaches the driver is one count for each distinct
+    gram of a language, never rows."""
     bounded_batches(labelled)
     rows = labelled.select(F.col("text"), F.col("lang").cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     grams = rows.mapInArrow(_count_grams(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = stored(grams, "grams")
-    best = grams.groupBy("lang", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"))
-    languages = sorted(r["lang"] for r in best.select("lang").distinct().collect())
+    languages = sorted(r["lang"] for r in grams.select("lang").distinct().collect())
     counts = {}
     for lang in languages:
-        kept = best.filter(F.col("lang") == lang).orderBy(F.desc("total"), "context").limit(max_contexts).select("context")
-        part = grams.filter(F.col("lang") == lang).join(kept, F.shiftright("gram", 8) == F.col("context"), "left_semi").select("gram", "n").toArrow()
+        part = grams.filter(F.col("lang") == lang).select("gram", "n").toArrow()
         counts[lang] = (part.column("gram").to_numpy(), part.column("n").to_numpy().astype(np.float64))
-    return build(languages, counts, order)
+    return build(languages, counts, order, max_contexts)
 
 
-def build(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) -> Model:
+def build(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int, max_contexts: int = MAX_CONTEXTS) -> Model:
     used = np.zeros(256, dtype=bool)
     used[0] = True
     for grams, _ in counts.values():
@@ -174,34 +233,28 @@ def build(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]]
     symbols[~used] = used.sum()  # all bytes never seen share one symbol
     symbols[used] = np.arange(used.sum())
     width = int(symbols.max()) + 1
-    every = []
-    for grams, _ in counts.values():
-        code = np.zeros(len(grams), dtype=np.int64)
-        for k in range(order, 0, -1):
-            code = code * width + symbols[(grams >> (8 * k)) & 255]
-        every.append(np.unique(code))
-    contexts = np.unique(np.concatenate([np.zeros(1, dtype=np.int64), *every]))
-    # A context that was never seen whole falls back to its longest suffix that was: one state for each known suffix.
-    states = np.full(width**order, -1, dtype=np.int32)
-    reached = [contexts]
-    states[contexts] = np.arange(len(contexts))
-    size = len(contexts)
-    for depth in range(order - 1, -1, -1):
-        suffix = np.unique(contexts % (width**depth))
+    known, rows = [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
+    for grams, n in counts.values():
+        contexts, back = np.unique(_gram_codes(grams, order, symbols) // width, return_inverse=True)
+        known.append(contexts)
+        rows.append(contexts[np.argsort(-np.bincount(back, weights=n), kind="stable")[:max_contexts]])
+    known, rows = np.unique(np.concatenate(known)), np.unique(np.concatenate(rows))
+    # A context that was never seen whole falls back to its longest suffix that was: one state for each suffix with a row.
+    # -1: the longest known suffix has no row.
+    states = np.full(width**order, -2, dtype=np.int32)
+    reached, size = [], 0
+    for depth in range(order, -1, -1):
         marked = states.reshape(width ** (order - depth), width**depth)
-        ids = np.full(width**depth, -1, dtype=np.int32)
+        ids = np.full(width**depth, -2, dtype=np.int32)
+        ids[known % (width**depth)] = -1
+        suffix = np.unique(rows % (width**depth))
         ids[suffix] = np.arange(size, size + len(suffix))
         size += len(suffix)
-        np.copyto(marked, ids[None, :], where=marked < 0)
-        reached.append(suffix + (np.int64(depth + 1) << 40))
-    bits = []
-    for lang in languages:
-        parts = []
-        for k, asked in enumerate(reached):
-            depth = order if k == 0 else order - k
-            parts.append(_suffix_bits(counts[lang], order, depth, symbols, asked & ((1 << 40) - 1)))
-        bits.append(np.concatenate(parts).ravel())
-    return Model(languages, order, symbols, states.ravel(), np.stack(bits) if bits else np.zeros((0, 0), dtype=np.float32))
+        np.copyto(marked, ids[None, :], where=marked == -2)
+        reached.append((depth, suffix))
+    bits = [np.concatenate([_suffix_bits(counts[lang], order, depth, symbols, asked) for depth, asked in reached]).ravel() for lang in languages]
+    trees = [Tree(*counts[lang], order, symbols) for lang in languages]
+    return Model(languages, order, symbols, states.ravel(), np.stack(bits) if bits else np.zeros((0, 0), dtype=np.float32), trees)
 
 
 def _suffix_bits(counts: tuple[np.ndarray, np.ndarray], order: int, depth: int, symbols: np.ndarray, contexts: np.ndarray) -> np.ndarray:
