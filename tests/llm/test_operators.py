@@ -322,6 +322,13 @@ def test_language_model_probabilities_sum_to_one(spark, docs):
         assert abs(total - 1) < 0.02
 
 
+def test_language_model_knows_words_beyond_the_numbered(spark, docs):
+    """The numbered words are a matter of storage: scores hardly differ, but for the draws."""
+    runs = [{r["doc_id"]: r["score"] for r in perplexity.score_corpus(docs, vocabulary=v).collect() if r["doc_id"] is not None} for v in (perplexity.VOCABULARY, 12)]
+    assert all(abs(runs[0][i] - runs[1][i]) < 0.05 * abs(runs[0][i]) + 0.2 for i in runs[0])
+    assert abs(sum(runs[0].values()) / sum(runs[1].values()) - 1) < 0.01
+
+
 def vectors(seed=7):
     rng = np.random.default_rng(seed)
     rows = []

@@ -1,9 +1,13 @@
 """Language-model scores by a hierarchical Pitman-Yor model (operator 3).
 
-Restaurants: the root restaurant of words, whose base is uniform over the vocabulary and one unknown word, and below it
-one restaurant for the context of each of the `VOCABULARY` most frequent words and of a text's start; all share the root
-as parent. Words beyond that vocabulary are one dish of these restaurants, drawn from it by a Pitman-Yor restaurant of
-their own with one table a word, and as contexts they use the root directly. Counts are exact and cover all training rows.
+Restaurants: the root restaurant of words, whose base is uniform over the words and one unknown word, and below it
+one restaurant for the context of each word and of a text's start; all share the root as parent. Counts are exact and
+cover all training rows and words.
+
+The `VOCABULARY` most frequent words are numbered, and what is known of them is kept in arrays. The other words go by their
+64-bit hash: pairs with such a word and the sums of such words are Spark tables, joined by hash. Their part of the model is
+the same; no such word is frequent enough to be a hot key, and pairs' numbered side is salted out of the joins. Rows are
+numbered twice by `monotonically_increasing_id`, so an input has to come in the same partitions each time, as files do.
 
 Seating is sampled by Gibbs: a sweep seats the customers of each (context, word) again, one after the other, given the
 other tables of the context and the parent's probabilities of the sweep before; a customer beyond the first
@@ -117,6 +121,75 @@ def _pairs(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return (before << np.uint32(16)) | ids
 
 
+def _in_tail(pairs: np.ndarray) -> np.ndarray:
+    """Whether the context or the word is beyond the numbered ones."""
+    return (pairs >> np.uint32(16) == RARE) | (pairs & np.uint32(0xFFFF) == RARE)
+
+
+_TAIL = "row long, context long, word long, cid int, wid int"
+
+
+def _tail_pairs(shared):
+    """Every occurrence of a pair with a word beyond the numbered ones; a text's start is the context END_HASH."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _gathered(batches, CHUNK_BYTES):
+            numbers = batch.column("row").to_numpy()
+            for lo, hi, tokens, bounds in _tokens(batch, CHUNK_BYTES // 4):
+                pairs = _pairs(_ids(tokens, shared.value), bounds)
+                before = np.concatenate([[END_HASH], tokens[:-1]])
+                before[bounds[:-1]] = END_HASH
+                at = np.flatnonzero(_in_tail(pairs))
+                row = np.repeat(numbers[lo:hi], np.diff(bounds))[at]
+                columns = [row, before[at].view(np.int64), tokens[at].view(np.int64), (pairs[at] >> np.uint32(16)).astype(np.int32), (pairs[at] & np.uint32(0xFFFF)).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in _TAIL.split(", ")])
+
+    return run
+
+
+def _with_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """`pairs` with the columns of the context (c_...) and of the word (w_...) where these are beyond the numbered ones."""
+    for key, number in (("context", "cid"), ("word", "wid")):
+        side = words.select(F.col("key").alias("_key"), *[F.col(c).alias(f"{key[0]}_{c}") for c in words.columns if c != "key"])
+        salted = F.when(F.col(number) == RARE, F.col(key)).otherwise(F.xxhash64("context", "word"))
+        pairs = pairs.withColumn("_at", salted).join(side, F.col("_at") == F.col("_key"), "left").drop("_at", "_key")
+    return pairs
+
+
+def _numbers(batch, column: str) -> np.ndarray:
+    return np.nan_to_num(batch.column(column).to_numpy(zero_copy_only=False).astype(np.float64)) if isinstance(batch, pa.RecordBatch) else np.nan_to_num(batch.column(column).to_numpy().astype(np.float64))
+
+
+def _seat_pairs(shared, k: int):
+    """One sweep over a bucket of tail pairs of several customers: adds t{k}."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        sweep, discount = shared.value
+        rows = rows.sort_by([("context", "ascending"), ("word", "ascending")])
+        cid, wid = rows.column("cid").to_numpy(), rows.column("wid").to_numpy()
+        tables = np.where(cid == RARE, _numbers(rows, f"c_tables{k - 1}"), sweep.tables[cid])
+        root = np.where(wid == RARE, _numbers(rows, f"w_root{k - 1}"), sweep.root[wid])
+        pull = (STRENGTH + discount * np.maximum(tables - rows.column(f"t{k - 1}").to_numpy(), 0)) * root
+        n = rows.column("n").to_numpy()
+        t = seat(n, pull, discount, np.random.default_rng([key[0].as_py(), k, 1])) if len(n) else np.zeros(0)
+        kept = rows.drop_columns([c for c in rows.column_names if c[:2] in ("c_", "w_")])
+        return kept.append_column(f"t{k}", pa.array(t))
+
+    return run
+
+
+def _seat_words(pull: float, discount: float, k: int):
+    """The root's tables of a bucket of words beyond the numbered ones."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("key")
+        n = rows.column("customers").to_numpy()
+        t = seat(n, np.full(len(n), pull), discount, np.random.default_rng([key[0].as_py(), k, 2]))
+        return rows.append_column("root_tables", pa.array(t))
+
+    return run
+
+
 def _bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
     return ((pairs * np.uint32(0x9E3779B1)) >> np.uint32(8)) % np.uint32(buckets)
 
@@ -131,7 +204,8 @@ def _count_pairs(shared, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches, CHUNK_BYTES):
             for _, _, tokens, bounds in _tokens(batch, 2 * CHUNK_BYTES):
-                pairs, n = np.unique(_pairs(_ids(tokens, shared.value), bounds), return_counts=True)
+                pairs = _pairs(_ids(tokens, shared.value), bounds)
+                pairs, n = np.unique(pairs[~_in_tail(pairs)], return_counts=True)
                 where = _bucket(pairs, buckets)
                 order = np.argsort(where, kind="stable")
                 offsets = np.searchsorted(where[order], np.arange(buckets + 1))
@@ -260,28 +334,86 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     shared = spark.sparkContext.broadcast(known)
     dealt = texts.mapInArrow(_count_pairs(shared, buckets), "bucket int, pairs array<int>, n array<int>")
     pairs = stored(dealt.groupBy("bucket").applyInArrow(_merge_pairs, "bucket int, pairs array<int>, n array<long>"), "pairs")
-    seen = [F.coalesce(F.sum(F.size(F.filter("n", lambda c, k=k: c == k))), F.lit(0)) for k in (1, 2)]
-    discount = _discount(*pairs.agg(*seen).first())
+    keys = ["context", "word", "cid", "wid"]
+    tail = stored(texts.withColumn("row", F.lit(0).cast("long")).mapInArrow(_tail_pairs(shared), _TAIL).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "tail")
+    seen = [F.coalesce(F.sum(F.size(F.expr(f"filter(n, c -> c = {k})"))), F.lit(0)) for k in (1, 2)]
+    tail_seen = tail.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+    discount = _discount(*[x + y for x, y in zip(pairs.agg(*seen).first(), tail_seen, strict=True)])
+
+    def sides(of: DataFrame, t: Column) -> DataFrame:
+        both = F.explode(F.array(*[F.struct(F.lit(c == "cid").alias("before"), F.col(key).alias("key"), F.col(c).alias("id")) for key, c in (("context", "cid"), ("word", "wid"))]))
+        flat = of.select(both.alias("side"), t.cast("double").alias("t"), "n").select("side.*", "t", "n")
+        return flat.groupBy("before", "key", "id").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+
+    once_sums = stored(sides(tail.filter("n = 1"), F.lit(1)), "tail-once")
+    many = tail.filter("n > 1").withColumn("bucket", F.pmod(F.xxhash64("context", "word"), F.lit(buckets)).cast("int")).withColumn("t0", F.lit(1.0))
     done: list[Sweep] = []
+    unknown: list[float] = []
     rng = np.random.default_rng(3)
-    for _ in range(sweeps + 1):
+    state = None
+    for k in range(sweeps + 1):
+        if k:
+            schema = ", ".join(f"{n} {kind}" for n, kind in many.dtypes) + f", t{k} double"
+            fitted = spark.sparkContext.broadcast((done[-1], discount))
+            many = stored(_with_words(many, state.select("key", f"tables{k - 1}", f"root{k - 1}")).groupBy("bucket").applyInArrow(_seat_pairs(fitted, k), schema), "tail-many")
         sums = pairs.mapInArrow(_sum_tables(spark.sparkContext.broadcast((done, discount))), "id int, as_context long, as_word long")
         sums = sums.groupBy("id").agg(F.sum("as_context").alias("as_context"), F.sum("as_word").alias("as_word")).toArrow()
         tables, customers = np.zeros(1 << 16), np.zeros(1 << 16, dtype=np.int64)
         ids = sums.column("id").to_numpy()
         tables[ids], customers[ids] = sums.column("as_context").to_numpy(), sums.column("as_word").to_numpy()
-        done.append(Sweep(tables, root_probabilities(customers, types, discount, rng)))
-    return Model(words, pairs, buckets, known, counts, int(total), int(types), (_discount(once, twice), int(rare_n), int(rare_types)), discount, done)
+        own = once_sums.unionByName(sides(many, F.col(f"t{k}"))).groupBy("before", "key", "id").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+        own = stored(own, "tail-sums")
+        numbered = own.filter(F.col("id") != RARE).toArrow()
+        before, ids, t = (numbered.column(c).to_numpy() for c in ("before", "id", "t"))
+        np.add.at(tables, ids[before], t[before])
+        np.add.at(customers, ids[~before], t[~before].astype(np.int64))
+        words_k = own.filter(F.col("id") == RARE).groupBy("key").agg(
+            F.sum(F.when(F.col("before"), F.col("t")).otherwise(0.0)).alias(f"tables{k}"), F.sum(F.when(F.col("before"), F.col("n")).otherwise(0)).alias("count"),
+            F.sum(F.when(F.col("before"), 0.0).otherwise(F.col("t"))).cast("long").alias("customers"),
+        )
+        pull = (STRENGTH + discount * types) / (types + 1)
+        words_k = words_k.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+        schema = f"key long, tables{k} double, count long, customers long, bucket int, root_tables double"
+        words_k = stored(words_k.groupBy("bucket").applyInArrow(_seat_words(pull, discount, k), schema), "tail-words")
+        more_n, more_t = words_k.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.coalesce(F.sum("root_tables"), F.lit(0.0))).first()
+        root, new, all_n = root_probabilities(customers, types, discount, rng, more_n, more_t)
+        done.append(Sweep(tables, root))
+        unknown.append(new)
+        given = (F.greatest(F.col("customers") - discount * F.col("root_tables"), F.lit(0.0)) / (all_n + STRENGTH) + new).alias(f"root{k}")
+        words_k = words_k.select("key", "count", f"tables{k}", given)
+        state = words_k if state is None else stored(state.join(words_k.drop("count"), "key"), "tail-state")
+    out = Model(words, pairs, buckets, known, counts, int(total), int(types), (_discount(once, twice), int(rare_n), int(rare_types)), discount, done)
+    every = [F.lit(1.0).alias(f"t{k}") for k in range(sweeps + 1)]
+    out.tail = tail.filter("n = 1").select("context", "word", "n", *every).unionByName(many.select("context", "word", "n", *[f"t{k}" for k in range(sweeps + 1)]))
+    out.tail_words, out.unknown = state, unknown
+    return out
+
+
+def root_probabilities(customers: np.ndarray, types: int, discount: float, rng: np.random.Generator, more_n: int, more_t: float) -> tuple[np.ndarray, float, int]:
+    """The root restaurant's probability of every numbered dish and of an unknown word, and all its customers; its base is
+    uniform over the words and one unknown. `more_n`, `more_t`: customers and tables of the other words."""
+    uniform = 1.0 / (types + 1)
+    tables = seat(customers, np.full(len(customers), (STRENGTH + discount * types) * uniform), discount, rng)
+    all_n, all_t = int(customers.sum()) + more_n, tables.sum() + more_t
+    new = (STRENGTH + discount * all_t) * uniform / (all_n + STRENGTH)
+    return np.maximum(customers - discount * tables, 0) / (all_n + STRENGTH) + new, new, all_n
+
 
+def _tail_scores(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sweeps, discount, unknown = shared.value
+        for batch in batches:
+            cid, wid, n = batch.column("cid").to_numpy(), batch.column("wid").to_numpy(), _numbers(batch, "n")
+            total = np.zeros(len(batch))
+            for k in range(1, len(sweeps)):
+                tables = np.where(cid == RARE, _numbers(batch, f"c_tables{k}"), sweeps[k].tables[cid])
+                root = np.where(wid == RARE, _numbers(batch, f"w_root{k}"), sweeps[k].root[wid])
+                root = np.where(root > 0, root, unknown[k])
+                total += np.maximum(n - discount * _numbers(batch, f"t{k}"), 0.0) + (STRENGTH + discount * tables) * root
+            total /= (len(sweeps) - 1) * (np.where(cid == RARE, _numbers(batch, "c_count"), counts[cid]) + STRENGTH)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.log10(total))], names=["row", "score"])
 
-def root_probabilities(customers: np.ndarray, types: int, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """The root restaurant's probability of every dish; its base is uniform over the words and one unknown."""
-    uniform = np.full(len(customers), 1.0 / (types + 1))
-    dishes = np.count_nonzero(customers)
-    uniform[RARE] = max(1.0 / (types + 1), 1.0 - dishes / (types + 1))  # all words beyond the vocabulary together
-    tables = seat(customers, (STRENGTH + discount * dishes) * uniform, discount, rng)
-    all_n, all_t = customers.sum(), tables.sum()
-    return (np.maximum(customers - discount * tables, 0) + (STRENGTH + discount * all_t) * uniform) / (all_n + STRENGTH)
+    return run
 
 
 def _word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -321,7 +453,9 @@ def _questions(shared, buckets: int):
                 rare = ids == RARE
                 base_sum = np.bincount(text, weights=np.where(rare, 0.0, base[ids]), minlength=rows)
                 known = np.bincount(text, weights=~rare & (counts[ids] > 0), minlength=rows).astype(np.int64)
-                both = (_pairs(ids, bounds).astype(np.uint64) << np.uint64(32)) | text.astype(np.uint64)
+                head = _pairs(ids, bounds)
+                inside = ~_in_tail(head)
+                both = (head[inside].astype(np.uint64) << np.uint64(32)) | text[inside].astype(np.uint64)
                 both, times = np.unique(both, return_counts=True)
                 pairs, places = (both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 where = _bucket(pairs, buckets)
@@ -373,10 +507,10 @@ def _answers(shared):
             at, seen = _find(word, rare)
             c = np.where(seen, word_n[at], 0) if len(word) else np.zeros(len(rare))
             rows = int(max(places.max(initial=-1), rare_places.max(initial=-1))) + 1
-            score = np.bincount(places, weights=logs * times, minlength=rows) + np.bincount(rare_places, weights=np.log10(model.rare_word(c)), minlength=rows)
+            score = np.bincount(places, weights=logs * times, minlength=rows)
             base = np.bincount(rare_places, weights=model.base(c), minlength=rows)
             hits = np.bincount(rare_places, weights=c > 0, minlength=rows).astype(np.int64)
-            some = np.flatnonzero(score)
+            some = np.flatnonzero((score != 0) | (base != 0))
             first, none = row["chunk"].as_py(), [None] * len(some)
             parts = [(first + some, none, np.zeros(len(some), dtype=np.int64), hits[some], base[some], score[some])]
             if len(row["ids"]):
@@ -407,19 +541,13 @@ class Scores:
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + BASE_PRIOR) / (self.total + BASE_PRIOR * (self.types + 1)))
 
-    def rare_word(self, n: np.ndarray) -> np.ndarray:
-        """Probability of a word beyond the vocabulary, given that it is one."""
-        discount, customers, dishes = self.rare
-        new = (STRENGTH + discount * dishes) / (customers + STRENGTH) / (self.types + 1)
-        return np.where(n > 0, n - discount, 0.0) / (customers + STRENGTH) + new
-
     def log_pairs(self, pairs: np.ndarray, n: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
         """log10 of the predictive probability of each (context, word), averaged over the sweeps after the first."""
         context, word = pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)
         total = np.zeros(len(pairs))
         for sweep, t in list(zip(self.sweeps, tables, strict=True))[1:]:
             own = np.maximum(n - self.discount * t, 0.0) + (STRENGTH + self.discount * sweep.tables[context]) * sweep.root[word]
-            total += np.where(context == RARE, sweep.root[word], own / (self.counts[context] + STRENGTH))
+            total += own / (self.counts[context] + STRENGTH)
         return np.log10(total / (len(tables) - 1))
 
 
@@ -441,6 +569,11 @@ def score(docs: DataFrame, model: Model, chunks_per_task: int = CHUNKS_PER_TASK)
     held = model.pairs.select("bucket", "pairs", F.col("n").alias("pn"), F.lit(None).cast("long").alias("word"), F.lit(None).cast("long").alias("wn"))
     held = held.unionByName(rare).withColumn("part", parts)
     answers = asked.groupBy("bucket", "part").cogroup(held.groupBy("bucket", "part")).applyInArrow(_answers(fitted), _ANSWER)
+    occurrences = numbered.mapInArrow(_tail_pairs(context.broadcast(model.vocabulary)), _TAIL).join(model.tail, ["context", "word"], "left")
+    parts = context.broadcast((model.counts, model.sweeps, model.discount, model.unknown))
+    beyond = _with_words(occurrences, model.tail_words).mapInArrow(_tail_scores(parts), "row long, score double")
+    nothing = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast(kind).alias(c) for c, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"))]]
+    answers = answers.unionByName(beyond.groupBy("row").agg(F.sum("score").alias("score")).select("row", *nothing, "score"))
     sums = answers.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return sums.drop("row")
 
