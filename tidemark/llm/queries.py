@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, language, mixing, near_duplicates, neighbours, packing, perplexity, sharding, url_rules
+from . import alignment, chat, embedding_dedup, fingerprints, language, mixing, near_duplicates, neighbours, packing, perplexity, phrases, sharding, url_rules
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,3 +208,58 @@ SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query(
+    "op11_collocations",
+    f"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece_no, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+  )
+),
+lists AS (SELECT piece_no, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+words AS (SELECT piece_no, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS pos FROM lists),
+sizes AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+next AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4, lead(w1, 4) OVER p AS w5
+  FROM words WINDOW p AS (PARTITION BY piece_no ORDER BY pos)
+),
+grams AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM next UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM next UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM next
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM next UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM next
+),
+counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams WHERE phrase IS NOT NULL GROUP BY lang, k, phrase HAVING k = 1 OR f >= 100),
+keyed AS MATERIALIZED (SELECT lang || chr(1) || phrase AS name, f FROM counts),
+candidates AS MATERIALIZED (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2),
+cuts AS MATERIALIZED (
+  SELECT lang, phrase, f, k, j, lang || chr(1) || array_to_string(w[1:j], ' ') AS one, lang || chr(1) || array_to_string(w[j + 1:], ' ') AS two
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates)
+),
+firsts AS MATERIALIZED (SELECT u.*, c.f AS l FROM cuts u JOIN keyed c ON c.name = u.one),
+scores AS (
+  SELECT u.lang, u.phrase, u.k, u.f AS a, j, l, c.f AS r, s.n, ((1000::HUGEINT * u.f * s.n) // (l::HUGEINT * c.f))::BIGINT AS score
+  FROM firsts u JOIN keyed c ON c.name = u.two JOIN sizes s ON s.lang = u.lang
+),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates d WHERE d.lang = c.lang AND d.k > c.k AND 100 * d.f >= 100 * c.a AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')
+  )
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_quartile_digest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
