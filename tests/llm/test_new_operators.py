@@ -215,3 +215,15 @@ def test_intervals_that_overlap_in_a_chain_share_a_group():
     groups = alignment.interval_groups([a[0], a[1]], [b[0], b[1]])
     assert [g.tolist() for g in groups] == [[0, 0, 1], [0, 0, 1]]
     assert [x.tolist() for x in alignment.overlaps(a[0], b[0], a[1], b[1])] == [[0, 1, 1, 2], [0, 0, 1, 2]]
+
+
+def test_parts_give_the_ids_of_whole_texts():
+    """Encoding by parts, with its cache, equals the libraries on whole texts."""
+    sides = alignment._sides(*alignment.tokenizer_paths())
+    assert all(s.by_parts for s in sides)
+    rng = random.Random(8)
+    alphabet = [" ", "  ", "\n", "a", "B", "é", "日", "'s", "12", ".", "▁", " ", "\t", "😀", "<|endoftext|>", "word", "ing"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(400)] + [t for t in ODD]
+    for side, whole in zip(sides, ([e.ids for e in sides[0].tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], sides[1].model.encode(texts)), strict=True):
+        ids, sizes = side.ids(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole

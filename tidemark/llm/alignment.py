@@ -20,6 +20,7 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing import _byte_alphabet
+from .packing import CACHE_PARTS, LONGEST_CACHED, SPECIAL, Encoder, _byte_alphabet, part_hashes
 from .tables import bounded_batches, stored
 from .words import row_slices, text_buffers
 
@@ -76,24 +77,41 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(sizes.sum())), sizes
 
 
+def _spaced(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return text_buffers(pa.array([" " + t for t in texts], pa.large_string()))
+
+
 class ByteLevel(Vocabulary):
-    """Byte-level BPE of space + text; special tokens are ordinary text."""
+    """Byte-level BPE of space + text; special tokens are ordinary text.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    With the pre-tokeniser that the packing operator's encoder knows, equal parts of texts are encoded once."""
 
-        self.tokenizer = Tokenizer.from_file(path)
+    KNOWN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+    def __init__(self, path: str):
+        self.encoder = Encoder(path)
+        self.tokenizer = self.encoder.tokenizer
         self.tokenizer.encode_special_tokens = True
+        made = json.loads(self.tokenizer.to_str())
+        how = {k: v for k, v in (made["pre_tokenizer"] or {}).items() if k != "trim_offsets"}
+        self.by_parts = how == self.KNOWN and made["normalizer"] is None and not made["model"].get("dropout")
+        self.by_parts &= [t["content"] for t in made["added_tokens"]] in ([], [SPECIAL])
         back = {c: b for b, c in _byte_alphabet().items()}
         known = {k: t for t, k in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         super().__init__([bytes(back.get(c, 0) for c in known.get(k, "")) for k in range(max(known) + 1)])
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.by_parts and texts:
+            ids, bounds = self.encoder.encode(*_spaced(texts))
+            return ids.astype(np.int64), np.diff(bounds)
         return _flat([e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
 
 
 class Pieces(Vocabulary):
-    """Sentence pieces with byte fallback; the model itself puts a space before the text."""
+    """Sentence pieces with byte fallback; the model itself puts a space before the text.
+
+    If no piece has a space behind another character, no merge crosses the start of a run of spaces: texts are split there,
+    and equal parts are encoded once."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -102,9 +120,37 @@ class Pieces(Vocabulary):
         pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
         plain = [bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
         super().__init__(plain)
+        self.space = self.model.piece_to_id("▁")
+        keeps_spaces = self.model.encode("  a  b ", out_type=str)
+        self.by_parts = not any("▁" in p.lstrip("▁") for p in pieces) and "".join(keeps_spaces) == "▁▁▁a▁▁b▁"
+        self.cache: dict[str, list[int]] = {}
+
+    def _parts(self, parts: list[str]) -> list[list[int]]:
+        if len(self.cache) > CACHE_PARTS:
+            self.cache = {}
+        new = [p for p in parts if p not in self.cache]
+        found = dict(zip(new, self.model.encode([p[1:] for p in new], num_threads=1), strict=True))
+        if " " in found:
+            found[" "] = [self.space]
+        self.cache |= {p: ids for p, ids in found.items() if len(p) <= LONGEST_CACHED}
+        return [self.cache.get(p) or found[p] for p in parts]
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _flat(self.model.encode(texts, num_threads=1))
+        if not (self.by_parts and texts):
+            return _flat(self.model.encode(texts, num_threads=1))
+        raw, bounds = _spaced(texts)
+        opens = raw == 0x20
+        opens[1:] &= raw[:-1] != 0x20
+        opens[bounds[:-1]] = True
+        starts = np.flatnonzero(opens)
+        ends = np.append(starts[1:], len(raw))
+        _, first, which = np.unique(part_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+        flat, size = _flat(self._parts([data[lo:hi].decode() for lo, hi in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
+        sizes = size[which]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[which] - total[:-1], sizes) + np.arange(total[-1])]
+        return ids, np.diff(total[np.searchsorted(starts, bounds)])
 
 
 @lru_cache(maxsize=1)

@@ -60,38 +60,66 @@ _MARK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 Rows = Iterator[pa.RecordBatch]
 
 
-class Words:
-    """The words of a slice of texts: where they are, the piece of each, and the keys of phrases that start with it."""
+class Stream:
+    """Words of one after another piece as keys of (language, word), a zero after each piece, and the keys of the phrases
+    that start with every word."""
 
-    def __init__(self, raw: np.ndarray, bounds: np.ndarray, langs: np.ndarray):
-        self.low = _LOWER[raw]
-        inside = ~(_SPACE | _MARK)[raw]
-        opens, closes = inside.copy(), inside.copy()
-        opens[1:] &= ~inside[:-1]
-        closes[:-1] &= ~inside[1:]
-        full = np.flatnonzero(np.diff(bounds))
-        first, last = bounds[full], bounds[full + 1] - 1
-        opens[first], closes[last] = inside[first], inside[last]
-        self.start, self.end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-        self.row = np.searchsorted(bounds, self.start, "right") - 1
-        self.word = span_hashes(self.low, self.start, self.end)
-        self.piece = np.cumsum(_MARK[raw])[self.start] + self.row
-        self.n = len(self.start)
-        self.room = np.zeros(self.n, dtype=np.int64)
-        self._keys = [mix(self.word + langs[self.row] * _LANG)]
+    def __init__(self, words: np.ndarray):
+        self.n = len(words)
+        self._keys = [words]
         #: How many words of its piece follow a word, up to LONGEST.
+        self.room = np.zeros(self.n, dtype=np.int64)
+        run = words != 0
         for k in range(1, LONGEST + 1):
-            self.room[: max(self.n - k, 0)] += self.piece[k:] == self.piece[: max(self.n - k, 0)]
+            run = run[:-1] & (words[k:] != 0) if k <= self.n else run[:0]
+            self.room[: len(run)] += run
 
     def keys(self, length: int) -> np.ndarray:
         """Key of the phrase of `length` words from every word on; only where `room` >= length - 1 it is one."""
         while len(self._keys) < length:
             k = len(self._keys)
             after = np.zeros(self.n, dtype=_U)
-            after[: max(self.n - k, 0)] = self.word[k:]
+            after[: max(self.n - k, 0)] = self._keys[0][k:]
             self._keys.append(mix(self._keys[-1] * _STEP + after))
         return self._keys[length - 1]
 
+    def starts(self, length: int) -> np.ndarray:
+        """Where a phrase of that length starts."""
+        return np.flatnonzero((self.room >= length - 1) & (self._keys[0] != 0))
+
+
+class Words(Stream):
+    """The words of a slice of texts: the stream of all rows, and where each word is."""
+
+    def __init__(self, raw: np.ndarray, bounds: np.ndarray, langs: np.ndarray):
+        self.low = _LOWER[raw]
+        inside = ~(_SPACE | _MARK)[raw]
+        opens, closes = inside.copy(), inside.copy()
+        opens[1:] &= ~inside[:-1]
+        closes[:-1] &= ~inside[1:]
+        full = np.flatnonzero(np.diff(bounds))
+        first, last = bounds[full], bounds[full + 1] - 1
+        opens[first], closes[last] = inside[first], inside[last]
+        start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        row = np.searchsorted(bounds, start, "right") - 1
+        word = span_hashes(self.low, start, end)
+        piece = np.cumsum(_MARK[raw])[start] + row
+        # A word stands behind as many zeros as pieces have ended before it.
+        place = np.arange(len(start)) + np.concatenate([[0], np.cumsum(np.diff(piece) > 0)]) if len(start) else start
+        size = int(place[-1]) + 2 if len(start) else 0
+        keys, self.word = np.zeros(size, dtype=_U), np.zeros(size, dtype=_U)
+        self.start, self.end, self.row = (np.zeros(size, dtype=np.int64) for _ in range(3))
+        keys[place] = mix(word + langs[row] * _LANG) | _U(1)
+        self.word[place], self.start[place], self.end[place], self.row[place] = word, start, end, row
+        super().__init__(keys)
+
+    def of_rows(self, chosen: np.ndarray) -> np.ndarray:
+        """The stream of some rows."""
+        real = self._keys[0] != 0
+        own = real & chosen[self.row]
+        own[1:] |= own[:-1] & ~real[1:]
+        return self._keys[0][own]
+
     def text(self, at: int, length: int) -> str:
         return b" ".join(self.low[self.start[k] : self.end[k]].tobytes() for k in range(at, at + length)).decode(errors="replace")
 
@@ -112,6 +140,20 @@ def _slices(batches: Rows) -> Iterator[tuple[Words, np.ndarray]]:
             yield Words(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], hashes[lo:hi]), np.array(names[lo:hi], dtype=object)
 
 
+def _write_streams(batches: Rows) -> Rows:
+    """One row per slice of texts and language."""
+    for words, langs in _slices(batches):
+        names, which = np.unique(langs.astype(str), return_inverse=True)
+        for k, lang in enumerate(names.tolist()):
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([words.of_rows(which == k).astype("<u8").tobytes()], pa.binary())], names=["lang", "words"])
+
+
+def _streams(batches: Rows) -> Iterator[tuple[str, Stream]]:
+    for batch in batches:
+        for k in range(len(batch)):
+            yield batch.column("lang")[k].as_py(), Stream(np.frombuffer(batch.column("words")[k].as_buffer(), dtype="<u8"))
+
+
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = (keys >> _U(64 - FILTER_BITS)).astype(np.int64)
     return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
@@ -161,10 +203,8 @@ def _count_words(batches: Rows) -> Rows:
         for b in rows:
             yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(b)), *b.columns], names=["lang", "key", "n"])
 
-    for words, langs in _slices(batches):
-        names, which = np.unique(langs.astype(str), return_inverse=True)
-        for k, lang in enumerate(names.tolist()):
-            yield from named(lang, adders.setdefault(lang, _Adder()).add(words.keys(1)[which[words.row] == k]))
+    for lang, words in _streams(batches):
+        yield from named(lang, adders.setdefault(lang, _Adder()).add(words.keys(1)[words.starts(1)]))
     for lang, adder in adders.items():
         yield from named(lang, adder.close())
 
@@ -176,8 +216,8 @@ def _grow(length: int, frequent, opened, prefixes):
         adder = _Adder()
         common, first = frequent.value, opened.value
         alive = prefixes.value if length > 2 else first
-        for words, _ in _slices(batches):
-            at = np.flatnonzero(words.room >= length - 1)
+        for _, words in _streams(batches):
+            at = words.starts(length)
             at = at[_has(first, words.keys(1)[at])]
             at = at[_has(common, words.keys(1)[at + length - 1])]
             if length > 2:
@@ -213,10 +253,10 @@ def _measure(wanted):
 
         for words, langs in _slices(batches):
             before = np.full(words.n, _BORDER, dtype=np.int64)
-            same = words.piece[1:] == words.piece[:-1]
-            before[1:][same] = words.word[:-1][same].view(np.int64)
+            inner = words.keys(1)[:-1] != 0
+            before[1:][inner] = words.word[:-1][inner].view(np.int64)
             for length in range(1, LONGEST + 1):
-                at = np.flatnonzero(words.room >= length - 1)
+                at = words.starts(length)
                 at = at[_has(bits, words.keys(length)[at])]
                 after = np.full(len(at), _BORDER, dtype=np.int64)
                 more = words.room[at] >= length
@@ -256,12 +296,14 @@ def _phrases_and_parts(opened, frequent, alive: dict[int, object]):
     def run(batches: Rows) -> Rows:
         adder = _Adder()
         common, first = frequent.value, opened.value
-        for words, _ in _slices(batches):
-            ok = _has(first, words.keys(1))
+        for _, words in _streams(batches):
+            every = words.starts(2)
+            every = every[_has(first, words.keys(1)[every])]
             for length in sorted(alive):
-                at = np.flatnonzero(ok & (words.room >= length - 1))
+                at = every[words.room[every] >= length - 1]
                 at = at[_has(common, words.keys(1)[at + length - 1])]
                 at = at[_has(alive[length].value, words.keys(length)[at])]
+                every = at  # a phrase is alive only if its prefixes are
                 yield from adder.add(np.concatenate([words.keys(length)[at], *(words.keys(k)[at] for k in range(1, length)), *(words.keys(length - k)[at + k] for k in range(1, length))]))
         yield from adder.close()
 
@@ -325,7 +367,8 @@ def collocations(
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     share = spark.sparkContext.broadcast
 
-    words = stored(texts.mapInArrow(_count_words, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("f")), "words")
+    streams = stored(texts.mapInArrow(_write_streams, "lang string, words binary"), "streams")
+    words = stored(streams.mapInArrow(_count_words, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("f")), "words")
     sizes = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "sizes")
     levels = stored(words.filter(F.col("f") >= min_count).groupBy("lang", "f").agg(F.count("*").alias("words")).join(sizes, "lang"), "levels")
     frequent = share(filter_bits(words.filter(F.col("f") >= min_count)))
@@ -343,13 +386,13 @@ def collocations(
         first = share(filter_bits(first_words))
         alive: dict[int, object] = {}
         for length in range(2, longest + 1):
-            counts = texts.mapInArrow(_grow(length, frequent, first, alive.get(length - 1)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            counts = streams.mapInArrow(_grow(length, frequent, first, alive.get(length - 1)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
             bits = filter_bits(counts.filter(F.col("n") >= min_count))
             if not bits.any():
                 break
             alive[length] = share(bits)
         if alive:
-            parts = texts.mapInArrow(_phrases_and_parts(first, frequent, alive), "key long, n long").select("key")
+            parts = streams.mapInArrow(_phrases_and_parts(first, frequent, alive), "key long, n long").select("key")
             counted = texts.mapInArrow(_measure(share(filter_bits(parts))), _MEASURED).groupBy("lang", "phrase")
             measured = stored(
                 counted.agg(
