@@ -111,7 +111,7 @@ class Pieces(Vocabulary):
     """Sentence pieces with byte fallback; the model itself puts a space before the text.
 
     If no piece has a space behind another character, no merge crosses the start of a run of spaces: texts are split there,
-    and equal parts are encoded once."""
+    and equal parts are encoded once. (A text that has U+2581 itself may be split elsewhere; it is not given back in any case.)"""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor

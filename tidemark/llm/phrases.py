@@ -30,6 +30,8 @@ Other columns are not read. An empty table, or one without frequent phrases, giv
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,9 @@ BATCH = 2 * TOP
 #: Bits of a filter: 4 MB, whatever the corpus.
 FILTER_BITS = 25
 _SLICE = 1 << 20
+#: Words of a row of a stream, about, and rows of it taken together.
+_ROW_WORDS = 4096
+_JOINED = 64
 _U = np.uint64
 _STEP = _U(0x9FB21C651E98DF25)
 _LANG = _U(0xD6E8FEB86659FD93)
@@ -141,17 +146,24 @@ def _slices(batches: Rows) -> Iterator[tuple[Words, np.ndarray]]:
 
 
 def _write_streams(batches: Rows) -> Rows:
-    """One row per slice of texts and language."""
+    """Rows of about `_ROW_WORDS` words, per slice of texts and language; small ones, as Spark handles them whole."""
     for words, langs in _slices(batches):
         names, which = np.unique(langs.astype(str), return_inverse=True)
         for k, lang in enumerate(names.tolist()):
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([words.of_rows(which == k).astype("<u8").tobytes()], pa.binary())], names=["lang", "words"])
+            own = words.of_rows(which == k).astype("<u8")
+            ends = np.flatnonzero(own == 0) + 1
+            at = np.unique(ends[np.searchsorted(ends, np.arange(_ROW_WORDS, len(own), _ROW_WORDS))]) if len(own) else ends
+            rows = [x.tobytes() for x in np.split(own, at[at < len(own)])]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows)), pa.array(rows, pa.binary())], names=["lang", "words"])
 
 
 def _streams(batches: Rows) -> Iterator[tuple[str, Stream]]:
+    """Streams of some rows of a language, joined."""
     for batch in batches:
-        for k in range(len(batch)):
-            yield batch.column("lang")[k].as_py(), Stream(np.frombuffer(batch.column("words")[k].as_buffer(), dtype="<u8"))
+        for lang, group in groupby(zip(batch.column("lang").to_pylist(), batch.column("words"), strict=True), itemgetter(0)):
+            rows = [np.frombuffer(x.as_buffer(), dtype="<u8") for _, x in group]
+            for k in range(0, len(rows), _JOINED):
+                yield lang, Stream(np.concatenate(rows[k : k + _JOINED]))
 
 
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
