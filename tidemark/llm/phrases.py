@@ -48,7 +48,7 @@ TOP = 2000
 BATCH = 2 * TOP
 #: Bits of a filter: 4 MB, whatever the corpus.
 FILTER_BITS = 25
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 #: Words of a row of a stream, about, and rows of it taken together.
 _ROW_WORDS = 4096
 _JOINED = 64
@@ -136,7 +136,7 @@ def _lang_hashes(names: list[str]) -> np.ndarray:
 
 
 def _slices(batches: Rows) -> Iterator[tuple[Words, np.ndarray]]:
-    """The words of about 1 MB of texts at a time, with the language of every row."""
+    """The words of about half a MB of texts at a time, with the language of every row."""
     for batch in batches:
         raw, bounds = text_buffers(batch.column("text"))
         names = batch.column("lang").to_pylist()
@@ -184,7 +184,7 @@ def filter_bits(keys: DataFrame) -> np.ndarray:
 class _Adder:
     """Counts of keys, added up over slices until they fill `keep` entries."""
 
-    def __init__(self, keep: int = 1 << 20):
+    def __init__(self, keep: int = 1 << 19):
         self.keep, self.parts, self.size = keep, [], 0
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
@@ -219,6 +219,7 @@ def _count_words(batches: Rows) -> Rows:
         yield from named(lang, adders.setdefault(lang, _Adder()).add(words.keys(1)[words.starts(1)]))
     for lang, adder in adders.items():
         yield from named(lang, adder.close())
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def _grow(length: int, frequent, opened, prefixes):
@@ -279,14 +280,15 @@ def _measure(wanted):
                     place = int(at[first[key]])
                     known[key] = (langs[words.row[place]], words.text(place, length))
                 parts.append(_by_key(keys, np.ones(len(at), dtype=np.int64), before[at], before[at], after, after))
-            if sum(len(p[0]) for p in parts) > 1 << 19:
+            if sum(len(p[0]) for p in parts) > 1 << 18:
                 parts[:] = [merged()]
-                if len(parts[0][0]) > 1 << 18:
+                if len(parts[0][0]) > 1 << 17:
                     yield out()
                     parts.clear()
                     known.clear()
         if parts:
             yield out()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -379,8 +381,9 @@ def collocations(
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     share = spark.sparkContext.broadcast
 
+    # Tasks have added up their counts themselves: rows are dealt first, so that Spark keeps no table of them on that side.
     streams = stored(texts.mapInArrow(_write_streams, "lang string, words binary"), "streams")
-    words = stored(streams.mapInArrow(_count_words, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("f")), "words")
+    words = stored(streams.mapInArrow(_count_words, "lang string, key long, n long").repartition("lang", "key").groupBy("lang", "key").agg(F.sum("n").alias("f")), "words")
     sizes = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "sizes")
     levels = stored(words.filter(F.col("f") >= min_count).groupBy("lang", "f").agg(F.count("*").alias("words")).join(sizes, "lang"), "levels")
     frequent = share(filter_bits(words.filter(F.col("f") >= min_count)))
@@ -398,7 +401,7 @@ def collocations(
         first = share(filter_bits(first_words))
         alive: dict[int, object] = {}
         for length in range(2, longest + 1):
-            counts = streams.mapInArrow(_grow(length, frequent, first, alive.get(length - 1)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            counts = streams.mapInArrow(_grow(length, frequent, first, alive.get(length - 1)), "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
             bits = filter_bits(counts.filter(F.col("n") >= min_count))
             if not bits.any():
                 break
