@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from ..config import TIERS
 from .components import connected_components
+from .forest import similar_forest
 from .ranking import rank_in_group, top_in_group
-from .similarity import HOT_TOKEN, distinct_sets, set_members, similar_sets
+from .similarity import HOT_TOKEN, distinct_sets, set_members
 
 
 def headline_clusters(items: DataFrame, tokens: Column, threshold: float = 0.4, hot: int = HOT_TOKEN) -> DataFrame:
     """Items with their `component`, the smallest id of the cluster. Exact copies are joined through
-    their common token set; items without tokens stay alone."""
+    their common token set; items without tokens stay alone. Only a forest of the similar sets is made."""
     sets = distinct_sets(items, "id", tokens)
-    comp = connected_components(similar_sets(sets, threshold, hot), "set_a", "set_b")
+    comp = connected_components(similar_forest(sets, threshold, hot), "set_a", "set_b")
     return (
         set_members(items, "id", tokens, sets)
         .join(comp.withColumnRenamed("node", "set_id"), "set_id", "left")

@@ -362,6 +362,50 @@ def calendar_fold(spark: SparkSession, sf: str) -> DataFrame:
     return day(calendar.calendar(_announcements(spark, sf), F.lit(AS_OF).cast("date"), _WIDE), "first_seen")
 
 
+cte("all_announcements", f"""
+SELECT CASE WHEN l_suppkey % 5 = 0 THEN CAST(date_trunc('week', seen_on) AS DATE) + 6 ELSE seen_on END AS seen_on,
+       (CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END, CASE WHEN l_suppkey % 5 = 0 THEN strftime(seen_on, '%G-W%V') ELSE '' END,
+        l_orderkey, l_partkey, l_linenumber, l_suppkey) AS pos, date, title, kind, confidence, url, {b.TITLE_WORDS_SQL.format('title')} AS tokens
+FROM upcoming
+""")
+_SAME = "len(list_intersect(s.tokens, x[1].tokens)) >= 0.6 * len(list_distinct(list_concat(s.tokens, x[1].tokens))) AND len(s.tokens) + len(x[1].tokens) > 0"
+
+
+@query("w11_calendar_all_days", f"""
+WITH days AS (SELECT DISTINCT seen_on AS as_of FROM upcoming),
+shown AS (
+  SELECT as_of, a.* FROM days JOIN all_announcements a ON a.seen_on BETWEEN as_of - 30 AND as_of
+  WHERE CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END >= strftime(as_of, '%Y-%m-%d') AND substr(date, 1, 10) <= strftime(as_of + 60, '%Y-%m-%d')
+),
+slots AS (
+  SELECT as_of, date, list_reduce(
+    list([struct_pack(tokens := tokens, title := title, kind := kind, confidence := confidence, url := url, first_seen := seen_on)] ORDER BY seen_on, pos),
+    lambda acc, x: list_transform([coalesce(list_position(list_transform(acc, lambda s: {_SAME}), true), 0)], lambda p: list_concat(
+      list_transform(range(1, len(acc) + 1), lambda i: CASE WHEN i = p THEN struct_pack(tokens := x[1].tokens, title := x[1].title, kind := x[1].kind,
+        confidence := x[1].confidence, url := x[1].url, first_seen := acc[i].first_seen) ELSE acc[i] END),
+      CASE WHEN p = 0 THEN x ELSE x[2:] END))[1]
+  ) AS folded FROM shown GROUP BY as_of, date
+),
+merged AS (SELECT as_of, date, unnest(folded) AS e FROM slots)
+SELECT CAST(as_of AS VARCHAR) AS as_of, date, e.title AS title, e.kind AS kind, e.confidence AS confidence, e.url AS url, CAST(e.first_seen AS VARCHAR) AS first_seen FROM merged
+""")
+def calendar_all_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar of every issue date, with the look-back and horizon of the settings; every fifth supplier's
+    announcements come from weeklies."""
+    daily, weekly = calendar_sources(spark, sf)
+    days = upcoming(spark, sf).select(F.col("seen_on").alias("as_of")).distinct()
+    rows = calendar.calendar_days(calendar.daily_and_weekly(daily, weekly), days, b.SETTINGS)
+    return day(rows, "as_of", "first_seen")
+
+
+def calendar_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Upcoming events of dailies and of weeklies."""
+    rows = _announcements(spark, sf)
+    from_weekly = F.col("l_suppkey") % 5 == 0
+    daily = rows.filter(~from_weekly).withColumn("issue_date", F.col("seen_on"))
+    return daily, rows.filter(from_weekly).withColumn("week", times.week_id(F.col("seen_on")))
+
+
 @query("p9_calendar_horizon", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END >= strftime(seen_on, '%Y-%m-%d')
        AND substr(date, 1, 10) <= strftime(seen_on + 60, '%Y-%m-%d') AS ahead FROM upcoming

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..operators import clusters, components, dedupe, harvest, similarity
+from ..operators import clusters, components, dedupe, forest, harvest, similarity
 from ..session import cut
 from . import bindings as b
 from .registry import cte, query
@@ -229,8 +229,7 @@ def similar_headlines(spark: SparkSession, sf: str) -> DataFrame:
 @query("a19_components", "SELECT node, component FROM set_components WHERE node IN (SELECT set_a FROM cluster_pairs UNION ALL SELECT set_b FROM cluster_pairs)")
 def connected(spark: SparkSession, sf: str) -> DataFrame:
     sets = similarity.distinct_sets(b.headlines(spark, sf), "id", _cluster_words())
-    pairs = similarity.similar_sets(sets, b.SETTINGS.cluster_jaccard)
-    return components.connected_components(pairs, "set_a", "set_b")
+    return components.connected_components(forest.similar_forest(sets, b.SETTINGS.cluster_jaccard), "set_a", "set_b")
 
 
 def cluster_members(spark: SparkSession, sf: str) -> DataFrame:
