@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import work_path
+from ..streaming import bursts
 from ..streaming import events as st
 from . import bindings as b
 from .registry import cte, query
@@ -23,15 +25,33 @@ def _session(spark: SparkSession) -> SparkSession:
     return own
 
 
-def replay(spark: SparkSession, sf: str) -> DataFrame:
-    """The events as a stream: written file by file in time order, one file per micro-batch."""
+def replayed_files(spark: SparkSession, sf: str) -> tuple[str, StructType]:
+    """The folder of the events, written file by file in time order."""
     path = work_path(spark, "events")
     rows = b.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     for lo, hi in zip((None, *CUTS), (*CUTS, None)):
         part = rows if lo is None else rows.filter(F.col("ts") >= lo)
         part = part if hi is None else part.filter(F.col("ts") < hi)
         part.write.mode("append").parquet(path)
-    return st.read_events(_session(spark), path, rows.schema)
+    return path, rows.schema
+
+
+def replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream, one file per micro-batch."""
+    path, schema = replayed_files(spark, sf)
+    return st.read_events(_session(spark), path, schema)
+
+
+def closed_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a heartbeat at the end: a row without keys a month later moves the watermark past all windows, so that
+    operators in append mode put out every one of them."""
+    path, schema = replayed_files(spark, sf)
+    rows = spark.read.schema(schema).parquet(path)
+    beat = F.max("ts") + F.make_dt_interval(F.lit(40))
+    rows.agg(beat.alias("ts")).select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(path)
+    own = _session(spark)
+    bursts.state_store(own)
+    return st.read_events(own, path, schema)
 
 
 @query("t1_incremental_ingest", """
@@ -69,15 +89,19 @@ JOIN user_days u ON u.day BETWEEN d.day - 7 AND d.day - 1 GROUP BY d.day, u.user
 """)
 
 
-def _baseline(spark: SparkSession, sf: str, stream: DataFrame) -> DataFrame:
-    path = st.run_update(st.sliding_counts(stream, "ts", "user_id", b.SETTINGS), spark, "sliding")
-    days = b.table(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
-    return st.baseline(st.latest(spark, path, ["day", "user_id"]), days, b.SETTINGS)
+def _days_seen(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Days with events before each day, with the events taken from the stream; the heartbeat's own day is left out."""
+    path = st.run_append(st.trailing_days(stream, "ts", b.SETTINGS), spark, "days")
+    return spark.read.parquet(path)
 
 
 @query("t4_sliding_baseline", "SELECT CAST(day AS VARCHAR) AS day, user_id, round(baseline, 6) AS baseline FROM user_windows")
 def sliding_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    return day(_baseline(spark, sf, replay(spark, sf)), "day").withColumn("baseline", F.round("baseline", 6))
+    """Numerator and denominator both from the stream."""
+    stream = closed_replay(spark, sf)
+    path = st.run_append(st.trailing_counts(stream, "ts", "user_id", b.SETTINGS), spark, "trailing")
+    counts = spark.read.parquet(path).filter("user_id is not null")
+    return day(st.baseline_from_stream(counts, _days_seen(spark, stream)), "day").withColumn("baseline", F.round("baseline", 6))
 
 
 @query("t5_burst_momentum", """
@@ -85,7 +109,17 @@ SELECT CAST(u.day AS VARCHAR) AS day, u.user_id, u.n, round(1 - exp(-u.n / (coal
 FROM user_days u LEFT JOIN user_windows w ON w.day = u.day AND w.user_id = u.user_id
 """)
 def burst_momentum(spark: SparkSession, sf: str) -> DataFrame:
-    stream = replay(spark, sf)
-    counts = st.latest(spark, st.run_update(st.day_counts(stream, "ts", ["user_id"]), spark, "users"), ["day", "user_id"])
-    rows = st.burst(counts, _baseline(spark, sf, stream), "user_id")
+    """State per user in the stream; one number a day joins afterwards."""
+    stream = closed_replay(spark, sf)
+    path = st.run_append(bursts.day_bursts(stream, "ts", "user_id", b.SETTINGS), spark, "bursts")
+    rows = bursts.momentum_of(spark.read.parquet(path), _days_seen(spark, stream))
     return day(rows.select("day", "user_id", "n", F.round("momentum", 6).alias("momentum")), "day")
+
+
+@query("t4_baseline_in_update_mode", "SELECT CAST(day AS VARCHAR) AS day, user_id, round(baseline, 6) AS baseline FROM user_windows")
+def sliding_baseline_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with every change put out at once; the days seen come from the table."""
+    path = st.run_update(st.sliding_counts(replay(spark, sf), "ts", "user_id", b.SETTINGS), spark, "sliding")
+    days = b.table(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
+    rows = st.baseline(st.latest(spark, path, ["day", "user_id"]), days, b.SETTINGS)
+    return day(rows, "day").withColumn("baseline", F.round("baseline", 6))

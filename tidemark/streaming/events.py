@@ -50,9 +50,26 @@ def sliding_counts(events: DataFrame, time: str, key: str, settings: Settings =
     return counts.select(F.to_date("window.end").alias("day"), key, "n")
 
 
-def run_append(stream: DataFrame, spark: SparkSession, name: str) -> str:
-    """Run a stream that only appends rows into a Parquet folder; returns the folder."""
-    path = work_path(spark, name)
+def trailing_days(events: DataFrame, time: str, settings: Settings = DEFAULT, lateness_hours: int = 36) -> DataFrame:
+    """(day, days_seen): days with any event among the `baseline_days` before each day, from the stream alone.
+
+    Two chained aggregations in append mode: the days of the stream, each once it is closed, then windows over days."""
+    days = events.withWatermark(time, f"{lateness_hours} hours").groupBy(F.window(time, "1 day")).agg(F.count(F.lit(1)).alias("events"))
+    windows = F.window(F.window_time("window"), f"{settings.baseline_days} days", "1 day")
+    return days.groupBy(windows).agg(F.count(F.lit(1)).alias("days_seen")).select(F.to_date("window.end").alias("day"), "days_seen")
+
+
+def trailing_counts(events: DataFrame, time: str, key: str, settings: Settings = DEFAULT, lateness_hours: int = 36) -> DataFrame:
+    """(day, key, n): events per key in the `baseline_days` before each day, from daily counts; append mode."""
+    daily = events.withWatermark(time, f"{lateness_hours} hours").groupBy(F.window(time, "1 day"), key).agg(F.count(F.lit(1)).alias("n"))
+    windows = F.window(F.window_time("window"), f"{settings.baseline_days} days", "1 day")
+    return daily.groupBy(windows, key).agg(F.sum("n").alias("n")).select(F.to_date("window.end").alias("day"), key, "n")
+
+
+def run_append(stream: DataFrame, spark: SparkSession, name: str, path: str | None = None) -> str:
+    """Run a stream that only appends rows into a Parquet folder; returns the folder. With the `path` of an earlier run it
+    goes on from that run's checkpoint."""
+    path = path or work_path(spark, name)
     query = (
         stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint")
         .outputMode("append").trigger(availableNow=True).start()
@@ -91,6 +108,11 @@ def baseline(window_counts: DataFrame, days: DataFrame, settings: Settings = DEF
     return window_counts.join(seen, "day").withColumn("baseline", F.col("n") / F.col("days_seen")).drop("n", "days_seen")
 
 
+def baseline_from_stream(window_counts: DataFrame, days_seen: DataFrame) -> DataFrame:
+    """(day, key, baseline) from `trailing_counts` and `trailing_days`."""
+    return window_counts.join(days_seen, "day").withColumn("baseline", F.col("n") / F.col("days_seen")).drop("n", "days_seen")
+
+
 def burst(counts: DataFrame, base: DataFrame, key: str) -> DataFrame:
     """Momentum of each key on each day against its own baseline."""
     return counts.join(base, ["day", key], "left").withColumn(
