@@ -176,3 +176,28 @@ def test_item_events_take_the_first_tickers(spark):
     items = spark.createDataFrame([(1, noon(weekdays(120)[100]), ["ACME", "X", "Y", "Z"])], "id long, published_at timestamp, tickers array<string>")
     rows = market.item_events(items, spark.createDataFrame(world(), SCHEMA), Settings()).orderBy("pos").collect()
     assert [(r["symbol"], r["status"]) for r in rows] == [("ACME", "ok"), ("X", "no-data"), ("Y", "no-data")]
+
+
+def test_ols_survives_a_shift(spark):
+    """Against a fit in long double on the same doubles; differences of large sums would lose the residuals."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x, noise = rng.normal(0, 1, 500), rng.normal(0, 1e-3, 500)
+    rows, want = [], {}
+    for name, shift in (("plain", 0.0), ("moved", 1e8), ("flat", None), ("two", 0.0)):
+        xs = np.full(500, 3.0) if shift is None else x + shift
+        ys = (2 * x + noise) + (shift or 0.0)
+        xs, ys = (xs[:2], ys[:2]) if name == "two" else (xs, ys)
+        rows += [(name, float(a), float(b)) for a, b in zip(xs, ys, strict=True)]
+        a, b = xs.astype(np.longdouble), ys.astype(np.longdouble)
+        dx, dy = a - a.mean(), b - b.mean()
+        beta = (dx * dy).sum() / (dx * dx).sum() if (dx * dx).sum() > 0 else 0.0
+        rss = ((dy - beta * dx) ** 2).sum()
+        want[name] = (float(beta), float(np.sqrt(rss / (len(a) - 2))) if len(a) > 2 else None)
+    rows += [(None, 1.0, 2.0), (None, 2.0, 4.0), (None, 3.0, 6.1), ("plain", None, 1.0)]
+    found = {r.g: r for r in market.ols(spark.createDataFrame(rows, "g string, x double, y double"), ["g"], "x", "y").collect()}
+    assert found["plain"].n == 500 and found[None].n == 3
+    for name, (beta, sigma) in want.items():
+        assert found[name].beta == pytest.approx(beta, rel=1e-6)
+        assert found[name].sigma is None if sigma is None else found[name].sigma == pytest.approx(sigma, rel=1e-4)

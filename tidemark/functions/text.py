@@ -5,6 +5,8 @@ from __future__ import annotations
 import html
 
 import pandas as pd
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -93,12 +95,29 @@ def first_sentence(text: Column) -> Column:
     return F.element_at(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), SENTENCE_BREAK, 2), 1)
 
 
-def keyword_hits(text: Column, keywords: list[str]) -> Column:
-    """The keywords that occur in `text` at a word start, in the given order.
+#: Stands before every place of a text where a keyword may start; no text has it by custom.
+MARK = "\u0001"
+_STARTS = r"(?s)(?<![a-z0-9])(?=.)"
+
+
+def marked(text: Column) -> Column:
+    """Lower-cased text with a mark at every place that does not follow a letter or digit of a-z, 0-9. A keyword marked in the
+    same way (`marked_keyword`) occurs in it exactly if the keyword occurs at such a place: one pattern for any number of
+    keywords, which are then plain searches."""
+    return F.regexp_replace(F.lower(text), _STARTS, MARK)
+
 
-    A row-local projection: every keyword is a constant pattern, so no join is needed."""
-    low = F.lower(text)
-    found = [
-        F.when(low.rlike(r"(?<![a-z0-9])\Q" + k.lower() + r"\E"), F.lit(k)) for k in keywords
-    ]
+def marked_keyword(keyword: str) -> str:
+    return re.sub(_STARTS, MARK, keyword.lower())
+
+
+def hits_in_marked(text: Column, keywords: list[str]) -> Column:
+    """The keywords that occur in a text that is `marked`, in the given order."""
+    found = [F.when(F.contains(text, F.lit(marked_keyword(k))), F.lit(k)) for k in keywords]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def keyword_hits(text: Column, keywords: list[str]) -> Column:
+    """The keywords that occur in `text` at a word start, in the given order: a row-local projection for a few keywords
+    (`learn.keyword_matches` takes a table of many)."""
+    return hits_in_marked(marked(text), keywords)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Gap, Settings, gap_dimension
 from ..functions import scores, text
+from ..session import stored
 from .ranking import top_in_group
 
 DEFAULT = Settings()
@@ -18,10 +19,46 @@ def gap_matches(items: DataFrame, body: Column, gaps: list[Gap]) -> DataFrame:
     The gap list is configuration, so matching is a projection of each item and the only rows added
     are its own matches."""
     found = F.filter(
-        F.array(*[F.struct(F.lit(g.id).alias("gap"), text.keyword_hits(F.col("__body"), list(g.keywords)).alias("keywords")) for g in gaps]),
+        F.array(*[F.struct(F.lit(g.id).alias("gap"), text.hits_in_marked(F.col("__body"), list(g.keywords)).alias("keywords")) for g in gaps]),
         lambda m: F.size(m["keywords"]) > 0,
     )
-    return items.withColumn("__body", body).withColumn("__m", F.explode(found)).select("*", "__m.gap", "__m.keywords").drop("__m", "__body")
+    return items.withColumn("__body", text.marked(body)).withColumn("__m", F.explode(found)).select("*", "__m.gap", "__m.keywords").drop("__m", "__body")
+
+
+#: Leading characters of a keyword that an index entry has at most.
+PREFIX = 12
+
+
+def keyword_matches(items: DataFrame, key: str, body: Column, keywords: DataFrame) -> DataFrame:
+    """(key, gap, keywords in their order) for a table of any number of keywords (gap, pos, keyword).
+
+    Index and texts meet by equi-joins. A keyword of letters and digits starts a word of the text: every distinct word of the
+    corpus is looked up once, by its leading characters of each length up to `PREFIX`, and one comparison confirms longer
+    keywords; texts then join their words. A keyword that goes on
+    after its first word needs that word as a whole, one that starts with another character needs this character at a place
+    where a keyword may start; both are then searched in the marked text. `key` is unique."""
+    low = F.lower("keyword")
+    index = keywords.select("gap", "pos", "keyword", low.alias("low"), text.marked(F.col("keyword")).alias("sought"), F.regexp_extract(low, "^[a-z0-9]+", 0).alias("head"))
+    index = index.filter(F.length("low") > 0)
+    plain = index.filter(F.col("head") == F.col("low")).withColumn("start", F.left("low", F.lit(PREFIX)))
+    texts = items.select(F.col(key).alias("key"), text.marked(body).alias("marked"))
+    words = stored(
+        texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all("marked", F.lit(f"{text.MARK}([a-z0-9]+)"), F.lit(1)))).alias("word")), "words"
+    )
+    lengths = F.sequence(F.lit(1), F.least(F.length("word"), F.lit(PREFIX)))
+    starts = words.select("word").distinct().select("word", F.explode(F.transform(lengths, lambda n: F.left("word", n))).alias("start"))
+    known = starts.join(plain, "start").filter(F.startswith("word", "low")).select("word", "gap", "pos", "keyword")
+    by_word = words.join(known, "word").select("key", "gap", "pos", "keyword")
+
+    longer = index.filter((F.col("head") != F.col("low")) & (F.col("head") != ""))
+    other = index.filter(F.col("head") == "").withColumn("head", F.left("low", F.lit(1)))
+    marks = texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all("marked", F.lit(f"(?s){text.MARK}([^a-z0-9])"), F.lit(1)))).alias("word"))
+    likely = words.join(longer, words["word"] == longer["head"]).unionByName(marks.join(other, marks["word"] == other["head"]))
+    searched = likely.select("key", "gap", "pos", "keyword", "sought").join(texts, "key").filter(F.contains("marked", "sought"))
+
+    found = by_word.unionByName(searched.select("key", "gap", "pos", "keyword")).distinct()
+    listed = found.groupBy("key", "gap").agg(F.array_sort(F.collect_list(F.struct("pos", "keyword"))).alias("hits"))
+    return listed.select(F.col("key").alias(key), "gap", F.transform("hits", lambda h: h["keyword"]).alias("keywords"))
 
 
 def hook_weight(total: Column, impact: Column) -> Column:

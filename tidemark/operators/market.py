@@ -138,16 +138,27 @@ def fit(x: str, y: str, w) -> dict[str, Column]:
 
 
 def ols(df: DataFrame, group: list[str], x: str, y: str) -> DataFrame:
-    """Least squares per group as plain aggregates: alpha, beta, residual sd (null when n <= 2)."""
-    stats = df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mx"), F.avg(y).alias("my"),
-        F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
-    )
-    beta = F.coalesce(F.try_divide(F.col("sxy"), F.col("sxx")), F.lit(0.0))
-    rss = F.greatest(F.lit(0.0), F.col("syy") - F.col("beta") * F.col("sxy"))
-    return stats.withColumn("beta", beta).select(
-        *group, "n", (F.col("my") - F.col("beta") * F.col("mx")).alias("alpha"), "beta",
-        F.sqrt(F.try_divide(rss, F.greatest(F.col("n") - 2, F.lit(0)))).alias("sigma"),
+    """Least squares per group: n, alpha, beta, residual sd (null when n <= 2). Pairs with a null on either side are left out.
+
+    Nothing is taken as the difference of large sums: the means are joined back, the slope comes from centred products, and
+    the residuals themselves are squared and added up in a second pass. Each pass is an aggregation that starts on the map
+    side; what is joined back is one row a group."""
+    pairs = df.select(*group, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).filter("__x IS NOT NULL AND __y IS NOT NULL")
+    means = pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.avg("__x").alias("__mx"), F.avg("__y").alias("__my"))
+
+    def back(rows: DataFrame, stats: DataFrame) -> DataFrame:
+        names = {g: f"__of{i}" for i, g in enumerate(group)}
+        other = stats.withColumnsRenamed(names)
+        return rows.join(other, [F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()]).drop(*names.values())
+
+    dx, dy = F.col("__x") - F.col("__mx"), F.col("__y") - F.col("__my")
+    centred = back(pairs, means).groupBy(*group, "n", "__mx", "__my").agg(F.sum(dx * dx).alias("__sxx"), F.sum(dx * dy).alias("__sxy"))
+    lines = centred.withColumn("beta", F.coalesce(F.try_divide("__sxy", "__sxx"), F.lit(0.0)))
+    residual = dy - F.col("beta") * dx
+    summed = back(pairs, lines).groupBy(*group, "n", "__mx", "__my", "beta").agg(F.sum(residual * residual).alias("__rss"))
+    return summed.select(
+        *group, "n", (F.col("__my") - F.col("beta") * F.col("__mx")).alias("alpha"), "beta",
+        F.sqrt(F.try_divide("__rss", F.greatest(F.col("n") - 2, F.lit(0)))).alias("sigma"),
     )
 
 

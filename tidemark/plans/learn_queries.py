@@ -81,6 +81,29 @@ def gap_keywords(spark: SparkSession, sf: str) -> DataFrame:
     return _matches(spark, sf).select("id", "gap", F.array_join("keywords", ",").alias("keywords"))
 
 
+cte("word_keywords", """
+SELECT w AS keyword, length(w) AS size, CASE WHEN length(w) % 2 = 0 THEN 'even' ELSE 'odd' END AS gap
+FROM (SELECT DISTINCT substr(unnest(regexp_extract_all(lower(title), '[a-z0-9]+')), 1, 6) AS w FROM headlines)
+""")
+
+
+@query("j11_keyword_table", """
+WITH words AS (SELECT id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS w FROM headlines),
+starts AS (SELECT DISTINCT id, substr(w, 1, size) AS start FROM words, range(1, 7) t(size) WHERE length(w) >= size)
+SELECT id, gap, count(*) AS n, min(keyword) AS first, md5(string_agg(keyword, ',' ORDER BY keyword)) AS keywords
+FROM starts JOIN word_keywords ON keyword = start GROUP BY id, gap
+""")
+def keyword_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Every story against thousands of keywords: the first six characters of all words of titles."""
+    rows = b.headlines(spark, sf)
+    words = rows.select(F.explode(F.regexp_extract_all(F.lower("title"), F.lit("[a-z0-9]+"), F.lit(0))).alias("word"))
+    words = words.select(F.left("word", F.lit(6)).alias("keyword")).distinct()
+    gap = F.when(F.length("keyword") % 2 == 0, "even").otherwise("odd")
+    found = learn.keyword_matches(rows, "id", F.col("text"), words.select(gap.alias("gap"), F.col("keyword").alias("pos"), "keyword"))
+    listed = F.md5(F.array_join("keywords", ","))
+    return found.select("id", "gap", F.size("keywords").cast("bigint").alias("n"), F.get("keywords", F.lit(0)).alias("first"), listed.alias("keywords"))
+
+
 @query("a20_gap_ranking", """
 SELECT CAST(issue_date AS VARCHAR) AS issue_date, gap, days_since, n_hooks, priority, hook, damp, score,
        row_number() OVER (PARTITION BY issue_date ORDER BY score DESC, priority DESC, gap) AS position

@@ -196,6 +196,19 @@ def ols(spark: SparkSession, sf: str) -> DataFrame:
     return fit.select("symbol", "n", *[F.round(c, 6).alias(c) for c in ("alpha", "beta", "sigma")])
 
 
+@query("a13_ols_shifted", """
+WITH s AS (SELECT symbol, rb + 1e8 AS x, rs + 1e8 AS y FROM aligned WHERE symbol NOT LIKE '^%'),
+m AS (SELECT symbol, count(*) AS n, avg(x - 1e8) + 1e8 AS mx, avg(y - 1e8) + 1e8 AS my FROM s GROUP BY symbol),
+c AS (SELECT symbol, n, mx, my, sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) AS beta FROM s JOIN m USING (symbol) GROUP BY ALL)
+SELECT symbol, n, round(beta, 4) AS beta, round(sqrt(sum(pow(y - my - beta * (x - mx), 2)) / (n - 2)), 5) AS sigma FROM s JOIN c USING (symbol) GROUP BY symbol, n, beta
+""")
+def ols_shifted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same returns moved by 1e8: slope and residuals must not be lost to cancellation."""
+    rows = _aligned(spark, sf).filter(~F.col("symbol").startswith("^"))
+    moved = rows.select("symbol", (F.col("rb") + 1e8).alias("x"), (F.col("rs") + 1e8).alias("y"))
+    return market.ols(moved, ["symbol"], "x", "y").select("symbol", "n", F.round("beta", 4).alias("beta"), F.round("sigma", 5).alias("sigma"))
+
+
 _STUDY_SQL = """
 SELECT id, pos, symbol, status, CAST(day0 AS VARCHAR) AS day0, round(car, 5) AS car, round(t, 4) AS t, round(beta, 4) AS beta, CAST(n AS BIGINT) AS n
 FROM news_study
