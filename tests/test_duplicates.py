@@ -140,3 +140,27 @@ def test_title_conflicts_by_item_equal_all_pairs(spark, seed):
 def test_duplicate_ids(spark):
     df = spark.createDataFrame([(DAY, 1), (DAY, 1), (DAY, 1), (DAY, 2)], "issue_date date, id long")
     assert [(r["id"], r["n_conflicts"]) for r in dedupe.duplicate_ids(df).collect()] == [(1, 2)]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_title_pairs_leave_out_pairs_with_a_common_link(spark, seed):
+    """Cells of one title, with a hot title and a hot link, against all pairs."""
+    rng = random.Random(seed)
+    sets = random_sets(rng, 8)
+    items = [
+        (i, DAY + dt.timedelta(days=rng.randint(0, 12)), sorted(sets[0] if rng.random() < 0.35 else rng.choice(sets)), rng.sample(["a", "b", "c"], rng.randint(1, 2)))
+        for i in range(140)
+    ]
+    links = {(i, d, "hot" if rng.random() < 0.35 else f"u{rng.randint(0, 20)}") for i, d, _, _ in items for _ in range(rng.randint(0, 3))}
+    follow = {i: rng.randint(0, 139) for i in range(0, 140, 2)}
+    mine = {i: {u for k, _, u in links if k == i} for i in range(140)}
+    pairs = [
+        (di, dj) for i, di, ti, ei in items for j, dj, tj, ej in items
+        if (1 <= (di - dj).days <= 7 or (di == dj and j < i)) and follow.get(i) != j and not mine[i] & mine[j] and set(ei) & set(ej)
+        and overlap(set(ti), set(tj)) >= 0.5
+    ]
+    df = spark.createDataFrame(items, "id long, issue_date date, words array<string>, entities array<string>")
+    ldf = spark.createDataFrame(sorted(links), "id long, issue_date date, url string")
+    fdf = spark.createDataFrame(sorted(follow.items()), "id long, follow_up_of long")
+    found = dedupe.title_conflicts(df, F.col("words"), fdf, item_urls=ldf).groupBy("date_a", "date_b").agg(F.sum("n_pairs").alias("n")).collect()
+    assert {(r.date_a, r.date_b): r.n for r in found} == Counter(pairs)

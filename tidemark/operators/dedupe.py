@@ -7,7 +7,7 @@ behind it. `url_conflicts_by_item` gives each item its own count and detail.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -37,8 +37,12 @@ def _follow_up_pairs(keyed: DataFrame, follow_ups: DataFrame, cell: list[str], d
 
 
 def exempt_pairs(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) -> DataFrame:
-    """Follow-ups and the item they follow that share a link, one row per shared link."""
-    return _follow_up_pairs(item_urls, follow_ups, ["url"], days).filter(F.col("url") == F.col("other_url"))
+    """Follow-ups and the item they follow that share a link, one row per shared link. The link is part of the join key, so
+    an item with very many links makes no more rows than it shares."""
+    mine = follow_ups.join(item_urls, "id")
+    other = item_urls.select(F.col("id").alias("follow_up_of"), F.col("issue_date").alias("other_date"), "url")
+    older = (F.col("other_date") < F.col("issue_date")) | (F.col("follow_up_of") < F.col("id"))
+    return mine.join(other, ["follow_up_of", "url"]).filter(_in_reach("issue_date", "other_date", days) & older)
 
 
 def url_conflicts(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) -> DataFrame:
@@ -106,16 +110,40 @@ def _both_ways(sets: DataFrame, threshold: float, hot: int) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("set_b").alias("set_a"), F.col("set_a").alias("set_b"), "jaccard")).unionByName(same)
 
 
+def _linked_pairs(keyed: DataFrame, item_urls: DataFrame, both: DataFrame, days: int) -> DataFrame:
+    """Pairs of items with similar titles, a common entity and a common link, counted per pair of cells (columns of
+    `title_conflicts`, `linked`).
+
+    Items of one cell with the same links are one part of it; link sets are told by two 64-bit sums, never collected, and a
+    part's links are those of its smallest item. Parts meet by link, similar title set and date; a pair of parts with several
+    common links counts once."""
+    hashes = [F.bit_xor(F.xxhash64("url", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
+    digests = item_urls.groupBy("id").agg(F.count(F.lit(1)).alias("h0"), *hashes)
+    parts = keyed.join(digests, "id").groupBy("set_id", "entities", "issue_date", "h0", "h1", "h2").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("part"))
+    parts = stored(parts.select("part", "set_id", "entities", "issue_date", "m"), "title_parts")
+    by_link = item_urls.select(F.col("id").alias("part"), "url").join(parts, "part")
+    side = lambda df, x: df.select("url", *[F.col(c).alias(f"{n}_{x}") for c, n in (("part", "part"), ("set_id", "set"), ("entities", "entities"), ("issue_date", "date"), ("m", "m"))])
+    met = side(by_link, "a").join(both, "set_a").join(_reachable(side(by_link, "b"), days, "date_a", "date_b"), ["url", "set_b", "date_a"])
+    same_day = F.col("date_a") == F.col("date_b")
+    same_part = F.col("part_a") == F.col("part_b")
+    sides = [F.struct(*[F.col(f"{c}_{x}").alias(c) for c in ("set", "entities", "part")]) for x in ("a", "b")]
+    ordered = ~same_day | same_part | (sides[0] < sides[1])
+    once = met.filter(ordered & F.arrays_overlap("entities_a", "entities_b")).dropDuplicates(["part_a", "part_b", "date_a", "date_b"])
+    pairs = F.when(same_part, F.expr("m_a * (m_a - 1) div 2")).otherwise(F.col("m_a") * F.col("m_b"))
+    return once.groupBy("set_a", "entities_a", "date_a", "set_b", "entities_b", "date_b").agg(F.sum(pairs).alias("linked"))
+
+
 def title_conflicts(
-    items: DataFrame, tokens, follow_ups: DataFrame, threshold: float = 0.5, days: int = 7, hot: int = HOT_TOKEN
+    items: DataFrame, tokens, follow_ups: DataFrame, threshold: float = 0.5, days: int = 7, hot: int = HOT_TOKEN, item_urls: DataFrame | None = None
 ) -> DataFrame:
     """(set_a, date_a, set_b, date_b, entities, n_pairs, jaccard): pairs of similar titles that share an
     entity. Titles with the same token set, entities and date are one cell; set_a holds the newer items
-    (the smaller set id on the same date). A cell is compared with itself when it has copies.
+    (the smaller set id on the same date). A cell is compared with itself when it has copies. With `item_urls` (id,
+    issue_date, url, distinct), pairs with a common link are left out: those are reported by their link.
 
     items: id, issue_date, entities (canonical, lower case)."""
     sets = distinct_sets(items, "id", tokens)
-    both = _both_ways(sets, threshold, hot)
+    both = stored(_both_ways(sets, threshold, hot), "similar")
     keyed = set_members(items.withColumn("entities", F.array_sort("entities")), "id", tokens, sets).filter("set_id is not null")
     cells = keyed.groupBy("set_id", "issue_date", "entities").agg(F.count(F.lit(1)).alias("n"))
     newer = cells.select(
@@ -135,6 +163,8 @@ def title_conflicts(
         )
     )
     link = _follow_up_pairs(keyed.select("id", "issue_date", "set_id", "entities"), follow_ups, ["set_id", "entities"], days)
+    if item_urls is not None:  # a follow-up with a common link is among the linked pairs already
+        link = link.join(exempt_pairs(item_urls, follow_ups, days).select("id", "follow_up_of").distinct(), ["id", "follow_up_of"], "left_anti")
     own, their = F.struct("set_id", "entities"), F.struct(F.col("other_set_id").alias("set_id"), F.col("other_entities").alias("entities"))
     flip = (F.col("issue_date") == F.col("other_date")) & (own > their)
     exempt = (
@@ -149,9 +179,11 @@ def title_conflicts(
         .agg(F.count(F.lit(1)).alias("exempt"))
     )
     keys = ["set_a", "entities_a", "date_a", "set_b", "entities_b", "date_b"]
+    found = met.join(exempt, keys, "left").withColumn("linked", F.lit(0))
+    if item_urls is not None:
+        found = found.drop("linked").join(_linked_pairs(keyed, item_urls, both.select("set_a", "set_b"), days), keys, "left")
     return (
-        met.join(exempt, keys, "left")
-        .withColumn("n_pairs", F.col("pairs") - F.coalesce("exempt", F.lit(0)))
+        found.withColumn("n_pairs", F.col("pairs") - F.coalesce("exempt", F.lit(0)) - F.coalesce("linked", F.lit(0)))
         .filter("n_pairs > 0")
         .select(*keys, "n_pairs", "jaccard")
     )

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import feed_dimension
 from ..functions import text, times
 from ..operators import calendar, harvest, market, marts, placement, views
 from ..operators.ranking import rank_in_group
-from ..schemas import DAILY
 from ..session import cut, stored, work_path
-from ..sources import archive, payloads, prices as price_store, snapshots
+from ..sources import archive, documents, payloads, prices as price_store, snapshots
 from . import bindings as b
 from .dedupe_queries import CLEAN_SQL, KNOWN_OUTLETS, TOPICAL_SQL
 from .market_queries import prices, study
@@ -21,28 +21,27 @@ from .quality_queries import upcoming
 from .registry import cte, query
 from .view_queries import _T, day, entities, placed_days, sourced, topic_columns, topic_sql
 
-DOC_ITEMS = 512
-
 
 # ---- archive documents -------------------------------------------------------------------
-def issue_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as issue documents by week. A document holds a bounded block of ids; a large issue has
-    several documents."""
-    items = b.all_items(spark, sf).withColumn("block", F.floor(F.col("id") / DOC_ITEMS))
-    item = F.struct(
+def _item_json() -> Column:
+    return F.to_json(F.struct(
         F.concat(F.lit("order-"), F.col("id").cast("string")).alias("id"), F.col("topic"), F.col("region"),
-        F.array("entity").alias("entities"), "coverage", "impact", "novelty",
-        times.fmt_ts(F.col("published_at")).alias("published_at"),
-    )
-    docs = items.groupBy("issue_date", "block").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return docs.select(
-        "issue_date", "block", b.day_text(F.col("issue_date")).alias("date"),
-        F.struct(
-            times.fmt_ts(F.col("issue_date").cast("timestamp")).alias("start"),
-            times.fmt_ts(F.date_add("issue_date", 7).cast("timestamp")).alias("end"),
-        ).alias("window"),
-        F.array(F.lit("one")).alias("tldr"), "items",
-    )
+        F.array("entity").alias("entities"), "coverage", "impact", "novelty", times.fmt_ts(F.col("published_at")).alias("published_at"),
+    ))
+
+
+def daily_files(spark: SparkSession, sf: str) -> str:
+    """Every week of orders as one document in a file named by its Monday, and files that are no issues beside them."""
+    path = work_path(spark, "daily")
+    name, day_of = F.concat(b.day_text(F.col("issue_date")), F.lit(".json")), b.day_text(F.col("issue_date"))
+    window = F.to_json(F.struct(
+        times.fmt_ts(F.col("issue_date").cast("timestamp")).alias("start"), times.fmt_ts(F.date_add("issue_date", 7).cast("timestamp")).alias("end")
+    ))
+    head = F.concat(F.lit('{"date":"'), day_of, F.lit('","window":'), window, F.lit(',"tldr":["one"],"items":['))
+    rows = b.all_items(spark, sf).select(name.alias("name"), head.alias("head"), _item_json().alias("item"), F.lit("]}").alias("tail"), "id")
+    drafts = rows.filter(F.col("id") % 50 == 0).withColumn("name", F.concat(F.lit("draft-"), "name"))
+    documents.write_documents(rows.unionByName(drafts), path, [F.col("id")])
+    return path
 
 
 @query("s1_daily_scan", """
@@ -50,40 +49,41 @@ SELECT CAST(week_date AS VARCHAR) AS issue_date, 'order-' || id AS id, topic, en
 FROM all_items WHERE week_date BETWEEN DATE '1995-03-01' AND DATE '2001-07-01'
 """)
 def daily_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Write issue documents as JSON by date, scan a date range back with the declared schema."""
-    path = work_path(spark, "daily")
-    archive.write_archive(issue_documents(spark, sf), path, "issue_date", "json", spread="block")
-    docs = archive.read_archive(spark, path, DAILY + ", issue_date date", "json", "issue_date", "1995-03-01", "2001-07-01")
+    """Scan a date range of issue files by their names with the declared schema; other files in the folder are ignored."""
+    docs = archive.read_daily(spark, daily_files(spark, sf), "1995-03-01", "2001-07-01")
     return archive.issue_items(docs).select(
         b.day_text(F.col("issue_date")).alias("issue_date"), "id", "topic", F.get("entities", F.lit(0)).alias("entity"), "coverage",
         F.round("impact", 8).alias("impact"),
     )
 
 
-def weekly_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """All orders as the items of their ISO week."""
-    rows = b.all_items(spark, sf).withColumn("block", F.floor(F.col("id") / DOC_ITEMS))
-    item = F.struct(
-        F.concat(F.lit("order-"), F.col("id").cast("string")).alias("id"), F.col("topic"), F.col("region"),
-        times.fmt_ts(F.col("published_at")).alias("published_at"),
-    )
-    docs = rows.groupBy(times.week_id(F.col("issue_date")).alias("week"), "block").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return docs.select("week", "block", F.col("week").alias("file_week"), F.concat(F.lit("Week "), "week").alias("headline"), "items")
+@query("s1_variant_scan", """
+SELECT CAST(week_date AS VARCHAR) AS issue_date, 'order-' || id AS id, row_number() OVER (PARTITION BY week_date ORDER BY id) - 1 AS pos, topic, CAST(coverage AS INTEGER) AS coverage
+FROM all_items
+""")
+def variant_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files without a schema: each a variant, its items exploded with their place."""
+    docs = documents.read_documents(spark, daily_files(spark, sf), archive.DAILY_NAME)
+    rows = documents.exploded(docs, "items", "name")
+    found = documents.typed(rows, "struct<id:string,topic:string,coverage:int>", "name", "pos")
+    return found.select(F.col("name").alias("issue_date"), "id", F.col("pos").cast("bigint").alias("pos"), "topic", "coverage")
+
+
+def weekly_files(spark: SparkSession, sf: str) -> str:
+    """All orders as the items of their ISO week, a file a week."""
+    path = work_path(spark, "weekly")
+    week = times.week_id(F.col("issue_date"))
+    head = F.concat(F.lit('{"week":"'), week, F.lit('","headline":"Week '), week, F.lit('","items":['))
+    rows = b.all_items(spark, sf).select(F.concat(week, F.lit(".json")).alias("name"), head.alias("head"), _item_json().alias("item"), F.lit("]}").alias("tail"), "id")
+    documents.write_documents(rows, path, [F.col("id")])
+    return path
 
 
 @query("s2_weekly_scan", """
 SELECT strftime(week_date, '%G-W%V') AS week, 'order-' || id AS id, topic FROM all_items
 """)
 def weekly_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return archive.weekly_items(_weekly(spark, sf)).select("week", "id", "topic")
-
-
-def _weekly(spark: SparkSession, sf: str) -> DataFrame:
-    path = work_path(spark, "weekly")
-    archive.write_archive(weekly_documents(spark, sf), path, "file_week", "json", spread="block")
-    from ..schemas import WEEKLY
-
-    return archive.read_archive(spark, path, WEEKLY + ", file_week string", "json")
+    return archive.weekly_items(archive.read_weekly(spark, weekly_files(spark, sf))).select("week", "id", "topic")
 
 
 cte("daily_rows", "SELECT id, topic, published_at, day_date AS issue_date FROM all_items WHERE topic <> '5-LOW'")
@@ -187,6 +187,20 @@ FEEDS = [
 ]
 
 
+@query("s7_prune", """
+SELECT CAST(d AS VARCHAR) AS harvest_date, count(*) AS n FROM (SELECT CAST(published_at + INTERVAL 8 HOUR AS DATE) AS d FROM headlines)
+WHERE d >= (SELECT max(CAST(published_at + INTERVAL 8 HOUR AS DATE)) FROM headlines) - 30 GROUP BY d
+""")
+def prune_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of snapshots in the catalog, pruned: the older partitions are gone from storage."""
+    name = f"snapshots_{uuid.uuid4().hex}"
+    snapshots.create_snapshot_table(spark, name, "id BIGINT, title STRING, outlet STRING, published_at TIMESTAMP")
+    rows = b.headlines(spark, sf).select("id", "title", "outlet", F.col("published_at").cast("timestamp").alias("published_at"))
+    snapshots.append_snapshot(rows, name, F.col("published_at"))
+    snapshots.prune(spark, name, keep_days=b.SETTINGS.retention_days)
+    return day(spark.table(name).groupBy("harvest_date").agg(F.count("*").alias("n")), "harvest_date")
+
+
 @query("s8_dimensions", """
 SELECT outlet AS feed, ['primary', 'press', 'trade'][n % 3 + 1] AS tier, ['rss', 'gnews'][n % 2 + 1] AS kind, count(*) AS n
 FROM (SELECT outlet, CAST(substr(outlet, 4) AS INTEGER) AS n FROM headlines) WHERE n % 5 > 0 AND n < 20 GROUP BY ALL

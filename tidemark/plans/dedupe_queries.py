@@ -101,18 +101,24 @@ cte("title_sets", "SELECT tokens, min(id) AS set_id FROM titles WHERE len(tokens
 cte("title_follow_ups", "SELECT max(id) AS id, min(id) AS follow_up_of FROM headlines GROUP BY title HAVING count(*) > 2")
 
 
+cte("title_links", """
+SELECT id, issue_date, unnest([ 'https://' || outlet || '.example.com/' || n_chars, 'https://agg.example.com/' || id % 40]) AS url FROM headlines
+""")
+
+
 def _titles(spark: SparkSession, sf: str) -> DataFrame:
     return b.headlines(spark, sf).select("id", "title", "issue_date", F.array("outlet", "tier").alias("entities"))
 
 
 @query("j2_similar_titles", """
-WITH keyed AS (SELECT id, issue_date, list_sort(entities) AS entities, tokens, set_id FROM titles JOIN title_sets USING (tokens)),
+WITH links AS (SELECT id, list(url) AS links FROM title_links GROUP BY id),
+keyed AS (SELECT id, issue_date, list_sort(entities) AS entities, tokens, set_id, links FROM titles JOIN title_sets USING (tokens) JOIN links USING (id)),
 pairs AS (
   SELECT a.id, b.id AS other_id, a.set_id AS own, b.set_id AS their, a.entities AS ea, b.entities AS eb, a.issue_date AS da, b.issue_date AS db,
          len(list_intersect(a.tokens, b.tokens)) AS shared, len(a.tokens) + len(b.tokens) AS total
   FROM keyed a JOIN keyed b ON (b.issue_date BETWEEN a.issue_date - 7 AND a.issue_date - 1 OR (b.issue_date = a.issue_date AND b.id < a.id))
        AND list_has_any(a.entities, b.entities)
-  LEFT JOIN title_follow_ups f ON f.id = a.id WHERE f.follow_up_of IS DISTINCT FROM b.id)
+  LEFT JOIN title_follow_ups f ON f.id = a.id WHERE f.follow_up_of IS DISTINCT FROM b.id AND NOT list_has_any(a.links, b.links))
 SELECT set_a, set_b, CAST(da AS VARCHAR) AS date_a, CAST(db AS VARCHAR) AS date_b, array_to_string(entities_a, ',') AS entities_a,
        array_to_string(entities_b, ',') AS entities_b, count(*) AS n_pairs, round(max(j), 6) AS jaccard
 FROM (SELECT *, shared / CAST(total - shared AS DOUBLE) AS j, (da = db AND (own, ea) > (their, eb)) AS flip,
@@ -121,8 +127,11 @@ FROM (SELECT *, shared / CAST(total - shared AS DOUBLE) AS j, (da = db AND (own,
       FROM pairs) WHERE j >= 0.5 GROUP BY ALL
 """)
 def similar_titles(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of cells with similar titles; a pair of items with a common link is reported by its link and left out."""
     items = _titles(spark, sf)
-    found = dedupe.title_conflicts(items, text.title_tokens(F.col("title")), _title_follow_ups(items), b.SETTINGS.title_jaccard)
+    found = dedupe.title_conflicts(
+        items, text.title_tokens(F.col("title")), _title_follow_ups(items), b.SETTINGS.title_jaccard, item_urls=title_links(spark, sf)
+    )
     return found.select(
         "set_a", "set_b", b.day_text(F.col("date_a")).alias("date_a"), b.day_text(F.col("date_b")).alias("date_b"),
         F.array_join("entities_a", ",").alias("entities_a"), F.array_join("entities_b", ",").alias("entities_b"),
@@ -130,9 +139,6 @@ def similar_titles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-cte("title_links", """
-SELECT id, issue_date, unnest([ 'https://' || outlet || '.example.com/' || n_chars, 'https://agg.example.com/' || id % 40]) AS url FROM headlines
-""")
 cte("title_only", """
 SELECT a.id, a.issue_date FROM titles a JOIN titles b
   ON (b.issue_date BETWEEN a.issue_date - 7 AND a.issue_date - 1 OR (b.issue_date = a.issue_date AND b.id < a.id)) AND list_has_any(a.entities, b.entities)
@@ -278,10 +284,18 @@ def cluster_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- harvested items -------------------------------------------------------------------------
-@query("p1_topical_filter", """
-SELECT doc_id, regexp_matches(text, '(?i)ai') OR strict AS loose, strict FROM (SELECT doc_id, text,
-  regexp_matches(text, '(?i)(^|[^\\p{L}\\p{N}_])(AI|AGI|LLMs?|GPT[-\\w.]*|chatbots?|OpenAI|Anthropic|Claude|Gemini|DeepMind|Llama|Mistral|Grok|xAI|Copilot|Nvidia|GPUs?|HBM|TPU|semiconductors?|chips?|data ?cent(?:er|re)s?|DeepSeek|Qwen|Kimi|Moonshot|Zhipu|MiniMax|agents?|agentic|robot\\w*|neural|transformer|inference|foundation models?|diffusion|multimodal|artificial intelligence|machine learning)($|[^\\p{L}\\p{N}_])') AS strict
-  FROM documents)
+#: The fixed pattern for an engine whose word borders are those of ASCII: spelled out, and A.I. (whose last border stands
+#: between a dot and a letter) apart.
+_NO_WORD, _IN_WORD = r"[^\p{L}\p{N}_]", r"[\p{L}\p{N}_]"
+_WORDS = text.TOPICAL_WORDS.removeprefix(r"\b(").removesuffix(r")\b").replace(r"|A\.I\.", "")
+_STRICT_SQL = (
+    f"(regexp_matches(text, '(?i)(^|{_NO_WORD})({_WORDS})($|{_NO_WORD})') OR regexp_matches(text, '(?i)(^|{_NO_WORD})A\\.I\\.{_IN_WORD}') "
+    f"OR regexp_matches(text, '(?i){text.TOPICAL_TERMS}'))"
+)
+
+
+@query("p1_topical_filter", f"""
+SELECT doc_id, regexp_matches(text, '(?i)ai') OR strict AS loose, strict FROM (SELECT doc_id, text, {_STRICT_SQL} AS strict FROM documents)
 """)
 def topical_filter(spark: SparkSession, sf: str) -> DataFrame:
     return b.table(spark, sf, "documents").select(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..config import TIERS
 from ..functions import times
-from ..operators import quality
+from ..operators import quality, types
+from ..sources import documents
 from . import bindings as b
 from .learn_queries import GAPS
 from .registry import cte, query
@@ -127,6 +128,94 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
     return day(quality.report(item_violations(spark, sf), "issue_date"))
 
 
+# ---- types of what is written ----------------------------------------------------------------------
+# --- fixed values: JSON of fields, right and wrong; None leaves the field out ---------------------
+_TEXTS = ['"T"', '""', "12", "true", '{"a":1}', '["x"]', "null", "0.5", None, '"12"', '"kebab-case"']
+_LISTS = ['["x","y"]', "[]", '["x",""]', '["x",5]', '["x",null]', '"x"', "null", None, '{"a":1}', '["x"]', "[1]"]
+_NUMBERS = ["0.5", "1", "0", '"0.5"', "true", "1.5", "-1", "null", None, "2", "1.0", "1e-1"]
+_SOURCES = ['[{"url":"https://a.example.org/x","outlet":"A"}]', "[]", '[5,{"url":"https://a.example.org/z"}]', '[{"url":5,"outlet":"A"}]', '[{"url":"https://a.example.org/y","outlet":7}]', '"x"', None, "null"]
+_FIELDS = {
+    "id": _TEXTS, "title": _TEXTS, "summary": _TEXTS, "why_it_matters": _TEXTS, "original_title": _TEXTS, "confidence_note": _TEXTS, "follow_up_of": _TEXTS,
+    "published_at": _TEXTS, "entities": _LISTS, "key_numbers": _LISTS, "tickers": _LISTS, "impact": _NUMBERS, "novelty": _NUMBERS, "coverage": _NUMBERS, "sources": _SOURCES,
+}
+
+
+def _choice(k: int, n: int) -> str:
+    """Which of n values the field number k of an item has: half of the items have the first, a right one."""
+    return f"CASE WHEN (doc_id * {7 + 2 * k} + {k}) % 13 < 6 THEN 0 ELSE (doc_id * {3 + k} + doc_id // 5) % {n} END"
+
+
+cte("written", "SELECT doc_id, CASE WHEN doc_id % 31 = 0 THEN '[1]' ELSE '{' || concat_ws(',', " + ", ".join(
+    f"CASE WHEN {b.sql_list([v or '' for v in values])}[{_choice(k, len(values))} + 1] <> '' THEN '\"{name}\":' || {b.sql_list([v or '' for v in values])}[{_choice(k, len(values))} + 1] END"
+    for k, (name, values) in enumerate(_FIELDS.items())
+) + ") || '}' END::JSON AS j FROM documents")
+
+
+def written_items(spark: SparkSession, sf: str) -> DataFrame:
+    """An item as JSON for every document, with fields of all types, as a variant."""
+    fields = []
+    for k, (name, values) in enumerate(_FIELDS.items()):
+        at = F.expr(_choice(k, len(values)).replace("doc_id // 5", "doc_id div 5"))
+        value = F.get(F.array(*[F.lit(v) for v in values]), at.cast("int"))
+        fields.append(F.when(value.isNotNull(), F.concat(F.lit(f'"{name}":'), value)))
+    item = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    text = F.when(F.col("doc_id") % 31 == 0, "[1]").otherwise(item)
+    return b.table(spark, sf, "documents").select("doc_id", F.parse_json(text).alias("value"))
+
+
+def _type(field: str) -> str:
+    return f"coalesce(json_type(j, '$.{field}'), 'NULL')"
+
+
+def _gone(field: str) -> str:
+    return f"({_type(field)} = 'NULL' OR (j ->> '$.{field}') = '' AND {_type(field)} = 'VARCHAR')"
+
+
+_WHOLE = "('BIGINT', 'UBIGINT', 'HUGEINT')"
+_TYPE_RULES = [("id must be a string", "error", f"{_type('id')} <> 'VARCHAR'")]
+for _f in ("title", "summary", "why_it_matters"):
+    _TYPE_RULES.append((f"missing {_f}", "error", _gone(_f)))
+for _f in ("title", "summary", "why_it_matters", "original_title", "confidence_note", "follow_up_of"):
+    _TYPE_RULES.append((f"{_f} must be a string", "error", f"NOT {_gone(_f)} AND {_type(_f)} <> 'VARCHAR'"))
+for _f in ("entities", "key_numbers", "tickers"):
+    _given = "true" if _f == "entities" else f"json_exists(j, '$.{_f}')"
+    _all = f"{_type(_f)} = 'ARRAY' AND len(list_filter(TRY_CAST(j -> '$.{_f}' AS JSON[]), lambda x: x IS NULL OR json_type(x) <> 'VARCHAR' OR (x ->> '$') = '')) = 0"
+    _TYPE_RULES.append((f"{_f} must be a list of non-empty strings", "error", f"{_given} AND NOT coalesce({_all}, false)"))
+for _f in ("impact", "novelty"):
+    _TYPE_RULES.append((f"{_f} must be a number in [0, 1]", "error", f"NOT coalesce({_type(_f)} IN ('BIGINT', 'UBIGINT', 'DOUBLE') AND TRY_CAST(j ->> '$.{_f}' AS DOUBLE) BETWEEN 0 AND 1, false)"))
+_TYPE_RULES += [
+    ("coverage must be a positive integer", "error", f"NOT coalesce({_type('coverage')} IN {_WHOLE} AND TRY_CAST(j ->> '$.coverage' AS BIGINT) >= 1, false)"),
+    ("published_at must be a string", "error", f"{_type('published_at')} <> 'VARCHAR'"),
+    ("sources must be a non-empty list", "error", f"NOT coalesce({_type('sources')} = 'ARRAY' AND json_array_length(j, '$.sources') > 0, false)"),
+]
+
+
+@query("v1_item_types", f"""
+SELECT doc_id, rule, severity FROM ({_rules_sql("(SELECT * FROM written WHERE json_type(j) = 'OBJECT')", "doc_id", _TYPE_RULES)})
+UNION ALL SELECT doc_id, 'item must be an object', 'error' FROM written WHERE json_type(j) <> 'OBJECT'
+""")
+def item_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Types of the fields before anything is cast."""
+    return types.item_type_violations(written_items(spark, sf), ["doc_id"])
+
+
+@query("v1_source_types", f"""
+WITH s AS (
+  SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS pos, unnest(l) AS j
+  FROM (SELECT doc_id, (j -> '$.sources')::JSON[] AS l FROM written WHERE json_type(j, '$.sources') = 'ARRAY')
+)
+SELECT doc_id, pos, rule, severity FROM ({_rules_sql("s", "doc_id, pos", [
+    ("source must be an object", "error", "json_type(j) <> 'OBJECT'"), ("url must be a string", "error", f"json_type(j) = 'OBJECT' AND {_type('url')} <> 'VARCHAR'"),
+    ("missing outlet", "error", f"json_type(j) = 'OBJECT' AND {_type('url')} = 'VARCHAR' AND {_gone('outlet')}"),
+    ("outlet must be a string", "error", f"json_type(j) = 'OBJECT' AND {_type('url')} = 'VARCHAR' AND NOT {_gone('outlet')} AND {_type('outlet')} <> 'VARCHAR'"),
+])})
+""")
+def source_types(spark: SparkSession, sf: str) -> DataFrame:
+    items = written_items(spark, sf).withColumnRenamed("value", "doc")
+    rows = documents.exploded(items, "sources", "doc_id")
+    return types.source_type_violations(rows.withColumn("pos", F.col("pos").cast("bigint")), ["doc_id", "pos"])
+
+
 # ---- upcoming events -----------------------------------------------------------------------------
 cte("upcoming", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(o_orderdate AS DATE) AS seen_on, CAST(l_shipdate AS DATE) AS ship,
