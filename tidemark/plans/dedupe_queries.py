@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..operators import clusters, components, dedupe, forest, harvest, similarity
-from ..session import cut
+from ..operators import approximate, clusters, components, dedupe, forest, harvest, similarity
+from ..session import cut, stored
 from . import bindings as b
 from .registry import cte, query
 
@@ -232,6 +232,15 @@ def similar_headlines(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.similar_sets(sets, b.SETTINGS.cluster_jaccard).withColumn("jaccard", F.round("jaccard", 6))
 
 
+@query("j14_approximate_join", "SELECT count(*) AS pairs, CAST(0 AS BIGINT) AS wrong, true AS enough FROM cluster_pairs")
+def approximate_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The MinHash join against the exact one: nothing that is not similar, and at least nine tenths of the pairs."""
+    sets = stored(similarity.distinct_sets(b.headlines(spark, sf), "id", _cluster_words()), "sets")
+    found = approximate.similar_sets_by_minhash(sets, b.SETTINGS.cluster_jaccard)
+    rated = approximate.recall(found, similarity.similar_sets(sets, b.SETTINGS.cluster_jaccard))
+    return rated.select("pairs", "wrong", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query("a19_components", "SELECT node, component FROM set_components WHERE node IN (SELECT set_a FROM cluster_pairs UNION ALL SELECT set_b FROM cluster_pairs)")
 def connected(spark: SparkSession, sf: str) -> DataFrame:
     sets = similarity.distinct_sets(b.headlines(spark, sf), "id", _cluster_words())
