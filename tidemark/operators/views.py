@@ -49,32 +49,50 @@ def spread(df: DataFrame, day: str, days: int, dates: DataFrame) -> DataFrame:
     return df.withColumn("as_of", later).join(dates, "as_of", "left_semi")
 
 
-def rolling_week(
-    placed: DataFrame, item_entities: DataFrame, topics: Sequence[str], settings: Settings = DEFAULT
-) -> dict[str, DataFrame]:
-    """The seven days ending on each archived date: `summary` (days, n, topics), `entities`, `top`
-    (best stories that do not lead today). placed: scored items with issue_date and placement."""
-    dates = placed.select(F.col("issue_date").alias("as_of")).distinct()
-    per_day = counts_by(placed, ["issue_date"], "topic", topics)
+def rolling_summary(items: DataFrame, topics: Sequence[str]) -> DataFrame:
+    """Per archived date (as_of) of the seven days that end on it: days, n and a count per topic. items: issue_date, topic;
+    neither scores nor places are needed."""
+    per_day = counts_by(items, ["issue_date"], "topic", topics)
+    dates = per_day.select(F.col("issue_date").alias("as_of"))
     n = sum((F.col(f"`{t}`") for t in topics[1:]), F.col(f"`{topics[0]}`"))
-    summary = (
+    return (
         spread(per_day.withColumn("n", n), "issue_date", 7, dates)
         .groupBy("as_of")
         .agg(F.count(F.lit(1)).alias("days"), F.sum("n").alias("n"), *[F.sum(f"`{t}`").alias(t) for t in topics])
     )
-    weights = entity_weights(placed, item_entities, ["issue_date"], settings)
+
+
+def rolling_entities(scored: DataFrame, item_entities: DataFrame, settings: Settings = DEFAULT, k: int = 6) -> DataFrame:
+    """The `k` first entities of the seven days that end on each archived date."""
+    dates = scored.select(F.col("issue_date").alias("as_of")).distinct()
+    weights = entity_weights(scored, item_entities, ["issue_date"], settings)
     week_weights = (
         spread(weights, "issue_date", 7, dates).groupBy("as_of", "entity")
         .agg(F.sum("weight").alias("weight"), F.sum("mentions").alias("mentions"))
     )
-    # Five others can only come from the first five of a past day, or from today's first five after its leads.
-    rows = placed.select("issue_date", "id", "total", "credibility", (F.col("placement") == "lead").alias("is_lead"))
-    best = top_in_group(rows, ["issue_date"], rank_order(), settings.leads + 5, "day_rn")
-    others = spread(best, "issue_date", 7, dates).filter((F.col("issue_date") < F.col("as_of")) | ~F.col("is_lead"))
+    return entity_board(week_weights, ["as_of"], k)
+
+
+def rolling_top(scored: DataFrame, leads: DataFrame, settings: Settings = DEFAULT, k: int = 5) -> DataFrame:
+    """The best stories of the seven days that end on each archived date and do not lead on it. leads: issue_date, id."""
+    dates = scored.select(F.col("issue_date").alias("as_of")).distinct()
+    # k others can only come from the first k of a past day, or from today's first k after its leads.
+    rows = scored.select("issue_date", "id", "total", "credibility")
+    best = top_in_group(rows, ["issue_date"], rank_order(), settings.leads + k, "day_rn")
+    marked = best.join(leads.select("issue_date", "id", F.lit(True).alias("is_lead")), ["issue_date", "id"], "left")
+    others = spread(marked, "issue_date", 7, dates).filter((F.col("issue_date") < F.col("as_of")) | F.col("is_lead").isNull())
+    return top_in_group(others, ["as_of"], rank_order(), k)
+
+
+def rolling_week(
+    placed: DataFrame, item_entities: DataFrame, topics: Sequence[str], settings: Settings = DEFAULT
+) -> dict[str, DataFrame]:
+    """The seven days ending on each archived date: `summary` (days, n, topics), `entities`, `top`
+    (best stories that do not lead today). placed: scored items with issue_date and placement."""
     return {
-        "summary": summary,
-        "entities": entity_board(week_weights, ["as_of"], 6),
-        "top": top_in_group(others, ["as_of"], rank_order(), 5),
+        "summary": rolling_summary(placed, topics),
+        "entities": rolling_entities(placed, item_entities, settings),
+        "top": rolling_top(placed, placed.filter("placement = 'lead'"), settings),
     }
 
 

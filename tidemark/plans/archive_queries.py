@@ -135,17 +135,16 @@ _SIG = "round(close * pow(10, 5 - floor(log10(close)))) / pow(10, 5 - floor(log1
 
 
 @query("s4_price_scan", f"""
-SELECT symbol, CAST(date AS VARCHAR) AS date, round(CASE WHEN date >= DATE '1998-01-01' THEN {_SIG} ELSE 2 * ({_SIG}) END, 3) AS close FROM prices
+SELECT symbol, CAST(date AS VARCHAR) AS date, round(CASE WHEN date >= DATE '1998-01-01' THEN {_SIG} ELSE {_SIG.replace("close", f"(2 * ({_SIG}))")} END, 3) AS close FROM prices
 """)
 def price_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Two loads of the store as CSV; the later one wins where both have a session."""
+    """Two loads of the store as CSV, scanned together; the later one wins where both have a session."""
     rows = cut(prices(spark, sf))
     root = work_path(spark, "prices")
-    price_store.write_prices(rows, f"{root}/load=1")
-    price_store.write_prices(rows.filter("date < DATE'1998-01-01'"), f"{root}/load=2")
-    stored = spark.read.schema("symbol string, date date, close double, load int").option("header", True).csv(root)
-    doubled = stored.withColumn("close", F.when(F.col("load") == 2, F.col("close") * 2).otherwise(F.col("close")))
-    return market.latest_load(doubled, "load").select("symbol", b.day_text(F.col("date")).alias("date"), F.round("close", 3).alias("close"))
+    price_store.write_prices(rows, f"{root}/load-1")
+    restated = rows.filter("date < DATE'1998-01-01'").select("symbol", "date", market.significant(F.col("close")).alias("close"))
+    price_store.write_prices(restated.withColumn("close", F.col("close") * 2), f"{root}/load-2")
+    return price_store.read_prices(spark, f"{root}/load-*").select("symbol", b.day_text(F.col("date")).alias("date"), F.round("close", 3).alias("close"))
 
 
 @query("s5_price_sink", f"SELECT symbol, CAST(date AS VARCHAR) AS date, round({_SIG}, 3) AS close FROM prices")

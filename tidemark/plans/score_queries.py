@@ -216,9 +216,8 @@ SELECT CAST(issue_date AS VARCHAR) AS issue_date, rank, id, entity, topic, total
 FROM placed_week WHERE placement = 'lead'
 """)
 def top_leads(spark: SparkSession, sf: str) -> DataFrame:
-    """Lead stories of every issue, end to end: scan, score, place."""
-    scored = cut(b.scored(spark, sf))
-    shown = placement.place_shown(scored, b.SETTINGS).filter("placement = 'lead'")
-    return scored.join(shown, ["issue_date", "id"]).select(
-        b.day_text(F.col("issue_date")).alias("issue_date"), "rank", "id", "entity", "topic", "total", "credibility"
+    """Lead stories of every issue, end to end: scan, score, choose. Leads come first in the final rank, so their place among
+    themselves is their rank, and nothing else has to be placed."""
+    return placement.leads(b.scored(spark, sf), b.SETTINGS).select(
+        b.day_text(F.col("issue_date")).alias("issue_date"), F.col("lead_rn").cast("bigint").alias("rank"), "id", "entity", "topic", "total", "credibility"
     )

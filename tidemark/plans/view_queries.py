@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import times
 from ..operators import placement, views
 from ..operators.ranking import rank_in_group
-from ..session import cut
+from ..session import cut, stored
 from . import bindings as b
 from .registry import cte, query
 
@@ -74,15 +74,11 @@ cte("dates", "SELECT DISTINCT issue_date AS as_of FROM scored_day")
 cte("week_pool", "SELECT d.as_of, p.* FROM dates d JOIN placed_day p ON p.issue_date BETWEEN d.as_of - 6 AND d.as_of")
 
 
-def _rolling(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return views.rolling_week(placed_days(spark, sf), entities(spark, sf), b.TOPICS, b.SETTINGS)
-
-
 @query("a9_rolling_week", f"""
 SELECT CAST(as_of AS VARCHAR) AS as_of, count(DISTINCT issue_date) AS days, count(*) AS n, {topic_sql()} FROM week_pool GROUP BY as_of
 """)
 def rolling_week(spark: SparkSession, sf: str) -> DataFrame:
-    return day(topic_columns(_rolling(spark, sf)["summary"]), "as_of")
+    return day(topic_columns(views.rolling_summary(sourced(spark, sf), b.TOPICS)), "as_of")
 
 
 @query("a9_rolling_week_top", """
@@ -91,7 +87,8 @@ SELECT CAST(as_of AS VARCHAR) AS as_of, CAST(issue_date AS VARCHAR) AS issue_dat
   FROM week_pool WHERE NOT (issue_date = as_of AND placement = 'lead')) WHERE rn <= 5
 """)
 def rolling_week_top(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _rolling(spark, sf)["top"].select("as_of", "issue_date", "id", F.col("rn").cast("bigint").alias("rn"))
+    scored = stored(b.scored(spark, sf, "day").select("issue_date", "id", "entity", "total", "credibility", "verified"), "scored")
+    rows = views.rolling_top(scored, placement.leads(scored, b.SETTINGS), b.SETTINGS).select("as_of", "issue_date", "id", F.col("rn").cast("bigint").alias("rn"))
     return day(rows, "as_of", "issue_date")
 
 
@@ -101,7 +98,8 @@ SELECT CAST(as_of AS VARCHAR) AS as_of, entity, mentions, CAST(round(weight, 1)
   FROM (SELECT as_of, entity, count(*) AS mentions, sum(w) AS weight FROM dates JOIN named_week ON issue_date BETWEEN as_of - 6 AND as_of GROUP BY ALL)) WHERE rn <= 6
 """)
 def rolling_week_entities(spark: SparkSession, sf: str) -> DataFrame:
-    return day(_rolling(spark, sf)["entities"], "as_of").withColumn("rn", F.col("rn").cast("bigint"))
+    scored = stored(b.scored(spark, sf, "day").select("issue_date", "id", "total"), "scored")
+    return day(views.rolling_entities(scored, entities(spark, sf), b.SETTINGS), "as_of").withColumn("rn", F.col("rn").cast("bigint"))
 
 
 @query("o5_top_lists", """

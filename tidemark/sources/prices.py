@@ -10,10 +10,10 @@ from ..schemas import PRICES
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """Closes with the later of two rows for a (symbol, date): later file name, then later in the file."""
+    """Closes with the later of two rows for a (symbol, date): later file path, then later in the file."""
     rows = spark.read.schema(PRICES).option("header", True).csv(path)
     place = F.struct(
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
     return latest_load(rows.withColumn("load_seq", place).filter("symbol is not null and date is not null"))
