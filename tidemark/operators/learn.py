@@ -123,6 +123,19 @@ def tracker(taught: DataFrame, gaps: list[Gap], as_of: Column, settings: Setting
     ).orderBy(F.col("priority").desc(), "gap")
 
 
+def tracker_days(taught: DataFrame, gaps: list[Gap], days: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """The tracker of many days at once: as_of, gap, n, minutes, last; gaps without lessons stay. days: distinct as_of.
+
+    Lessons are added up per gap and date before they are repeated for the days that can see them."""
+    daily = taught.groupBy("gap", "issue_date").agg(F.count(F.lit(1)).alias("n"), F.sum("minutes").alias("minutes"))
+    seen = daily.withColumn("as_of", F.explode(F.sequence("issue_date", F.date_add("issue_date", settings.tracker_days - 1)))).join(days, "as_of", "left_semi")
+    sums = seen.groupBy("as_of", "gap").agg(F.sum("n").alias("n"), F.sum("minutes").alias("minutes"), F.max("issue_date").alias("last"))
+    spine = days.select("as_of", F.explode(F.array(*[F.lit(g.id) for g in gaps])).alias("gap"))
+    return spine.join(sums, ["as_of", "gap"], "left").select(
+        "as_of", "gap", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("minutes", F.lit(0)).alias("minutes"), "last"
+    )
+
+
 def streaks(lessons: DataFrame) -> DataFrame:
     """(issue_date, streak): archived issues in a row, up to each one, that have a lesson.
 

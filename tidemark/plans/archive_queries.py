@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from ..config import feed_dimension
 from ..functions import text, times
-from ..operators import calendar, harvest, market, marts, placement, views
+from ..operators import calendar, harvest, learn, market, marts, placement, views
 from ..operators.ranking import rank_in_group
 from ..session import cut, stored, work_path
 from ..sources import archive, documents, payloads, prices as price_store, snapshots
 from . import bindings as b
 from .dedupe_queries import CLEAN_SQL, KNOWN_OUTLETS, TOPICAL_SQL
+from .learn_queries import GAPS
 from .market_queries import prices, study
 from .quality_queries import upcoming
 from .registry import cte, query
@@ -384,23 +385,24 @@ FROM upcoming
 _SAME = "len(list_intersect(s.tokens, x[1].tokens)) >= 0.6 * len(list_distinct(list_concat(s.tokens, x[1].tokens))) AND len(s.tokens) + len(x[1].tokens) > 0"
 
 
-@query("w11_calendar_all_days", f"""
-WITH days AS (SELECT DISTINCT seen_on AS as_of FROM upcoming),
-shown AS (
-  SELECT as_of, a.* FROM days JOIN all_announcements a ON a.seen_on BETWEEN as_of - 30 AND as_of
+cte("calendar_shown", """
+  SELECT as_of, a.* FROM (SELECT DISTINCT seen_on AS as_of FROM upcoming) JOIN all_announcements a ON a.seen_on BETWEEN as_of - 30 AND as_of
   WHERE CASE WHEN length(date) = 10 THEN date ELSE date || '-32' END >= strftime(as_of, '%Y-%m-%d') AND substr(date, 1, 10) <= strftime(as_of + 60, '%Y-%m-%d')
-),
-slots AS (
+""")
+cte("calendar_slots", f"""
   SELECT as_of, date, list_reduce(
     list([struct_pack(tokens := tokens, title := title, kind := kind, confidence := confidence, url := url, first_seen := seen_on)] ORDER BY seen_on, pos),
     lambda acc, x: list_transform([coalesce(list_position(list_transform(acc, lambda s: {_SAME}), true), 0)], lambda p: list_concat(
       list_transform(range(1, len(acc) + 1), lambda i: CASE WHEN i = p THEN struct_pack(tokens := x[1].tokens, title := x[1].title, kind := x[1].kind,
         confidence := x[1].confidence, url := x[1].url, first_seen := acc[i].first_seen) ELSE acc[i] END),
       CASE WHEN p = 0 THEN x ELSE x[2:] END))[1]
-  ) AS folded FROM shown GROUP BY as_of, date
-),
-merged AS (SELECT as_of, date, unnest(folded) AS e FROM slots)
-SELECT CAST(as_of AS VARCHAR) AS as_of, date, e.title AS title, e.kind AS kind, e.confidence AS confidence, e.url AS url, CAST(e.first_seen AS VARCHAR) AS first_seen FROM merged
+  ) AS folded FROM calendar_shown GROUP BY as_of, date
+""")
+cte("calendar_rows", "SELECT as_of, date, unnest(folded) AS e FROM calendar_slots")
+
+
+@query("w11_calendar_all_days", """
+SELECT CAST(as_of AS VARCHAR) AS as_of, date, e.title AS title, e.kind AS kind, e.confidence AS confidence, e.url AS url, CAST(e.first_seen AS VARCHAR) AS first_seen FROM calendar_rows
 """)
 def calendar_all_days(spark: SparkSession, sf: str) -> DataFrame:
     """The calendar of every issue date, with the look-back and horizon of the settings; every fifth supplier's
@@ -461,7 +463,7 @@ def dashboard_mart(spark: SparkSession, sf: str) -> DataFrame:
     placed = placed_days(spark, sf)
     events = study(spark, sf).select("id", "symbol", "status", "day0", "car", "t")
     named = entities(spark, sf)
-    week = views.rolling_week(placed, named, b.TOPICS, b.SETTINGS)["summary"]
+    week = views.rolling_summary(placed, b.TOPICS)
     langs = b.sources(spark, sf).select("item_id", "lang")
     archived = placed.select("issue_date").distinct()
     end = archived.agg(F.max("issue_date")).first()[0]
@@ -473,6 +475,48 @@ def dashboard_mart(spark: SparkSession, sf: str) -> DataFrame:
     return day(marts.read_dashboard(spark, path))
 
 
+cte("mart_newest", "SELECT max(issue_date) AS newest FROM scored_day")
+cte("mart_days", "SELECT DISTINCT issue_date FROM scored_day, mart_newest WHERE issue_date > newest - 30")
+cte("mart_lessons", f"""
+SELECT newest - CAST(doc_id % 40 AS INTEGER) AS issue_date, {b.sql_list([g.id for g in GAPS])}[doc_id % 5 + 1] AS gap, CAST(10 + doc_id % 30 AS BIGINT) AS minutes
+FROM labels, mart_newest WHERE quality = 1
+""")
+cte("mart_weeks", "SELECT date_trunc('week', issue_date) AS monday, count(*) AS n, count(DISTINCT issue_date) AS issues FROM scored_day GROUP BY ALL ORDER BY monday DESC LIMIT 8")
+
+
+@query("s15_dashboard_parts", """
+SELECT 'calendar' AS part, CAST(as_of AS VARCHAR) AS issue_date, e.kind AS key, count(*) AS n, count(DISTINCT date) AS amount
+FROM calendar_rows WHERE as_of IN (SELECT issue_date FROM mart_days) GROUP BY ALL
+UNION ALL SELECT 'learn', CAST(issue_date AS VARCHAR), gap, count(*), CAST(sum(minutes) AS BIGINT) FROM mart_lessons WHERE issue_date IN (SELECT issue_date FROM mart_days) GROUP BY ALL
+UNION ALL SELECT 'tracker', CAST(d.issue_date AS VARCHAR), g.gap, count(l.gap), CAST(coalesce(sum(l.minutes), 0) AS BIGINT)
+FROM mart_days d CROSS JOIN gap_list g LEFT JOIN mart_lessons l ON l.gap = g.gap AND l.issue_date BETWEEN d.issue_date - 29 AND d.issue_date GROUP BY ALL
+UNION ALL SELECT 'trend', CAST(d AS VARCHAR), NULL, count(s.id), CAST(count(s.id) = 0 AS BIGINT)
+FROM (SELECT CAST(unnest(generate_series(newest - 58, newest, INTERVAL 1 DAY)) AS DATE) AS d FROM mart_newest) LEFT JOIN scored_day s ON s.issue_date = d GROUP BY d
+UNION ALL SELECT 'weeks', CAST(CAST(monday AS DATE) + 6 AS VARCHAR), strftime(monday, '%G-W%V'), n, issues FROM mart_weeks, mart_newest WHERE CAST(monday AS DATE) + 6 <= newest
+""")
+def dashboard_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart of the last 30 days, written and read back: calendar, lessons, tracker, trend and closed weeks."""
+    placed = placed_days(spark, sf)
+    newest = F.lit(placed.agg(F.max("issue_date")).first()[0])
+    days = placed.filter(F.col("issue_date") > F.date_sub(newest, b.SETTINGS.dashboard_days)).select(F.col("issue_date").alias("as_of")).distinct()
+    taught = b.table(spark, sf, "labels").filter("quality = 1").select(
+        F.date_sub(newest, (F.col("doc_id") % 40).cast("int")).alias("issue_date"), b.one_of(F.col("doc_id"), tuple(g.id for g in GAPS[:5])).alias("gap"),
+        (10 + F.col("doc_id") % 30).alias("minutes"),
+    )
+    ahead = calendar.calendar_days(calendar.daily_and_weekly(*calendar_sources(spark, sf)), days, b.SETTINGS)
+    archived = placed.select("issue_date").distinct()
+    named = entities(spark, sf)
+    tables = marts.dashboard_tables(
+        placed, study(spark, sf).select("id", "symbol", "status", "day0", "car", "t"), views.rolling_summary(placed, b.TOPICS), b.sources(spark, sf).select("item_id", "lang"),
+        views.trend(placed, archived, newest, b.SETTINGS.dashboard_days + 29, b.TOPICS),
+        views.weekly_recap(placed, named, b.sources(spark, sf), b.TOPICS, b.LANGS, b.SETTINGS)["summary"], b.LANGS, b.SETTINGS,
+        calendar=ahead, lessons=taught, tracker=learn.tracker_days(taught, GAPS, days, b.SETTINGS),
+    )
+    path = work_path(spark, "dashboard")
+    marts.write_dashboard(tables, path)
+    return day(marts.read_parts(spark, path, b.TOPICS))
+
+
 @query("s16_feed_entry_mart", """
 SELECT id, title, strftime(updated, '%Y-%m-%dT%H:%M:%SZ') AS updated FROM (
   SELECT 'daily-' || strftime(day_date, '%Y-%m-%d') AS id, 'Daily ' || strftime(day_date, '%Y-%m-%d') AS title, CAST(day_date AS TIMESTAMP) + INTERVAL 22 HOUR AS updated FROM items GROUP BY day_date
