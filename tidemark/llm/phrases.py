@@ -271,15 +271,25 @@ def _measure(wanted):
             for length in range(1, LONGEST + 1):
                 at = words.starts(length)
                 at = at[_has(bits, words.keys(length)[at])]
-                after = np.full(len(at), _BORDER, dtype=np.int64)
-                more = words.room[at] >= length
-                after[more] = words.word[at[more] + length].view(np.int64)
+                after = np.full(len(at) if length > 1 else 0, _BORDER, dtype=np.int64)
+                if length > 1:
+                    more = words.room[at] >= length
+                    after[more] = words.word[at[more] + length].view(np.int64)
                 keys = words.keys(length)[at]
-                first = dict(zip(*(x.tolist() for x in np.unique(keys, return_index=True)), strict=True))
-                for key in first.keys() - known.keys():
-                    place = int(at[first[key]])
-                    known[key] = (langs[words.row[place]], words.text(place, length))
-                parts.append(_by_key(keys, np.ones(len(at), dtype=np.int64), before[at], before[at], after, after))
+                order = np.argsort(keys)
+                keys = keys[order]
+                starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+                places = at[order[starts]]
+                for key, place in zip(keys[starts].tolist(), places.tolist(), strict=True):
+                    if key not in known:
+                        known[key] = (langs[words.row[place]], words.text(place, length))
+                counts = np.diff(starts, append=len(keys))
+                if length == 1:  # a single word is a part only; nobody asks what stands beside it
+                    parts.append([keys[starts], counts, *[np.full(len(starts), _BORDER, dtype=np.int64)] * 4])
+                elif len(keys):
+                    sides = [before[at][order]] * 2 + [after[order]] * 2
+                    ends = [(np.minimum, np.maximum)[k % 2].reduceat(x, starts) for k, x in enumerate(sides)]
+                    parts.append([keys[starts], counts, *ends])
             if sum(len(p[0]) for p in parts) > 1 << 18:
                 parts[:] = [merged()]
                 if len(parts[0][0]) > 1 << 17:
