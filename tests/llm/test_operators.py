@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import chat, embedding_dedup, language, mixing, near_duplicates, neighbours, packing, perplexity, sharding, url_rules
+from tidemark.llm.words import word_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"w{chr(97 + i % 26)}{i}" for i in range(120)]
@@ -305,21 +306,102 @@ def test_language_model(spark, docs):
         assert sum(r["score"] for r in learnt) > sum(r["base_score"] for r in learnt)
 
 
-def test_language_model_probabilities_sum_to_one(spark, docs):
-    model = perplexity.train(docs.filter("doc_id IS NOT NULL").select("doc_id", "text"))
-    scores = perplexity.Scores(model.counts, model.sweeps, model.discount, model.rare, model.total, model.types)
-    row = model.pairs.collect()
-    pairs = np.concatenate([np.array(r["pairs"], dtype=np.int32).view(np.uint32) for r in row])
-    n = np.concatenate([np.array(r["n"], dtype=np.int64) for r in row])
-    tables = [np.concatenate(t) for t in zip(*(list(perplexity._seatings(np.array(r["pairs"], dtype=np.int32).view(np.uint32), np.array(r["n"]), r["bucket"], model.sweeps[:-1], model.discount)) for r in row), strict=True)]
-    order = np.argsort(pairs)
-    dishes = np.flatnonzero(model.sweeps[0].root * (np.arange(1 << 16) < len(model.vocabulary)))
-    for context in (perplexity.START, 0, 5):
-        asked = (np.uint32(context) << np.uint32(16)) | np.append(dishes, [perplexity.RARE, perplexity.END]).astype(np.uint32)
-        at, seen = perplexity._find(pairs[order], asked)
-        c = np.where(seen, n[order][at], 0)
-        total = (10 ** scores.log_pairs(asked, c, [np.where(seen, t[order][at], 0.0) for t in tables])).sum()
-        assert abs(total - 1) < 0.02
+def language_model(spark, docs, vocabulary):
+    """The model's scores as plain dictionaries: what a reader of the seating would compute for any (context, word)."""
+    model = perplexity.train(docs.filter("doc_id IS NOT NULL").select("doc_id", "text"), vocabulary=vocabulary)
+    numbers = {int(h): i for i, h in enumerate(model.vocabulary)}
+    hashes = {i: h for h, i in numbers.items()} | {perplexity.START: None, perplexity.END: None}
+    n, t = {}, [{} for _ in model.sweeps]
+    for r in model.pairs.collect():
+        pairs = np.array(r["pairs"], dtype=np.int64).view(np.uint64)
+        states = perplexity._seatings(pairs, np.array(r["n"]), r["bucket"], model.sweeps[:-1], model.discount)
+        names = [(hashes[c], hashes[w]) for c, w in zip(*(x.tolist() for x in perplexity._sides(pairs)), strict=True)]
+        n.update(zip(names, r["n"], strict=True))
+        for k, state in enumerate(states):
+            t[k].update(zip(names, state.tolist(), strict=True))
+    end = int(perplexity.END_HASH)
+    name = lambda h: None if h % 2**64 == end else h % 2**64
+    for r in model.tail.collect():
+        pair = (name(r["context"]), name(r["word"]))
+        n[pair] = r["n"]
+        for k in range(len(t)):
+            t[k][pair] = r[f"t{k}"]
+    tail = {r["key"] % 2**64: r for r in model.tail_words.collect()}
+    roots = [{**{h: s.root[i] for h, i in numbers.items()}, None: s.root[perplexity.END], **{h: r[f"root{k}"] for h, r in tail.items()}} for k, s in enumerate(model.sweeps)]
+    by_context = Counter()
+    for (c, _), x in n.items():
+        by_context[c] += x
+    tables = [Counter() for _ in t]
+    for k, own in enumerate(t):
+        for (c, _), x in own.items():
+            tables[k][c] += x
+
+    def probability(c, w):
+        states = range(2, len(t))
+        return sum(
+            max(n.get((c, w), 0) - model.discount * t[k].get((c, w), 0), 0) + (1 + model.discount * tables[k][c]) * roots[k].get(w, model.unknown[k]) for k in states
+        ) / len(states) / (by_context[c] + 1)
+
+    return model, probability, set(roots[0]), n, t
+
+
+def word_hash(w):
+    return int(word_hashes(np.frombuffer(w, dtype=np.uint8), np.array([0, len(w)]))[0][0])
+
+
+@pytest.mark.parametrize("vocabulary", [perplexity.VOCABULARY, 12])
+def test_language_model_scores_equal_a_plain_reading_of_the_seating(spark, docs, vocabulary):
+    model, probability, dishes, n, t = language_model(spark, docs, vocabulary)
+    assert all(1 <= x <= n[pair] for own in t for pair, x in own.items()) and any(x > 1 for x in t[-1].values())
+    for context in [None, *list(dishes)[:6], 12345]:  # the last one is never seen
+        total = sum(probability(context, w) for w in dishes) + probability(context, 54321)
+        assert abs(total - 1) < 1e-9
+    got = Counter((r["doc_id"], round(r["score"], 4)) for r in perplexity.score(docs.repartition(3), model).collect())
+    want = Counter()
+    for r in corpus():
+        own = [*map(word_hash, words(r[1])), None]
+        want[(r[0], round(sum(math.log10(probability(c, w)) for c, w in zip([None, *own[:-1]], own, strict=True)), 4))] += 1
+    assert got == want
+
+
+def test_gibbs_steps_keep_the_law_of_the_seating():
+    """Tables of one dish in the long run, against the sum over all set partitions of its customers."""
+    a, root, d = 1.7, 0.2, 0.6
+
+    def partitions(n):
+        if n == 0:
+            yield ()
+            return
+        for p in partitions(n - 1):
+            yield (*p, 1)
+            for i in range(len(p)):
+                yield (*p[:i], p[i] + 1, *p[i + 1 :])
+
+    for n in (2, 3, 5):
+        law = Counter()
+        for p in partitions(n):
+            weight = math.prod((a + d * k) * root for k in range(len(p)))
+            law[len(p)] += weight * math.prod(math.prod(j - d for j in range(1, s)) for s in p)
+        m, rng = 4000, np.random.default_rng(n)
+        tables, size = np.ones(m, dtype=np.int64), np.full(m, n)
+        seen = Counter()
+        for sweep in range(16):
+            size, tables = perplexity.reseat(size, tables, np.full(m, a), np.full(m, root), d, rng)
+            assert size.min() > 0 and (np.add.reduceat(size, np.cumsum(tables) - tables) == n).all()
+            if sweep > 5:
+                seen.update(tables.tolist())
+        for k, x in law.items():
+            assert abs(seen[k] / (10 * m) - x / sum(law.values())) < 0.015
+
+
+def test_gibbs_steps_of_many_customers():
+    rng = np.random.default_rng(1)
+    n = np.array([100_000, 65, 64, 2, 700, 33])
+    tables = perplexity.seat(n, np.full(6, 3.0), np.full(6, 0.3), 0.7, rng).astype(np.int64)
+    size = perplexity.shared_out(n, tables, 0.7, rng)
+    for _ in range(5):
+        assert size.min() > 0 and (np.add.reduceat(size, np.cumsum(tables) - tables) == n).all()
+        size, tables = perplexity.reseat(size, tables, np.full(6, 3.0), np.full(6, 0.3), 0.7, rng)
 
 
 def test_language_model_knows_words_beyond_the_numbered(spark, docs):

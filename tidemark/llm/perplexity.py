@@ -4,15 +4,18 @@ Restaurants: the root restaurant of words, whose base is uniform over the words
 one restaurant for the context of each word and of a text's start; all share the root as parent. Counts are exact and
 cover all training rows and words.
 
-The `VOCABULARY` most frequent words are numbered, and what is known of them is kept in arrays. The other words go by their
-64-bit hash: pairs with such a word and the sums of such words are Spark tables, joined by hash. Their part of the model is
-the same; no such word is frequent enough to be a hot key, and pairs' numbered side is salted out of the joins. Rows are
-numbered twice by `monotonically_increasing_id`, so an input has to come in the same partitions each time, as files do.
-
-Seating is sampled by Gibbs: a sweep seats the customers of each (context, word) again, one after the other, given the
-other tables of the context and the parent's probabilities of the sweep before; a customer beyond the first
-`ONE_BY_ONE` is seated together with an eighth of those before it, by a binomial draw. Tables are the parent's
-customers; the root is seated in the same way. The predictive probabilities of the sweeps after the first are averaged.
+The `VOCABULARY` most frequent words are numbered, and what is known of them is kept in arrays (some 60 MB). The other words
+go by their 64-bit hash: pairs with such a word and the sums of such words are Spark tables, joined by hash. Their part of
+the model is the same; no such word is frequent enough to be a hot key, and pairs' numbered side is salted out of the joins.
+Rows are numbered once, in a stored table.
+
+Seating is sampled by Gibbs. The first sweep seats the customers of each (context, word) one after the other (beyond
+`ONE_BY_ONE`, an eighth of those before at a time) and is burnt. Every later sweep starts from the seating it finds: a
+customer drawn at random gets up, a table left empty goes, and it sits down again given all that remain: at a table by its
+customers less the discount, or at a new one by the context's other tables, the pair's own and the parent's probability. A
+pair gets as many such steps a sweep as it has customers, `MOVES` at most. Between pairs a sweep goes by the tables and
+the parent's probabilities of the sweep before, so that pairs are seated in parallel. Tables are the parent's customers;
+the root is seated one after the other in each sweep. The predictive probabilities of the sweeps kept are averaged.
 
 Spark's work: word counts and (context, word) counts are pre-aggregated where texts are read, and dealt out by hash. A
 sweep runs over the dealt counts and only returns sums per vocabulary word, a bounded array. Scores never leave the
@@ -37,26 +40,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import bounded_batches, stored
-from .words import row_slices, text_buffers, word_hashes
+from .words import mix, row_slices, text_buffers, word_hashes
 
-VOCABULARY = 65_000
-RARE, START, END = 65_533, 65_534, 65_535
+ID_BITS = 19
+IDS = 1 << ID_BITS
+VOCABULARY = IDS - 4
+RARE, START, END = IDS - 3, IDS - 2, IDS - 1
 FOLDS = 10
 SWEEPS = 3
 STRENGTH = 1.0
+BURNT = 1
 ONE_BY_ONE = 64
+MOVES = 32
+#: Numbers of one grid of seatings.
+GRID = 1 << 18
 CHUNK_BYTES = 16 << 20
 PAIRS_PER_BUCKET = 4_000_000
 CHUNKS_PER_TASK = 512
 BASE_PRIOR = 0.1
 #: Hash of the end token: no word has it but by chance.
 END_HASH = np.uint64(0x5BD1E995C6A4A793)
+_SHIFT, _LOW = np.uint64(ID_BITS), np.uint64(IDS - 1)
+#: A slice has fewer rows, so that a pair and a row fit into 64 bits.
+_ROW_BITS = 64 - 2 * ID_BITS
 
 
 def _tokens(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, token hashes with an end for every text, bounds), in slices of about `limit` bytes."""
     raw, bounds = text_buffers(batch.column("text"))
-    for lo, hi in row_slices(bounds, limit):
+    for lo, hi in ((a, min(z, a + (1 << _ROW_BITS))) for y, z in row_slices(bounds, limit) for a in range(y, z, 1 << _ROW_BITS)):
         hashes, words = word_hashes(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo])
         ends = words[1:] + np.arange(hi - lo)
         out = np.empty(len(hashes) + hi - lo, dtype=np.uint64)
@@ -103,7 +115,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ids(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     """Vocabulary numbers of token hashes (`vocabulary` is sorted)."""
-    out = np.full(len(tokens), RARE, dtype=np.uint16)
+    out = np.full(len(tokens), RARE, dtype=np.uint32)
     if len(vocabulary):
         at = np.searchsorted(vocabulary, tokens)
         at[at == len(vocabulary)] = 0
@@ -115,33 +127,43 @@ def _ids(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
 
 def _pairs(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """(context, word) of every token as one number."""
-    before = np.empty(len(ids), dtype=np.uint32)
+    before = np.empty(len(ids), dtype=np.uint64)
     before[1:] = ids[:-1]
     before[bounds[:-1]] = START
-    return (before << np.uint32(16)) | ids
+    return (before << _SHIFT) | ids
+
+
+def _sides(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the contexts and of the words."""
+    return (pairs >> _SHIFT).astype(np.int64), (pairs & _LOW).astype(np.int64)
 
 
 def _in_tail(pairs: np.ndarray) -> np.ndarray:
     """Whether the context or the word is beyond the numbered ones."""
-    return (pairs >> np.uint32(16) == RARE) | (pairs & np.uint32(0xFFFF) == RARE)
+    context, word = _sides(pairs)
+    return (context == RARE) | (word == RARE)
 
 
-_TAIL = "row long, context long, word long, cid int, wid int"
+_TAIL = "row long, context long, word long, cid int, wid int, times long"
 
 
-def _tail_pairs(shared):
-    """Every occurrence of a pair with a word beyond the numbered ones; a text's start is the context END_HASH."""
+def _tail_pairs(shared, by_row: bool):
+    """Pairs with a word beyond the numbered ones, counted in each text or in each slice of texts (then of row 0); a text's
+    start is the context END_HASH."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches, CHUNK_BYTES):
-            numbers = batch.column("row").to_numpy()
+            numbers = batch.column("row").to_numpy() if by_row else np.zeros(len(batch), dtype=np.int64)
             for lo, hi, tokens, bounds in _tokens(batch, CHUNK_BYTES // 4):
                 pairs = _pairs(_ids(tokens, shared.value), bounds)
                 before = np.concatenate([[END_HASH], tokens[:-1]])
                 before[bounds[:-1]] = END_HASH
                 at = np.flatnonzero(_in_tail(pairs))
                 row = np.repeat(numbers[lo:hi], np.diff(bounds))[at]
-                columns = [row, before[at].view(np.int64), tokens[at].view(np.int64), (pairs[at] >> np.uint32(16)).astype(np.int32), (pairs[at] & np.uint32(0xFFFF)).astype(np.int32)]
+                _, first, times = np.unique(mix(mix(before[at]) + tokens[at]) + mix(row.astype(np.uint64)), return_index=True, return_counts=True)
+                at, row = at[first], row[first]
+                cid, wid = _sides(pairs[at])
+                columns = [row, before[at].view(np.int64), tokens[at].view(np.int64), cid.astype(np.int32), wid.astype(np.int32), times]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in _TAIL.split(", ")])
 
     return run
@@ -161,37 +183,35 @@ def _numbers(batch, column: str) -> np.ndarray:
 
 
 def _seat_pairs(shared, k: int):
-    """One sweep over a bucket of tail pairs of several customers: adds t{k}."""
+    """Sweep k over a bucket of tail pairs of several customers: adds t{k}. The sweeps before it repeat their draws."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        sweep, discount = shared.value
+        sweeps, discount = shared.value
         rows = rows.sort_by([("context", "ascending"), ("word", "ascending")])
         cid, wid = rows.column("cid").to_numpy(), rows.column("wid").to_numpy()
-        tables = np.where(cid == RARE, _numbers(rows, f"c_tables{k - 1}"), sweep.tables[cid])
-        root = np.where(wid == RARE, _numbers(rows, f"w_root{k - 1}"), sweep.root[wid])
-        pull = (STRENGTH + discount * np.maximum(tables - rows.column(f"t{k - 1}").to_numpy(), 0)) * root
-        n = rows.column("n").to_numpy()
-        t = seat(n, pull, discount, np.random.default_rng([key[0].as_py(), k, 1])) if len(n) else np.zeros(0)
+        tables = [np.where(cid == RARE, _numbers(rows, f"c_tables{i}"), s.tables[cid]) for i, s in enumerate(sweeps)]
+        root = [np.where(wid == RARE, _numbers(rows, f"w_root{i}"), s.root[wid]) for i, s in enumerate(sweeps)]
+        *_, t = seatings(rows.column("n").to_numpy(), tables, root, discount, [key[0].as_py(), 1])
         kept = rows.drop_columns([c for c in rows.column_names if c[:2] in ("c_", "w_")])
         return kept.append_column(f"t{k}", pa.array(t))
 
     return run
 
 
-def _seat_words(pull: float, discount: float, k: int):
+def _seat_words(others: float, uniform: float, discount: float, k: int):
     """The root's tables of a bucket of words beyond the numbered ones."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("key")
         n = rows.column("customers").to_numpy()
-        t = seat(n, np.full(len(n), pull), discount, np.random.default_rng([key[0].as_py(), k, 2]))
+        t = seat(n, np.full(len(n), others), np.full(len(n), uniform), discount, np.random.default_rng([key[0].as_py(), k, 2]))
         return rows.append_column("root_tables", pa.array(t))
 
     return run
 
 
 def _bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
-    return ((pairs * np.uint32(0x9E3779B1)) >> np.uint32(8)) % np.uint32(buckets)
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
 
 
 def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -210,7 +230,7 @@ def _count_pairs(shared, buckets: int):
                 order = np.argsort(where, kind="stable")
                 offsets = np.searchsorted(where[order], np.arange(buckets + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(buckets, dtype=np.int32)), _lists(pairs[order].view(np.int32), offsets), _lists(n[order].astype(np.int32), offsets)],
+                    [pa.array(np.arange(buckets, dtype=np.int32)), _lists(pairs[order].view(np.int64), offsets), _lists(n[order].astype(np.int32), offsets)],
                     names=["bucket", "pairs", "n"],
                 )
 
@@ -222,10 +242,10 @@ def _flat(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _merge_pairs(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    pairs, back = np.unique(_flat(rows.column("pairs")).view(np.uint32), return_inverse=True)
+    pairs, back = np.unique(_flat(rows.column("pairs")).view(np.uint64), return_inverse=True)
     n = np.bincount(back, weights=_flat(rows.column("n"))).astype(np.int64)
     ends = np.array([0, len(pairs)])
-    return pa.table([pa.array([key[0].as_py()], pa.int32()), _lists(pairs.view(np.int32), ends), _lists(n, ends)], names=["bucket", "pairs", "n"])
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), _lists(pairs.view(np.int64), ends), _lists(n, ends)], names=["bucket", "pairs", "n"])
 
 
 class Sweep:
@@ -235,11 +255,12 @@ class Sweep:
         self.tables, self.root = tables, root
 
 
-def seat(customers: np.ndarray, pull: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of one dish each: a customer opens one with weight `pull`, or sits down with weight (customers - discount * tables)."""
+def seat(customers: np.ndarray, others: np.ndarray, root: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of one dish each, seated one after the other: a customer opens one with weight
+    (others + discount * tables) * root, or sits down with weight (customers - discount * tables)."""
     tables = np.minimum(customers, 1).astype(np.float64)
     order = np.argsort(-customers, kind="stable")
-    sorted_n, sorted_pull = customers[order], pull[order]
+    sorted_n, sorted_others, sorted_root = customers[order], others[order], root[order]
     t = tables[order]
     seated = 1
     top = int(sorted_n[0]) if len(sorted_n) else 0
@@ -247,7 +268,7 @@ def seat(customers: np.ndarray, pull: np.ndarray, discount: float, rng: np.rando
         step = 1 if seated < ONE_BY_ONE else max(1, seated // 8)
         live = int(np.searchsorted(-sorted_n, -seated, "left"))  # dishes with more customers than are seated
         more = np.minimum(sorted_n[:live] - seated, step)
-        a = sorted_pull[:live]
+        a = (sorted_others[:live] + discount * t[:live]) * sorted_root[:live]
         chance = a / (np.maximum(seated - discount * t[:live], 1e-9) + a)
         t[:live] += rng.random(live) < chance if step == 1 else rng.binomial(more, chance)
         seated += step
@@ -255,34 +276,105 @@ def seat(customers: np.ndarray, pull: np.ndarray, discount: float, rng: np.rando
     return tables
 
 
-def _seatings(pairs: np.ndarray, n: np.ndarray, bucket: int, sweeps: list[Sweep], discount: float) -> Iterator[np.ndarray]:
-    """Tables of the bucket's pairs after each sweep so far; the first has one table a pair. The same draws every time."""
-    tables = np.ones(len(pairs))
-    yield tables
+def shared_out(customers: np.ndarray, tables: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Customers of every table, dish after dish: one each, the others by random shares. A seating to start from."""
+    owner = np.repeat(np.arange(len(tables)), tables)
+    first = np.cumsum(tables) - tables
+    share = rng.gamma(1 - discount, size=len(owner)) + 1e-9
+    share /= np.add.reduceat(share, first)[owner] if len(first) else 1
+    size = 1 + (share * (customers - tables)[owner]).astype(np.int64)
+    if len(first):
+        size[first] += customers - np.add.reduceat(size, first)
+    return size
+
+
+def reseat(
+    size: np.ndarray, tables: np.ndarray, others: np.ndarray, root: np.ndarray, discount: float, rng: np.random.Generator
+) -> tuple[np.ndarray, np.ndarray]:
+    """(customers of every table, tables of every dish) after one sweep: a customer drawn at random gets up and sits down
+    again given all that remain, as often as there are customers, `MOVES` times at most."""
+    first = np.cumsum(tables) - tables
+    customers = np.add.reduceat(size, first) if len(first) else tables
+    moves = np.minimum(customers, MOVES)
+    width = np.int64(1) << np.ceil(np.log2(np.maximum(np.minimum(customers, tables + moves), 2))).astype(np.int64)
+    order = np.lexsort((-moves, width))
+    new_tables = tables.copy()
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    at = 0
+    while at < len(order):
+        w = int(width[order[at]])
+        rows = order[at : min(int(np.searchsorted(width[order], w, "right")), at + max(1, GRID // w))]
+        at += len(rows)
+        t = tables[rows]
+        line = np.repeat(np.arange(len(rows)), t)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(t) - t, t)
+        grid = np.zeros((len(rows), w), dtype=np.int64)
+        grid[line, place] = size[np.repeat(first[rows], t) + place]
+        n, a, r, m = customers[rows], others[rows], root[rows], moves[rows]
+        for step in range(int(m[0])):
+            live = int(np.searchsorted(-m, -step, "left"))  # dishes with more moves than are made
+            g, who = grid[:live], np.arange(live)
+            up = rng.random(live) * n[:live]
+            g[who, np.minimum((g.cumsum(axis=1) <= up[:, None]).sum(axis=1), w - 1)] -= 1
+            taken = g > 0
+            weight = (g - discount * taken).cumsum(axis=1)
+            x = rng.random(live) * (weight[:, -1] + (a[:live] + discount * taken.sum(axis=1)) * r[:live])
+            old = (weight <= x[:, None]).sum(axis=1)
+            g[who, np.where(old < w, old, taken.argmin(axis=1))] += 1
+        line, place = np.nonzero(grid)
+        new_tables[rows] = np.bincount(line, minlength=len(rows))
+        kept.append((rows[line], grid[line, place]))
+    if not kept:
+        return size, tables
+    dish, sizes = np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept])
+    return sizes[np.argsort(dish, kind="stable")], new_tables
+
+
+def seatings(n: np.ndarray, tables: list[np.ndarray], root: list[np.ndarray], discount: float, seed: list[int]) -> Iterator[np.ndarray]:
+    """Tables of pairs with `n` customers after each sweep; the first state has one table a pair. `tables` and `root`: of the
+    pair's context, and the parent's probability of its word, before each sweep. The same draws every time."""
+    own = np.ones(len(n))
+    yield own
     many = np.flatnonzero(n > 1)
-    context, word = pairs[many] >> np.uint32(16), pairs[many] & np.uint32(0xFFFF)
-    for k, sweep in enumerate(sweeps):
-        others = np.maximum(sweep.tables[context] - tables[many], 0)
-        pull = (STRENGTH + discount * others) * sweep.root[word]
-        tables = tables.copy()
-        tables[many] = seat(n[many], pull, discount, np.random.default_rng([bucket, k]))
-        yield tables
+    customers, size, t = n[many], None, np.ones(len(many), dtype=np.int64)
+    for k, (of_context, of_word) in enumerate(zip(tables, root, strict=True)):
+        rng = np.random.default_rng([*seed, k])
+        others = STRENGTH + discount * np.maximum(of_context[many] - t, 0)
+        if size is None:
+            t = seat(customers, others, of_word[many], discount, rng).astype(np.int64)
+            size = shared_out(customers, t, discount, rng)
+        else:
+            size, t = reseat(size, t, others, of_word[many], discount, rng)
+        own = own.copy()
+        own[many] = t
+        yield own
+
+
+def kept_sweeps(states: int) -> range:
+    """Which of the states (the first one, and one after each sweep) are averaged."""
+    return range(min(1 + BURNT, states - 1), states)
+
+
+def _seatings(pairs: np.ndarray, n: np.ndarray, bucket: int, sweeps: list[Sweep], discount: float) -> Iterator[np.ndarray]:
+    context, word = _sides(pairs)
+    return seatings(n, [s.tables[context] for s in sweeps], [s.root[word] for s in sweeps], discount, [bucket])
 
 
-def _sum_tables(shared):
-    """Per bucket: tables by context and by word, and how many pairs have one and two customers."""
+def _sum_tables(shared, once: bool):
+    """Per bucket: tables by context and by word, of the pairs with one customer or of those with more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sweeps, discount = shared.value
         for batch in batches:
             for row in range(len(batch)):
-                pairs = np.asarray(batch.column("pairs")[row].values.to_numpy(zero_copy_only=False)).view(np.uint32)
+                pairs = np.asarray(batch.column("pairs")[row].values.to_numpy(zero_copy_only=False)).view(np.uint64)
                 n = batch.column("n")[row].values.to_numpy(zero_copy_only=False)
+                pairs, n = pairs[(n == 1) == once], n[(n == 1) == once]
                 if not len(pairs):
                     continue
                 *_, tables = _seatings(pairs, n, batch.column("bucket")[row].as_py(), sweeps, discount)
-                as_context = np.bincount(pairs >> np.uint32(16), weights=tables, minlength=1 << 16)
-                as_word = np.bincount(pairs & np.uint32(0xFFFF), weights=tables, minlength=1 << 16)
+                context, word = _sides(pairs)
+                as_context, as_word = np.bincount(context, weights=tables, minlength=IDS), np.bincount(word, weights=tables, minlength=IDS)
                 some = np.flatnonzero(as_context + as_word)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some.astype(np.int32)), pa.array(as_context[some].astype(np.int64)), pa.array(as_word[some].astype(np.int64))],
@@ -318,7 +410,7 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     top = words.filter(F.col("word") != end).orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
     order = np.argsort(top.column("word").to_numpy().view(np.uint64))
     known, n_known = top.column("word").to_numpy().view(np.uint64)[order], top.column("n").to_numpy()[order]
-    counts = np.zeros(1 << 16, dtype=np.int64)
+    counts = np.zeros(IDS, dtype=np.int64)
     counts[: len(known)] = n_known
     ends = words.filter(F.col("word") == end).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts[END] = counts[START] = ends
@@ -332,10 +424,10 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     counts[RARE] = rare_n
     buckets = max(8, math.ceil(total / 2 / PAIRS_PER_BUCKET))
     shared = spark.sparkContext.broadcast(known)
-    dealt = texts.mapInArrow(_count_pairs(shared, buckets), "bucket int, pairs array<int>, n array<int>")
-    pairs = stored(dealt.groupBy("bucket").applyInArrow(_merge_pairs, "bucket int, pairs array<int>, n array<long>"), "pairs")
+    dealt = texts.mapInArrow(_count_pairs(shared, buckets), "bucket int, pairs array<long>, n array<int>")
+    pairs = stored(dealt.groupBy("bucket").applyInArrow(_merge_pairs, "bucket int, pairs array<long>, n array<long>"), "pairs")
     keys = ["context", "word", "cid", "wid"]
-    tail = stored(texts.withColumn("row", F.lit(0).cast("long")).mapInArrow(_tail_pairs(shared), _TAIL).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "tail")
+    tail = stored(texts.mapInArrow(_tail_pairs(shared, False), _TAIL).groupBy(*keys).agg(F.sum("times").alias("n")), "tail")
     seen = [F.coalesce(F.sum(F.size(F.expr(f"filter(n, c -> c = {k})"))), F.lit(0)) for k in (1, 2)]
     tail_seen = tail.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     discount = _discount(*[x + y for x, y in zip(pairs.agg(*seen).first(), tail_seen, strict=True)])
@@ -347,6 +439,15 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
 
     once_sums = stored(sides(tail.filter("n = 1"), F.lit(1)), "tail-once")
     many = tail.filter("n > 1").withColumn("bucket", F.pmod(F.xxhash64("context", "word"), F.lit(buckets)).cast("int")).withColumn("t0", F.lit(1.0))
+    def sums_of(sweeps: list[Sweep], once: bool) -> tuple[np.ndarray, np.ndarray]:
+        by_id = pairs.mapInArrow(_sum_tables(spark.sparkContext.broadcast((sweeps, discount)), once), "id int, as_context long, as_word long")
+        by_id = by_id.groupBy("id").agg(F.sum("as_context").alias("as_context"), F.sum("as_word").alias("as_word")).toArrow()
+        tables, customers = np.zeros(IDS), np.zeros(IDS, dtype=np.int64)
+        ids = by_id.column("id").to_numpy()
+        tables[ids], customers[ids] = by_id.column("as_context").to_numpy(), by_id.column("as_word").to_numpy()
+        return tables, customers
+
+    once_numbered = sums_of([], True)
     done: list[Sweep] = []
     unknown: list[float] = []
     rng = np.random.default_rng(3)
@@ -354,13 +455,9 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     for k in range(sweeps + 1):
         if k:
             schema = ", ".join(f"{n} {kind}" for n, kind in many.dtypes) + f", t{k} double"
-            fitted = spark.sparkContext.broadcast((done[-1], discount))
-            many = stored(_with_words(many, state.select("key", f"tables{k - 1}", f"root{k - 1}")).groupBy("bucket").applyInArrow(_seat_pairs(fitted, k), schema), "tail-many")
-        sums = pairs.mapInArrow(_sum_tables(spark.sparkContext.broadcast((done, discount))), "id int, as_context long, as_word long")
-        sums = sums.groupBy("id").agg(F.sum("as_context").alias("as_context"), F.sum("as_word").alias("as_word")).toArrow()
-        tables, customers = np.zeros(1 << 16), np.zeros(1 << 16, dtype=np.int64)
-        ids = sums.column("id").to_numpy()
-        tables[ids], customers[ids] = sums.column("as_context").to_numpy(), sums.column("as_word").to_numpy()
+            fitted = spark.sparkContext.broadcast((list(done), discount))
+            many = stored(_with_words(many, state.drop("count")).groupBy("bucket").applyInArrow(_seat_pairs(fitted, k), schema), "tail-many")
+        tables, customers = (x + y for x, y in zip(sums_of(list(done), False), once_numbered, strict=True))
         own = once_sums.unionByName(sides(many, F.col(f"t{k}"))).groupBy("before", "key", "id").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
         own = stored(own, "tail-sums")
         numbered = own.filter(F.col("id") != RARE).toArrow()
@@ -371,10 +468,9 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
             F.sum(F.when(F.col("before"), F.col("t")).otherwise(0.0)).alias(f"tables{k}"), F.sum(F.when(F.col("before"), F.col("n")).otherwise(0)).alias("count"),
             F.sum(F.when(F.col("before"), 0.0).otherwise(F.col("t"))).cast("long").alias("customers"),
         )
-        pull = (STRENGTH + discount * types) / (types + 1)
         words_k = words_k.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
         schema = f"key long, tables{k} double, count long, customers long, bucket int, root_tables double"
-        words_k = stored(words_k.groupBy("bucket").applyInArrow(_seat_words(pull, discount, k), schema), "tail-words")
+        words_k = stored(words_k.groupBy("bucket").applyInArrow(_seat_words(STRENGTH + discount * (types - 1), 1.0 / (types + 1), discount, k), schema), "tail-words")
         more_n, more_t = words_k.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.coalesce(F.sum("root_tables"), F.lit(0.0))).first()
         root, new, all_n = root_probabilities(customers, types, discount, rng, more_n, more_t)
         done.append(Sweep(tables, root))
@@ -393,7 +489,7 @@ def root_probabilities(customers: np.ndarray, types: int, discount: float, rng:
     """The root restaurant's probability of every numbered dish and of an unknown word, and all its customers; its base is
     uniform over the words and one unknown. `more_n`, `more_t`: customers and tables of the other words."""
     uniform = 1.0 / (types + 1)
-    tables = seat(customers, np.full(len(customers), (STRENGTH + discount * types) * uniform), discount, rng)
+    tables = seat(customers, np.full(len(customers), STRENGTH + discount * max(types - 1, 0)), np.full(len(customers), uniform), discount, rng)
     all_n, all_t = int(customers.sum()) + more_n, tables.sum() + more_t
     new = (STRENGTH + discount * all_t) * uniform / (all_n + STRENGTH)
     return np.maximum(customers - discount * tables, 0) / (all_n + STRENGTH) + new, new, all_n
@@ -405,13 +501,13 @@ def _tail_scores(shared):
         for batch in batches:
             cid, wid, n = batch.column("cid").to_numpy(), batch.column("wid").to_numpy(), _numbers(batch, "n")
             total = np.zeros(len(batch))
-            for k in range(1, len(sweeps)):
+            for k in kept_sweeps(len(sweeps)):
                 tables = np.where(cid == RARE, _numbers(batch, f"c_tables{k}"), sweeps[k].tables[cid])
                 root = np.where(wid == RARE, _numbers(batch, f"w_root{k}"), sweeps[k].root[wid])
                 root = np.where(root > 0, root, unknown[k])
                 total += np.maximum(n - discount * _numbers(batch, f"t{k}"), 0.0) + (STRENGTH + discount * tables) * root
-            total /= (len(sweeps) - 1) * (np.where(cid == RARE, _numbers(batch, "c_count"), counts[cid]) + STRENGTH)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.log10(total))], names=["row", "score"])
+            total /= len(kept_sweeps(len(sweeps))) * (np.where(cid == RARE, _numbers(batch, "c_count"), counts[cid]) + STRENGTH)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.log10(total) * batch.column("times").to_numpy())], names=["row", "score"])
 
     return run
 
@@ -431,7 +527,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 _QUESTION = (
-    "chunk long, bucket int, pairs array<int>, spans array<int>, places binary, times binary, words array<long>, word_places binary, "
+    "chunk long, bucket int, pairs array<long>, spans array<int>, places binary, times binary, words array<long>, word_places binary, "
     "ids array<long>, base array<double>, known array<long>, n array<long>"
 )
 _ANSWER = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
@@ -455,9 +551,9 @@ def _questions(shared, buckets: int):
                 known = np.bincount(text, weights=~rare & (counts[ids] > 0), minlength=rows).astype(np.int64)
                 head = _pairs(ids, bounds)
                 inside = ~_in_tail(head)
-                both = (head[inside].astype(np.uint64) << np.uint64(32)) | text[inside].astype(np.uint64)
+                both = (head[inside] << np.uint64(_ROW_BITS)) | text[inside].astype(np.uint64)
                 both, times = np.unique(both, return_counts=True)
-                pairs, places = (both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                pairs, places = both >> np.uint64(_ROW_BITS), (both & np.uint64((1 << _ROW_BITS) - 1)).astype(np.int64)
                 where = _bucket(pairs, buckets)
                 order = np.argsort(where, kind="stable")
                 cuts = np.searchsorted(where[order], np.arange(buckets + 1))
@@ -471,13 +567,13 @@ def _questions(shared, buckets: int):
                     distinct, first = np.unique(pairs[own], return_index=True)
                     some = slice(lo, hi) if b == 0 else slice(0, 0)
                     row = (
-                        numbers[lo], b, distinct.view(np.int32), np.diff(np.append(first, len(own))).astype(np.int32), _pack(places[own]), _pack(times[own]),
+                        numbers[lo], b, distinct.view(np.int64), np.diff(np.append(first, len(own))).astype(np.int32), _pack(places[own]), _pack(times[own]),
                         words[mine].view(np.int64), _pack(word_text[mine]), batch.column("doc_id")[some].to_pylist(),
                         base_sum if b == 0 else base_sum[:0], known if b == 0 else known[:0], n if b == 0 else n[:0],
                     )
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-                kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.int32())] * 2, *[pa.binary()] * 2, pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 2]
+                kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 2, pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 2]
                 names = [c.split()[0] for c in _QUESTION.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
 
@@ -490,14 +586,14 @@ def _answers(shared):
     def run(key, questions: pa.Table, known: pa.Table) -> pa.Table:
         counts, sweeps, discount, rare_parts, total, types = shared.value
         model = Scores(counts, sweeps, discount, rare_parts, total, types)
-        pairs, n = _flat(known.column("pairs")).view(np.uint32), _flat(known.column("pn"))
+        pairs, n = _flat(known.column("pairs")).view(np.uint64), _flat(known.column("pn"))
         tables = list(_seatings(pairs, n, key[0].as_py(), sweeps[:-1], discount))
         words = known.filter(known.column("word").is_valid()).sort_by("word")
         word, word_n = words.column("word").to_numpy(), words.column("wn").to_numpy()
         out: dict[str, list] = {c.split()[0]: [] for c in _ANSWER.split(", ")}
         for q in range(len(questions)):
             row = {c: questions.column(c)[q] for c in questions.column_names}
-            asked = row["pairs"].values.to_numpy(zero_copy_only=False).view(np.uint32)
+            asked = row["pairs"].values.to_numpy(zero_copy_only=False).view(np.uint64)
             at, seen = _find(pairs, asked)
             c = np.where(seen, n[at], 0) if len(pairs) else np.zeros(len(asked))
             logs = model.log_pairs(asked, c, [np.where(seen, t[at], 0.0) if len(pairs) else c for t in tables])
@@ -542,13 +638,15 @@ class Scores:
         return np.log10((n + BASE_PRIOR) / (self.total + BASE_PRIOR * (self.types + 1)))
 
     def log_pairs(self, pairs: np.ndarray, n: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
-        """log10 of the predictive probability of each (context, word), averaged over the sweeps after the first."""
-        context, word = pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)
+        """log10 of the predictive probability of each (context, word), averaged over the sweeps kept."""
+        context, word = _sides(pairs)
         total = np.zeros(len(pairs))
-        for sweep, t in list(zip(self.sweeps, tables, strict=True))[1:]:
+        states = kept_sweeps(len(tables))
+        for k in states:
+            sweep, t = self.sweeps[k], tables[k]
             own = np.maximum(n - self.discount * t, 0.0) + (STRENGTH + self.discount * sweep.tables[context]) * sweep.root[word]
             total += own / (self.counts[context] + STRENGTH)
-        return np.log10(total / (len(tables) - 1))
+        return np.log10(total / len(states))
 
 
 def score(docs: DataFrame, model: Model, chunks_per_task: int = CHUNKS_PER_TASK) -> DataFrame:
@@ -557,19 +655,19 @@ def score(docs: DataFrame, model: Model, chunks_per_task: int = CHUNKS_PER_TASK)
     scores = Scores(model.counts, model.sweeps, model.discount, model.rare, model.total, model.types)
     known = context.broadcast((model.vocabulary, model.counts, scores.base(model.counts)))
     fitted = context.broadcast((model.counts, model.sweeps, model.discount, model.rare, model.total, model.types))
-    numbered = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    numbered = stored(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "numbered")
     groups = int(model.total * 8 // CHUNK_BYTES // chunks_per_task) + 1
     asked = numbered.mapInArrow(_questions(known, model.buckets), _QUESTION).withColumn("part", F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int"))
     parts = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     least = int(model.counts[: len(model.vocabulary)].min()) if len(model.vocabulary) else 0
     rare = model.words.filter(F.col("n") <= least).select(
-        (F.shiftrightunsigned("word", 33) % model.buckets).cast("int").alias("bucket"), F.lit(None).cast("array<int>").alias("pairs"),
+        (F.shiftrightunsigned("word", 33) % model.buckets).cast("int").alias("bucket"), F.lit(None).cast("array<bigint>").alias("pairs"),
         F.lit(None).cast("array<bigint>").alias("pn"), "word", F.col("n").alias("wn"),
     )
     held = model.pairs.select("bucket", "pairs", F.col("n").alias("pn"), F.lit(None).cast("long").alias("word"), F.lit(None).cast("long").alias("wn"))
     held = held.unionByName(rare).withColumn("part", parts)
     answers = asked.groupBy("bucket", "part").cogroup(held.groupBy("bucket", "part")).applyInArrow(_answers(fitted), _ANSWER)
-    occurrences = numbered.mapInArrow(_tail_pairs(context.broadcast(model.vocabulary)), _TAIL).join(model.tail, ["context", "word"], "left")
+    occurrences = numbered.mapInArrow(_tail_pairs(context.broadcast(model.vocabulary), True), _TAIL).join(model.tail, ["context", "word"], "left")
     parts = context.broadcast((model.counts, model.sweeps, model.discount, model.unknown))
     beyond = _with_words(occurrences, model.tail_words).mapInArrow(_tail_scores(parts), "row long, score double")
     nothing = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast(kind).alias(c) for c, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"))]]
