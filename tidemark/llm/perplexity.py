@@ -4,7 +4,7 @@ Restaurants: the root restaurant of words, whose base is uniform over the words
 one restaurant for the context of each word and of a text's start; all share the root as parent. Counts are exact and
 cover all training rows and words.
 
-The `VOCABULARY` most frequent words are numbered, and what is known of them is kept in arrays (some 60 MB). The other words
+The `VOCABULARY` most frequent words are numbered, and what is known of them is kept in arrays (34 MB at most, broadcast once). The other words
 go by their 64-bit hash: pairs with such a word and the sums of such words are Spark tables, joined by hash. Their part of
 the model is the same; no such word is frequent enough to be a hot key, and pairs' numbered side is salted out of the joins.
 Rows are numbered once, in a stored table.
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,8 @@ from .words import mix, row_slices, text_buffers, word_hashes
 
 ID_BITS = 19
 IDS = 1 << ID_BITS
-VOCABULARY = IDS - 4
-RARE, START, END = IDS - 3, IDS - 2, IDS - 1
+RARE, START, END, FIRST = 0, 1, 2, 3
+VOCABULARY = IDS - FIRST
 FOLDS = 10
 SWEEPS = 3
 STRENGTH = 1.0
@@ -120,7 +121,7 @@ def _ids(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
         at = np.searchsorted(vocabulary, tokens)
         at[at == len(vocabulary)] = 0
         known = vocabulary[at] == tokens
-        out[known] = at[known]
+        out[known] = at[known] + FIRST
     out[tokens == END_HASH] = END
     return out
 
@@ -182,11 +183,11 @@ def _numbers(batch, column: str) -> np.ndarray:
     return np.nan_to_num(batch.column(column).to_numpy(zero_copy_only=False).astype(np.float64)) if isinstance(batch, pa.RecordBatch) else np.nan_to_num(batch.column(column).to_numpy().astype(np.float64))
 
 
-def _seat_pairs(shared, k: int):
+def _seat_pairs(shared: list, discount: float, k: int):
     """Sweep k over a bucket of tail pairs of several customers: adds t{k}. The sweeps before it repeat their draws."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        sweeps, discount = shared.value
+        sweeps = [s.value for s in shared]
         rows = rows.sort_by([("context", "ascending"), ("word", "ascending")])
         cid, wid = rows.column("cid").to_numpy(), rows.column("wid").to_numpy()
         tables = [np.where(cid == RARE, _numbers(rows, f"c_tables{i}"), s.tables[cid]) for i, s in enumerate(sweeps)]
@@ -252,7 +253,7 @@ class Sweep:
     """What one sweep knows of vocabulary words: tables of each context, and the root's probability of each word."""
 
     def __init__(self, tables: np.ndarray, root: np.ndarray):
-        self.tables, self.root = tables, root
+        self.tables, self.root = tables, root.astype(np.float32)
 
 
 def seat(customers: np.ndarray, others: np.ndarray, root: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -360,11 +361,11 @@ def _seatings(pairs: np.ndarray, n: np.ndarray, bucket: int, sweeps: list[Sweep]
     return seatings(n, [s.tables[context] for s in sweeps], [s.root[word] for s in sweeps], discount, [bucket])
 
 
-def _sum_tables(shared, once: bool):
+def _sum_tables(shared: list, discount: float, once: bool):
     """Per bucket: tables by context and by word, of the pairs with one customer or of those with more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sweeps, discount = shared.value
+        sweeps = [s.value for s in shared]
         for batch in batches:
             for row in range(len(batch)):
                 pairs = np.asarray(batch.column("pairs")[row].values.to_numpy(zero_copy_only=False)).view(np.uint64)
@@ -374,7 +375,8 @@ def _sum_tables(shared, once: bool):
                     continue
                 *_, tables = _seatings(pairs, n, batch.column("bucket")[row].as_py(), sweeps, discount)
                 context, word = _sides(pairs)
-                as_context, as_word = np.bincount(context, weights=tables, minlength=IDS), np.bincount(word, weights=tables, minlength=IDS)
+                ids = int(max(context.max(), word.max())) + 1
+                as_context, as_word = np.bincount(context, weights=tables, minlength=ids), np.bincount(word, weights=tables, minlength=ids)
                 some = np.flatnonzero(as_context + as_word)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some.astype(np.int32)), pa.array(as_context[some].astype(np.int64)), pa.array(as_word[some].astype(np.int64))],
@@ -410,8 +412,8 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     top = words.filter(F.col("word") != end).orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
     order = np.argsort(top.column("word").to_numpy().view(np.uint64))
     known, n_known = top.column("word").to_numpy().view(np.uint64)[order], top.column("n").to_numpy()[order]
-    counts = np.zeros(IDS, dtype=np.int64)
-    counts[: len(known)] = n_known
+    counts = np.zeros(len(known) + FIRST, dtype=np.int64)
+    counts[FIRST:] = n_known
     ends = words.filter(F.col("word") == end).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts[END] = counts[START] = ends
     beyond = words.filter(F.col("word") != end)
@@ -439,15 +441,16 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
 
     once_sums = stored(sides(tail.filter("n = 1"), F.lit(1)), "tail-once")
     many = tail.filter("n > 1").withColumn("bucket", F.pmod(F.xxhash64("context", "word"), F.lit(buckets)).cast("int")).withColumn("t0", F.lit(1.0))
-    def sums_of(sweeps: list[Sweep], once: bool) -> tuple[np.ndarray, np.ndarray]:
-        by_id = pairs.mapInArrow(_sum_tables(spark.sparkContext.broadcast((sweeps, discount)), once), "id int, as_context long, as_word long")
+    def sums_of(once: bool) -> tuple[np.ndarray, np.ndarray]:
+        by_id = pairs.mapInArrow(_sum_tables([] if once else list(sent), discount, once), "id int, as_context long, as_word long")
         by_id = by_id.groupBy("id").agg(F.sum("as_context").alias("as_context"), F.sum("as_word").alias("as_word")).toArrow()
-        tables, customers = np.zeros(IDS), np.zeros(IDS, dtype=np.int64)
+        tables, customers = np.zeros(len(counts)), np.zeros(len(counts), dtype=np.int64)
         ids = by_id.column("id").to_numpy()
         tables[ids], customers[ids] = by_id.column("as_context").to_numpy(), by_id.column("as_word").to_numpy()
         return tables, customers
 
-    once_numbered = sums_of([], True)
+    sent: list[Broadcast] = []
+    once_numbered = sums_of(True)
     done: list[Sweep] = []
     unknown: list[float] = []
     rng = np.random.default_rng(3)
@@ -455,9 +458,8 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     for k in range(sweeps + 1):
         if k:
             schema = ", ".join(f"{n} {kind}" for n, kind in many.dtypes) + f", t{k} double"
-            fitted = spark.sparkContext.broadcast((list(done), discount))
-            many = stored(_with_words(many, state.drop("count")).groupBy("bucket").applyInArrow(_seat_pairs(fitted, k), schema), "tail-many")
-        tables, customers = (x + y for x, y in zip(sums_of(list(done), False), once_numbered, strict=True))
+            many = stored(_with_words(many, state.drop("count")).groupBy("bucket").applyInArrow(_seat_pairs(list(sent), discount, k), schema), "tail-many")
+        tables, customers = (x + y for x, y in zip(sums_of(False), once_numbered, strict=True))
         own = once_sums.unionByName(sides(many, F.col(f"t{k}"))).groupBy("before", "key", "id").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
         own = stored(own, "tail-sums")
         numbered = own.filter(F.col("id") != RARE).toArrow()
@@ -474,6 +476,7 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
         more_n, more_t = words_k.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.coalesce(F.sum("root_tables"), F.lit(0.0))).first()
         root, new, all_n = root_probabilities(customers, types, discount, rng, more_n, more_t)
         done.append(Sweep(tables, root))
+        sent.append(spark.sparkContext.broadcast(done[-1]))
         unknown.append(new)
         given = (F.greatest(F.col("customers") - discount * F.col("root_tables"), F.lit(0.0)) / (all_n + STRENGTH) + new).alias(f"root{k}")
         words_k = words_k.select("key", "count", f"tables{k}", given)
@@ -481,7 +484,7 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     out = Model(words, pairs, buckets, known, counts, int(total), int(types), (_discount(once, twice), int(rare_n), int(rare_types)), discount, done)
     every = [F.lit(1.0).alias(f"t{k}") for k in range(sweeps + 1)]
     out.tail = tail.filter("n = 1").select("context", "word", "n", *every).unionByName(many.select("context", "word", "n", *[f"t{k}" for k in range(sweeps + 1)]))
-    out.tail_words, out.unknown = state, unknown
+    out.tail_words, out.unknown, out.sent, out.numbers = state, unknown, sent, shared
     return out
 
 
@@ -495,9 +498,10 @@ def root_probabilities(customers: np.ndarray, types: int, discount: float, rng:
     return np.maximum(customers - discount * tables, 0) / (all_n + STRENGTH) + new, new, all_n
 
 
-def _tail_scores(shared):
+def _tail_scores(shared, sent: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, sweeps, discount, unknown = shared.value
+        counts, discount, unknown = shared.value
+        sweeps = [s.value for s in sent]
         for batch in batches:
             cid, wid, n = batch.column("cid").to_numpy(), batch.column("wid").to_numpy(), _numbers(batch, "n")
             total = np.zeros(len(batch))
@@ -533,13 +537,15 @@ _QUESTION = (
 _ANSWER = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _questions(shared, buckets: int):
+def _questions(numbered, shared, buckets: int):
     """For each slice of texts and bucket: its distinct pairs with the texts they occur in and how often, and the words
     beyond the vocabulary with their texts. A slice goes by the row number of its first text. The row of bucket 0 also
     has what needs no bucket: document ids, token numbers, and the sums over vocabulary words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts, base = shared.value
+        vocabulary = numbered.value
+        counts, discount, rare_parts, total, types = shared.value
+        base = Scores(counts, [], discount, rare_parts, total, types).base(counts)
         for batch in _gathered(batches, CHUNK_BYTES):
             numbers = batch.column("row").to_numpy()
             for lo, hi, tokens, bounds in _tokens(batch, 2 * CHUNK_BYTES):
@@ -580,11 +586,12 @@ def _questions(shared, buckets: int):
     return run
 
 
-def _answers(shared):
+def _answers(shared, sent: list):
     """Sums per text of one bucket's pairs and words."""
 
     def run(key, questions: pa.Table, known: pa.Table) -> pa.Table:
-        counts, sweeps, discount, rare_parts, total, types = shared.value
+        counts, discount, rare_parts, total, types = shared.value
+        sweeps = [s.value for s in sent]
         model = Scores(counts, sweeps, discount, rare_parts, total, types)
         pairs, n = _flat(known.column("pairs")).view(np.uint64), _flat(known.column("pn"))
         tables = list(_seatings(pairs, n, key[0].as_py(), sweeps[:-1], discount))
@@ -652,24 +659,22 @@ class Scores:
 def score(docs: DataFrame, model: Model, chunks_per_task: int = CHUNKS_PER_TASK) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
     context = docs.sparkSession.sparkContext
-    scores = Scores(model.counts, model.sweeps, model.discount, model.rare, model.total, model.types)
-    known = context.broadcast((model.vocabulary, model.counts, scores.base(model.counts)))
-    fitted = context.broadcast((model.counts, model.sweeps, model.discount, model.rare, model.total, model.types))
+    fitted = context.broadcast((model.counts, model.discount, model.rare, model.total, model.types))
     numbered = stored(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "numbered")
     groups = int(model.total * 8 // CHUNK_BYTES // chunks_per_task) + 1
-    asked = numbered.mapInArrow(_questions(known, model.buckets), _QUESTION).withColumn("part", F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int"))
+    asked = numbered.mapInArrow(_questions(model.numbers, fitted, model.buckets), _QUESTION).withColumn("part", F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int"))
     parts = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    least = int(model.counts[: len(model.vocabulary)].min()) if len(model.vocabulary) else 0
+    least = int(model.counts[FIRST:].min()) if len(model.vocabulary) else 0
     rare = model.words.filter(F.col("n") <= least).select(
         (F.shiftrightunsigned("word", 33) % model.buckets).cast("int").alias("bucket"), F.lit(None).cast("array<bigint>").alias("pairs"),
         F.lit(None).cast("array<bigint>").alias("pn"), "word", F.col("n").alias("wn"),
     )
     held = model.pairs.select("bucket", "pairs", F.col("n").alias("pn"), F.lit(None).cast("long").alias("word"), F.lit(None).cast("long").alias("wn"))
     held = held.unionByName(rare).withColumn("part", parts)
-    answers = asked.groupBy("bucket", "part").cogroup(held.groupBy("bucket", "part")).applyInArrow(_answers(fitted), _ANSWER)
-    occurrences = numbered.mapInArrow(_tail_pairs(context.broadcast(model.vocabulary), True), _TAIL).join(model.tail, ["context", "word"], "left")
-    parts = context.broadcast((model.counts, model.sweeps, model.discount, model.unknown))
-    beyond = _with_words(occurrences, model.tail_words).mapInArrow(_tail_scores(parts), "row long, score double")
+    answers = asked.groupBy("bucket", "part").cogroup(held.groupBy("bucket", "part")).applyInArrow(_answers(fitted, model.sent), _ANSWER)
+    occurrences = numbered.mapInArrow(_tail_pairs(model.numbers, True), _TAIL).join(model.tail, ["context", "word"], "left")
+    parts = context.broadcast((model.counts, model.discount, model.unknown))
+    beyond = _with_words(occurrences, model.tail_words).mapInArrow(_tail_scores(parts, model.sent), "row long, score double")
     nothing = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast(kind).alias(c) for c, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"))]]
     answers = answers.unionByName(beyond.groupBy("row").agg(F.sum("score").alias("score")).select("row", *nothing, "score"))
     sums = answers.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
