@@ -48,14 +48,14 @@ IDS = 1 << ID_BITS
 RARE, START, END, FIRST = 0, 1, 2, 3
 VOCABULARY = IDS - FIRST
 FOLDS = 10
-SWEEPS = 3
+SWEEPS = 4
 STRENGTH = 1.0
 BURNT = 1
 ONE_BY_ONE = 64
 MOVES = 32
 #: Numbers of one grid of seatings.
 GRID = 1 << 18
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 10 << 20
 PAIRS_PER_BUCKET = 4_000_000
 CHUNKS_PER_TASK = 512
 BASE_PRIOR = 0.1
@@ -170,10 +170,10 @@ def _tail_pairs(shared, by_row: bool):
     return run
 
 
-def _with_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
+def _with_words(pairs: DataFrame, contexts: DataFrame, words: DataFrame) -> DataFrame:
     """`pairs` with the columns of the context (c_...) and of the word (w_...) where these are beyond the numbered ones."""
-    for key, number in (("context", "cid"), ("word", "wid")):
-        side = words.select(F.col("key").alias("_key"), *[F.col(c).alias(f"{key[0]}_{c}") for c in words.columns if c != "key"])
+    for key, number, of in (("context", "cid", contexts), ("word", "wid", words)):
+        side = of.select(F.col("key").alias("_key"), *[F.col(c).alias(f"{key[0]}_{c}") for c in of.columns if c != "key"])
         salted = F.when(F.col(number) == RARE, F.col(key)).otherwise(F.xxhash64("context", "word"))
         pairs = pairs.withColumn("_at", salted).join(side, F.col("_at") == F.col("_key"), "left").drop("_at", "_key")
     return pairs
@@ -200,13 +200,15 @@ def _seat_pairs(shared: list, discount: float, k: int):
 
 
 def _seat_words(others: float, uniform: float, discount: float, k: int):
-    """The root's tables of a bucket of words beyond the numbered ones."""
+    """The root's tables of words beyond the numbered ones. The result is stored before it is used."""
 
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("key")
-        n = rows.column("customers").to_numpy()
-        t = seat(n, np.full(len(n), others), np.full(len(n), uniform), discount, np.random.default_rng([key[0].as_py(), k, 2]))
-        return rows.append_column("root_tables", pa.array(t))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.sort_by("key")
+            n = batch.column("customers").to_numpy()
+            seed = [int(batch.column("key")[0].as_py()) % 2**64, k] if len(n) else [k]
+            t = seat(n, np.full(len(n), others), np.full(len(n), uniform), discount, np.random.default_rng(seed))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(t)], names=[*batch.schema.names, "root_tables"])
 
     return run
 
@@ -436,10 +438,26 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
 
     def sides(of: DataFrame, t: Column) -> DataFrame:
         both = F.explode(F.array(*[F.struct(F.lit(c == "cid").alias("before"), F.col(key).alias("key"), F.col(c).alias("id")) for key, c in (("context", "cid"), ("word", "wid"))]))
-        flat = of.select(both.alias("side"), t.cast("double").alias("t"), "n").select("side.*", "t", "n")
-        return flat.groupBy("before", "key", "id").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+        return of.select(both.alias("side"), t.cast("double").alias("t"), "n").select("side.*", "t", "n")
+
+    def of_numbered(flat: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        sums = flat.filter(F.col("id") != RARE).groupBy("before", "id").agg(F.sum("t").alias("t")).toArrow()
+        before, ids, t = (sums.column(c).to_numpy() for c in ("before", "id", "t"))
+        tables, customers = np.zeros(len(counts)), np.zeros(len(counts), dtype=np.int64)
+        tables[ids[before]], customers[ids[~before]] = t[before], t[~before].astype(np.int64)
+        return tables, customers
+
+    def of_words(flat: DataFrame, name: str) -> DataFrame:
+        return flat.filter(F.col("id") == RARE).groupBy("key").agg(
+            F.sum(F.when(F.col("before"), F.col("t")).otherwise(0.0)).alias(f"{name}_tables"), F.sum(F.when(F.col("before"), F.col("n")).otherwise(0)).alias(f"{name}_count"),
+            F.sum(F.when(F.col("before"), 0.0).otherwise(F.col("t"))).cast("long").alias(f"{name}_customers"),
+        )
 
-    once_sums = stored(sides(tail.filter("n = 1"), F.lit(1)), "tail-once")
+    def both_parts(column: str) -> Column:
+        return F.coalesce(f"once_{column}", F.lit(0)) + F.coalesce(f"many_{column}", F.lit(0))
+
+    alone = sides(tail.filter("n = 1"), F.lit(1))
+    once_tail, state = of_numbered(alone), of_words(alone, "once")
     many = tail.filter("n > 1").withColumn("bucket", F.pmod(F.xxhash64("context", "word"), F.lit(buckets)).cast("int")).withColumn("t0", F.lit(1.0))
     def sums_of(once: bool) -> tuple[np.ndarray, np.ndarray]:
         by_id = pairs.mapInArrow(_sum_tables([] if once else list(sent), discount, once), "id int, as_context long, as_word long")
@@ -454,33 +472,30 @@ def train(docs: DataFrame, sweeps: int = SWEEPS, vocabulary: int = VOCABULARY) -
     done: list[Sweep] = []
     unknown: list[float] = []
     rng = np.random.default_rng(3)
-    state = None
     for k in range(sweeps + 1):
         if k:
             schema = ", ".join(f"{n} {kind}" for n, kind in many.dtypes) + f", t{k} double"
-            many = stored(_with_words(many, state.drop("count")).groupBy("bucket").applyInArrow(_seat_pairs(list(sent), discount, k), schema), "tail-many")
+            asked = state.filter("several")
+            contexts, dishes = (asked.select("key", *[f"{c}{i}" for i in range(k)]) for c in ("tables", "root"))
+            many = stored(_with_words(many, contexts, dishes).groupBy("bucket").applyInArrow(_seat_pairs(list(sent), discount, k), schema), "tail-many")
         tables, customers = (x + y for x, y in zip(sums_of(False), once_numbered, strict=True))
-        own = once_sums.unionByName(sides(many, F.col(f"t{k}"))).groupBy("before", "key", "id").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
-        own = stored(own, "tail-sums")
-        numbered = own.filter(F.col("id") != RARE).toArrow()
-        before, ids, t = (numbered.column(c).to_numpy() for c in ("before", "id", "t"))
-        np.add.at(tables, ids[before], t[before])
-        np.add.at(customers, ids[~before], t[~before].astype(np.int64))
-        words_k = own.filter(F.col("id") == RARE).groupBy("key").agg(
-            F.sum(F.when(F.col("before"), F.col("t")).otherwise(0.0)).alias(f"tables{k}"), F.sum(F.when(F.col("before"), F.col("n")).otherwise(0)).alias("count"),
-            F.sum(F.when(F.col("before"), 0.0).otherwise(F.col("t"))).cast("long").alias("customers"),
-        )
-        words_k = words_k.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
-        schema = f"key long, tables{k} double, count long, customers long, bucket int, root_tables double"
-        words_k = stored(words_k.groupBy("bucket").applyInArrow(_seat_words(STRENGTH + discount * (types - 1), 1.0 / (types + 1), discount, k), schema), "tail-words")
+        flat = sides(many, F.col(f"t{k}"))
+        for own_tables, own_customers in (once_tail, of_numbered(flat)):
+            tables, customers = tables + own_tables, customers + own_customers
+        words_k = state.join(of_words(flat, "many"), "key", "left" if k else "full")
+        if not k:
+            words_k = words_k.withColumn("several", F.col("many_count").isNotNull()).withColumn("count", both_parts("count").cast("long"))
+        words_k = words_k.withColumn(f"tables{k}", both_parts("tables").cast("double")).withColumn("customers", both_parts("customers").cast("long"))
+        words_k = words_k.drop("once_count", "many_count", "many_tables", "many_customers")
+        schema = ", ".join(f"{n} {kind}" for n, kind in words_k.dtypes) + ", root_tables double"
+        words_k = stored(words_k.mapInArrow(_seat_words(STRENGTH + discount * (types - 1), 1.0 / (types + 1), discount, k), schema), "tail-words")
         more_n, more_t = words_k.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.coalesce(F.sum("root_tables"), F.lit(0.0))).first()
         root, new, all_n = root_probabilities(customers, types, discount, rng, more_n, more_t)
         done.append(Sweep(tables, root))
         sent.append(spark.sparkContext.broadcast(done[-1]))
         unknown.append(new)
         given = (F.greatest(F.col("customers") - discount * F.col("root_tables"), F.lit(0.0)) / (all_n + STRENGTH) + new).alias(f"root{k}")
-        words_k = words_k.select("key", "count", f"tables{k}", given)
-        state = words_k if state is None else stored(state.join(words_k.drop("count"), "key"), "tail-state")
+        state = words_k.withColumn(f"root{k}", given).drop("customers", "root_tables")
     out = Model(words, pairs, buckets, known, counts, int(total), int(types), (_discount(once, twice), int(rare_n), int(rare_types)), discount, done)
     every = [F.lit(1.0).alias(f"t{k}") for k in range(sweeps + 1)]
     out.tail = tail.filter("n = 1").select("context", "word", "n", *every).unionByName(many.select("context", "word", "n", *[f"t{k}" for k in range(sweeps + 1)]))
@@ -503,14 +518,15 @@ def _tail_scores(shared, sent: list):
         counts, discount, unknown = shared.value
         sweeps = [s.value for s in sent]
         for batch in batches:
-            cid, wid, n = batch.column("cid").to_numpy(), batch.column("wid").to_numpy(), _numbers(batch, "n")
+            cid, wid, own = batch.column("cid").to_numpy(), batch.column("wid").to_numpy(), _numbers(batch, "own")
             total = np.zeros(len(batch))
-            for k in kept_sweeps(len(sweeps)):
+            kept = kept_sweeps(len(sweeps))
+            for k in kept:
                 tables = np.where(cid == RARE, _numbers(batch, f"c_tables{k}"), sweeps[k].tables[cid])
                 root = np.where(wid == RARE, _numbers(batch, f"w_root{k}"), sweeps[k].root[wid])
                 root = np.where(root > 0, root, unknown[k])
-                total += np.maximum(n - discount * _numbers(batch, f"t{k}"), 0.0) + (STRENGTH + discount * tables) * root
-            total /= len(kept_sweeps(len(sweeps))) * (np.where(cid == RARE, _numbers(batch, "c_count"), counts[cid]) + STRENGTH)
+                total += (STRENGTH + discount * tables) * root
+            total = (own + total / len(kept)) / (np.where(cid == RARE, _numbers(batch, "c_count"), counts[cid]) + STRENGTH)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.log10(total) * batch.column("times").to_numpy())], names=["row", "score"])
 
     return run
@@ -672,9 +688,14 @@ def score(docs: DataFrame, model: Model, chunks_per_task: int = CHUNKS_PER_TASK)
     held = model.pairs.select("bucket", "pairs", F.col("n").alias("pn"), F.lit(None).cast("long").alias("word"), F.lit(None).cast("long").alias("wn"))
     held = held.unionByName(rare).withColumn("part", parts)
     answers = asked.groupBy("bucket", "part").cogroup(held.groupBy("bucket", "part")).applyInArrow(_answers(fitted, model.sent), _ANSWER)
-    occurrences = numbered.mapInArrow(_tail_pairs(model.numbers, True), _TAIL).join(model.tail, ["context", "word"], "left")
+    kept = list(kept_sweeps(len(model.sweeps)))
+    left = [F.greatest(F.col("n") - model.discount * F.col(f"t{k}"), F.lit(0.0)) for k in kept]
+    own = model.tail.select("context", "word", (sum(left[1:], left[0]) / len(kept)).alias("own"))
+    occurrences = numbered.mapInArrow(_tail_pairs(model.numbers, True), _TAIL).join(own, ["context", "word"], "left")
+    contexts = model.tail_words.select("key", "count", *[f"tables{k}" for k in kept])
+    dishes = model.tail_words.select("key", *[f"root{k}" for k in kept])
     parts = context.broadcast((model.counts, model.discount, model.unknown))
-    beyond = _with_words(occurrences, model.tail_words).mapInArrow(_tail_scores(parts, model.sent), "row long, score double")
+    beyond = _with_words(occurrences, contexts, dishes).mapInArrow(_tail_scores(parts, model.sent), "row long, score double")
     nothing = [F.lit(None).cast("long").alias("doc_id"), *[F.lit(0).cast(kind).alias(c) for c, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"))]]
     answers = answers.unionByName(beyond.groupBy("row").agg(F.sum("score").alias("score")).select("row", *nothing, "score"))
     sums = answers.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
