@@ -549,3 +549,20 @@ def test_pipeline(spark, tmp_path):
     assert unique.columns == docs.columns and {r["doc_id"] for r in unique.collect()} == set(want.values())
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert packed and {r["doc_id"] for r in packed} <= set(want.values())
+
+
+def test_columns_named_like_helpers_are_kept(spark):
+    from corpus_pipeline import identify_language, mix
+
+    text = "a plain line of words that is long enough to be told apart"
+    rows = [(i, text, ["en", "fr"][i % 2], "a", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for run, names in (
+        (mixing.mix_sources, ["_parts", "_cum", "_source", "size", "given"]), (sharding.shuffle_rows, ["_key", "_at", "_block", "_PLACE", "_part", "_rank", "n", "ends"]),
+        (language.identify, ["_letters", "_letters__own"]), (lambda d: identify_language(spark, d, ""), ["lang_pred", "score"]), (lambda d: mix(spark, d, ""), ["copy", "copies", "rate", "shuffle_key"]),
+    ):
+        extra = docs.selectExpr("*", *[f"doc_id * 10 + {k} AS {c}" for k, c in enumerate(names)])
+        out = run(extra)
+        assert set(extra.columns) <= set(out.columns)
+        got = out.collect()
+        assert got and all(r[c] == r["doc_id"] * 10 + k for r in got for k, c in enumerate(names))

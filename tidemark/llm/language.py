@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches, stored
+from .tables import bounded_batches, shielded, stored
 from .words import _LOWER, row_slices, text_buffers
 
 ORDER = 3
@@ -266,7 +266,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score; existing columns of these names are replaced. Only the text is looked at."""
     bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    base = docs.drop("lang_pred", "score")
+    base, names_back = shielded(docs.drop("lang_pred", "score"), ["_letters"])
     clean = base.withColumn("_letters", F.coalesce(F.regexp_like(F.col(text), F.lit(r"\p{L}")), F.lit(False)))
     schema = T.StructType([*clean.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -285,7 +285,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 scores[lo:hi] = np.where(own, 1.0 / np.exp2(-np.minimum(behind, 1000)).sum(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return clean.mapInArrow(run, schema).drop("_letters")
+    return names_back(clean.mapInArrow(run, schema).drop("_letters"))
 
 
 def fold(doc_id: str, folds: int) -> Column:

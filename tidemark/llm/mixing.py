@@ -11,7 +11,7 @@ weights, all follow bytes^alpha. Size of a document: UTF-8 bytes of its text plu
 
 Defined cases: a null source is a source of its own; a null doc_id is hashed as such; repeated rows draw the same number
 each; an empty table gives none; a weight for a source without rows is ignored (its weight is not used); names that clash
-with the added columns (copy, copies, rate, shuffle_key) are replaced. A weight of 0 leaves the source out.
+with the added columns (copy, copies, rate, shuffle_key) are replaced, all other columns are kept. A weight of 0 leaves the source out.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import shielded, stored
 
 ALPHA = 0.5
 SEED = 20240611
 PART_RATE = 16.0
 BROADCAST_SOURCES = 10_000
 _ADDED = ("copy", "copies", "rate", "shuffle_key")
+_HELPERS = ("_parts", "_cum", "_source", "size", "given")
 
 
 def _hash60(*parts: Column) -> Column:
@@ -74,7 +75,7 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, al
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, alpha: float = ALPHA, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
     """All copies of `docs` in a global random order, with copy (from 1), copies, rate and shuffle_key."""
-    base = docs.drop(*_ADDED)
+    base, names_back = shielded(docs.drop(*_ADDED), _HELPERS)
     rates = source_rates(base, weights, alpha, epochs)
     rates = rates.withColumn("_parts", F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int"))
     rates = rates.withColumn("_cum", _cumulative(F.col("rate") / F.col("_parts"))).select(F.col("source").alias("_source"), "rate", "_parts", "_cum")
@@ -90,4 +91,4 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, alp
     rows = drawn.withColumn("copies", copies).filter("copies > 0").drop("_parts", "_cum")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     rows = rows.withColumn("shuffle_key", _hash60(F.lit(seed), F.col("doc_id"), F.col("copy"), F.lit("order")))
-    return rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return names_back(rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .tables import stored
+from .tables import shielded, stored
 
 SHARDS = 8
 SEED = 77
@@ -33,6 +33,7 @@ BROADCAST_ROWS = 100_000
 #: Level of the halving from which its nodes are dealt over several tasks.
 SPREAD_LEVEL = 6
 _ADDED = ("law", "shard", "slot", "grown_shard")
+_HELPERS = ("_key", "_at", "_block", "_place", "_part", "_offset", "_rank", "ends", "n")
 _LOCAL = (1 << 33) - 1
 
 
@@ -138,7 +139,7 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 def shuffle_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows: int = PART_ROWS) -> DataFrame:
     """`docs` with law, shard, slot and grown_shard (null under this law)."""
-    base = docs.drop(*_ADDED)
+    base, names_back = shielded(docs.drop(*_ADDED), _HELPERS)
     key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in base.columns if c in ("doc_id", "text")])
     local = base.withColumn("_key", key).sortWithinPartitions("_key").drop("_key").withColumn("_at", F.monotonically_increasing_id())
     rows = stored(local.withColumn("_block", F.shiftright("_at", 33)).withColumn("_place", F.col("_at").bitwiseAND(_LOCAL)).drop("_at"), "permuted")
@@ -154,7 +155,7 @@ def shuffle_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_r
     offsets = counts.select("shard", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     inside = F.row_number().over(Window.partitionBy("shard", "_part").orderBy("_key", "_block", "_place"))
     out = sent.withColumn("_rank", inside).join(_bounded(offsets, parts * shards), ["shard", "_part"])
-    return out.select(
+    return names_back(out.select(
         *[F.col(f"`{c}`") for c in base.columns], F.lit("rows").alias("law"), "shard", (F.col("_offset") + F.col("_rank") - 1).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
-    )
+    ))
