@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, near_duplicates, packing
+from tidemark.llm.tables import shielded
 from tidemark.session import work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -16,9 +17,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language stays open, go; the others keep their columns.
     The models learn from the rows at hand that carry a language."""
+    columns = docs.columns
+    docs, names_back = shielded(docs, ["lang_pred", "score"])
     judged = language.identify(docs)
     kept = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= language.MIN_SCORE))
-    return kept.select(docs.columns)
+    return names_back(kept.select(docs.columns)).select(columns)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +31,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as drawn for its source, in a random order."""
-    return mixing.mix_sources(docs).select(docs.columns)
+    columns = docs.columns
+    docs, names_back = shielded(docs, ["copy", "copies", "rate", "shuffle_key"])
+    return names_back(mixing.mix_sources(docs).select(docs.columns)).select(columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
