@@ -566,3 +566,25 @@ def test_columns_named_like_helpers_are_kept(spark):
         assert set(extra.columns) <= set(out.columns)
         got = out.collect()
         assert got and all(r[c] == r["doc_id"] * 10 + k for r in got for k, c in enumerate(names))
+
+
+def test_pack_spreads_equal_rows(spark):
+    rows = [(7, "one two three", None, None, 0)] * 3000
+    got = packing.pack(spark.createDataFrame(rows, DOCS), window=64, group_pieces=200).collect()
+    assert len(got) == 3000
+    groups = Counter(r["sequence_id"] >> 33 for r in got)
+    assert len(groups) == 16 and max(groups.values()) < 300
+
+
+def test_pack_gives_the_ids_of_another_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Digits(individual_digits=True), pre_tokenizers.ByteLevel(add_prefix_space=False)])
+    path = str(tmp_path / "digits.json")
+    tokenizer.save(path)
+    texts = ["year 2024 and 12345 items", None, "", "a 1b22\n333 x"]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r["ids"] for r in packing.pack(docs, tokenizer_file=path, with_ids=True).collect()}
+    assert got == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert packing.Encoder(packing.tokenizer_path()).by_parts and not packing.Encoder(path).by_parts

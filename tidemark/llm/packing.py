@@ -1,13 +1,14 @@
 """Best-fit decreasing packing of tokenised documents into windows (operator 7).
 
 Texts are tokenised where they are read; only (document, start, length, checksum) goes on, so no text is shuffled. A
-document of more than `window` tokens is first cut into full windows and a rest. Rests are dealt into groups by a hash, a
+document of more than `window` tokens is first cut into full windows and a rest. Rests are dealt into groups by a hash of their row number, a
 group being a bounded number of pieces, and each group is packed on its own: pieces by falling length, each into the
 tightest open window that still takes it, found in a segment tree over the remaining capacities. The waste of grouping is
 at most a few windows a group of up to `GROUP_PIECES` pieces.
 
 Tokenising gives the tokenizer's own ids, with less work: texts are split where its pre-tokens always end (at a single space
-or line feed between words), equal parts are encoded once, and ids of short parts are kept in a bounded cache.
+or line feed between words), equal parts are encoded once, and ids of short parts are kept in a bounded cache. That holds for
+vocabularies with the public one's pre-tokens; texts for any other tokenizer file go through the whole of it.
 
 Defined cases: a null or empty text is one piece of the end id alone. A null doc_id is packed like any other. Repeated
 rows are packed once each. An empty table gives no pieces.
@@ -15,6 +16,7 @@ rows are packed once each. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -60,6 +62,21 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
+def by_parts(form: dict) -> bool:
+    """Whether a tokenizer (its file's content) gives a text's ids part by part: pre-tokens and special token as expected, no
+    normaliser, and nothing that depends on the rest of the text."""
+    split, model, plain = form.get("pre_tokenizer") or {}, form["model"], ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+    expected = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    special = [(t["content"], t["single_word"], t["lstrip"], t["rstrip"]) for t in form["added_tokens"]]
+    return (
+        {k: split.get(k) for k in expected} == expected
+        and not any(form.get(k) for k in ("normalizer", "post_processor", "truncation", "padding"))
+        and special == [(SPECIAL, False, False, False)]
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in plain)
+    )
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
@@ -71,6 +88,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
+        self.by_parts = by_parts(json.loads(self.tokenizer.to_str()))
         self.alphabet = _byte_alphabet()
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -120,6 +138,10 @@ class Encoder:
 
     def encode(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of each text's ids). Equal parts are told by a 64-bit hash and encoded once."""
+        if not self.by_parts:
+            data = raw.tobytes()
+            whole = self._whole([data[lo:hi].decode() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
+            return np.frombuffer(b"".join(whole), dtype="<u4"), np.cumsum([0, *(len(w) // 4 for w in whole)])
         starts = part_starts(raw, bounds)
         ends = np.append(starts[1:], len(raw))
         _, first, which = np.unique(part_hashes(raw, starts, ends), return_index=True, return_inverse=True)
@@ -282,7 +304,7 @@ def pack(
     """
     columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     bounded_batches(docs)
-    pieces = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(window, end_id, tokenizer_file, with_ids=with_ids), columns), "pieces")
+    pieces = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(window, end_id, tokenizer_file, with_ids=with_ids), columns).withColumn("row", F.monotonically_increasing_id()), "pieces")
     groups = pieces.count() // group_pieces + 1
-    dealt = pieces.repartition(groups, F.xxhash64("doc_id", "start", "ids_crc32", F.lit(7)))
+    dealt = pieces.repartition(groups, F.xxhash64("row", F.lit(7))).drop("row")
     return dealt.mapInArrow(_pack(window), columns + ", sequence_id long, offset long")
