@@ -306,6 +306,15 @@ def test_language_model(spark, docs):
         assert sum(r["score"] for r in learnt) > sum(r["base_score"] for r in learnt)
 
 
+def test_language_model_over_many_small_files(spark):
+    """A task that reads several files of numbered rows gives each row its own sums."""
+    rows = [(i, None if i % 17 == 0 else f"a w{i % 5} only{i} " * (i % 4)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    for vocabulary in (perplexity.VOCABULARY, 4):
+        got = sorted((r["doc_id"], r["n_tokens"]) for r in perplexity.score_corpus(docs, vocabulary=vocabulary).collect())
+        assert got == [(i, len((t or "").split()) + 1) for i, t in rows]
+
+
 def language_model(spark, docs, vocabulary):
     """The model's scores as plain dictionaries: what a reader of the seating would compute for any (context, word)."""
     model = perplexity.train(docs.filter("doc_id IS NOT NULL").select("doc_id", "text"), vocabulary=vocabulary)

@@ -548,15 +548,16 @@ def _unpack(data: bytes) -> np.ndarray:
 
 _QUESTION = (
     "chunk long, bucket int, pairs array<long>, spans array<int>, places binary, times binary, words array<long>, word_places binary, "
-    "ids array<long>, base array<double>, known array<long>, n array<long>"
+    "ids array<long>, base array<double>, known array<long>, n array<long>, runs array<int>, firsts array<long>"
 )
 _ANSWER = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 def _questions(numbered, shared, buckets: int):
     """For each slice of texts and bucket: its distinct pairs with the texts they occur in and how often, and the words
-    beyond the vocabulary with their texts. A slice goes by the row number of its first text. The row of bucket 0 also
-    has what needs no bucket: document ids, token numbers, and the sums over vocabulary words."""
+    beyond the vocabulary with their texts. A slice goes by the row number of its first text, and its rows by the runs of
+    consecutive numbers in it: a task may read several files of numbered rows. The row of bucket 0 also has what needs no
+    bucket: document ids, token numbers, and the sums over vocabulary words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = numbered.value
@@ -566,6 +567,8 @@ def _questions(numbered, shared, buckets: int):
             numbers = batch.column("row").to_numpy()
             for lo, hi, tokens, bounds in _tokens(batch, 2 * CHUNK_BYTES):
                 rows, n = hi - lo, np.diff(bounds)
+                runs = np.flatnonzero(np.diff(numbers[lo:hi], prepend=-2) != 1)
+                firsts, runs = numbers[lo:hi][runs], runs.astype(np.int32)
                 ids = _ids(tokens, vocabulary)
                 text = np.repeat(np.arange(rows), n)
                 rare = ids == RARE
@@ -583,7 +586,7 @@ def _questions(numbered, shared, buckets: int):
                 word_where = _word_bucket(words, buckets)
                 word_order = np.argsort(word_where, kind="stable")
                 word_cuts = np.searchsorted(word_where[word_order], np.arange(buckets + 1))
-                out: list[list] = [[] for _ in range(12)]
+                out: list[list] = [[] for _ in range(14)]
                 for b in range(buckets):
                     own, mine = order[cuts[b] : cuts[b + 1]], word_order[word_cuts[b] : word_cuts[b + 1]]
                     distinct, first = np.unique(pairs[own], return_index=True)
@@ -591,11 +594,11 @@ def _questions(numbered, shared, buckets: int):
                     row = (
                         numbers[lo], b, distinct.view(np.int64), np.diff(np.append(first, len(own))).astype(np.int32), _pack(places[own]), _pack(times[own]),
                         words[mine].view(np.int64), _pack(word_text[mine]), batch.column("doc_id")[some].to_pylist(),
-                        base_sum if b == 0 else base_sum[:0], known if b == 0 else known[:0], n if b == 0 else n[:0],
+                        base_sum if b == 0 else base_sum[:0], known if b == 0 else known[:0], n if b == 0 else n[:0], runs, firsts,
                     )
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-                kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 2, pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 2]
+                kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 2, pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 2, pa.list_(pa.int32()), pa.list_(pa.int64())]
                 names = [c.split()[0] for c in _QUESTION.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
 
@@ -630,11 +633,12 @@ def _answers(shared, sent: list):
             base = np.bincount(rare_places, weights=model.base(c), minlength=rows)
             hits = np.bincount(rare_places, weights=c > 0, minlength=rows).astype(np.int64)
             some = np.flatnonzero((score != 0) | (base != 0))
-            first, none = row["chunk"].as_py(), [None] * len(some)
-            parts = [(first + some, none, np.zeros(len(some), dtype=np.int64), hits[some], base[some], score[some])]
+            runs, firsts = (row[x].values.to_numpy(zero_copy_only=False) for x in ("runs", "firsts"))
+            none = [None] * len(some)
+            parts = [(_numbers_of(some, runs, firsts), none, np.zeros(len(some), dtype=np.int64), hits[some], base[some], score[some])]
             if len(row["ids"]):
                 m = len(row["ids"])
-                parts.append((first + np.arange(m), row["ids"].as_py(), *(row[x].values.to_numpy(zero_copy_only=False) for x in ("n", "known", "base")), np.zeros(m)))
+                parts.append((_numbers_of(np.arange(m), runs, firsts), row["ids"].as_py(), *(row[x].values.to_numpy(zero_copy_only=False) for x in ("n", "known", "base")), np.zeros(m)))
             for part in parts:
                 for column, value in zip(out.values(), part, strict=True):
                     column.append(pa.array(value))
@@ -644,6 +648,12 @@ def _answers(shared, sent: list):
     return run
 
 
+def _numbers_of(places: np.ndarray, runs: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Row numbers of the places of a slice, whose runs of consecutive numbers begin at `runs` with the numbers `firsts`."""
+    run = np.searchsorted(runs, places, "right") - 1
+    return firsts[run] + places - runs[run]
+
+
 def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return np.zeros(len(asked), dtype=np.int64), np.zeros(len(asked), dtype=bool)
