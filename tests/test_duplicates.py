@@ -40,6 +40,15 @@ def test_similar_sets_equals_all_pairs(spark, threshold, hot):
     assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_pairs_far_apart_do_not_leave_the_join(spark):
+    """Sets that only share a frequent token of their prefixes meet in the join, but hardly any of them is a candidate."""
+    rows = [(i, ["common", *(f"w{i}-{k}" for k in range(20))], 21) for i in range(200)] + [(200, ["common", *(f"w7-{k}" for k in range(15))], 16)]
+    ordered = similarity._rare_first(spark.createDataFrame(rows, "set_id long, tokens array<string>, n int"), signed=True)
+    first = ordered.select("set_id", "n", *similarity.SIGNATURE, F.lit(0).alias("pos"), F.lit("common").alias("token"))
+    found = {(r.set_a, r.set_b) for r in similarity.candidates(first, ["token"], 0.5).collect()}
+    assert (7, 200) in found and len(found) < 20
+
+
 def test_components_of_random_graph_and_long_chain(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(90)] + [(1000 + i, 1001 + i) for i in range(70)]
