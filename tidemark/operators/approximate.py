@@ -9,10 +9,12 @@ little.
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, MinHashLSH
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .similarity import _EPS
+from ..session import stored
+from .similarity import _EPS, SIGNATURE, candidates, signature
 
 TABLES = 14
 #: Size of the space that tokens are hashed into; below the prime of the library's hash functions.
@@ -26,12 +28,15 @@ def similar_sets_by_minhash(sets: DataFrame, threshold: float, tables: int = TAB
     some = sets.filter(F.size("tokens") > 0).select("set_id", "tokens", "n")
     hashed = HashingTF(inputCol="tokens", outputCol="features", numFeatures=SPACE, binary=True).transform(some)
     model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=tables, seed=seed).fit(hashed)
-    # The distance is that of the hashed tokens; two tokens of one place could only lift it, so the bound leaves some room.
-    met = model.approxSimilarityJoin(hashed, hashed, 1 - threshold + 0.05).filter(F.col("datasetA.set_id") < F.col("datasetB.set_id"))
-    shared = F.size(F.array_intersect("datasetA.tokens", "datasetB.tokens"))
-    pairs = met.select(
-        F.col("datasetA.set_id").alias("set_a"), F.col("datasetB.set_id").alias("set_b"), shared.alias("shared"), (F.col("datasetA.n") + F.col("datasetB.n")).alias("total")
-    )
+    signs = some.select("set_id", F.explode("tokens").alias("token")).groupBy("set_id").agg(*signature(F.col("token")))
+    values = model.transform(hashed).select("set_id", "n", F.posexplode("hashes").alias("table", "hash"))
+    # Tables hold ids and signatures, never the sets: these are looked up for the pairs that are left.
+    postings = stored(values.select("set_id", "n", "table", vector_to_array("hash")[0].alias("value"), F.lit(0).alias("pos")).join(signs, "set_id"), "minhash")
+    met = candidates(postings.select("set_id", "n", "pos", "table", "value", *SIGNATURE), ["table", "value"], threshold).distinct()
+    side = lambda x: some.select(F.col("set_id").alias(f"set_{x}"), F.col("tokens").alias(f"tokens_{x}"), F.col("n").alias(f"n_{x}")).hint("merge")
+    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    both = met.join(side("a"), "set_a").join(side("b"), "set_b")
+    pairs = both.select("set_a", "set_b", shared.alias("shared"), (F.col("n_a") + F.col("n_b")).alias("total"))
     return pairs.withColumn("jaccard", F.col("shared") / (F.col("total") - F.col("shared"))).filter(F.col("jaccard") >= threshold - _EPS).drop("total")
 
 
