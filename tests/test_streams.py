@@ -92,3 +92,38 @@ def test_baseline_from_the_stream_alone(spark, session, tmp_path):
             if n:
                 want[(day, user)] = n / len(seen & back)
     assert got == want
+
+
+class FakeHandle:
+    """A key's state and timers, as calls."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+
+def test_one_timer_puts_out_all_closed_days():
+    """Twenty days that close together cost one timer, not twenty."""
+    handle, made = FakeHandle(), bursts.DayBursts(7)
+    made.init(handle)
+    list(made.handleInputRows(("a",), iter([{"day": d, "n": 2} for d in range(100, 120)]), None))
+    assert handle.timers == [101 * bursts.DAY_MS]
+    now = type("Now", (), {"getCurrentWatermarkInMs": lambda self: 118 * bursts.DAY_MS + 5})()
+    out = list(made.handleExpiredTimer(("a",), now, None))
+    assert [(r.day, r.n, r.before) for r in out] == [(d, 2, 2 * min(7, d - 100)) for d in range(100, 118)]
+    assert handle.timers[1:] == [119 * bursts.DAY_MS]
+    assert sorted(handle.value[0]) == list(range(111, 120)) and list(made.handleExpiredTimer(("a",), now, None)) == []

@@ -1,9 +1,10 @@
 """Bursts with state per entity: each key keeps the counts of its last days.
 
 A key's state is one value, the counts of the days that a baseline can still need. An event-time timer is set for the end of
-every day with events; it fires when the watermark has passed it, so late rows within the watermark are counted. It puts out
-the day's count with the sum of the `baseline_days` before it, and forgets what no later day can need. State is small: at
-most `baseline_days` closed days and the open ones. It needs Spark's RocksDB state store (`state_store`).
+a key's first open day; it fires when the watermark has passed it, so late rows within the watermark are counted. It puts out
+the counts of all days that the watermark has passed, each with the sum of the `baseline_days` before it, forgets what no
+later day can need, and is set again if days are left open. So a key costs one timer a batch, however many days close. State
+is small: at most `baseline_days` closed days and the open ones. It needs Spark's RocksDB state store (`state_store`).
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -29,37 +29,48 @@ def state_store(spark: SparkSession) -> None:
 
 
 class DayBursts(StatefulProcessor):
-    """Counts of each key's days; a day is put out when its timer fires."""
+    """Counts of each key's days; days are put out when the key's timer fires. Days before `upto` are out."""
 
     def __init__(self, days: int):
         self.days = days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("counts", "days array<int>, counts array<bigint>")
+        self.state = handle.getValueState("counts", "days array<int>, counts array<bigint>, upto int")
 
-    def _counts(self) -> dict[int, int]:
+    def _counts(self) -> tuple[dict[int, int], int]:
         found = self.state.get()
-        return dict(zip(found[0], found[1], strict=True)) if found else {}
-
-    def _keep(self, counts: dict[int, int]) -> None:
-        self.state.update((list(counts), list(counts.values()))) if counts else self.state.clear()
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        counts = self._counts()
-        for batch in rows:
-            for day, n in batch.groupby("day")["n"].sum().items():
-                if day not in counts:
-                    self.handle.registerTimer((int(day) + 1) * DAY_MS)
-                counts[int(day)] = counts.get(int(day), 0) + int(n)
-        self._keep(counts)
+        return (dict(zip(found[0], found[1], strict=True)), found[2]) if found else ({}, -(1 << 31))
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        counts, upto = self._counts()
+        due = min((d for d in counts if d >= upto), default=None)
+        for row in rows:
+            counts[row["day"]] = counts.get(row["day"], 0) + row["n"]
+        first = min((d for d in counts if d >= upto), default=None)
+        if first != due:
+            self.handle.registerTimer((first + 1) * DAY_MS)
+        self.state.update((list(counts), list(counts.values()), upto))
         return iter(())
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        day, counts = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1, self._counts()
-        before = sum(counts.get(d, 0) for d in range(day - self.days, day))
-        self._keep({d: n for d, n in counts.items() if d > day - self.days})
-        yield pd.DataFrame({"key": [key[0]], "day": [day], "n": [counts[day]], "before": [before]})
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        counts, upto = self._counts()
+        passed = timerValues.getCurrentWatermarkInMs() // DAY_MS
+        closed = sorted(d for d in counts if upto <= d < passed)
+        if not closed:  # a timer of a later day that has been put out with an earlier one
+            return
+        for day in closed:
+            before = sum(counts.get(d, 0) for d in range(day - self.days, day))
+            yield Row(key=key[0], day=day, n=counts[day], before=before)
+        upto, left = closed[-1] + 1, [d for d in counts if d > closed[-1]]
+        if left:
+            self.handle.registerTimer((min(left) + 1) * DAY_MS)
+        # The next day to close is not before the watermark's own.
+        counts = {d: n for d, n in counts.items() if d >= passed - self.days}
+        if counts:
+            self.state.update((list(counts), list(counts.values()), upto))
+        else:
+            self.state.clear()
 
     def close(self) -> None:
         pass
@@ -73,7 +84,7 @@ def day_bursts(events: DataFrame, time: str, key: str, settings: Settings = DEFA
     known = F.when(F.col(time).isNotNull(), F.col(key).isNotNull()).otherwise(F.lit(False))
     rows = events.withWatermark(time, f"{lateness_hours} hours").filter(known)
     days = F.floor(F.unix_millis(time) / DAY_MS).cast("int")
-    found = rows.select(F.col(key).alias("key"), time, days.alias("day"), F.lit(1).cast("bigint").alias("n")).groupBy("key").transformWithStateInPandas(
+    found = rows.select(F.col(key).alias("key"), time, days.alias("day"), F.lit(1).cast("bigint").alias("n")).groupBy("key").transformWithState(
         statefulProcessor=DayBursts(settings.baseline_days), outputStructType=f"key {kind}, day int, n bigint, before bigint", outputMode="Append", timeMode="EventTime"
     )
     return found.select(F.date_from_unix_date("day").alias("day"), F.col("key").alias(key), "n", "before")
