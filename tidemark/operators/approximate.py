@@ -31,7 +31,7 @@ def similar_sets_by_minhash(sets: DataFrame, threshold: float, tables: int = TAB
     signs = some.select("set_id", F.explode("tokens").alias("token")).groupBy("set_id").agg(*signature(F.col("token")))
     values = model.transform(hashed).select("set_id", "n", F.posexplode("hashes").alias("table", "hash"))
     # Tables hold ids and signatures, never the sets: these are looked up for the pairs that are left.
-    postings = stored(values.select("set_id", "n", "table", vector_to_array("hash")[0].alias("value"), F.lit(0).alias("pos")).join(signs, "set_id"), "minhash")
+    postings = stored(values.select("set_id", "n", "table", vector_to_array("hash")[0].alias("value"), F.lit(0).alias("pos")).join(signs.hint("merge"), "set_id"), "minhash")
     met = candidates(postings.select("set_id", "n", "pos", "table", "value", *SIGNATURE), ["table", "value"], threshold).distinct()
     side = lambda x: some.select(F.col("set_id").alias(f"set_{x}"), F.col("tokens").alias(f"tokens_{x}"), F.col("n").alias(f"n_{x}")).hint("merge")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
