@@ -173,3 +173,11 @@ def test_title_pairs_leave_out_pairs_with_a_common_link(spark, seed):
     fdf = spark.createDataFrame(sorted(follow.items()), "id long, follow_up_of long")
     found = dedupe.title_conflicts(df, F.col("words"), fdf, item_urls=ldf).groupBy("date_a", "date_b").agg(F.sum("n_pairs").alias("n")).collect()
     assert {(r.date_a, r.date_b): r.n for r in found} == Counter(pairs)
+
+
+def test_url_conflicts_make_rows_only_for_cells_that_meet(spark):
+    links = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-01', 'a'), (2, DATE'2024-01-01', 'a'), (3, DATE'2024-03-01', 'a'), (4, DATE'2024-03-01', null), (5, null, 'a') t(id, issue_date, url)")
+    none = spark.sql("SELECT 1 AS id, 1 AS follow_up_of WHERE false")
+    found = dedupe.url_conflicts(links, none, days=60)
+    assert sorted((str(r.issue_date), str(r.other_date), r.n_pairs) for r in found.collect()) == [("2024-01-01", "2024-01-01", 1), ("2024-03-01", "2024-01-01", 2)]
+    assert "sequence(" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -50,14 +50,19 @@ def url_conflicts(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) ->
     earlier in the issue (smaller id) or in the previous `days` days.
 
     item_urls: id, issue_date, url, distinct. follow_ups: id, follow_up_of."""
-    cells = item_urls.groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
-    other = _reachable(cells.select("url", F.col("issue_date").alias("other_date"), F.col("n").alias("m")), days, "issue_date", "other_date")
+    cells = item_urls.filter("url is not null and issue_date is not null").groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
+    # A link has one cell a date, so its window is bounded by the calendar and a frame by `days` + 1 cells: only pairs of cells
+    # that do meet become rows.
+    lately = Window.partitionBy("url").orderBy(F.unix_date("issue_date")).rangeBetween(-days, 0)
+    met = F.collect_list(F.struct(F.col("issue_date").alias("other_date"), F.col("n").alias("m"))).over(lately)
     pairs = (
-        cells.join(other, ["url", "issue_date"])
+        cells.select("*", met.alias("met")).filter("n > 1 or size(met) > 1")
+        .select("url", "issue_date", "n", F.inline("met"))
         .withColumn(
             "pairs",
             F.when(F.col("issue_date") == F.col("other_date"), F.expr("n * (n - 1) div 2")).otherwise(F.col("n") * F.col("m")),
         )
+        .filter("pairs > 0")
     )
     exempt = (
         exempt_pairs(item_urls, follow_ups, days)
