@@ -138,3 +138,12 @@ def test_known_domain_prefers_the_longest_suffix(spark):
     )
     got = {r["u"]: r["known_tier"] for r in urls.with_known_domain(rows, "u", dim).collect()}
     assert list(got[r["u"]] for r in rows.collect()) == ["primary", "press", None, "primary"]
+
+
+def test_canonical_url_by_columns_runs_each_pattern_once(spark):
+    given = [None, "", " http://u:p@x@WWW.A.com:80//b//?ref=1&b=2&a=%20*#f?x=1 ", "HTTP://h:1:2", "//h/?&=3", "h/a?q=1", "https://h?utm_x=1#"]
+    df = urls.with_canonical_url(spark.createDataFrame([(u,) for u in given], "u string"), F.col("u"), "c")
+    assert df.columns == ["u", "c"]
+    assert [r.c for r in df.collect()] == [r.c for r in df.select(urls.canonical_url(F.col("u")).alias("c")).collect()]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("://)?([^/?#]") <= 1
+    assert [r.d for r in df.select(urls.domain_of(F.col("u")).alias("d")).collect()] == [None, "", "a.com", "h:1", "h", "", "h"]

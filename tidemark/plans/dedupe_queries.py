@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, urls
 from ..operators import approximate, clusters, components, dedupe, forest, harvest, similarity
-from ..session import cut, stored
+from ..session import dealt, stored
 from . import bindings as b
 from .registry import cte, query
 
@@ -31,11 +31,12 @@ LEFT JOIN link_follow_ups f ON f.id = a.id WHERE f.follow_up_of IS DISTINCT FROM
 def item_links(spark: SparkSession, sf: str) -> DataFrame:
     items = b.all_items(spark, sf).select(F.col("id").alias("item_id"), "issue_date")
     section = F.concat(
-        F.lit("HTTP://www."), urls.domain_of(F.col("url")), F.lit("/section-"), (F.col("part_key") % 20).cast("string"),
+        F.lit("HTTP://www."), "domain", F.lit("/section-"), (F.col("part_key") % 20).cast("string"),
         F.lit("/?ref=x#top"),
     )
+    lines = urls.with_canonical_url(b.sources(spark, sf), section, "url").select("item_id", "url")
     return (
-        b.sources(spark, sf).select("item_id", urls.canonical_url(section).alias("url"))
+        dealt(lines, b.table(spark, sf, "lineitem").count(), "item_id")
         .join(items, "item_id")
         .select(F.col("item_id").alias("id"), "issue_date", "url")
         .distinct()
@@ -54,7 +55,7 @@ SELECT url, CAST(issue_date AS VARCHAR) AS issue_date, CAST(other_date AS VARCHA
 FROM link_pairs GROUP BY ALL
 """)
 def url_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    links = cut(item_links(spark, sf))
+    links = stored(item_links(spark, sf), "links")
     return dedupe.url_conflicts(links, link_follow_ups(links)).select(
         "url", b.day_text(F.col("issue_date")).alias("issue_date"), b.day_text(F.col("other_date")).alias("other_date"), "n_pairs"
     )
@@ -64,7 +65,7 @@ def url_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 SELECT id, CAST(issue_date AS VARCHAR) AS issue_date, count(*) AS n_conflicts, min(url) AS detail FROM link_pairs GROUP BY ALL
 """)
 def url_duplicates_by_item(spark: SparkSession, sf: str) -> DataFrame:
-    links = cut(item_links(spark, sf))
+    links = stored(item_links(spark, sf), "links")
     return dedupe.url_conflicts_by_item(links, link_follow_ups(links)).select(
         "id", b.day_text(F.col("issue_date")).alias("issue_date"), "n_conflicts", "detail"
     )
@@ -77,7 +78,7 @@ WHERE o.issue_date BETWEEN a.issue_date - 7 AND a.issue_date AND (o.issue_date <
 """)
 def follow_up_exclusion(spark: SparkSession, sf: str) -> DataFrame:
     """The pairs that a follow-up mark takes out of the conflicts."""
-    links = cut(item_links(spark, sf))
+    links = stored(item_links(spark, sf), "links")
     return dedupe.exempt_pairs(links, link_follow_ups(links)).groupBy("id", "follow_up_of").agg(
         F.count(F.lit(1)).alias("shared_links")
     )
