@@ -218,3 +218,12 @@ def test_feed_entries_and_difference(spark):
     a, b = spark.createDataFrame([(1, 1.0), (2, 2.0)], "id long, x double"), spark.createDataFrame([(1, 1.0), (2, 2.5)], "id long, x double")
     assert sorted((r["side"], r["x"]) for r in marts.difference(a, b).collect()) == [("fresh", 2.0), ("stored", 2.5)]
     assert marts.difference(a, a).count() == 0
+
+
+def test_open_per_day_counts_ranges_without_their_days(spark):
+    rows = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01', DATE'2024-01-03'), (DATE'2024-01-03', DATE'2024-01-03'), (DATE'2024-01-06', DATE'2024-01-06'), (DATE'2024-01-09', DATE'2024-01-08'), (null, DATE'2024-01-08') t(a, z)")
+    assert [(str(r.day), r.n) for r in views.open_per_day(rows, "a", "z").orderBy("day").collect()] == [
+        ("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 2), ("2024-01-06", 1)
+    ]
+    long = spark.range(100_000).selectExpr("DATE'0001-01-01' AS a", "date_add(DATE'2024-01-01', CAST(id % 3 AS INT)) AS z")
+    assert views.open_per_day(long, "a", "z").agg(F.sum("n"), F.max("n")).first()[1] == 100_000

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, times, urls
-from ..operators import scoring
+from ..operators import scoring, views
 from . import bindings as b
 from .registry import query
 
@@ -137,12 +137,11 @@ FROM (SELECT k, unnest(generate_series(first, last, INTERVAL 1 DAY)) AS ts
 GROUP BY ALL
 """)
 def date_range(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines open on each day, from order to shipment; lines of one range are counted before it is spread over its days."""
+    """Lines open on each day, from order to shipment."""
     first, last = F.to_date("o_orderdate").alias("first"), F.to_date("l_shipdate").alias("last")
     lines = b.table(spark, sf, "lineitem").join(b.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    ranges = lines.select(first, last).groupBy("first", "last").agg(F.count(F.lit(1)).alias("k"))
-    days = ranges.select("k", F.explode(times.days_between(F.col("first"), F.col("last"))).alias("day"))
-    return days.groupBy(b.day_text(F.col("day")).alias("day")).agg(F.sum("k").alias("n"))
+    open_lines = views.open_per_day(lines.select(first, last), "first", "last")
+    return open_lines.select(b.day_text(F.col("day")).alias("day"), "n")
 
 
 @query("f15_url_id", "SELECT page_id, substr(sha1(canonical), 1, 12) AS url_id FROM page_urls")
