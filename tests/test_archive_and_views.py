@@ -227,3 +227,18 @@ def test_open_per_day_counts_ranges_without_their_days(spark):
     ]
     long = spark.range(100_000).selectExpr("DATE'0001-01-01' AS a", "date_add(DATE'2024-01-01', CAST(id % 3 AS INT)) AS z")
     assert views.open_per_day(long, "a", "z").agg(F.sum("n"), F.max("n")).first()[1] == 100_000
+
+
+def test_item_entities_are_dealt_by_the_size_of_the_table(spark, monkeypatch):
+    """A task's share stays the same when the table grows; few rows are left to the session, and results do not depend on it."""
+    from tidemark import session
+    from tidemark.plans import bindings as b
+
+    sf = "/root/testdata/sf0.001"
+    few = b.item_entities(spark, sf, b.all_items(spark, sf))
+    assert "REPARTITION_BY_NUM" not in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(session, "ROWS_A_PART", 300)
+    many = b.item_entities(spark, sf, b.all_items(spark, sf))
+    assert many._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 3
+    assert session.dealt(spark.range(10), 6_000, "id").rdd.getNumPartitions() == 20
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
