@@ -47,3 +47,12 @@ def test_many_keywords_on_one_text(spark):
     items = spark.createDataFrame([(1, "w19999 and w7x, xw8")], "id long, t string")
     row = learn.keyword_matches(items, "id", F.col("t"), table).first()
     assert row.keywords == ["w1", "w7", "w19", "w199", "w1999", "w19999"]
+
+
+def test_keywords_are_not_shuffled_row_by_row(spark):
+    table = spark.range(100).select(F.lit("g").alias("gap"), F.col("id").alias("pos"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("keyword"))
+    items = spark.createDataFrame([(1, "w99 w9x"), (2, "w5 (w5)")], "id long, t string")
+    found = learn.keyword_matches(items, "id", F.col("t"), table)
+    dealt = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(" in x]
+    assert dealt and not any("keyword#" in x.split("hashpartitioning(")[1] for x in dealt)
+    assert sorted((r.id, r.keywords) for r in found.collect()) == [(1, ["w9", "w99"]), (2, ["w5"])]

@@ -39,7 +39,7 @@ def keyword_matches(items: DataFrame, key: str, body: Column, keywords: DataFram
     where a keyword may start; both are then searched in the marked text. `key` is unique."""
     low = F.lower("keyword")
     index = keywords.select("gap", "pos", "keyword", low.alias("low"), text.marked(F.col("keyword")).alias("sought"), F.regexp_extract(low, "^[a-z0-9]+", 0).alias("head"))
-    index = index.filter(F.length("low") > 0)
+    index = stored(index.filter(F.length("low") > 0).withColumn("number", F.monotonically_increasing_id()), "keywords")
     plain = index.filter(F.col("head") == F.col("low")).withColumn("start", F.left("low", F.lit(PREFIX)))
     texts = items.select(F.col(key).alias("key"), text.marked(body).alias("marked"))
     words = stored(
@@ -47,17 +47,19 @@ def keyword_matches(items: DataFrame, key: str, body: Column, keywords: DataFram
     )
     lengths = F.sequence(F.lit(1), F.least(F.length("word"), F.lit(PREFIX)))
     starts = words.select("word").distinct().select("word", F.explode(F.transform(lengths, lambda n: F.left("word", n))).alias("start"))
-    known = starts.join(plain, "start").filter(F.startswith("word", "low")).select("word", "gap", "pos", "keyword")
-    by_word = words.join(known, "word").select("key", "gap", "pos", "keyword")
+    known = starts.join(plain, "start").filter(F.startswith("word", "low")).groupBy("word").agg(F.collect_set("number").alias("numbers"))
+    by_word = words.join(known, "word").select("key", "numbers")
 
     longer = index.filter((F.col("head") != F.col("low")) & (F.col("head") != ""))
     other = index.filter(F.col("head") == "").withColumn("head", F.left("low", F.lit(1)))
     marks = texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all("marked", F.lit(f"(?s){text.MARK}([^a-z0-9])"), F.lit(1)))).alias("word"))
     likely = words.join(longer, words["word"] == longer["head"]).unionByName(marks.join(other, marks["word"] == other["head"]))
-    searched = likely.select("key", "gap", "pos", "keyword", "sought").join(texts, "key").filter(F.contains("marked", "sought"))
+    searched = likely.select("key", "number", "sought").join(texts, "key").filter(F.contains("marked", "sought"))
 
-    found = by_word.unionByName(searched.select("key", "gap", "pos", "keyword")).distinct()
-    listed = found.groupBy("key", "gap").agg(F.array_sort(F.collect_list(F.struct("pos", "keyword"))).alias("hits"))
+    # Texts and keywords meet as numbers, one list a word; the keywords themselves come in when a text's lists are one.
+    found = by_word.unionByName(searched.select("key", F.array("number").alias("numbers"))).repartition("key").groupBy("key")
+    once = found.agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("numbers")).select("key", F.explode("numbers").alias("number"))
+    listed = once.join(index.select("number", "gap", "pos", "keyword"), "number").groupBy("key", "gap").agg(F.array_sort(F.collect_list(F.struct("pos", "keyword"))).alias("hits"))
     return listed.select(F.col("key").alias(key), "gap", F.transform("hits", lambda h: h["keyword"]).alias("keywords"))
 
 
