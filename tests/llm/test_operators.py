@@ -111,6 +111,28 @@ def test_signature_index_keeps_its_promise():
     assert all(set(x) & set(y) for x, y in zip(ka.tolist(), kb.tolist(), strict=True))
 
 
+def test_keys_are_dealt_once(spark, docs):
+    """What the keys of all signatures cost: one shuffle, in which they are counted too."""
+    prints = near_duplicates.fingerprints(docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    assert "keys" not in prints.columns
+    signed = prints.selectExpr("doc_id AS id", "signature")
+    own = {r["id"]: near_duplicates.index_keys(np.frombuffer(r["signature"], dtype=np.uint16)[None, :])[0].tolist() for r in signed.collect() if r["signature"]}
+    under = {}
+    for i, keys in own.items():
+        for k in keys:
+            under.setdefault(k, []).append(i)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = near_duplicates._met(signed)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r["key"], r["id"], r["n"], r["first"]) for r in met.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert got == Counter((k, i, len(ids), min(ids)) for k, ids in under.items() if len(ids) > 1 for i in ids)
+    assert plan.count("Exchange hashpartitioning(key") == 1 and "Join" not in plan
+
+
 def test_drop_near_duplicates(spark, docs):
     want, _ = brute_near(corpus())
     got = Counter(r["doc_id"] for r in near_duplicates.drop_near_duplicates(docs).collect())

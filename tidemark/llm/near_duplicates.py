@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -38,7 +38,7 @@ BROADCAST_IDS = 1_000_000
 
 _SEEDS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mix(_SEEDS) | np.uint64(1)
-_PRINT = "doc_id long, n_shingles long, set_a long, set_b long, signature binary, keys array<long>"
+_PRINT = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -79,22 +79,28 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             a = np.array([int(s.sum()) for s in sets], dtype=np.uint64).view(np.int64)
             b = np.array([int(np.bitwise_xor.reduce(mix(s))) for s in sets], dtype=np.uint64).view(np.int64)
             full = np.flatnonzero(n)
-            packed, keys = [None] * len(n), [None] * len(n)
+            packed = [None] * len(n)
             if len(full):
-                values = signatures([sets[i] for i in full])
-                for i, v, k in zip(full.tolist(), values, index_keys(values), strict=True):
-                    packed[i], keys[i] = v.tobytes(), k
+                for i, v in zip(full.tolist(), signatures([sets[i] for i in full]), strict=True):
+                    packed[i] = v.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, len(n)), pa.array(n), pa.array(a), pa.array(b), pa.array(packed, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "keys"],
+                [ids.slice(lo, len(n)), pa.array(n), pa.array(a), pa.array(b), pa.array(packed, pa.binary())], names=["doc_id", "n_shingles", "set_a", "set_b", "signature"]
             )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Set size, digest of the set, signature and keys of every row."""
+    """Set size, digest of the set and signature of every row."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, _PRINT)
 
 
+def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every id under each of its keys."""
+    for batch in batches:
+        if len(batch):
+            keys = index_keys(_values(batch.column("signature")))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy(), PLACES)), pa.array(keys.ravel())], names=["id", "key"])
+
+
 def close_pairs(
     group: np.ndarray, key: np.ndarray, side: np.ndarray, cross: np.ndarray, component: np.ndarray, signature: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,7 +165,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.T
         yield pa.Table.from_batches(rest)
 
 
-def _values(column: pa.ChunkedArray) -> np.ndarray:
+def _values(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), PLACES)
 
 
@@ -259,15 +265,24 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id", "left_semi")
 
 
+def _met(signed: DataFrame) -> DataFrame:
+    """(key, id, n, first): the ids filed under a key that n > 1 of them share, and the smallest of these.
+
+    Rows are dealt by key once and counted where they lie: nearly every key is another one, so adding up before the shuffle
+    would only move them twice."""
+    filed = signed.filter("signature IS NOT NULL").mapInArrow(_filed, "id long, key long")
+    group = Window.partitionBy("key")
+    counted = filed.withColumns({"n": F.count(F.lit(1)).over(group), "first": F.min("id").over(group)})
+    return counted.filter("n > 1").select("key", "id", "n", "first")
+
+
 def links(docs: DataFrame, prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """(u, v): exact links that connect what is connected among different sets. `prints` has one row per set.
 
     First every member of a key is compared with the key's smallest document, which settles most groups of copies. Then
     all pairs of a key whose documents are still in different components are compared."""
-    filed = prints.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    shared = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("n > 1")
-    met = stored(filed.join(shared, "key"), "met")
     signed = prints.select(F.col("doc_id").alias("id"), "signature")
+    met = stored(_met(signed), "met")
     star = met.filter("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v")).distinct()
     star = star.join(signed.select(F.col("id").alias("u"), "signature"), "u").join(signed.select(F.col("id").alias("v"), F.col("signature").alias("other")), "v")
     star = stored(star.select("u", "v", "signature", "other").mapInArrow(_within_distance, "u long, v long"), "star")
