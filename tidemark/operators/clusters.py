@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TIERS
+from ..session import stored
 from .components import connected_components
 from .forest import similar_forest
 from .ranking import rank_in_group, top_in_group
@@ -14,14 +15,16 @@ from .similarity import HOT_TOKEN, distinct_sets, set_members
 
 def headline_clusters(items: DataFrame, tokens: Column, threshold: float = 0.4, hot: int = HOT_TOKEN) -> DataFrame:
     """Items with their `component`, the smallest id of the cluster. Exact copies are joined through
-    their common token set; items without tokens stay alone. Only a forest of the similar sets is made."""
-    sets = distinct_sets(items, "id", tokens)
+    their common token set; items without tokens stay alone. Only a forest of the similar sets is made. Titles are read for
+    their tokens once."""
+    keyed = stored(items.withColumn("__tokens", F.array_sort(tokens)), "keyed")
+    sets = stored(distinct_sets(keyed, "id", F.col("__tokens")), "sets")
     comp = connected_components(similar_forest(sets, threshold, hot), "set_a", "set_b")
     return (
-        set_members(items, "id", tokens, sets)
+        set_members(keyed, "id", F.col("__tokens"), sets)
         .join(comp.withColumnRenamed("node", "set_id"), "set_id", "left")
         .withColumn("component", F.coalesce("component", "set_id", "id"))
-        .drop("set_id")
+        .drop("set_id", "__tokens")
     )
 
 

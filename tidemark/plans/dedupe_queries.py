@@ -279,7 +279,8 @@ def cluster_outlets(spark: SparkSession, sf: str) -> DataFrame:
 @query("a18_cluster_members", "SELECT component, id, row_number() OVER (PARTITION BY component ORDER BY published_at, id) AS position FROM clustered")
 def cluster_places(spark: SparkSession, sf: str) -> DataFrame:
     """Every item with its cluster and its place there, oldest first."""
-    return clusters.placed_members(cluster_members(spark, sf)).select("component", "id", "position")
+    members = cluster_members(spark, sf).select("component", "id", "published_at")
+    return clusters.placed_members(members).select("component", "id", "position")
 
 
 @query("o1_cluster_order", """
