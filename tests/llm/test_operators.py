@@ -2,10 +2,12 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import chat, embedding_dedup, language, mixing, near_duplicates, neighbours, packing, perplexity, sharding, url_rules
@@ -313,6 +315,22 @@ def test_language_keeps_rare_contexts(spark):
     np.testing.assert_allclose(few.costs(raw, bounds), all_.costs(raw, bounds), rtol=1e-5)
 
 
+@pytest.mark.parametrize("step, limit", [(language._count_grams(3), 60e6), (near_duplicates._fingerprints, 28e6)])
+def test_memory_of_a_task_over_many_texts(step, limit):
+    """What a task holds beside its batch stays small: counts are merged early, texts are taken in small slices."""
+    letters = np.random.default_rng(1).integers(97, 123, (1000, 600, 5), dtype=np.uint8)
+    texts = [" ".join(bytes(w).decode() for w in words) for words in letters]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": texts, "lang": ["en"] * 1000})
+    tracemalloc.start()
+    try:
+        for _ in step(iter([batch] * 3)):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < limit
+
+
 def test_language_model(spark, docs):
     rows = corpus()
     tokens = [[*words(r[1]), None] for r in rows]

@@ -52,7 +52,7 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return grams, np.bincount(back, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
-def _count_grams(order: int, keep: int = 1 << 21):
+def _count_grams(order: int, keep: int = 1 << 19):
     """Counts of a task's texts per language; parts are merged when they hold `keep` entries, and then put out if still as many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -224,7 +224,7 @@ def _confirmed(threshold: int):
 
 def _forest(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, 1 << 12):
+        for table in _whole_groups(batches, 1 << 10):
             table = table.combine_chunks()
             a, b, far = _pairs_of(table)
             sets: list[np.ndarray] = []
