@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import text, urls
+from ..session import once
 from .ranking import BLOCK, running_min
 
 DEFAULT = Settings()
@@ -38,6 +39,7 @@ def normalise(rows: DataFrame, domains: Mapping[str, tuple[str, str]], settings:
         "summary": text.clean_text(F.col("summary"), settings.summary_chars, unescape),
         "url": F.trim("url"),
     }).withColumn("title", strip_outlet(F.col("title"), F.col("outlet"), F.col("kind")))
+    cleaned = once(cleaned, "__texts", F.struct("title", "summary")).withColumns({c: F.col(f"__texts.{c}") for c in ("title", "summary")}).drop("__texts")
     topical = text.is_topical(F.concat_ws(" ", "title", "summary"))
     kept = cleaned.filter(~F.col("filter") | topical)
     known = urls.with_known_domain(kept, "outlet_url", domains)
