@@ -506,6 +506,29 @@ def test_embedding_dedup_in_a_subspace(spark):
     assert got == {i: (want[i], root[i]) for i in range(len(x))}
 
 
+def test_embedding_dedup_fits_with_the_executors(spark, monkeypatch):
+    """Of 3,000 vectors the driver gets one a cell and the centroids, and no product with all centroids is held whole."""
+    rng = np.random.default_rng(4)
+    heart = rng.normal(size=(15, 8))
+    x = (heart[np.arange(3000) % 15] + 0.05 * rng.normal(size=(3000, 8))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(7)
+    got, asked, rows = embedding_dedup.sample, [], []
+    monkeypatch.setattr(embedding_dedup, "sample", lambda *a: asked.append(a[3]) or got(*a))
+    cut = embedding_dedup.spherical_kmeans
+    monkeypatch.setattr(embedding_dedup, "spherical_kmeans", lambda x, *a: rows.append(len(x)) or cut(x, *a))
+    monkeypatch.setattr(embedding_dedup, "STEP_VALUES", 15 * 100)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    assert {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicate_vectors(df).collect()} == dict(enumerate(near))
+    assert asked == [15] and max(rows) <= 15
+    unique = df.selectExpr("vec_id AS id", "embedding")
+    c = embedding_dedup.fit_centroids(unique, 900, 15, rounds=1)  # few enough rows to be all of them in the fit
+    start = np.unique(embedding_dedup._unit(got(unique, "id", "embedding", 15)), axis=0)
+    own = (unit @ start.T).argmax(axis=1)
+    want = embedding_dedup._unit(np.array([unit[own == k].sum(axis=0) for k in range(len(start))]))
+    assert np.allclose(c, want, atol=1e-9)
+
+
 def test_neighbours(spark):
     good, rows = vectors()
     x = {i: np.array(v, dtype=np.float32).astype(float) for i, v in good}

@@ -1,11 +1,12 @@
 """Near-duplicate vectors by spherical k-means cells (operator 5).
 
-Equal vectors are folded first, with their number. Centroids are fitted on a bounded sample. Every vector owns a place in
+Equal vectors are folded first, with their number. Centroids are fitted on a bounded sample that stays with the executors: a
+round sums the vectors of each cell there, and the driver holds the centroids alone. Every vector owns a place in
 the cell of its nearest centroid and visits each cell whose border it is close to: y can have a neighbour within angle a
 in the cell of c only if y . (own - c) / |own - c| <= sin a. That bound (`margin` = sin a, the default) is exact: no link
 is lost, whatever the vectors' directions.
 
-Neighbouring cells are joined to groups of about `BLOCK_VALUES` numbers. A vector is sent once to each group it visits a
+Neighbouring cells are joined to groups of `BLOCK_VALUES` to `MAX_BLOCK_VALUES` numbers. A vector is sent once to each group it visits a
 cell of, not once to each cell, and the visits are found again where the group is compared. Groups are compared in
 blocks: owners against owners and visitors, cosine products in double precision. A block puts out the number of links of
 each owner and a forest of links, never pairs. Large groups become many blocks.
@@ -34,8 +35,10 @@ MAX_CELLS = 4096
 SAMPLE_PER_CELL = 64
 ROUNDS = 8
 OWNERS, VISITORS = 1024, 2048
-#: Vector components on one side of a block.
-BLOCK_VALUES = 1 << 20
+#: Vector components on one side of a block, at least and at most, and blocks in a row before they grow.
+BLOCK_VALUES, MAX_BLOCK_VALUES, BLOCKS = 1 << 20, 1 << 22, 8
+#: Numbers of a product with all centroids that are held at once.
+STEP_VALUES = 1 << 21
 #: Rounding of products of unit vectors.
 SLACK = 1e-9
 
@@ -44,16 +47,82 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _step(cells: int) -> int:
+    """Rows whose products with all centroids are held at once."""
+    return max(64, min(2048, STEP_VALUES // max(1, cells)))
+
+
+def _cell_sums(x: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, sum of its rows) of the cells that have rows."""
+    order = np.argsort(cells, kind="stable")
+    found, starts = np.unique(cells[order], return_index=True)
+    return found, np.add.reduceat(x[order], starts, axis=0)
+
+
+def _moved(c: np.ndarray, cells: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Unit centroids after a round; an empty cell keeps its centroid."""
+    norm = np.linalg.norm(sums, axis=1)
+    c, some = c.copy(), norm > 1e-9
+    c[cells[some]] = sums[some] / norm[some, None]
+    return c
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5) -> np.ndarray:
-    """Unit centroids; an empty cell keeps its centroid."""
+    """Unit centroids of rows that the driver holds."""
     x = np.unique(_unit(x), axis=0)
     c = x[np.random.default_rng(seed).permutation(len(x))[:k]]
     for _ in range(rounds):
-        nearest = (x @ c.T).argmax(axis=1)
-        total = np.zeros_like(c)
-        np.add.at(total, nearest, x)
-        norm = np.linalg.norm(total, axis=1)
-        c = np.where((norm > 1e-9)[:, None], total / np.maximum(norm, 1e-9)[:, None], c)
+        nearest = np.concatenate([(x[at : at + _step(len(c))] @ c.T).argmax(axis=1) for at in range(0, len(x), _step(len(c)))])
+        c = _moved(c, *_cell_sums(x, nearest))
+    return c
+
+
+def _totals(parts: Iterator[tuple[np.ndarray, np.ndarray]], c: np.ndarray) -> pa.RecordBatch:
+    total, seen = np.zeros_like(c), np.zeros(len(c), dtype=bool)
+    for cells, sums in parts:
+        total[cells] += sums
+        seen[cells] = True
+    cells = np.flatnonzero(seen)
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(total[cells].ravel()), c.shape[1]).cast(pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), flat], names=["cell", "total"])
+
+
+def _sum_rows(shared):
+    """Sums of the unit vectors of each cell, over the rows of a task."""
+
+    def parts(batches: Iterator[pa.RecordBatch], c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for at in range(0, len(batch), _step(len(c))):
+                x = _unit(matrix(batch.column("embedding").slice(at, _step(len(c)))))
+                yield _cell_sums(x, (x @ c.T).argmax(axis=1))
+
+    return lambda batches: iter([_totals(parts(batches, shared.value), shared.value)])
+
+
+def _sum_sums(shared):
+    """The tasks' sums added up; a cell's sums are in one task."""
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        return (_cell_sums(matrix(b.column("total")), b.column("cell").to_numpy()) for b in batches if len(b))
+
+    return lambda batches: iter([_totals(parts(batches), shared.value)])
+
+
+def fit_centroids(unique: DataFrame, n: int, cells: int, rounds: int = ROUNDS) -> np.ndarray:
+    """At most `cells` unit centroids of the `n` rows (id, embedding), fitted on those whose ids hash lowest. Rows stay with the
+    executors but for one a cell, where the rounds begin."""
+    c = np.unique(_unit(sample(unique, "id", "embedding", cells)), axis=0)
+    if len(c) < 2:
+        return c
+    share = min(1.0, cells * SAMPLE_PER_CELL / n)
+    lowest = F.xxhash64("id") <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+    fitted, spark = stored(unique.filter(lowest).select("embedding"), "fitted"), unique.sparkSession
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(c)
+        sums = fitted.mapInArrow(_sum_rows(shared), "cell int, total array<double>").repartition("cell").mapInArrow(_sum_sums(shared), "cell int, total array<double>")
+        sums = sums.toArrow()
+        c = _moved(c, sums.column("cell").to_numpy(), matrix(sums.column("total")))
+        shared.unpersist()
     return c
 
 
@@ -62,7 +131,10 @@ def _visits(near: np.ndarray, own_near: np.ndarray, between: np.ndarray, margin:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2 - 2 * a @ b.T, 0))
+    out = a @ b.T
+    out *= -2  # in place: of all centroids this is the largest matrix here
+    out += 2
+    return np.sqrt(np.maximum(out, 0, out=out), out=out)
 
 
 def _assign(shared, margin: float):
@@ -73,9 +145,10 @@ def _assign(shared, margin: float):
         between = _distances(c, c)
         order = np.argsort(group, kind="stable")
         starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+        step = _step(len(c))
         for batch in batches:
-            for at in range(0, len(batch), 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
                 x = _unit(matrix(part.column("embedding")))
                 near = x @ c.T
                 own = near.argmax(axis=1)
@@ -150,10 +223,11 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, margin: f
     cells = min(MAX_CELLS, max(1, n // ROWS_PER_CELL))
     if margin is None:
         margin = (1 - cosine**2) ** 0.5 if cosine > 0 else 1.0
-    fitted = sample(unique, "id", "embedding", cells * SAMPLE_PER_CELL)
-    centroids = spherical_kmeans(fitted, cells) if len(fitted) else np.zeros((1, max(1, length)))
-    side = max(OWNERS, BLOCK_VALUES // max(1, length))
-    heads = spherical_kmeans(centroids, max(1, min(cells, n // side))) if len(fitted) else centroids
+    centroids = fit_centroids(unique, n, cells) if n else np.zeros((1, max(1, length)))
+    # Vectors of one side of a block. Without structure all blocks meet, and each vector is sent as often as there are blocks
+    # in a row, so these grow with the table while there are enough of them.
+    side = max(OWNERS, min(max(BLOCK_VALUES, n * length // BLOCKS), MAX_BLOCK_VALUES) // max(1, length))
+    heads = spherical_kmeans(centroids, max(1, min(len(centroids), n // side))) if n else centroids
     shared = spark.sparkContext.broadcast((centroids, (centroids @ heads.T).argmax(axis=1)))
     kind = dict(rows.dtypes)["embedding"]
     placed = stored(unique.mapInArrow(_assign(shared, margin), f"embedding {kind}, id long, copies long, own int, cell int, owner boolean"), "cells")
