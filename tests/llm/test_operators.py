@@ -559,6 +559,30 @@ def test_neighbours_recall(spark):
     assert hits / total >= 0.9
 
 
+@pytest.mark.parametrize("values", [1 << 20, 24 * 900])
+def test_neighbours_are_sent_once_to_a_bundle(spark, monkeypatch, values):
+    """Rows of queries and leaves are never broadcast, however small the table of queries, and bundles hold what leaves hold."""
+    monkeypatch.setattr(neighbours, "BUNDLE_VALUES", values)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 24)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    out = neighbours.nearest(df, 100)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") and "BuildLeft" not in plan
+    full = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in neighbours.nearest(df, 100, share=1.0).collect()}
+    d = np.sqrt(((x[::100, None].astype(float) - x[None].astype(float)) ** 2).sum(axis=2))
+    for (q, rank), (i, score) in full.items():
+        order = [k for k in np.lexsort((np.arange(6000), d[q // 100])) if k != q]
+        assert (i, score) == (order[rank - 1], d[q // 100, i])
+    forest = neighbours.grow(neighbours.sample(df, "vec_id", "embedding", neighbours.SAMPLE_ROWS), 8, 4)
+    leaves = forest.leaves(x.astype(float))
+    for q in range(0, 6000, 100):
+        opened = forest.search(x[q].astype(float), math.ceil(0.14 * 8 * 16))
+        held = sorted({int(i) for t, n in opened for i in np.flatnonzero(leaves[:, t] == n)} - {q}, key=lambda i: (d[q // 100, i], i))[:10]
+        assert [got[q, k + 1] for k in range(10)] == [(i, d[q // 100, i]) for i in held]
+
+
 def test_url_rules(spark):
     urls = [
         "http://a.example.com/en/x?q", "https://WWW.Example.com/en/", "x://example.com/fr/", "http://b.net/es/1", "http://net/fr/", "http://other.org/en/", "http://example.com",

@@ -4,9 +4,10 @@ Trees are fitted on a bounded sample: a node splits at the median of the project
 Every vector is filed in one leaf of each tree. A query keeps one queue over all trees, ordered by the smallest margin on
 the way to a node, and opens leaves in that order until it has opened `share` of all leaves. The vectors of the opened
 leaves are ranked by their exact Euclidean distance, in double precision on the original values, ties to the smaller id.
+Leaves of one part of a tree are ranked together: a query is sent once to each such bundle, with the leaves it opens there.
 
 Of equal vectors only the `k + 1` with the smallest ids are filed: a query can't return more, so the result is the same,
-and a vector that is very common costs no more than that. A large leaf is cut into blocks.
+and a vector that is very common costs no more than that. A large bundle is cut into blocks.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or are not of the most frequent length, and
 null ids take no part. Fewer candidates than k: all of them. An empty table or no query gives no rows. A repeated row (same
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,8 @@ LEAF_ROWS = 400
 MAX_DEPTH = 11
 SAMPLE_ROWS = 32_768
 SHARE = 0.14
-LEAF_BLOCK = 4096
+#: Vector components of a bundle of leaves, and of a block of it, about.
+BUNDLE_VALUES = 1 << 20
 
 
 class Forest:
@@ -105,15 +108,26 @@ def _file(shared):
     return run
 
 
-def _visit(shared, leaves: int):
+def _visit(shared, leaves: int, bits: int):
+    """A query once for each bundle of 2^`bits` leaves with leaves it opens, and these."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                found = [shared.value.search(q, leaves) for q in matrix(part.column("embedding"))]
-                out = part.take(pa.array(np.repeat(np.arange(len(part)), [len(f) for f in found])))
-                tree, leaf = np.array([x for f in found for x in f], dtype=np.int32).reshape(-1, 2).T
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(tree), pa.array(leaf)], names=[*out.schema.names, "tree", "leaf"])
+                rows, trees, bundles, opened = [], [], [], []
+                for row, q in enumerate(matrix(part.column("embedding"))):
+                    by_bundle = defaultdict(list)
+                    for tree, leaf in shared.value.search(q, leaves):
+                        by_bundle[tree, leaf >> bits].append(leaf)
+                    for (tree, bundle), found in by_bundle.items():
+                        rows.append(row)
+                        trees.append(tree)
+                        bundles.append(bundle)
+                        opened.append(found)
+                out = part.take(pa.array(rows, pa.int64()))
+                columns = [pa.array(trees, pa.int32()), pa.array(bundles, pa.int32()), pa.array(opened, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*out.columns, *columns], names=[*out.schema.names, "tree", "bundle", "leaves"])
 
     return run
 
@@ -124,17 +138,21 @@ def _rank(k: int):
     def run(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         if not len(queries) or not len(vectors):
             return schema.empty_table()
-        vectors = vectors.sort_by("vec_id")
-        ids, x = vectors.column("vec_id").to_numpy(), matrix(vectors.column("embedding"))
+        vectors = vectors.sort_by("leaf")
+        all_ids, x, leaf = vectors.column("vec_id").to_numpy(), matrix(vectors.column("embedding")), vectors.column("leaf").to_numpy()
         out = []
-        for query, q in zip(queries.column("vec_id").to_numpy(), matrix(queries.column("embedding")), strict=True):
-            far = np.sqrt(((x - q) ** 2).sum(axis=1))
+        for query, q, opened in zip(queries.column("vec_id").to_numpy(), matrix(queries.column("embedding")), queries.column("leaves").to_pylist(), strict=True):
+            parts = [slice(a, b) for a, b in zip(np.searchsorted(leaf, opened).tolist(), np.searchsorted(leaf, opened, "right").tolist(), strict=True)]
+            ids, far = np.concatenate([all_ids[p] for p in parts]), np.empty(sum(p.stop - p.start for p in parts))
+            at = 0
+            for p in parts:
+                gap = x[p] - q
+                np.sum(np.square(gap, out=gap), axis=1, out=far[at : at + len(gap)])
+                at += len(gap)
+            far = np.sqrt(far, out=far)
             far[ids == query] = np.inf
-            if len(far) > 2 * k:  # ties with the k-th stay in
-                near = np.flatnonzero(far <= np.partition(far, k - 1)[k - 1])
-                near = near[np.argsort(far[near], kind="stable")][:k]
-            else:
-                near = np.argsort(far, kind="stable")[:k]
+            near = np.flatnonzero(far <= np.partition(far, k - 1)[k - 1]) if len(far) > 2 * k else np.arange(len(far))  # ties with the k-th stay in
+            near = near[np.lexsort((ids[near], far[near]))][:k]
             near = near[np.isfinite(far[near])]
             out.append((np.full(len(near), query), ids[near], far[near]))
         return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], schema=schema)
@@ -158,11 +176,18 @@ def nearest(vectors: DataFrame, queries_modulo: int = 100, k: int = NEIGHBOURS,
     schema = f"vec_id long, embedding {dict(good.dtypes)['embedding']}, tree int, leaf int"
     index = stored(filed.mapInArrow(_file(shared), schema), "leaves")
     opened = max(trees, math.ceil(share * trees * (1 << depth)))
-    visits = good.filter(F.col("vec_id") % queries_modulo == 0).repartition("vec_id").mapInArrow(_visit(shared, opened), schema)
-    blocks = index.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF_BLOCK).cast("int").alias("blocks"))
-    index = index.join(blocks, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int")).drop("blocks")
-    visits = visits.join(blocks, ["tree", "leaf"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    keys = ["tree", "leaf", "block"]
+    side = max(LEAF_ROWS, BUNDLE_VALUES // max(1, length))
+    bits = min(depth, max(0, int(math.log2(side / LEAF_ROWS))))
+    # Queries are few, but each makes hundreds of rows: from their small shuffle they would be taken for a table to broadcast. Here
+    # the sizes of bundles are broadcast, `trees` x 2^`MAX_DEPTH` rows at most.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    visits = good.filter(F.col("vec_id") % queries_modulo == 0).repartition(parts, "vec_id")
+    visits = visits.mapInArrow(_visit(shared, opened, bits), f"vec_id long, embedding {dict(good.dtypes)['embedding']}, tree int, bundle int, leaves array<int>")
+    index = index.withColumn("bundle", F.shiftright("leaf", bits))
+    blocks = F.broadcast(index.groupBy("tree", "bundle").agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("blocks")))
+    index = index.join(blocks, ["tree", "bundle"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int")).drop("blocks")
+    visits = visits.join(blocks, ["tree", "bundle"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    keys = ["tree", "bundle", "block"]
     ranked = visits.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(_rank(k), "query_id long, vec_id long, score double")
     ranked = ranked.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
