@@ -181,3 +181,27 @@ def test_url_conflicts_make_rows_only_for_cells_that_meet(spark):
     found = dedupe.url_conflicts(links, none, days=60)
     assert sorted((str(r.issue_date), str(r.other_date), r.n_pairs) for r in found.collect()) == [("2024-01-01", "2024-01-01", 1), ("2024-03-01", "2024-01-01", 2)]
     assert "sequence(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_links_that_meet_are_numbered_and_joined(spark, monkeypatch):
+    """Of 300 links five meet: two on one day, two within the days, one pair too far apart; null links meet nothing."""
+    rows = [(i, DAY + dt.timedelta(i % 5), f"https://a.example/{i}") for i in range(300)]
+    rows += [(400, DAY, "https://z/1"), (401, DAY, "https://z/1"), (402, DAY, "https://y"), (403, DAY + dt.timedelta(7), "https://y")]
+    rows += [(404, DAY, "https://x"), (405, DAY + dt.timedelta(8), "https://x"), (401, DAY, "https://b"), (399, DAY, "https://b"), (406, DAY, None), (407, DAY, None)]
+    df = spark.createDataFrame(rows, "id long, issue_date date, url string")
+    follow_ups = spark.createDataFrame([(403, 402)], "id long, follow_up_of long")
+    kept, stored = {}, dedupe.stored
+
+    def keep(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(dedupe, "stored", keep)
+    links, names = dedupe.numbered_links(df)
+    named = [r.link for r in names.orderBy("url").collect()]
+    assert named == sorted({u for *_, u in rows if u}) and dict(links.dtypes)["url"] == "bigint"
+    for marks, want in ((follow_ups, {(401, 2, "https://b")}), (follow_ups.limit(0), {(401, 2, "https://b"), (403, 1, "https://y")})):
+        found = dedupe.url_conflicts_by_item(links, marks, parts=3).join(names, F.col("detail") == F.col("url")).collect()
+        assert {(r.id, r.n_conflicts, r.link) for r in found} == want
+        assert {r.id for r in kept["met_links"].collect()} == {399, 400, 401, 403}
+        assert {(r.id, r.n_conflicts, r.detail) for r in dedupe.url_conflicts_by_item(df, marks).collect()} == want

@@ -36,10 +36,10 @@ def _follow_up_pairs(keyed: DataFrame, follow_ups: DataFrame, cell: list[str], d
     return mine.join(other, "follow_up_of").filter(_in_reach("issue_date", "other_date", days) & older)
 
 
-def exempt_pairs(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) -> DataFrame:
+def exempt_pairs(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7, newer: DataFrame | None = None) -> DataFrame:
     """Follow-ups and the item they follow that share a link, one row per shared link. The link is part of the join key, so
-    an item with very many links makes no more rows than it shares."""
-    mine = follow_ups.join(item_urls, "id")
+    an item with very many links makes no more rows than it shares. `newer`: the rows of `item_urls` that can have a pair, if known."""
+    mine = follow_ups.join(item_urls if newer is None else newer, "id")
     other = item_urls.select(F.col("id").alias("follow_up_of"), F.col("issue_date").alias("other_date"), "url")
     older = (F.col("other_date") < F.col("issue_date")) | (F.col("follow_up_of") < F.col("id"))
     return mine.join(other, ["follow_up_of", "url"]).filter(_in_reach("issue_date", "other_date", days) & older)
@@ -76,24 +76,34 @@ def url_conflicts(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7) ->
     )
 
 
+def numbered_links(item_urls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`item_urls` with a number in place of each link, and (url, link) with the links of the numbers. Numbers have the order of the
+    links, so that what is moved and compared from here on is no text."""
+    links = item_urls.filter("url is not null").select(F.col("url").alias("link")).distinct()
+    names = stored(links.repartitionByRange("link").sortWithinPartitions("link").withColumn("url", F.monotonically_increasing_id()), "link_numbers")
+    numbered = item_urls.withColumnRenamed("url", "link").join(names, "link").drop("link")
+    return stored(numbered, "numbered_links"), names
+
+
 def url_conflicts_by_item(item_urls: DataFrame, follow_ups: DataFrame, days: int = 7, parts: int | None = None) -> DataFrame:
     """(id, issue_date, n_conflicts, detail): how many earlier items share a link with the item, counted
-    per link, and the smallest such link."""
-    cells = item_urls.groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
+    per link, and the smallest such link.
+
+    Only items of cells (link, date) that meet an earlier item of their own or another cell are numbered and joined."""
+    linked = item_urls.filter("url is not null and issue_date is not null").select("id", "issue_date", "url")
+    cells = linked.groupBy("url", "issue_date").agg(F.count(F.lit(1)).alias("n"))
     lately = Window.partitionBy("url").orderBy(F.unix_date("issue_date")).rangeBetween(-days, -1)  # a row per date
-    history = cells.select("url", "issue_date", F.sum("n").over(lately).alias("earlier_days"))
+    met = cells.select("*", F.coalesce(F.sum("n").over(lately), F.lit(0)).alias("earlier_days")).filter("n > 1 or earlier_days > 0")
+    members = stored(linked.join(met, ["url", "issue_date"]), "met_links")
     exempt = (
-        exempt_pairs(item_urls, follow_ups, days)
+        exempt_pairs(linked, follow_ups, days, members.select("id", "issue_date", "url"))
         .groupBy("id", "url").agg(F.count(F.lit(1)).alias("exempt"))
     )
+    shared = rank_in_group(members.filter("n > 1"), ["url", "issue_date"], [], "id", "position", parts)
     counted = (
-        rank_in_group(item_urls, ["url", "issue_date"], [], "id", "position", parts)
-        .join(history, ["url", "issue_date"], "left")
+        members.filter("n = 1").withColumn("position", F.lit(1).cast("bigint")).unionByName(shared)
         .join(exempt, ["id", "url"], "left")
-        .withColumn(
-            "k",
-            F.col("position") - 1 + F.coalesce("earlier_days", F.lit(0)) - F.coalesce("exempt", F.lit(0)),
-        )
+        .withColumn("k", F.col("position") - 1 + F.col("earlier_days") - F.coalesce("exempt", F.lit(0)))
     )
     return (
         counted.filter("k > 0").groupBy("id", "issue_date")

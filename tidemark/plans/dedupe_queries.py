@@ -65,9 +65,10 @@ def url_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 SELECT id, CAST(issue_date AS VARCHAR) AS issue_date, count(*) AS n_conflicts, min(url) AS detail FROM link_pairs GROUP BY ALL
 """)
 def url_duplicates_by_item(spark: SparkSession, sf: str) -> DataFrame:
-    links = stored(item_links(spark, sf), "links")
-    return dedupe.url_conflicts_by_item(links, link_follow_ups(links)).select(
-        "id", b.day_text(F.col("issue_date")).alias("issue_date"), "n_conflicts", "detail"
+    links, names = dedupe.numbered_links(stored(item_links(spark, sf), "links"))
+    found = dedupe.url_conflicts_by_item(links, link_follow_ups(links))
+    return found.join(names, F.col("detail") == F.col("url")).select(
+        "id", b.day_text(F.col("issue_date")).alias("issue_date"), "n_conflicts", F.col("link").alias("detail")
     )
 
 
