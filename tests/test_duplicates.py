@@ -3,6 +3,8 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +207,41 @@ def test_only_links_that_meet_are_numbered_and_joined(spark, monkeypatch):
         assert {(r.id, r.n_conflicts, r.link) for r in found} == want
         assert {r.id for r in kept["met_links"].collect()} == {399, 400, 401, 403}
         assert {(r.id, r.n_conflicts, r.detail) for r in dedupe.url_conflicts_by_item(df, marks).collect()} == want
+
+
+@pytest.mark.parametrize(("many", "pairs"), [(24, 1 << 16), (2, 50), (10_000, 50)])
+def test_sets_of_a_block_meet_as_arrays(monkeypatch, many, pairs):
+    """Sets of 1 to 900 tokens: all that are similar, each pair once, and hardly any others, wherever batches end."""
+    monkeypatch.setattr(similarity, "MANY", many)
+    monkeypatch.setattr(similarity, "PAIRS", pairs)
+    rng = random.Random(many)
+    sets = []
+    for _ in range(40):
+        base = rng.sample(range(5000), rng.choice([1, 3, 9, 40, 300, 900]))
+        sets += [{-1, *base}, {-1, *rng.sample(base, rng.randint((len(base) + 1) // 2, len(base))), rng.randrange(5000)}]
+    blocks = [(i % 7, s) for i, s in enumerate(sets)]
+    order = sorted(range(len(blocks)), key=lambda i: (blocks[i][0], len(blocks[i][1])))
+    place = {t: rng.randrange(512) for t in range(-1, 5000)}
+    signs = {i: sum(1 << p for p, k in Counter(place[t] for t in blocks[i][1]).items() if k % 2) for i in order}
+    words = {f"s{k}": [(signs[i] >> 64 * k) % (1 << 64) for i in order] for k in range(8)}
+    columns = {"block": [blocks[i][0] for i in order], "set_id": order, "n": [len(blocks[i][1]) for i in order], "pos": [0] * len(order),
+               **{name: np.array(v, dtype=np.uint64).view(np.int64) for name, v in words.items()}, **{c: [0] * len(order) for c in ("part", "i", "j")}}
+    table = pa.table(columns)
+    found = [(min(p), max(p)) for b in similarity._met(0.4, None)(iter(table.to_batches(max_chunksize=9))) for p in zip(*(b.column(c).to_pylist() for c in ("x", "y")), strict=True)]
+    want = {(i, j) for (i, (b, s)), (j, (c, t)) in combinations(enumerate(blocks), 2) if b == c and len(s & t) >= 0.4 * len(s | t)}
+    assert len(found) == len(set(found)) and want <= set(found) and len(found) <= 2 * len(want) + 100
+
+
+def test_blocks_in_parts_and_keys_of_one_set(spark, monkeypatch):
+    """A block in parts gives the pairs of the whole block; nothing is joined with itself, and keys of one set are left out."""
+    rows = [(i, ["common", *(f"w{i // 4}-{k}" for k in range(9)), f"own{i}"], 11) for i in range(120)]
+    ordered = similarity.cut(similarity._rare_first(spark.createDataFrame(rows, "set_id long, tokens array<string>, n int"), signed=True))
+    posted = ordered.select("set_id", "n", *similarity.SIGNATURE, F.lit(0).alias("pos"), F.explode(F.array(F.lit("common"), F.concat(F.lit("x"), "set_id"))).alias("token"))
+    want = {(a, b) for a, b in combinations(range(120), 2) if a // 4 == b // 4}
+    for block in (4096, 13):
+        monkeypatch.setattr(similarity, "BLOCK", block)
+        met = similarity.candidates(posted, ["token"], 0.5)
+        found = [(r.set_a, r.set_b) for r in met.collect()]
+        assert len(found) == len(set(found)) and want <= set(found) and len(found) <= 2 * len(want)
+        sized = similarity.candidates(posted.withColumn("size", F.when(F.col("token") == "common", 120).otherwise(1)), ["token"], 0.5)
+        assert "Join" not in sized._jdf.queryExecution().executedPlan().toString() and sorted(map(tuple, sized.collect())) == sorted(found)
